@@ -60,7 +60,7 @@ def retyped(text: Column, schema: T.StructType | str) -> Column:
     """A JSON document read with a declared schema and written back compacted."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     parsed = F.from_json(text, struct)
-    return F.when(is_document(text), F.to_json(compact(parsed, struct), JSON_OPTIONS))
+    return F.when(is_document(members(text)), F.to_json(compact(parsed, struct), JSON_OPTIONS))
 
 
 @F.pandas_udf(T.StringType())
@@ -98,9 +98,9 @@ def members(text: Column) -> Column:
     return F.from_json(text, "map<string,variant>")
 
 
-def is_document(text: Column) -> Column:
-    """True where the text is a JSON object in which no key occurs twice."""
-    keys = F.map_keys(members(text))
+def is_document(fields: Column) -> Column:
+    """True where ``members`` came from a JSON object in which no key occurs twice."""
+    keys = F.map_keys(fields)
     return F.coalesce(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(False))
 
 

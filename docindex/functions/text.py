@@ -6,6 +6,7 @@ import unicodedata
 
 from pyspark.sql import Column, functions as F
 
+WORD_CHARACTER = "[\\p{L}\\p{N}]"
 WORD_BREAK = "[^\\p{L}\\p{N}]+"
 
 
@@ -21,17 +22,18 @@ def query_words(query: str) -> list[str]:
 
 
 def has_word(text: Column, word: str) -> Column:
-    """True where ``word`` is one of the text's words.
-
-    The substring test comes first: most texts fail it and are never split.
-    """
-    lowered = F.lower(text)
-    found = lowered.contains(word) & F.array_contains(F.split(lowered, WORD_BREAK), word)
-    return F.coalesce(found, F.lit(False))
+    """True where ``word`` is one of the text's words."""
+    return has_any_word(text, [word])
 
 
 def has_any_word(text: Column, words: list[str]) -> Column:
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | has_word(text, word)
-    return hit
+    """True where any of the words is one of the text's words."""
+    if not words:
+        return F.lit(False)
+    return F.coalesce(F.lower(text).rlike("|".join(map(word_pattern, words))), F.lit(False))
+
+
+def word_pattern(word: str) -> str:
+    """A whole word in lower-cased text. The word itself comes first in the
+    pattern, so that most positions of a text fail on one character."""
+    return f"{word}(?<!{WORD_CHARACTER}{word})(?!{WORD_CHARACTER})"

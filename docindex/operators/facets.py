@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from docindex.functions.times import bucket_start
+from docindex.operators.ordinals import page
 
 DEFAULT_SIZE = 10
 # Largest cut that Spark applies per task before a ranking shuffle
@@ -44,13 +45,23 @@ def _with_key(df: DataFrame, key: str | Column, *others: Column) -> DataFrame:
 def _stats(value: Column) -> list[Column]:
     return [
         F.count("*").alias("count"), F.count(value).alias("total_count"), F.sum(value).alias("total"),
-        F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"),
+        F.min(value).alias("min"), F.max(value).alias("max"), _mean(value).alias("mean"),
     ]
 
 
+def _mean(value: Column) -> Column:
+    """From the sum and the count that a facet keeps anyway."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+
+
+def _spread(value: Column) -> list[Column]:
+    variance = F.var_pop(value)
+    squares = F.sum(value.cast("double") * value.cast("double"))
+    return [squares.alias("sum_of_squares"), variance.alias("variance"), F.sqrt(variance).alias("std_deviation")]
+
+
 def _ranked(df: DataFrame, order: str, size: int | None) -> DataFrame:
-    by = _order(order)
-    return df if size is None else df.orderBy(*by).limit(size)
+    return df if size is None else page(df, _order(order), 0, size)
 
 
 def _order(order: str) -> list[Column]:
@@ -68,8 +79,7 @@ def statistical(df: DataFrame, field: str | Column, where: Column | None = None)
     v = _column(field) if where is None else F.when(where, _column(field))
     return df.agg(
         F.count(v).alias("count"), F.sum(v).alias("total"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.avg(v).alias("mean"), F.sum(v * v).alias("sum_of_squares"),
-        F.var_pop(v).alias("variance"), F.stddev_pop(v).alias("std_deviation"),
+        _mean(v).alias("mean"), *_spread(v),
     )
 
 
@@ -109,15 +119,21 @@ def terms_totals(
 
 
 def pooled(fields: list[str]) -> Column:
-    """The values of several fields as one list of texts."""
-    return F.array_compact(F.array(*[F.col(f).cast("string") for f in fields]))
+    """The values of several fields as one list of texts, null where a value repeats."""
+    texts = [F.col(f).cast("string") for f in dict.fromkeys(fields)]
+    once = [texts[0]]
+    for i, text in enumerate(texts[1:], 1):
+        seen = reduce(lambda a, b: a | b, [F.coalesce(text == t, F.lit(False)) for t in texts[:i]])
+        once.append(F.when(~seen, text))
+    return F.array(*once)
 
 
 def terms_multi(
     df: DataFrame, fields: list[str], size: int | None = DEFAULT_SIZE, where: Column | None = None
 ) -> DataFrame:
     """Values of several fields in one histogram; a document counts once per distinct value."""
-    return terms(df, pooled(fields), size, where)
+    pool = _kept(df, where).select(F.explode(pooled(fields)).alias("term"))
+    return terms(pool, "term", size)
 
 
 def term_total(facet: DataFrame) -> DataFrame:
@@ -213,7 +229,7 @@ def _distinct_facets(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
             parts.append(_one_pass(df, value, group[i:i + KEYS_PER_PASS]))
     for p in plans:
         if p.pooled:
-            counts = terms(df, p.key, None, p.where)
+            counts = terms_multi(df, p.fields, None, p.where) if p.fields else terms(df, p.key, None, p.where)
             parts.append(_long(counts.select(F.lit(p.name).alias("facet"), F.col("term").cast("string"), "count")))
     answer = reduce(DataFrame.unionByName, [_number_types(p, parts) for p in parts])
     return _cut(answer, plans)
@@ -236,12 +252,12 @@ class _Facet:
         arg = spec[self.kind]
         self.where = compile_filter(spec["facet_filter"], schema) if "facet_filter" in spec else None
         self.value = arg.get("value_field")
-        self.pooled = False
+        self.pooled, self.fields, self.key = False, None, None
         self.order = arg.get("order", "count")
         self.size: int | None = None if arg.get("all_terms") else arg.get("size", DEFAULT_SIZE)
         if self.kind == "terms":
             if "fields" in arg:
-                self.key, self.pooled = pooled(arg["fields"]), True
+                self.fields, self.pooled = arg["fields"], True
             else:
                 self.key = _script(arg["script_field"]) if "script_field" in arg else F.col(arg["field"])
                 self.pooled = "field" in arg and isinstance(schema[arg["field"]].dataType, T.ArrayType)
@@ -275,31 +291,24 @@ def _one_pass(df: DataFrame, value: str | None, group: list[_Facet]) -> DataFram
     keys = [f"_k{i}" for i in range(len(group))]
     filtered = [p.key if p.where is None else F.when(p.where, p.key) for p in group]
     v = F.lit(None).cast("double") if value is None else F.col(value)
-    rows = df.select(*[k.cast("string").alias(n) for k, n in zip(filtered, keys)], v.alias("_value"))
+    rows = df.select(*[k.alias(n) for k, n in zip(filtered, keys)], v.alias("_value"))
     v = F.col("_value")
+    squares = [p.name for p in group if p.kind == "statistical"]
     grouped = rows.groupingSets([[k] for k in keys], *keys).agg(
-        F.grouping_id().alias("_set"), *_stats(v), F.sum(v * v).alias("sum_of_squares"),
-        F.var_pop(v).alias("variance"), F.stddev_pop(v).alias("std_deviation"),
-    )
+        F.grouping_id().alias("_set"), *_stats(v), *(_spread(v) if squares else []))
     full = (1 << len(keys)) - 1
-    of_set = F.col("_set")
     facet, term = F.lit(None).cast("string"), F.lit(None).cast("string")
-    valued, squares = [], []
     for i, p in enumerate(group):
-        here = of_set == F.lit(full - (1 << (len(keys) - 1 - i))).cast("long")
+        here = F.col("_set") == F.lit(full - (1 << (len(keys) - 1 - i))).cast("long")
         facet = F.when(here, F.lit(p.name)).otherwise(facet)
-        term = F.when(here, F.col(keys[i])).otherwise(term)
-        if p.value is not None:
-            valued.append(p.name)
-        if p.kind == "statistical":
-            squares.append(p.name)
-    named = grouped.select(facet.alias("facet"), term.alias("term"), *STATS, *VALUE_NUMBERS[4:])
-    named = named.where(F.col("term").isNotNull())
-    has_value, has_squares = F.col("facet").isin(valued), F.col("facet").isin(squares)
-    return _long(named.select(
+        term = F.when(here, F.col(keys[i]).cast("string")).otherwise(term)
+    spread = VALUE_NUMBERS[4:] if squares else ()
+    named = grouped.select(facet.alias("facet"), term.alias("term"), *STATS, *spread)
+    has_value = F.col("facet").isin([p.name for p in group if p.value is not None])
+    return _long(named.where(F.col("term").isNotNull()).select(
         "facet", "term", "count",
         *[F.when(has_value, F.col(c)).alias(c) for c in STATS[1:]],
-        *[F.when(has_squares, F.col(c)).alias(c) for c in VALUE_NUMBERS[4:]],
+        *[F.when(F.col("facet").isin(squares), F.col(c)).alias(c) for c in spread],
     ))
 
 
@@ -320,21 +329,25 @@ def _number_types(part: DataFrame, parts: list[DataFrame]) -> DataFrame:
 
 
 def _cut(answer: DataFrame, plans: list[_Facet]) -> DataFrame:
-    """Keep each facet's first ``size`` terms in its order."""
-    cut = [p for p in plans if p.size is not None]
-    if not cut:
-        return answer
-    name = F.col("facet")
-    whole = answer.where(~name.isin([p.name for p in cut]))
-    parts = [whole] if len(cut) < len(plans) else []
-    for order in sorted({p.order for p in cut if p.size <= RANKED_CUT}):
-        group = [p for p in cut if p.order == order and p.size <= RANKED_CUT]
-        limit = reduce(lambda rest, p: F.when(name == p.name, F.lit(p.size)).otherwise(rest), group, F.lit(0))
-        rank = F.row_number().over(Window.partitionBy("facet").orderBy(*_order(order)))
-        rows = answer.where(name.isin([p.name for p in group])).withColumn("_rank", rank)
-        rows = rows.where(F.col("_rank") <= max(p.size for p in group)).where(F.col("_rank") <= limit)
-        parts.append(rows.drop("_rank"))
-    for p in cut:
-        if p.size > RANKED_CUT:
-            parts.append(answer.where(name == p.name).orderBy(*_order(p.order)).limit(p.size))
+    """Keep each facet's first ``size`` terms in its order.
+
+    All usual cuts are one ranking in which each task first keeps its own best
+    rows per facet. A facet without a cut is ranked term by term, so it keeps
+    every row and is never gathered. A very large cut is made by position.
+    """
+    name, term = F.col("facet"), F.col("term")
+    ranked = [p for p in plans if p.size is not None and p.size <= RANKED_CUT]
+    large = [p for p in plans if p.size is not None and p.size > RANKED_CUT]
+    parts = [_ranked(answer.where(name == p.name), p.order, p.size) for p in large]
+    rest = answer.where(~name.isin([p.name for p in large])) if large else answer
+    if ranked:
+        apart = F.when(~name.isin([p.name for p in ranked]), term)
+        by = [F.desc(F.when(name.isin([p.name for p in ranked if p.order == o]), F.col(o)))
+              for o in sorted({p.order for p in ranked} - {"term"})]
+        rank = F.row_number().over(Window.partitionBy("facet", apart).orderBy(*by, F.asc("term")))
+        limit = reduce(lambda rest, p: F.when(name == p.name, F.lit(p.size)).otherwise(rest), ranked, F.lit(1))
+        rest = rest.withColumn("_rank", rank).where(F.col("_rank") <= max(p.size for p in ranked))
+        rest = rest.where(F.col("_rank") <= limit).drop("_rank")
+    if len(large) < len(plans):
+        parts.append(rest)
     return reduce(DataFrame.unionByName, parts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docindex.functions.text import tokens
+from docindex.functions.text import WORD_BREAK
 
 
 def doc_counts(docs: DataFrame) -> DataFrame:
@@ -23,9 +23,8 @@ def cardinality(df: DataFrame, fields: list[str], approximate: bool = False) ->
     if approximate:
         row = df.agg(*[F.approx_count_distinct(v).alias(f) for f, v in printed.items()])
         return row.unpivot([], fields, "field", "values")
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in printed.items()])).alias("p"))
-    distinct = pairs.select("p.field", "p.value").distinct()
+    pairs = df.select(*[v.alias(f) for f, v in printed.items()]).unpivot([], fields, "field", "value")
+    distinct = pairs.distinct()
     return distinct.groupBy("field").agg(F.count("*").alias("values"))
 
 
@@ -50,7 +49,8 @@ def term_hits(docs: DataFrame, text: str, words: DataFrame, per: str | None = No
     word = words.columns[0]
     listed = words.select(F.lower(F.col(word)).alias("word")).distinct()
     group = [per] if per else []
-    found = docs.select(*group, F.explode(F.array_distinct(tokens(F.col(text)))).alias("word"))
+    words_of = F.array_distinct(F.split(F.lower(F.col(text)), WORD_BREAK))
+    found = docs.select(*group, F.explode(words_of).alias("word")).where("word <> ''")
     counts = found.groupBy(*group, "word").agg(F.count("*").alias("hits"))
     if per:
         return counts.join(listed, "word", "left_semi").select(per, "word", "hits")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docindex.functions.text import query_words, tokens
+from docindex.workspace import materialise
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -20,30 +21,26 @@ def _occurrences(words: str, word: str) -> Column:
 def ranked_hits(df: DataFrame, doc_id: str, text: str, query: str, size: int = 10) -> DataFrame:
     """The best documents for any of the query's words: (doc_id, _score).
 
-    Collection figures (documents, mean length, documents per word) are one row,
-    used as scalar subqueries; no join, and only a top-k moves between tasks.
+    Each text is analysed once into a narrow table of lengths and word counts;
+    the collection's figures (documents, mean length, documents per word) are
+    one row of it, and only a top-k moves between tasks.
     """
     words = query_words(query)
     analysed = df.select(F.col(doc_id), tokens(F.col(text)).alias("_words"))
-    counted = analysed.select(
+    counted = materialise(analysed.select(
         doc_id, F.size("_words").alias("_length"),
         *[_occurrences("_words", x).alias(f"_tf{i}") for i, x in enumerate(words)],
-    )
+    ), "ranking")
     figures = counted.agg(
         F.count("*").alias("docs"), F.avg("_length").alias("mean_length"),
-        *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(words))],
-    )
-
-    def figure(name: str):
-        return figures.select(name).scalar()
-
-    scores = []
+        *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(words))],
+    ).first()
+    total, found = F.lit(0.0), F.lit(False)
     for i in range(len(words)):
-        tf, having = F.col(f"_tf{i}"), figure(f"_df{i}")
-        idf = F.log(F.lit(1.0) + (figure("docs") - having + 0.5) / (having + 0.5))
-        length = F.lit(1 - B) + F.lit(B) * F.col("_length") / figure("mean_length")
-        scores.append(F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * length)).otherwise(F.lit(0.0)))
-    found = reduce(lambda a, b: a | b, [F.col(f"_tf{i}") > 0 for i in range(len(words))], F.lit(False))
-    total = reduce(lambda a, b: a + b, scores, F.lit(0.0))
+        tf, having = F.col(f"_tf{i}"), figures[f"df{i}"]
+        idf = math.log(1 + (figures["docs"] - having + 0.5) / (having + 0.5))
+        length = (1 - B) + B * F.col("_length") / F.lit(figures["mean_length"])
+        total = total + F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * length)).otherwise(F.lit(0.0))
+        found = found | (tf > 0)
     hits = counted.where(found).select(doc_id, total.alias("_score"))
     return hits.orderBy(F.desc("_score"), F.asc(doc_id)).limit(size)

@@ -54,10 +54,6 @@ def list_types(spark: SparkSession, root: str, index: str) -> list[str]:
 
 # -- mappings ----------------------------------------------------------------
 
-def _mapping_path(root: str, index: str, doc_type: str) -> str:
-    return f"{root}/_mappings/{index}/{doc_type}"
-
-
 def dump_mapping(spark: SparkSession, mapping: dict, path: str) -> None:
     """A mapping as a one-line JSON file."""
     line = spark.createDataFrame([(json.dumps(mapping),)], "value string")
@@ -69,12 +65,21 @@ def load_mapping(spark: SparkSession, path: str) -> dict:
 
 
 def put_mapping(spark: SparkSession, root: str, index: str, doc_type: str, mapping: dict) -> None:
-    dump_mapping(spark, mapping, _mapping_path(root, index, doc_type))
+    named = {"index": index, "type": doc_type, "mapping": mapping}
+    dump_mapping(spark, named, f"{root}/_mappings/{index}/{doc_type}")
+
+
+def get_mappings(spark: SparkSession, root: str) -> dict[tuple[str, str], dict]:
+    """All mappings of a root by (index, type), in one read of their small files."""
+    if not glob_paths(spark, f"{root}/_mappings"):
+        return {}
+    lines = spark.read.text(f"{root}/_mappings/*/*").collect()
+    named = [json.loads(r["value"]) for r in lines]
+    return {(m["index"], m["type"]): m["mapping"] for m in named}
 
 
 def get_mapping(spark: SparkSession, root: str, index: str, doc_type: str) -> dict | None:
-    path = _mapping_path(root, index, doc_type)
-    return load_mapping(spark, path) if glob_paths(spark, path) else None
+    return get_mappings(spark, root).get((index, doc_type))
 
 
 def observed_mapping(docs: DataFrame, source: str = "_source") -> DataFrame:

@@ -21,7 +21,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from docindex.functions import records
-from docindex.functions.text import has_any_word, query_words
 from docindex.locator import Locator
 from docindex.mapping import mapping_to_struct, routing_path, struct_to_mapping, typed_columns
 from docindex.sources import catalog
@@ -104,7 +103,7 @@ def json_record_documents(
     shaped = df.where(text.isNotNull()).select(
         text.alias("_line"),
         (records.retyped(text, schema) if schema is not None else records.compacted(text)).alias("_json"),
-        records.is_document(text).alias("_valid"),
+        records.is_document(records.members(text)).alias("_valid"),
     )
     doc_id, reason = _declared_id(None if id_field is None else records.field_of(F.col("_json"), id_field))
     reason = F.when(~F.col("_valid"), F.lit("not a JSON object")).otherwise(reason)
@@ -131,8 +130,9 @@ def json_documents(
     """
     index, doc_type = (DEFAULT_INDEX, DEFAULT_TYPE) if locator is None else Locator.of(locator).target
     text = F.col(records._q(column or df.columns[0]))
-    parsed = df.select(text.alias("_source"), records.members(text).alias("_m"), records.is_document(text).alias("_valid"))
     m = F.col("_m")
+    parsed = df.select(text.alias("_source"), records.members(text).alias("_m")).select(
+        "_source", "_m", records.is_document(m).alias("_valid"))
     target = F.when(F.col("_valid"), records.member_or(m, index_field, F.lit(index))).otherwise(F.lit(index))
     kind = F.when(F.col("_valid"), records.member_or(m, type_field, F.lit(doc_type))).otherwise(F.lit(doc_type))
     doc_id = reduce(lambda rest, name: records.member_or(m, name, rest), reversed(id_fields), _null())
@@ -417,9 +417,9 @@ def compact(
         "_index", "_type", F.lit("unique").alias("_kind"), F.lit(newest).cast("long").alias("_batch"),
     ).hint("rebalance", "_index", "_type")
     rows.write.mode("errorifexists").partitionBy(*PARTITIONING).parquet(target_root)
-    for index, doc_type in sorted({(s.index, s.type) for s in found}):
-        mapping = catalog.get_mapping(spark, source_root, index, doc_type)
-        if mapping is not None:
+    kept = {(s.index, s.type) for s in found}
+    for (index, doc_type), mapping in catalog.get_mappings(spark, source_root).items():
+        if (index, doc_type) in kept:
             catalog.put_mapping(spark, target_root, index, doc_type, mapping)
 
 
@@ -433,9 +433,8 @@ def _scan(spark: SparkSession, root: str, typed: T.StructType, paths: list[str])
 def _typed_schema(spark: SparkSession, root: str, targets: set[tuple[str, str]]) -> T.StructType:
     """Columns of all mappings in scope; one name must have one type."""
     fields: dict[str, T.StructField] = {}
-    for index, doc_type in sorted(targets):
-        mapping = catalog.get_mapping(spark, root, index, doc_type)
-        for f in mapping_to_struct(mapping).fields if mapping else []:
+    for target, mapping in sorted(catalog.get_mappings(spark, root).items()):
+        for f in mapping_to_struct(mapping).fields if target in targets else []:
             if fields.setdefault(f.name, f).dataType != f.dataType:
                 raise ValueError(f"field {f.name!r} has several types in this scope; read the indices one by one")
     return T.StructType(list(fields.values()))
