@@ -21,6 +21,8 @@ DEFAULT_SIZE = 10
 RANKED_CUT = 1000
 # Keys aggregated in one pass: a grouping id has 64 bits.
 KEYS_PER_PASS = 32
+# More filtered facets than this are matched row by row instead of expanded.
+FEW_FILTERED = 4
 
 STATS = ("count", "total_count", "total", "min", "max", "mean")
 
@@ -110,7 +112,9 @@ def terms_totals(
     one (total), and with a value that the cut left out (other)."""
     counts = _kept(df, where).groupBy(F.col(field).alias("term")).agg(F.count("*").alias("count"))
     present = F.col("term").isNotNull()
-    shown = _ranked(counts.where(present), "count", size).agg(F.sum("count").alias("n")).scalar()
+    # Nulls rank last instead of being filtered, so both uses share one aggregation.
+    first = counts.orderBy(F.desc(present), F.desc("count"), F.asc("term")).limit(size)
+    shown = first.agg(F.sum(F.when(present, F.col("count"))).alias("n")).scalar()
     sums = counts.agg(
         F.coalesce(F.sum(F.when(~present, F.col("count"))), F.lit(0)).alias("missing"),
         F.coalesce(F.sum(F.when(present, F.col("count"))), F.lit(0)).alias("total"),
@@ -216,17 +220,16 @@ def facet_request(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
 
 def _distinct_facets(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
     plans = [_Facet(name, spec, df.schema) for name, spec in facets.items()]
-    by_value: dict[str | None, list[_Facet]] = {}
-    for p in plans:
-        if not p.pooled:
-            by_value.setdefault(p.value, []).append(p)
-    if None in by_value and len(by_value) > 1:
-        shared = next(v for v in by_value if v is not None)
-        by_value[shared] += by_value.pop(None)
+    single = [p for p in plans if not p.pooled]
+    filtered = [p for p in single if p.where is not None]
+    if len(filtered) <= FEW_FILTERED:
+        filtered = []
     parts = []
-    for value, group in by_value.items():
+    for value, group in _by_value([p for p in single if p not in filtered]).items():
         for i in range(0, len(group), KEYS_PER_PASS):
-            parts.append(_one_pass(df, value, group[i:i + KEYS_PER_PASS]))
+            parts.append(_expanded(df, value, group[i:i + KEYS_PER_PASS]))
+    for value, group in _by_value(filtered).items():
+        parts.append(_matched(df, value, group))
     for p in plans:
         if p.pooled:
             counts = terms_multi(df, p.fields, None, p.where) if p.fields else terms(df, p.key, None, p.where)
@@ -286,29 +289,68 @@ def _script(expression: str) -> Column:
     return F.concat(*parts)
 
 
-def _one_pass(df: DataFrame, value: str | None, group: list[_Facet]) -> DataFrame:
+def _by_value(plans: list[_Facet]) -> dict[str | None, list[_Facet]]:
+    """Facets that can share a pass; those without a value field join any other."""
+    groups: dict[str | None, list[_Facet]] = {}
+    for p in plans:
+        groups.setdefault(p.value, []).append(p)
+    if None in groups and len(groups) > 1:
+        shared = next(v for v in groups if v is not None)
+        groups[shared] += groups.pop(None)
+    return groups
+
+
+def _value(field: str | None) -> Column:
+    return (F.lit(None).cast("double") if field is None else F.col(field)).alias("_value")
+
+
+def _expanded(df: DataFrame, value: str | None, group: list[_Facet]) -> DataFrame:
     """Facets as grouping sets: one scan, one shuffle of partial aggregates."""
     keys = [f"_k{i}" for i in range(len(group))]
     filtered = [p.key if p.where is None else F.when(p.where, p.key) for p in group]
-    v = F.lit(None).cast("double") if value is None else F.col(value)
-    rows = df.select(*[k.alias(n) for k, n in zip(filtered, keys)], v.alias("_value"))
+    rows = df.select(*[k.alias(n) for k, n in zip(filtered, keys)], _value(value))
+    rows = rows.where(_any([F.col(k).isNotNull() for k in keys]))
     v = F.col("_value")
-    squares = [p.name for p in group if p.kind == "statistical"]
-    grouped = rows.groupingSets([[k] for k in keys], *keys).agg(
-        F.grouping_id().alias("_set"), *_stats(v), *(_spread(v) if squares else []))
+    grouped = rows.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("_set"), *_numbers(v, group))
     full = (1 << len(keys)) - 1
+    here = [F.col("_set") == F.lit(full - (1 << (len(keys) - 1 - i))).cast("long") for i in range(len(keys))]
+    grouped = grouped.where(_any([h & F.col(k).isNotNull() for h, k in zip(here, keys)]))
     facet, term = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for i, p in enumerate(group):
-        here = F.col("_set") == F.lit(full - (1 << (len(keys) - 1 - i))).cast("long")
-        facet = F.when(here, F.lit(p.name)).otherwise(facet)
-        term = F.when(here, F.col(keys[i]).cast("string")).otherwise(term)
-    spread = VALUE_NUMBERS[4:] if squares else ()
-    named = grouped.select(facet.alias("facet"), term.alias("term"), *STATS, *spread)
+    for h, k, p in zip(here, keys, group):
+        facet = F.when(h, F.lit(p.name)).otherwise(facet)
+        term = F.when(h, F.col(k).cast("string")).otherwise(term)
+    return _named(grouped.withColumn("facet", facet).withColumn("term", term), group)
+
+
+def _matched(df: DataFrame, value: str | None, group: list[_Facet]) -> DataFrame:
+    """Many filtered facets: each row joins only those whose filter it passes."""
+    pairs = [
+        F.when(p.where & p.key.isNotNull(), F.struct(F.lit(p.name).alias("facet"), p.key.cast("string").alias("term")))
+        for p in group
+    ]
+    rows = df.where(_any([p.where for p in group])).select(
+        F.explode(F.array_compact(F.array(*pairs))).alias("_pair"), _value(value))
+    grouped = rows.groupBy("_pair.facet", "_pair.term").agg(*_numbers(F.col("_value"), group))
+    return _named(grouped, group)
+
+
+def _any(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _numbers(v: Column, group: list[_Facet]) -> list[Column]:
+    return [*_stats(v), *(_spread(v) if any(p.kind == "statistical" for p in group) else [])]
+
+
+def _named(grouped: DataFrame, group: list[_Facet]) -> DataFrame:
+    """Only the numbers that each facet asks for."""
     has_value = F.col("facet").isin([p.name for p in group if p.value is not None])
-    return _long(named.where(F.col("term").isNotNull()).select(
+    spread = [c for c in VALUE_NUMBERS[4:] if c in grouped.columns]
+    has_spread = F.col("facet").isin([p.name for p in group if p.kind == "statistical"])
+    return _long(grouped.select(
         "facet", "term", "count",
         *[F.when(has_value, F.col(c)).alias(c) for c in STATS[1:]],
-        *[F.when(F.col("facet").isin(squares), F.col(c)).alias(c) for c in spread],
+        *[F.when(has_spread, F.col(c)).alias(c) for c in spread],
     ))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import functions as F
 
 from docindex.functions.text import tokens
@@ -293,6 +295,24 @@ def shape_pooled_terms(spark, sf):
     return answer(lineitem(spark, sf), body).select("facet", "term", "count")
 
 
+@query("shape_top_per_combination", """
+SELECT l_returnflag || '|' || l_linestatus || '|' || l_linenumber AS facet, CAST(l_suppkey AS VARCHAR) AS term, count
+FROM (SELECT l_returnflag, l_linestatus, l_linenumber, l_suppkey, count(*) AS count FROM lineitem
+      WHERE l_quantity >= 10 GROUP BY 1, 2, 3, 4)
+QUALIFY row_number() OVER (PARTITION BY facet ORDER BY count DESC, term) = 1""")
+def shape_top_per_combination(spark, sf):
+    """One facet per key combination, each with its own filter and a cut of one."""
+    combinations = {
+        f"{flag}|{status}|{line}": {"terms": {"field": "l_suppkey", "size": 1}, "facet_filter": {"and": {"filters": [
+            {"term": {"l_returnflag": flag}}, {"term": {"l_linestatus": status}}, {"term": {"l_linenumber": line}},
+        ], "_cache": False}}}
+        for flag, status, line in product("ANR", "FO", range(1, 8))
+    }
+    body = {"query": {"constant_score": {"filter": {"range": {"l_quantity": {"gte": 10}}}}}, "size": 0,
+            "facets": combinations}
+    return answer(table(spark, sf, "lineitem"), body).select("facet", "term", "count")
+
+
 @query("shape_whole_index", f"""
 SELECT 'igna' AS facet, 'all' AS term, count(*) AS count, CAST(sum({V}) AS DOUBLE) AS total FROM events WHERE event_type = 'click'
 UNION ALL SELECT 'ignb', strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S'), count(*), NULL FROM events GROUP BY 2
