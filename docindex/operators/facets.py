@@ -24,6 +24,9 @@ KEYS_PER_PASS = 32
 # More filtered facets than this are matched row by row instead of expanded.
 FEW_FILTERED = 4
 
+# Term under which a statistical facet is listed in a request's answer.
+WHOLE = "all"
+
 STATS = ("count", "total_count", "total", "min", "max", "mean")
 
 
@@ -44,9 +47,9 @@ def _with_key(df: DataFrame, key: str | Column, *others: Column) -> DataFrame:
     return keyed
 
 
-def _stats(value: Column) -> list[Column]:
+def _stats(value: Column, row: str = "*") -> list[Column]:
     return [
-        F.count("*").alias("count"), F.count(value).alias("total_count"), F.sum(value).alias("total"),
+        F.count(row).alias("count"), F.count(value).alias("total_count"), F.sum(value).alias("total"),
         F.min(value).alias("min"), F.max(value).alias("max"), _mean(value).alias("mean"),
     ]
 
@@ -271,7 +274,7 @@ class _Facet:
                 F.col(arg.get("key_field") or arg["field"]), arg["interval"], arg.get("time_zone"))
             self.size = None
         elif self.kind == "statistical":
-            self.key, self.value, self.size = F.lit("all"), arg["field"], None
+            self.key, self.value, self.size = F.lit(WHOLE), arg["field"], None
         else:
             raise ValueError(f"unsupported facet {self.kind!r}")
 
@@ -308,10 +311,12 @@ def _expanded(df: DataFrame, value: str | None, group: list[_Facet]) -> DataFram
     """Facets as grouping sets: one scan, one shuffle of partial aggregates."""
     keys = [f"_k{i}" for i in range(len(group))]
     filtered = [p.key if p.where is None else F.when(p.where, p.key) for p in group]
-    rows = df.select(*[k.alias(n) for k, n in zip(filtered, keys)], _value(value))
+    rows = df.select(*[k.alias(n) for k, n in zip(filtered, keys)], _value(value), F.lit(1).alias("_row"))
     rows = rows.where(_any([F.col(k).isNotNull() for k in keys]))
-    v = F.col("_value")
-    grouped = rows.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("_set"), *_numbers(v, group))
+    if any(p.kind == "statistical" for p in group):
+        always = {k for k, p in zip(keys, group) if p.kind == "statistical"}
+        rows = rows.unionByName(_blank(rows, {k: F.lit(WHOLE) for k in always}))
+    grouped = rows.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("_set"), *_numbers(group))
     full = (1 << len(keys)) - 1
     here = [F.col("_set") == F.lit(full - (1 << (len(keys) - 1 - i))).cast("long") for i in range(len(keys))]
     grouped = grouped.where(_any([h & F.col(k).isNotNull() for h, k in zip(here, keys)]))
@@ -329,17 +334,27 @@ def _matched(df: DataFrame, value: str | None, group: list[_Facet]) -> DataFrame
         for p in group
     ]
     rows = df.where(_any([p.where for p in group])).select(
-        F.explode(F.array_compact(F.array(*pairs))).alias("_pair"), _value(value))
-    grouped = rows.groupBy("_pair.facet", "_pair.term").agg(*_numbers(F.col("_value"), group))
-    return _named(grouped, group)
+        F.explode(F.array_compact(F.array(*pairs))).alias("_pair"), _value(value), F.lit(1).alias("_row"))
+    rows = rows.select("_pair.facet", "_pair.term", "_value", "_row")
+    always = [F.lit(p.name) for p in group if p.kind == "statistical"]
+    if always:
+        rows = rows.unionByName(_blank(rows, {"facet": F.explode(F.array(*always)), "term": F.lit(WHOLE)}))
+    return _named(rows.groupBy("facet", "term").agg(*_numbers(group)), group)
+
+
+def _blank(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """One row that counts for nothing: statistics of no hits are still an answer."""
+    return rows.sparkSession.range(0, 1, 1, 1).select(
+        *[values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema.fields])
 
 
 def _any(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, tests)
 
 
-def _numbers(v: Column, group: list[_Facet]) -> list[Column]:
-    return [*_stats(v), *(_spread(v) if any(p.kind == "statistical" for p in group) else [])]
+def _numbers(group: list[_Facet]) -> list[Column]:
+    v = F.col("_value")
+    return [*_stats(v, "_row"), *(_spread(v) if any(p.kind == "statistical" for p in group) else [])]
 
 
 def _named(grouped: DataFrame, group: list[_Facet]) -> DataFrame:

@@ -12,7 +12,7 @@ from docindex.workspace import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Means and spreads are compared to this many places.
+# Spreads and scores are compared to this many places; means come from exact sums.
 PLACES = 6
 
 # Exact numbers with cents; sums of them stay within 64 bits, which keeps them fast.
@@ -53,14 +53,14 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast(MONEY))
 
 
-def tidy(df: DataFrame, *rounded: str) -> DataFrame:
-    """Exact numbers as doubles; means and spreads rounded."""
+def tidy(df: DataFrame) -> DataFrame:
+    """Exact numbers as doubles; spreads rounded."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
-        if f.name in rounded or f.name in ("mean", "variance", "std_deviation"):
+        if f.name in ("variance", "std_deviation"):
             c = F.round(c.cast("double"), PLACES)
         if f.name == "sum_of_squares":
             c = F.round(c.cast("double"), 4)

@@ -16,14 +16,14 @@ query = REGISTRY.add
 
 V = "CAST(value AS DECIMAL(18, 2))"
 STATISTICAL = f"""count({V}) {{f}} AS count, CAST(sum({V}) {{f}} AS DOUBLE) AS total, CAST(min({V}) {{f}} AS DOUBLE) AS min,
-CAST(max({V}) {{f}} AS DOUBLE) AS max, round(avg({V}) {{f}}, {PLACES}) AS mean,
+CAST(max({V}) {{f}} AS DOUBLE) AS max, CAST(sum({V}) {{f}} AS DOUBLE) / nullif(count({V}) {{f}}, 0) AS mean,
 round(CAST(sum({V} * {V}) {{f}} AS DOUBLE), 4) AS sum_of_squares, round(var_pop(value) {{f}}, {PLACES}) AS variance,
 round(stddev_pop(value) {{f}}, {PLACES}) AS std_deviation"""
 
 
 def stats_sql(value: str = V) -> str:
     return f"""count(*) AS count, count({value}) AS total_count, CAST(sum({value}) AS DOUBLE) AS total,
-CAST(min({value}) AS DOUBLE) AS min, CAST(max({value}) AS DOUBLE) AS max, round(avg({value}), {PLACES}) AS mean"""
+CAST(min({value}) AS DOUBLE) AS min, CAST(max({value}) AS DOUBLE) AS max, CAST(sum({value}) AS DOUBLE) / nullif(count({value}), 0) AS mean"""
 
 
 def with_gaps(df):
@@ -144,7 +144,7 @@ Q = "CAST(l_quantity AS DECIMAL(18, 2))"
 def keyed_sql(facet: str, key: str) -> str:
     return f"""SELECT '{facet}' AS facet, CAST({key} AS VARCHAR) AS term, count(*) AS count, count({Q}) AS total_count,
 CAST(sum({Q}) AS DOUBLE) AS total, CAST(min({Q}) AS DOUBLE) AS min, CAST(max({Q}) AS DOUBLE) AS max,
-round(avg({Q}), {PLACES}) AS mean, NULL::DOUBLE AS sum_of_squares, NULL::DOUBLE AS variance,
+CAST(sum({Q}) AS DOUBLE) / count({Q}) AS mean, NULL::DOUBLE AS sum_of_squares, NULL::DOUBLE AS variance,
 NULL::DOUBLE AS std_deviation FROM lineitem GROUP BY {key}"""
 
 
@@ -158,7 +158,7 @@ UNION ALL {keyed_sql('by_line', 'l_linenumber')}
 UNION ALL SELECT 'by_month', strftime(date_trunc('month', l_shipdate), '%Y-%m-%d %H:%M:%S'), count(*), {NO_STATS}
 FROM lineitem GROUP BY date_trunc('month', l_shipdate)
 UNION ALL SELECT 'number', 'all', count(*), count({Q}), CAST(sum({Q}) AS DOUBLE), CAST(min({Q}) AS DOUBLE),
-CAST(max({Q}) AS DOUBLE), round(avg({Q}), {PLACES}), round(CAST(sum({Q} * {Q}) AS DOUBLE), 4),
+CAST(max({Q}) AS DOUBLE), CAST(sum({Q}) AS DOUBLE) / count({Q}), round(CAST(sum({Q} * {Q}) AS DOUBLE), 4),
 round(var_pop(l_quantity), {PLACES}), round(stddev_pop(l_quantity), {PLACES}) FROM lineitem WHERE l_returnflag = 'R'""")
 def facet_request(spark, sf):
     """Five facets of one request in one pass; no hits are asked for."""

@@ -102,25 +102,24 @@ def term_hits_per_index(spark, sf):
     return profile.term_hits(table(spark, sf, "documents"), "text", word_list(spark, sf), per="lang")
 
 
-@query("running_mean", f"""
+@query("running_mean", """
 SELECT user_id, event_id, CAST(value AS DOUBLE) AS value,
-       round(CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(value) OVER w, {PLACES}) AS running_mean
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(value) OVER w AS running_mean
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""")
 def mean_so_far(spark, sf):
     means = running_mean(events(spark, sf), "user_id", "event_id", "value")
     return means.select(
-        "user_id", "event_id", F.col("value").cast("double").alias("value"),
-        F.round("running_mean", PLACES).alias("running_mean"))
+        "user_id", "event_id", F.col("value").cast("double").alias("value"), "running_mean")
 
 
-@query("running_mean_one_run", f"""
+@query("running_mean_one_run", """
 SELECT 1 AS run, event_id,
-       round(CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(value) OVER w, {PLACES}) AS running_mean
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) OVER w AS DOUBLE) / count(value) OVER w AS running_mean
 FROM events WINDOW w AS (ORDER BY event_id)""")
 def mean_of_one_run(spark, sf):
     """One run that holds the whole table."""
     means = running_mean(events(spark, sf).withColumn("run", F.lit(1)), "run", "event_id", "value")
-    return means.select("run", "event_id", F.round("running_mean", PLACES).alias("running_mean"))
+    return means.select("run", "event_id", "running_mean")
 
 
 # -- catalog -------------------------------------------------------------------

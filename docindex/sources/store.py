@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import time
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -191,7 +192,7 @@ def write_documents(
     spark = docs.sparkSession
     if batch is None:
         batch = 1 + max((s.batch for s in catalog.segments(spark, root)), default=0)
-    rows = _numbered(docs, batch, mapping)
+    rows = _numbered(docs, batch, str(batch) if replace_batch else uuid.uuid4().hex, mapping)
     if shards:
         rows = _placed(rows, shards, salt)
     elif rebalance:
@@ -272,14 +273,15 @@ def _prepare(spark: SparkSession, root: str, loc: Locator, mode: str) -> bool:
     return False
 
 
-def _numbered(docs: DataFrame, batch: int, mapping: dict | None) -> DataFrame:
+def _numbered(docs: DataFrame, batch: int, write: str, mapping: dict | None) -> DataFrame:
     """Sequence numbers, assigned ids and the typed columns of the mapping.
 
-    The sequence number is task number and row number in the task; an assigned
-    id is a digest of it, so a repeated task gives the same ids again.
+    The sequence number is task number and row number in the task. An assigned
+    id is a digest of it and of the write's own name, which is fixed before the
+    job starts, so a repeated task gives the same ids again.
     """
     rows = docs.withColumn("_seq", F.monotonically_increasing_id())
-    digest = F.sha2(F.concat_ws("|", F.lit(batch), F.col("_seq"), F.col("_source")), 256)
+    digest = F.sha2(F.concat_ws("|", F.lit(write), F.col("_seq"), F.col("_source")), 256)
     kind = (
         F.when(F.col("_reason").isNotNull(), F.lit(catalog.REJECTED))
         .when(F.col("_id").isNull(), F.lit("unique"))
@@ -357,15 +359,7 @@ def read_index(
     loc = Locator.of(locator)
     found = {s: p for s, p in catalog.segments(spark, root, loc).items() if s.kind != catalog.REJECTED}
     typed = _typed_schema(spark, root, {(s.index, s.type) for s in found})
-    keyed = {(s.index, s.type) for s in found if s.kind == "given"}
-    once = [p for s, p in found.items() if versions or (s.index, s.type) not in keyed]
-    many = [p for s, p in found.items() if not versions and (s.index, s.type) in keyed]
-    frames = []
-    if once or not many:
-        frames.append(_scan(spark, root, typed, once))
-    if many:
-        frames.append(latest(_scan(spark, root, typed, many)))
-    docs = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    docs = _scan(spark, root, typed, list(found.values())) if versions else _current(spark, root, typed, found)
     docs = docs.select(*DOCUMENT, *typed.names)
     q = q if q is not None else loc.option("q")
     if q not in ("", "*"):
@@ -377,6 +371,36 @@ def read_index(
     return docs if tasks is None else docs.repartition(tasks)
 
 
+def _current(
+    spark: SparkSession, root: str, typed: T.StructType, found: dict[catalog.Segment, str]
+) -> DataFrame:
+    """The newest document of every id, shuffling as little as the directories allow.
+
+    Targets without given ids hold each id once. In the others, rows older than
+    the first given id hold each id once among themselves, so they only lose
+    those that a later write replaced; a small later write is broadcast.
+    """
+    first_given: dict[tuple[str, str], int] = {}
+    for s in found:
+        if s.kind == "given":
+            target = (s.index, s.type)
+            first_given[target] = min(s.batch, first_given.get(target, s.batch))
+    once, older, newer = [], [], []
+    for s, path in found.items():
+        first = first_given.get((s.index, s.type))
+        (once if first is None else older if s.batch < first else newer).append(path)
+    frames = []
+    if once or not found:
+        frames.append(_scan(spark, root, typed, once))
+    if newer:
+        changed = latest(_scan(spark, root, typed, newer))
+        if older:
+            ids = ["_index", "_type", "_id"]
+            frames.append(_scan(spark, root, typed, older).join(changed.select(*ids), ids, "left_anti"))
+        frames.append(changed)
+    return reduce(DataFrame.unionByName, frames)
+
+
 def load(spark: SparkSession, root: str, locator: Locator | str, **options) -> DataFrame:
     """Documents as two text columns, ``doc_id`` and ``contents``."""
     return read_index(spark, root, locator, **options).select(

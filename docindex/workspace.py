@@ -10,18 +10,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="docindex-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared checkpoint folder."""
+    """A new, unused path below the shared checkpoint folder.
+
+    Only a single-machine session may leave the folder unset.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        base = tempfile.mkdtemp(prefix="docindex-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder()
     return f"{base.rstrip('/')}/docindex/{name}-{uuid.uuid4().hex}"
 
 

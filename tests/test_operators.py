@@ -184,6 +184,16 @@ def test_requests_match_brute_force(spark, filtered):
         assert sorted(got.get(name, []), key=lambda kv: (-kv[1], kv[0])) == request_by_hand(rows, spec), name
 
 
+@pytest.mark.parametrize("facets_asked", [1, 6])
+def test_statistics_of_no_hits_are_an_answer(docs, facets_asked):
+    one = {"statistical": {"field": "n"}, "facet_filter": {"term": {"kind": "none"}}}
+    body = {f"f{i}": {**one, "facet_filter": {"term": {"id": 90 + i}}} for i in range(facets_asked)}
+    for hits in (docs, docs.where("id > 9")):
+        rows = facets.facet_request(hits, body).collect()
+        assert sorted((r["facet"], r["count"], r["total"]) for r in rows) == [
+            (f"f{i}", 0, None) for i in range(facets_asked)]
+
+
 def test_more_keys_than_one_pass_holds(spark):
     df = spark.range(50).select(*[(F.col("id") % (i + 2)).alias(f"k{i}") for i in range(40)])
     body = {f"f{i}": {"terms_stats": {"key_field": f"k{i}", "value_field": "k0", "all_terms": True}} for i in range(40)}

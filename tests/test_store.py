@@ -82,6 +82,26 @@ def test_compaction(spark, root):
     assert [r["name"] for r in read_index(spark, root + "-c", "es://p/row").collect()] == ["z"] * 3
 
 
+def test_a_small_update_of_a_compacted_index_does_not_shuffle_it(spark, root):
+    write_records(spark.range(1000), root, "es://n/row", id_field="id")
+    write_records(spark.range(500), root, "es://n/row", id_field="id")
+    compact(spark, root, root + "-c")
+    update = spark.range(990, 1010).select("id")
+    for _ in range(2):
+        write_records(update, root + "-c", "es://n/row", id_field="id")
+    write_records(update, root + "-c", "es://n/row")
+    docs = read_index(spark, root + "-c", "es://n/row")
+    assert docs.count() == 1010 + 20 and docs.select("_id").distinct().count() == 1030
+    assert docs.where("_batch <= 2").count() == 990
+    assert "BroadcastHashJoin" in docs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_lower_batch_number_does_not_win(spark, root):
+    write_records(people(spark), root, "es://p/row", id_field="key", batch=9)
+    write_records(people(spark).withColumn("name", F.lit("z")), root, "es://p/row", id_field="key", batch=3)
+    assert {r["name"] for r in read_index(spark, root, "es://p/row").collect()} == {"a", "b", None}
+
+
 def test_modes(spark, root):
     write_records(people(spark), root, "es://p/row", mode="errorifexists")
     with pytest.raises(FileExistsError):
@@ -236,3 +256,18 @@ def test_flow_between_all_kinds(spark, root, tmp_path):
 def test_console_dump(spark, capsys):
     flow.dump(people(spark))
     assert sorted(capsys.readouterr().out.split()) == ["(1,a)", "(2,b)", "(3,)"]
+
+
+def test_work_folder_is_shared_or_refused():
+    from types import SimpleNamespace
+
+    from docindex.workspace import work_dir
+
+    def session(master, folder):
+        conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert work_dir(session("yarn", "hdfs://nn/cp/"), "x").startswith("hdfs://nn/cp/docindex/x-")
+    assert work_dir(session("local[2]", None), "x")
+    with pytest.raises(ValueError):
+        work_dir(session("yarn", None), "x")
