@@ -12,10 +12,16 @@ from docindex.workspace import materialise
 SHALLOW_PAGE = 100_000
 
 
+def spread_sort(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
+    """A total order in which a value that many rows share is cut into many
+    ranges: ties are broken by read position."""
+    return df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order_by, "_tie").drop("_tie")
+
+
 def _sorted_parts(df: DataFrame, order_by: list[str | Column], name: str) -> DataFrame:
     """Rows range-partitioned in order, with their part and position in it, written once."""
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = df.orderBy(*order_by) if order_by else df
+    placed = spread_sort(df, order_by) if order_by else df
     return materialise(placed.select("*", F.spark_partition_id().alias("_part"), row.alias("_row")), name)
 
 

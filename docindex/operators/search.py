@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docindex.operators.facets import facet_request
 from docindex.operators.filters import compile_filter
-from docindex.operators.ordinals import page
+from docindex.operators.ordinals import page, spread_sort
 
 DEFAULT_PAGE = 10
 
@@ -61,7 +61,7 @@ def sort_columns(sort: list) -> list:
 
 def sorted_documents(df: DataFrame, fields: list[str]) -> DataFrame:
     """All documents in the order of several fields."""
-    return df.orderBy(*fields)
+    return spread_sort(df, fields)
 
 
 def hits_count(df: DataFrame) -> DataFrame:

@@ -56,8 +56,8 @@ def list_types(spark: SparkSession, root: str, index: str) -> list[str]:
 
 def dump_mapping(spark: SparkSession, mapping: dict, path: str) -> None:
     """A mapping as a one-line JSON file."""
-    line = spark.createDataFrame([(json.dumps(mapping),)], "value string")
-    line.coalesce(1).write.mode("overwrite").text(path)
+    line = spark.range(0, 1, 1, 1).select(F.lit(json.dumps(mapping)).alias("value"))
+    line.write.mode("overwrite").text(path)
 
 
 def load_mapping(spark: SparkSession, path: str) -> dict:

@@ -7,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from docindex.operators import facets, filters, ordinals, profile, ranking, reports, slowlog
+from docindex.operators import search as search_module
 from docindex.operators.search import search
 
 
@@ -34,6 +35,19 @@ def test_ordinals_and_deep_pages(spark, monkeypatch):
     assert [r["k"] for r in ordinals.page(df, ["k"], 4321, 3).orderBy("k").collect()] == [4321, 4322, 4323]
 
 
+def test_a_shared_sort_value_is_spread_over_tasks(spark):
+    df = spark.range(0, 40000, 1, 4).select(F.lit("same").alias("k"), F.col("id").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = search_module.sorted_documents(df, ["k"]).select("n", F.spark_partition_id().alias("part"))
+        sizes = [r["count"] for r in placed.groupBy("part").count().collect()]
+        first = [r["n"] for r in placed.where("part = 0").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 20000
+    assert first == sorted(first)
+
+
 def test_running_mean_of_a_run_with_most_rows(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("r"), F.col("id") % 50)).alias("run"),

@@ -148,6 +148,14 @@ def test_numeric_looking_names_stay_text(spark, root):
     assert (row["_index"], row["_type"]) == ("0012", "007")
 
 
+@pytest.mark.parametrize("name", ["a b", "x=y", "p/q", "é", "{z}", "[w]", "50%", "a:b", "UP", "#h", "2013"])
+def test_any_target_name_comes_back(spark, root, name):
+    write_documents(json_documents(texts(spark, ['{"_index":"%s","_mapping":"%s","_id":1}' % (name, name)])), root)
+    row = read_index(spark, root, "es://_all").first()
+    assert (row["_index"], row["_type"]) == (name, name)
+    assert catalog.list_indices(spark, root) == [name]
+
+
 def test_conflicting_types_are_reported(spark, root):
     write_records(people(spark), root, "es://a/t")
     write_records(people(spark).withColumn("key", F.col("key").cast("string")), root, "es://b/t")
