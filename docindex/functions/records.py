@@ -57,7 +57,8 @@ def _has_collections(dtype: T.DataType) -> bool:
 
 
 def retyped(text: Column, schema: T.StructType | str) -> Column:
-    """A JSON document read with a declared schema and written back compacted."""
+    """A JSON document read with a declared schema and written back compacted;
+    null where the text is no document."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     parsed = F.from_json(text, struct)
     return F.when(is_document(members(text)), F.to_json(compact(parsed, struct), JSON_OPTIONS))
@@ -66,18 +67,33 @@ def retyped(text: Column, schema: T.StructType | str) -> Column:
 @F.pandas_udf(T.StringType())
 def compacted(text: pd.Series) -> pd.Series:
     """The same for documents of unknown shape: null members, nulls in lists,
-    empty lists and whole numbers beyond 64 bits are left out."""
+    empty lists and whole numbers beyond 64 bits are left out.
+    """
     return text.map(_compact_json, na_action="ignore")
 
 
 def _compact_json(line: str) -> str | None:
     try:
-        value = json.JSONDecoder().raw_decode(line.lstrip())[0]
+        value = _DECODER.raw_decode(line.lstrip())[0]
+        if not isinstance(value, dict):
+            return None
+        return json.dumps(_keep(value), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
     except ValueError:
         return None
-    if not isinstance(value, dict):
-        return None
-    return json.dumps(_keep(value), ensure_ascii=False, separators=(",", ":"))
+
+
+def _members_once(pairs: list[tuple]) -> dict:
+    found = dict(pairs)
+    if len(found) < len(pairs):
+        raise ValueError("a key occurs twice")
+    return found
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+_DECODER = json.JSONDecoder(object_pairs_hook=_members_once, parse_constant=_no_constant)
 
 
 def _keep(value):

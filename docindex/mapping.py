@@ -68,6 +68,18 @@ def _spec(dtype: T.DataType) -> dict | None:
     return next(({"type": n} for n, t in MAPPED_TYPES.items() if t == dtype), None)
 
 
+def merged(old: dict | None, new: dict) -> dict:
+    """An index's mapping after more fields came in; a field keeps its type."""
+    if old is None:
+        return new
+    fields = dict(properties(old))
+    for name, spec in properties(new).items():
+        known = fields.setdefault(name, spec)
+        if mapping_to_struct({name: known}) != mapping_to_struct({name: spec}):
+            raise ValueError(f"field {name!r} is mapped as {known}, not {spec}")
+    return {**old, **new, "properties": fields}
+
+
 def routing_path(mapping: dict) -> str | None:
     return mapping.get("_routing", {}).get("path")
 

@@ -176,7 +176,7 @@ def assigned_ids(spark, sf):
 
 
 @query("routing_shards", """
-SELECT CAST(o_custkey AS VARCHAR) AS routing, 1 AS shards, count(*) AS docs FROM orders GROUP BY 1""")
+SELECT CAST(o_custkey AS VARCHAR) AS routing, 1::BIGINT AS shards, count(*) AS docs FROM orders GROUP BY 1""")
 def routing_shards(spark, sf):
     """All documents of a routing value share a shard, though tasks are salted."""
     root = work_dir(spark, "index")
@@ -189,7 +189,7 @@ def routing_shards(spark, sf):
 
 
 @query("bulk_batches", """
-SELECT count(*) AS items, 0 AS over_size, 0 AS tasks_with_several_remainders FROM lineitem""")
+SELECT count(*) AS items, 0::BIGINT AS over_size, 0::BIGINT AS tasks_with_several_remainders FROM lineitem""")
 def bulk_batches(spark, sf):
     """Requests hold exactly 1000 documents, but for the last of each task."""
     rows = table(spark, sf, "lineitem").select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("_source"))
@@ -250,7 +250,7 @@ def restore_docs(spark, sf):
 
 
 @query("duplicate_docs", """
-SELECT event_id, CASE WHEN event_type = 'click' THEN 2 ELSE 1 END AS docs FROM events""")
+SELECT event_id, CAST(CASE WHEN event_type = 'click' THEN 2 ELSE 1 END AS BIGINT) AS docs FROM events""")
 def duplicate_docs(spark, sf):
     """A dump loaded again under fresh ids, next to the old documents."""
     root, path, _ = clicks_dump(spark, sf)
@@ -392,7 +392,7 @@ def dump_console(spark, sf):
 @query("write_metrics", """
 SELECT count(*) AS records, CAST(sum(octet_length(encode(
   '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}'
-))) AS BIGINT) AS bytes, 0 AS rejected FROM orders""")
+))) AS BIGINT) AS bytes, 0::BIGINT AS rejected FROM orders""")
 def write_metrics(spark, sf):
     """What a load reports: items, bytes and rejected rows."""
     root = work_dir(spark, "index")

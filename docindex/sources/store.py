@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from docindex.functions import records
 from docindex.locator import Locator
-from docindex.mapping import mapping_to_struct, routing_path, struct_to_mapping, typed_columns
+from docindex.mapping import mapping_to_struct, merged, routing_path, struct_to_mapping, typed_columns
+from docindex.operators.filters import compile_filter, query_string
 from docindex.sources import catalog
 
 # Target used where a JSON record names none.
@@ -104,10 +105,9 @@ def json_record_documents(
     shaped = df.where(text.isNotNull()).select(
         text.alias("_line"),
         (records.retyped(text, schema) if schema is not None else records.compacted(text)).alias("_json"),
-        records.is_document(records.members(text)).alias("_valid"),
     )
     doc_id, reason = _declared_id(None if id_field is None else records.field_of(F.col("_json"), id_field))
-    reason = F.when(~F.col("_valid"), F.lit("not a JSON object")).otherwise(reason)
+    reason = F.when(F.col("_json").isNull(), F.lit("not a JSON object")).otherwise(reason)
     return shaped.select(
         F.lit(index).alias("_index"), F.lit(doc_type).alias("_type"), doc_id.alias("_id"),
         _null().alias("_routing"),
@@ -254,6 +254,8 @@ def write_records(
     if "size" in loc.options:
         layout.setdefault("bulk_size", int(loc.option("size")))
     if mapping is not None:
+        if mode != "overwrite":
+            mapping = merged(catalog.get_mapping(spark, root, *loc.target), mapping)
         catalog.put_mapping(spark, root, *loc.target, mapping)
     target = loc.target if mode == "overwrite" else None
     return write_documents(docs, root, mapping=mapping, replace_target=target, **layout)
@@ -354,16 +356,16 @@ def read_index(
     ``query`` is a structured filter, ``q`` a free-text one (default: the
     locator's). ``versions=True`` also returns replaced documents.
     """
-    from docindex.operators.filters import compile_filter, query_string
-
     loc = Locator.of(locator)
     found = {s: p for s, p in catalog.segments(spark, root, loc).items() if s.kind != catalog.REJECTED}
-    typed = _typed_schema(spark, root, {(s.index, s.type) for s in found})
+    mappings = catalog.get_mappings(spark, root)
+    targets = {(s.index, s.type) for s in found}
+    typed = _typed_schema([mappings[t] for t in sorted(targets & mappings.keys())])
     docs = _scan(spark, root, typed, list(found.values())) if versions else _current(spark, root, typed, found)
     docs = docs.select(*DOCUMENT, *typed.names)
     q = q if q is not None else loc.option("q")
     if q not in ("", "*"):
-        docs = docs.where(query_string(q, _text_columns(typed)))
+        docs = docs.where(query_string(q, _text_columns(typed, targets <= mappings.keys())))
     if query is not None:
         docs = docs.where(compile_filter(query, docs.schema))
     if tasks is None and "tasks" in loc.options:
@@ -454,19 +456,20 @@ def _scan(spark: SparkSession, root: str, typed: T.StructType, paths: list[str])
     return spark.read.schema(schema).option("basePath", root).parquet(*sorted(paths))
 
 
-def _typed_schema(spark: SparkSession, root: str, targets: set[tuple[str, str]]) -> T.StructType:
+def _typed_schema(mappings: list[dict]) -> T.StructType:
     """Columns of all mappings in scope; one name must have one type."""
     fields: dict[str, T.StructField] = {}
-    for target, mapping in sorted(catalog.get_mappings(spark, root).items()):
-        for f in mapping_to_struct(mapping).fields if target in targets else []:
+    for mapping in mappings:
+        for f in mapping_to_struct(mapping).fields:
             if fields.setdefault(f.name, f).dataType != f.dataType:
                 raise ValueError(f"field {f.name!r} has several types in this scope; read the indices one by one")
     return T.StructType(list(fields.values()))
 
 
-def _text_columns(typed: T.StructType) -> list[Column]:
+def _text_columns(typed: T.StructType, all_mapped: bool) -> list[Column]:
+    """The mapped text fields; where documents without a mapping are in scope, all values."""
     names = [f.name for f in typed.fields if isinstance(f.dataType, T.StringType)]
-    if names:
+    if names and all_mapped:
         return [F.col(records._q(n)) for n in names]
     values = F.map_values(F.from_json("_source", "map<string,string>"))
     return [F.concat_ws(" ", values)]

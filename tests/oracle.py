@@ -14,6 +14,12 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -45,6 +51,13 @@ def compare(spark, con, fn, sql: str, sf_dir: str) -> str | None:
     want = rows_of(columns, answer.fetchall())
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    types = {d[0]: str(d[1]) for d in answer.description}
+    differ = [
+        f"{f.name}: {f.dataType.simpleString()} != {types[f.name]}"
+        for f in df.schema.fields if SQL_TYPES.get(f.dataType.simpleString()) != types[f.name]
+    ]
+    if differ:
+        return ", ".join(differ)
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}; {got[:2]} {want[:2]}"
     for a, b in zip(got, want):

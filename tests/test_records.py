@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docindex.functions import records, times
 from docindex.functions.text import has_any_word, has_word, query_words, tokens
-from docindex.mapping import mapping_to_struct, routing_path, struct_to_mapping, typed_view
+from docindex.mapping import mapping_to_struct, merged, routing_path, struct_to_mapping, typed_view
 from docindex.sources.store import json_documents, json_record_documents, record_documents
 
 
@@ -30,6 +30,11 @@ CASES = [
     ("[1]", None),
     ("", None),
     (None, None),
+    ('{"a":1,"a":2}', None),
+    ('{"c":{"k":1,"k":2}}', None),
+    ('{"a":NaN}', None),
+    ('{"a":1e400}', None),
+    ('{"a":1} trailing', {"a": 1}),
 ]
 
 
@@ -163,6 +168,15 @@ def test_mapping_view(spark):
         (5, "m", "2013-02-05T08:00:00Z", 1.5), (7, None, "2013-02-05T08:00:00Z", None), (None, None, None, None)]
 
 
+def test_mappings_grow_but_keep_their_types():
+    old = {"dynamic": False, "properties": {"a": {"type": "long"}}}
+    new = {"properties": {"a": {"type": "long"}, "b": {"type": "string"}}}
+    assert merged(old, new) == {"dynamic": False, "properties": new["properties"]}
+    assert merged(None, new) is new
+    with pytest.raises(ValueError):
+        merged(old, {"properties": {"a": {"type": "string"}}})
+
+
 def test_mapping_round_trip():
     struct = mapping_to_struct(MAPPING)
     assert struct["metric"].metadata == {"analyzed": False, "indexed": True, "stored": False}

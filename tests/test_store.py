@@ -164,6 +164,23 @@ def test_conflicting_types_are_reported(spark, root):
     assert read_index(spark, root, "es://b").count() == 3
 
 
+def test_a_later_write_adds_fields(spark, root):
+    write_records(people(spark), root, "es://p/row", id_field="key")
+    more = spark.createDataFrame([(4, "text")], "key int, extra string")
+    write_records(more, root, "es://p/row", id_field="key")
+    rows = {r["key"]: (r["name"], r["extra"]) for r in read_index(spark, root, "es://p/row").collect()}
+    assert rows == {1: ("a", None), 2: ("b", None), 3: (None, None), 4: (None, "text")}
+    with pytest.raises(ValueError):
+        write_records(more.withColumn("extra", F.lit(1)), root, "es://p/row")
+
+
+def test_free_text_over_mapped_and_raw_documents(spark, root):
+    write_records(spark.createDataFrame([("an alien",), ("no",)], "note string"), root, "es://m/row")
+    write_documents(json_documents(texts(spark, ['{"t":"alien ship"}', '{"t":"x"}']), "es://r/row"), root)
+    assert load(spark, root, "es://m,r?q=alien").count() == 2
+    assert load(spark, root, "es://m?q=alien").count() == 1
+
+
 def test_free_text_over_raw_documents(spark, root):
     lines = ['{"t":"An Alien ship"}', '{"t":"aliens","alien":1}', '{"n":{"d":"alien"}}']
     write_documents(json_documents(texts(spark, lines), "es://ufo/s"), root)
