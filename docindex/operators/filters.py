@@ -6,6 +6,7 @@ columns. A field is a column name; list columns match on any of their values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -78,22 +79,22 @@ def none_of(*filters: Column) -> Column:
     return ~F.coalesce(all_of(*filters), F.lit(False))
 
 
-def match(field: str, text: str) -> Column:
+def match(field: str | Column, text: str) -> Column:
     """Analysed match: any word of ``text`` occurs in the field."""
-    return has_any_word(F.col(field), query_words(text))
+    return has_any_word(F.col(field) if isinstance(field, str) else field, query_words(text))
 
 
-def query_string(query: str, text_fields: list[Column]) -> Column:
+def query_string(query: str, text_fields: list[Column], field_of: Callable[[str], Column] = F.col) -> Column:
     """Free text over all text fields, or over one field as ``field:words``.
 
-    ``*`` and the empty query match everything.
+    ``*`` and the empty query match everything. ``field_of`` finds a named field.
     """
     query = query.strip()
     if query in ("", "*"):
         return match_all()
     field, colon, rest = query.partition(":")
     if colon and field.isidentifier():
-        return match_all() if rest.strip() == "*" else match(field, rest)
+        return match_all() if rest.strip() == "*" else match(field_of(field), rest)
     return has_any_word(F.concat_ws(" ", *text_fields), query_words(query))
 
 

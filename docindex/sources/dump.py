@@ -62,7 +62,7 @@ def restore(
     if mapping_path is not None:
         mapping = catalog.load_mapping(spark, mapping_path)
     return _insert(spark, json_documents(
-        read_dump(spark, path), locator, index_field="", type_field="_type", id_fields=("_id", "id"),
+        read_dump(spark, path), locator, index_field=None, type_field="_type", id_fields=("_id", "id"),
     ), root, locator, mapping)
 
 
@@ -72,7 +72,7 @@ def duplicate(
     """Load a dump without its ids, so every document is added under a new one."""
     fresh = read_dump(spark, path).select(F.coalesce(drop_keys(F.col("value"), "_id", "id"), F.col("value")).alias("value"))
     return _insert(spark, json_documents(
-        fresh, locator, index_field="", type_field="_type", id_fields=(),
+        fresh, locator, index_field=None, type_field="_type", id_fields=(),
     ), root, locator, mapping)
 
 

@@ -120,30 +120,35 @@ def json_documents(
     df: DataFrame,
     locator: Locator | str | None = None,
     column: str | None = None,
-    index_field: str = "_index",
-    type_field: str = "_mapping",
+    index_field: str | None = "_index",
+    type_field: str | None = "_mapping",
     id_fields: tuple[str, ...] = ("_id",),
-    routing_field: str = "_routing",
+    routing_field: str | None = "_routing",
 ) -> DataFrame:
     """A column of JSON texts as documents; each may name its own target, id and routing.
 
-    The text is stored unchanged. What is no JSON object is rejected.
+    A field given as None is not looked for. The text is stored unchanged. What
+    is no JSON object is rejected.
     """
     index, doc_type = (DEFAULT_INDEX, DEFAULT_TYPE) if locator is None else Locator.of(locator).target
     text = F.col(records._q(column or df.columns[0]))
     m = F.col("_m")
     parsed = df.select(text.alias("_source"), records.members(text).alias("_m")).select(
         "_source", "_m", records.is_document(m).alias("_valid"))
-    target = F.when(F.col("_valid"), records.member_or(m, index_field, F.lit(index))).otherwise(F.lit(index))
-    kind = F.when(F.col("_valid"), records.member_or(m, type_field, F.lit(doc_type))).otherwise(F.lit(doc_type))
-    doc_id = reduce(lambda rest, name: records.member_or(m, name, rest), reversed(id_fields), _null())
+
+    def member(name: str | None, default: Column) -> Column:
+        return default if name is None else records.member_or(m, name, default)
+
+    target = F.when(F.col("_valid"), member(index_field, F.lit(index))).otherwise(F.lit(index))
+    kind = F.when(F.col("_valid"), member(type_field, F.lit(doc_type))).otherwise(F.lit(doc_type))
+    doc_id = reduce(lambda rest, name: member(name, rest), reversed(id_fields), _null())
     blank = (F.trim(target) == "") | (F.trim(kind) == "")
     reason = F.when(~F.col("_valid"), F.lit("not a JSON object")).when(blank, F.lit("blank target"))
     return parsed.select(
         F.when(blank, F.lit(index)).otherwise(target).alias("_index"),
         F.when(blank, F.lit(doc_type)).otherwise(kind).alias("_type"),
         doc_id.alias("_id"),
-        records.member_or(m, routing_field, _null()).alias("_routing"),
+        member(routing_field, _null()).alias("_routing"),
         F.col("_source"),
         reason.alias("_reason"),
     )
@@ -247,7 +252,6 @@ def write_records(
     if loc.option("json") == "true":
         docs = json_record_documents(df, loc, id_field=id_field)
     else:
-        routing_field = routing_field or (routing_path(mapping) if mapping else None)
         docs = record_documents(df, loc, id_field, id_pos, as_text, routing_field)
         if mapping is None and not as_text:
             mapping = struct_to_mapping(df.schema)
@@ -299,8 +303,11 @@ def _numbered(docs: DataFrame, batch: int, write: str, mapping: dict | None) ->
             (F.col(records._q(f.name)).cast(f.dataType) if f.name in have else parsed[f.name]).alias(f.name)
             for f in struct.fields
         ]
+    routing, path = F.col("_routing"), routing_path(mapping or {})
+    if path is not None:
+        routing = F.coalesce(routing, records.field_of(F.col("_source"), path))
     return rows.select(
-        F.coalesce("_id", digest).alias("_id"), "_routing", F.lit(None).cast("int").alias("_shard"), "_seq",
+        F.coalesce("_id", digest).alias("_id"), routing.alias("_routing"), F.lit(None).cast("int").alias("_shard"), "_seq",
         "_source", "_reason", *typed,
         "_index", "_type", kind.alias("_kind"), F.lit(batch).cast("long").alias("_batch"),
     )
@@ -345,7 +352,7 @@ def export_bulk(docs: DataFrame, path: str, bulk_size: int = 1000) -> None:
 def read_index(
     spark: SparkSession,
     root: str,
-    locator: Locator | str,
+    locator: Locator | str = f"es://{DEFAULT_INDEX}/{DEFAULT_TYPE}",
     query: dict | None = None,
     q: str | None = None,
     tasks: int | None = None,
@@ -365,7 +372,8 @@ def read_index(
     docs = docs.select(*DOCUMENT, *typed.names)
     q = q if q is not None else loc.option("q")
     if q not in ("", "*"):
-        docs = docs.where(query_string(q, _text_columns(typed, targets <= mappings.keys())))
+        texts = _text_columns(typed, targets <= mappings.keys())
+        docs = docs.where(query_string(q, texts, lambda name: _field(typed, name)))
     if query is not None:
         docs = docs.where(compile_filter(query, docs.schema))
     if tasks is None and "tasks" in loc.options:
@@ -473,3 +481,8 @@ def _text_columns(typed: T.StructType, all_mapped: bool) -> list[Column]:
         return [F.col(records._q(n)) for n in names]
     values = F.map_values(F.from_json("_source", "map<string,string>"))
     return [F.concat_ws(" ", values)]
+
+
+def _field(typed: T.StructType, name: str) -> Column:
+    """A mapped field's column, or the member of the raw document."""
+    return F.col(records._q(name)) if name in typed.names else records.field_of(F.col("_source"), name)

@@ -174,6 +174,22 @@ def test_a_later_write_adds_fields(spark, root):
         write_records(more.withColumn("extra", F.lit(1)), root, "es://p/row")
 
 
+def test_one_field_of_raw_documents(spark, root):
+    lines = ['{"t":"An Alien ship","u":"x"}', '{"t":"ship","u":"alien"}']
+    write_documents(json_documents(texts(spark, lines)), root)
+    assert [r["_source"] for r in read_index(spark, root, q="t:alien").collect()] == lines[:1]
+    assert read_index(spark, root, q="t:*").count() == 2
+
+
+def test_routing_path_of_a_mapping(spark, root):
+    mapping = {"_routing": {"path": "flight"}, "properties": {"n": {"type": "long"}}}
+    lines = ['{"flight":7,"n":1}', '{"flight":7,"n":2,"_routing":"own"}', '{"n":3}']
+    write_documents(json_documents(texts(spark, lines)), root, mapping=mapping, shards=8)
+    catalog.put_mapping(spark, root, "hadoop", "streaming_record", mapping)
+    got = {r["n"]: r["_routing"] for r in read_index(spark, root).collect()}
+    assert got == {1: "7", 2: "own", 3: None}
+
+
 def test_free_text_over_mapped_and_raw_documents(spark, root):
     write_records(spark.createDataFrame([("an alien",), ("no",)], "note string"), root, "es://m/row")
     write_documents(json_documents(texts(spark, ['{"t":"alien ship"}', '{"t":"x"}']), "es://r/row"), root)
