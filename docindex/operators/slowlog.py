@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docindex.functions.records import fragment
+from docindex.operators.facets import LONG_NUMBERS, VALUE_NUMBERS, facet_request
 from docindex.operators.filters import compile_filter
 from docindex.workspace import work_dir
 
@@ -102,21 +103,63 @@ def replay(parsed: DataFrame, open_index: Callable[[str], DataFrame]) -> DataFra
     Requests come to the driver a few at a time; those on one index are counted
     together in one pass over it, and each pass adds to a table.
     """
+
+    def hits(docs: DataFrame, bodies: list[str]) -> DataFrame:
+        tests = [compile_filter(_query(json.loads(b)), docs.schema) for b in bodies]
+        counts = docs.agg(F.array(*[F.count_if(t) for t in tests]).alias("hits"))
+        rows = F.arrays_zip(F.array(*[F.lit(b) for b in bodies]).alias("query"), F.col("hits"))
+        return counts.select(F.inline(rows).alias("query", "hits"))
+
+    return _replayed(parsed, open_index, hits, "query string, hits long")
+
+
+def replay_facets(parsed: DataFrame, open_index: Callable[[str], DataFrame]) -> DataFrame:
+    """The facets of every distinct logged request, beside how long it ran in the log.
+
+    One row per facet term. The requests of a pass become filtered facets of one
+    request, so they too share a scan.
+    """
+
+    def facets(docs: DataFrame, bodies: list[str]) -> DataFrame:
+        asked, names = {}, []
+        for i, body in enumerate(map(json.loads, bodies)):
+            for name, spec in body.get("facets", {}).items():
+                own = [spec["facet_filter"]] if "facet_filter" in spec else []
+                asked[f"{i}|{name}"] = {**spec, "facet_filter": {"and": [_query(body), *own]}}
+                names += [F.lit(f"{i}|{name}"), F.struct(F.lit(bodies[i]).alias("query"), F.lit(name).alias("facet"))]
+        if not asked:
+            return docs.sparkSession.createDataFrame([], schema)
+        answer = facet_request(docs, asked).withColumn("_asked", F.element_at(F.create_map(*names), F.col("facet")))
+        numbers = [F.col(c).cast("double").alias(c) for c in VALUE_NUMBERS]
+        return answer.select("_asked.query", "_asked.facet", "term", *LONG_NUMBERS, *numbers)
+
+    schema = "query string, facet string, term string, " + ", ".join(
+        [f"{c} long" for c in LONG_NUMBERS] + [f"{c} double" for c in VALUE_NUMBERS])
+    return _replayed(parsed, open_index, facets, schema)
+
+
+def _query(body: dict) -> dict:
+    return body.get("query", {"match_all": {}})
+
+
+def _replayed(
+    parsed: DataFrame,
+    open_index: Callable[[str], DataFrame],
+    answer: Callable[[DataFrame, list[str]], DataFrame],
+    schema: str,
+) -> DataFrame:
+    """Answers of all comparable requests, pass by pass, joined to their log figures."""
     spark = parsed.sparkSession
     logged = classify(parsed).where("status = 'ok'").groupBy("index", "query").agg(
         F.count("*").alias("logged"), F.sum("took_millis").alias("logged_millis"))
-    path = work_dir(spark, "replay")
-    schema = "index string, query string, hits long"
+    path, schema = work_dir(spark, "replay"), "index string, " + schema
     spark.createDataFrame([], schema).write.parquet(path)
     for index, bodies in _passes(logged.select("index", "query").orderBy("index", "query")):
-        docs = open_index(index)
-        tests = [compile_filter(json.loads(b).get("query", {"match_all": {}}), docs.schema) for b in bodies]
-        counts = docs.agg(F.array(*[F.count_if(t) for t in tests]).alias("hits"))
-        rows = F.arrays_zip(F.array(*[F.lit(b) for b in bodies]).alias("query"), F.col("hits"))
-        counts.select(F.inline(rows).alias("query", "hits")).select(
-            F.lit(index).alias("index"), "query", "hits").write.mode("append").parquet(path)
-    hits = spark.read.schema(schema).parquet(path)
-    return logged.join(hits, ["index", "query"]).select("index", "query", "logged", "logged_millis", "hits")
+        rows = answer(open_index(index), bodies)
+        rows.select(F.lit(index).alias("index"), "*").write.mode("append").parquet(path)
+    answers = spark.read.schema(schema).parquet(path)
+    found = [c for c in answers.columns if c not in ("index", "query")]
+    return logged.join(answers, ["index", "query"]).select("index", "query", "logged", "logged_millis", *found)
 
 
 def _passes(requests: DataFrame) -> Iterator[tuple[str, list[str]]]:

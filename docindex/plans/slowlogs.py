@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docindex.operators import slowlog
-from docindex.plans.common import Registry, table
+from docindex.plans.common import Registry, events, table
 from docindex.sources.files import read_report, read_slowlog, write_report
 from docindex.workspace import work_dir
 
@@ -21,11 +21,11 @@ CASE WHEN event_id % 5 = 0 THEN 'COUNT' ELSE 'QUERY_THEN_FETCH' END AS search_ty
 LOG = f"(SELECT {FIELDS} FROM events WHERE event_id % 11 <> 10)"
 
 
-def log_lines(spark, sf):
+def log_lines(spark, sf, day=F.date_format):
     """A log file: mostly queries, with other lines and unreadable ones among them."""
     body = F.concat(
         F.lit('{"query":{"constant_score":{"filter":{"and":{"filters":[{"term":{"event_type":"'), "event_type",
-        F.lit('"}},{"range":{"ts":{"gte":"'), F.date_format("ts", "yyyy-MM-dd"),
+        F.lit('"}},{"range":{"ts":{"gte":"'), day("ts", "yyyy-MM-dd"),
         F.lit('"}}}]}}}},"facets":{"c":{"statistical":{"field":"value"}}}}'))
     millis = F.col("user_id") * 37 + F.col("event_id") % 1000
     line = F.concat(
@@ -40,9 +40,9 @@ def log_lines(spark, sf):
     return table(spark, sf, "events").select(F.explode(F.array(line, other, F.lit(""))).alias("value"))
 
 
-def parsed_log(spark, sf):
+def parsed_log(spark, sf, **body):
     path = work_dir(spark, "slowlog")
-    log_lines(spark, sf).write.text(path)
+    log_lines(spark, sf, **body).write.text(path)
     return slowlog.parse(read_slowlog(spark, path))
 
 
@@ -104,3 +104,19 @@ def slowlog_replay(spark, sf):
     log = slowlog.usable(parsed_log(spark, sf))
     docs = table(spark, sf, "events")
     return slowlog.replay(log, lambda index: docs)
+
+
+@query("slowlog_replay_facets", f"""
+WITH q AS (SELECT "index", regexp_replace(query, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', '2024-01-01') AS query,
+  took_millis, split_part("index", '_count', 1) AS t FROM {LOG} WHERE search_type = 'QUERY_THEN_FETCH'),
+l AS (SELECT "index", query, t, count(*) AS logged, CAST(sum(took_millis) AS BIGINT) AS logged_millis FROM q GROUP BY ALL)
+SELECT "index", query, logged, logged_millis, 'c' AS facet,
+  (SELECT count(*) FROM events WHERE event_type = t AND ts >= TIMESTAMP '2024-01-01') AS count,
+  (SELECT CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) FROM events
+   WHERE event_type = t AND ts >= TIMESTAMP '2024-01-01') AS total FROM l""")
+def slowlog_replay_facets(spark, sf):
+    """The facets of every distinct comparable request, all requests on one day's range."""
+    log = slowlog.usable(parsed_log(spark, sf, day=lambda ts, form: F.lit("2024-01-01")))
+    docs = events(spark, sf)
+    return slowlog.replay_facets(log, lambda index: docs).select(
+        "index", "query", "logged", "logged_millis", "facet", "count", "total")

@@ -338,6 +338,24 @@ def test_replay_in_several_passes(spark, monkeypatch):
     assert hits == {(i, k): ((20 if i == "i1" else int(k < 3)), k + 1) for i in ("i1", "i2") for k in range(5)}
 
 
+def test_replayed_facets_match_single_searches(spark, monkeypatch):
+    monkeypatch.setattr(slowlog, "REPLAY_PASS", 3)
+    docs = spark.range(300).select((F.col("id") % 5).alias("k"), (F.col("id") % 7).alias("g"), F.col("id").alias("v"))
+    bodies = [{"query": {"term": {"k": k}}, "facets": {
+        "t": {"terms": {"field": "g", "size": 3}, "facet_filter": {"range": {"v": {"gte": 50}}}},
+        "s": {"statistical": {"field": "v"}},
+    }} for k in (0, 1, 2, 9)] + [{"query": {"match_all": {}}}]
+    lines = [LINE.replace('{"query":{"term":{"a":[1]}}}', json.dumps(b)) for b in bodies]
+    parsed = slowlog.parse(spark.createDataFrame([(x,) for x in lines], "value string"))
+    got = {}
+    for r in slowlog.replay_facets(parsed, lambda index: docs).collect():
+        got.setdefault(r["query"], set()).add((r["facet"], r["term"], r["count"], r["total"]))
+    for body in bodies[:4]:
+        alone = search(docs, {**body, "size": 0}).facets.collect()
+        assert got.pop(json.dumps(body)) == {(r["facet"], r["term"], r["count"], r["total"]) for r in alone}
+    assert not got
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.integers(-50, 50)), max_size=30))
 def test_statistics_match_plain_arithmetic(spark, values):

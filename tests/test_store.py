@@ -1,4 +1,8 @@
+import json
+import uuid
+
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from docindex import flow
@@ -102,6 +106,29 @@ def test_a_lower_batch_number_does_not_win(spark, root):
     assert {r["name"] for r in read_index(spark, root, "es://p/row").collect()} == {"a", "b", None}
 
 
+WRITE = st.tuples(st.booleans(), st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), max_size=4))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(WRITE, min_size=1, max_size=4))
+def test_any_history_of_writes_reads_as_the_plain_model(spark, tmp_path, history):
+    root = str(tmp_path / uuid.uuid4().hex)
+    by_id, without = {}, []
+    for compact_first, docs in history:
+        if compact_first and catalog.segments(spark, root):
+            compact(spark, root, root + "c")
+            root += "c"
+        lines = [json.dumps({"_id": i, "v": v} if i is not None else {"v": v}) for i, v in docs]
+        write_documents(json_documents(texts(spark, lines), "es://i/t"), root)
+        for (i, _), line in zip(docs, lines):
+            if i is None:
+                without.append(line)
+            else:
+                by_id[i] = line
+    got = [r["_source"] for r in read_index(spark, root, "es://i/t").collect()]
+    assert sorted(got) == sorted([*by_id.values(), *without])
+
+
 def test_modes(spark, root):
     write_records(people(spark), root, "es://p/row", mode="errorifexists")
     with pytest.raises(FileExistsError):
