@@ -35,7 +35,7 @@ SELECT 'ev-' || strftime(ts, '%Y%m%d') AS index_name, count(*) AS docs FROM even
 UNION ALL SELECT 'ord', count(*) FROM orders""")
 def docs_per_index(spark, sf):
     root = work_dir(spark, "index")
-    write_documents(json_documents(daily_events(spark, sf)), root)
+    write_documents(json_documents(daily_events(spark, sf)), root, rebalance=True)
     write_records(table(spark, sf, "orders"), root, "es://ord/order")
     return profile.doc_counts(read_index(spark, root, "es://_all")).withColumnRenamed("_index", "index_name")
 
@@ -126,7 +126,7 @@ def mean_of_one_run(spark, sf):
 
 def two_indices(spark, sf):
     root = work_dir(spark, "index")
-    write_documents(json_documents(daily_events(spark, sf)), root)
+    write_documents(json_documents(daily_events(spark, sf)), root, rebalance=True)
     write_records(table(spark, sf, "orders"), root, "es://ord/order")
     write_records(table(spark, sf, "customer"), root, "es://ord/customer")
     return root

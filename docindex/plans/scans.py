@@ -74,7 +74,7 @@ UNION ALL SELECT 'ord', 'order', CAST(o_orderkey AS VARCHAR) FROM orders""")
 def scan_multi_index(spark, sf):
     """Several indices and types at once, by list and by name prefix."""
     root = work_dir(spark, "index")
-    write_documents(json_documents(daily_events(spark, sf)), root)
+    write_documents(json_documents(daily_events(spark, sf)), root, rebalance=True)
     write_records(table(spark, sf, "orders"), root, "es://ord/order", id_field="o_orderkey")
     return read_index(spark, root, "es://ev-*,ord/event,order").select(
         F.col("_index").alias("index_name"), F.col("_type").alias("type_name"), F.col("_id").alias("doc_id"))
@@ -86,7 +86,7 @@ WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1"""
 def scan_index_family(spark, sf):
     """The daily indices of one date prefix; only their directories are read."""
     root = work_dir(spark, "index")
-    write_documents(json_documents(daily_events(spark, sf)), root)
+    write_documents(json_documents(daily_events(spark, sf)), root, rebalance=True)
     docs = read_index(spark, root, "es://ev-2024011*")
     return docs.groupBy(F.col("_index").alias("index_name")).agg(F.count("*").alias("docs"))
 

@@ -187,7 +187,8 @@ def write_documents(
 
     ``shards``     place rows by routing value; ``salt`` spreads one busy routing
                    value over several tasks without changing its shard number
-    ``rebalance``  one shuffle by target, split and merged by size, for few large files
+    ``rebalance``  one shuffle by target, split and merged by size, for few large
+                   files; without it each task writes a file per target it meets
     ``bulk_size``  at most this many documents per file
     ``replace_batch``  a repeated batch replaces its earlier attempt
     ``replace_target`` the one (index, type) of all documents, whose earlier ones go;
@@ -403,11 +404,12 @@ def _current(
     if once or not found:
         frames.append(_scan(spark, root, typed, once))
     if newer:
-        changed = latest(_scan(spark, root, typed, newer))
+        later = _scan(spark, root, typed, newer)
         if older:
             ids = ["_index", "_type", "_id"]
-            frames.append(_scan(spark, root, typed, older).join(changed.select(*ids), ids, "left_anti"))
-        frames.append(changed)
+            replaced = later.select(*ids).distinct()
+            frames.append(_scan(spark, root, typed, older).join(replaced, ids, "left_anti"))
+        frames.append(latest(later))
     return reduce(DataFrame.unionByName, frames)
 
 
