@@ -7,6 +7,7 @@ columns. A field is a column name; list columns match on any of their values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -168,9 +169,49 @@ def _field_type(schema: T.StructType | None, field: str) -> T.DataType | None:
 
 
 def _literal(value, dtype: T.DataType | None) -> Column:
-    """The value in the field's type, so that no cast stands on the column's side."""
+    """The value in the field's type, so that no cast stands on the column's side.
+
+    A number that the type cannot hold exactly keeps its own type; a text that
+    is no number equals nothing in a number field.
+    """
     if dtype is None:
         return F.lit(value)
     if is_time(dtype):
         return instant(value, dtype)
+    if isinstance(dtype, T.NumericType) and not isinstance(value, bool):
+        number = _number(value)
+        if number is None:
+            return F.lit(None).cast(dtype)
+        return F.lit(number).cast(dtype) if _holds(dtype, number) else _wide(number)
     return F.lit(value).try_cast(dtype)
+
+
+def _number(value) -> Decimal | None:
+    try:
+        number = Decimal(str(value))
+    except InvalidOperation:
+        return None
+    return number if number.is_finite() else None
+
+
+def _wide(number: Decimal) -> Column:
+    """A number outside the field's type. It is cast from text, because a bare
+    decimal literal beyond a whole-number field makes Spark drop the null test."""
+    scale = max(0, -number.as_tuple().exponent)
+    if max(number.adjusted() + 1, 0) + scale > 38:
+        return F.lit(float(number))
+    return F.lit(format(number, "f")).cast(T.DecimalType(38, scale))
+
+
+# Bits of the whole-number types.
+INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _holds(dtype: T.NumericType, number: Decimal) -> bool:
+    bits = INTEGER_BITS.get(type(dtype))
+    if bits is not None:
+        return number == number.to_integral_value() and -(2 ** (bits - 1)) <= number < 2 ** (bits - 1)
+    if isinstance(dtype, T.DecimalType):
+        scaled = number.scaleb(dtype.scale)
+        return scaled == scaled.to_integral_value() and abs(scaled) < Decimal(10) ** dtype.precision
+    return True

@@ -109,6 +109,26 @@ def test_filters(docs, body, ids):
     assert sorted(r["id"] for r in kept.collect()) == ids
 
 
+@pytest.mark.parametrize("dtype", ["int", "bigint", "decimal(8,2)", "double", "float", "smallint"])
+@pytest.mark.parametrize("bounds", [
+    {"gte": 4.5}, {"lt": 5.5}, {"lte": 4.999}, {"gt": 5}, {"lt": 10**12}, {"gt": -(10**12)}, {"gte": "5"}, {"lt": "5.5"},
+    {"lt": 1e30}, {"gte": 5.001},
+])
+def test_bounds_are_not_rounded(spark, dtype, bounds):
+    df = spark.createDataFrame([(3,), (4,), (5,), (6,), (None,)], "n int").select(F.col("n").cast(dtype).alias("n"))
+    (how, bound), = bounds.items()
+    holds = {"gte": lambda x: x >= float(bound), "gt": lambda x: x > float(bound),
+             "lte": lambda x: x <= float(bound), "lt": lambda x: x < float(bound)}[how]
+    kept = df.where(filters.compile_filter({"range": {"n": bounds}}, df.schema))
+    assert sorted(int(r["n"]) for r in kept.collect()) == [x for x in (3, 4, 5, 6) if holds(x)]
+
+
+def test_a_fraction_equals_no_whole_number(docs):
+    for value, ids in ((5.5, []), (5.0, [1, 4]), ("5.0", [1, 4]), (10**30, []), (float("nan"), [])):
+        kept = docs.where(filters.compile_filter({"term": {"n": value}}, docs.schema))
+        assert sorted(r["id"] for r in kept.collect()) == ids
+
+
 @pytest.mark.parametrize("body", [{}, {"a": 1, "b": 2}, {"fuzzy": {"x": 1}}, {"term": {"absent": 1}}])
 def test_unknown_filters_are_reported(docs, body):
     with pytest.raises(ValueError):
