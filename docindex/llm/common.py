@@ -88,3 +88,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+class Codes(dict):
+    """Numbers strings in order of their first appearance and remembers the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        self.new.append(key)
+        return code
+
+    def fresh(self) -> list[str]:
+        new, self.new = self.new, []
+        return new
+
+
+class Ragged:
+    """Rows of different lengths in one growing array, fetched many at a time."""
+
+    def __init__(self, kind: type) -> None:
+        self.values, self.borders = np.empty(0, kind), np.zeros(1, np.int64)
+
+    def extend(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        self.values = np.concatenate([self.values, values.astype(self.values.dtype)])
+        self.borders = np.concatenate([self.borders, self.borders[-1] + np.cumsum(lengths, dtype=np.int64)])
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' values one after the other, and the rows' lengths.
+
+        >>> r = Ragged(int); r.extend(np.array([7, 8, 9]), np.array([2, 0, 1]))
+        >>> [x.tolist() for x in r.take(np.array([2, 0, 1]))]
+        [[9, 7, 8], [1, 2, 0]]
+        """
+        starts = self.borders[rows]
+        lengths = self.borders[rows + 1] - starts
+        ends = np.cumsum(lengths)
+        place = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return self.values[place], lengths
+
+
+def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``; a run may be empty."""
+    total = np.concatenate([np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]

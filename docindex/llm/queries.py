@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docindex.llm.exact_dedup import exact_groups
+from docindex.llm.token_files import token_index
 from docindex.plans.common import Registry, table
 
 REGISTRY = Registry()
@@ -24,3 +25,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 @REGISTRY.add("op8_exact_dedup", EXACT_SQL)
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@REGISTRY.add("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(table(spark, sf_dir, "documents"))
