@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docindex.llm.exact_dedup import exact_groups
+from docindex.llm.pieces import round_trip
 from docindex.llm.token_files import token_index
 from docindex.plans.common import Registry, table
 
@@ -30,3 +31,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(table(spark, sf_dir, "documents"))
+
+
+@REGISTRY.add("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
