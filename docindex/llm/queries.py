@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docindex.llm.decontaminate import contamination
 from docindex.llm.exact_dedup import exact_groups
 from docindex.llm.pieces import round_trip
 from docindex.llm.token_files import token_index
@@ -36,3 +37,38 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
+
+
+# Words, windows of thirteen (or a shorter item whole), and the words that equal windows cover.
+CONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), h AS (
+  SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.k = bw.k
+), c AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS word FROM h) GROUP BY doc_id
+), l AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
+
+@REGISTRY.add("op6_decontamination", CONTAMINATION_SQL)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
