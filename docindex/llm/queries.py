@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docindex.llm.decontaminate import contamination
 from docindex.llm.exact_dedup import exact_groups
+from docindex.llm.language import languages
 from docindex.llm.pieces import round_trip
+from docindex.llm.quality import quality
 from docindex.llm.token_files import token_index
 from docindex.plans.common import Registry, table
 
@@ -72,3 +74,13 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)
 @REGISTRY.add("op6_decontamination", CONTAMINATION_SQL)
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@REGISTRY.add("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+@REGISTRY.add("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
