@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docindex.llm.chat import chats
 from docindex.llm.decontaminate import contamination
 from docindex.llm.exact_dedup import exact_groups
 from docindex.llm.language import languages
+from docindex.llm.pages import extract
 from docindex.llm.pieces import round_trip
 from docindex.llm.quality import quality
 from docindex.llm.token_files import token_index
@@ -84,3 +86,31 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@REGISTRY.add("op7_html_extraction")
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+CHATS_SQL = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), c AS (
+  SELECT conv_id, count(*) AS n_turns, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM t GROUP BY conv_id
+), p AS (
+  SELECT conv_id, n_turns, md5(CAST(turns[1:k] AS VARCHAR)) AS prefix
+  FROM (SELECT *, unnest(generate_series(1, n_turns)) AS k FROM c)
+)
+SELECT conv_id, n_turns, array_to_string(list_transform(turns, lambda x:
+  '<|im_start|>' || x.role || chr(10) || replace(x.text, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
+FROM c WHERE NOT EXISTS (
+  SELECT 1 FROM p WHERE p.prefix = md5(CAST(c.turns AS VARCHAR))
+  AND (p.n_turns > c.n_turns OR (p.n_turns = c.n_turns AND p.conv_id < c.conv_id)))
+"""
+
+
+@REGISTRY.add("op3_chat_format", CHATS_SQL)
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats(table(spark, sf_dir, "conversations"))
