@@ -8,6 +8,7 @@ from docindex.llm.chat import chats
 from docindex.llm.decontaminate import contamination
 from docindex.llm.exact_dedup import exact_groups
 from docindex.llm.language import languages
+from docindex.llm.near_dedup import near_classes
 from docindex.llm.pages import extract
 from docindex.llm.pieces import round_trip
 from docindex.llm.quality import quality
@@ -114,3 +115,8 @@ FROM c WHERE NOT EXISTS (
 @REGISTRY.add("op3_chat_format", CHATS_SQL)
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats(table(spark, sf_dir, "conversations"))
+
+
+@REGISTRY.add("op4_near_dedup")
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
