@@ -12,6 +12,7 @@ from docindex.llm.near_dedup import near_classes
 from docindex.llm.pages import extract
 from docindex.llm.pieces import round_trip
 from docindex.llm.quality import quality
+from docindex.llm.suffix_dedup import cleaned
 from docindex.llm.token_files import token_index
 from docindex.plans.common import Registry, table
 
@@ -120,3 +121,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op4_near_dedup")
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
+
+
+@REGISTRY.add("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaned(table(spark, sf_dir, "documents"))
