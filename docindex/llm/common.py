@@ -46,6 +46,31 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, n: int) -> list[str]:
+    """Column names that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return [name for name in (f"_{k}" for k in range(len(taken) + n)) if name not in taken][:n]
+
+
+def text_hash() -> Column:
+    """Tells rows of one id apart; a null text is empty."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs`` whose id and text stand in ``chosen`` (doc_id, text_print), or the others."""
+    a, b = unused(docs, 2)
+    side = chosen.select(F.col("doc_id").alias(a), F.col("text_print").alias(b))
+    return docs.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col(a)) & (text_hash() == F.col(b)), how)
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """One row for each id and text."""
+    (a,) = unused(docs, 1)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.groupBy("doc_id", text_hash().alias(a)).agg(F.first(row).alias("row")).select("row.*")
+
+
 def bucket(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo ``parts``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docindex.llm.common import id_and_text
+from docindex.llm.common import id_and_text, rows_of, text_hash
 from docindex.workspace import materialise
 
 WINDOW = 13
@@ -125,7 +125,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select("item_id", words(F.coalesce("text", F.lit(""))).alias("words")).where(F.size("words") > 0)
     short = sorted(r[0] for r in items.select(F.size("words")).distinct().where(f"size(words) < {WINDOW}").collect())
     spans = [WINDOW, *short]
-    texts = id_and_text(docs).withColumn("text_print", F.xxhash64("text"))
+    texts = id_and_text(docs).withColumn("text_print", text_hash())
     own = materialise(_prints(items, [], short, True).distinct(), "item-prints")
     cased = texts.select("doc_id", "text_print", cased_words(F.col("text")).alias("words"))
     found = _prints(cased, ["doc_id", "text_print"], short, False).join(_small(own, BROADCAST_PRINTS), ["span", "print"], "left_semi")
@@ -150,7 +150,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     per_text = covered.join(listed, covered["doc_id"].eqNullSafe(listed["doc_id"]) & (covered["text_print"] == listed["text_print"])).select(
         covered["doc_id"].alias("hit_id"), covered["text_print"].alias("hit_print"), "n_hit", "n_items", "items_sha256"
     )
-    texts = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("text_print"), F.size(cased_words(F.col("text"))).cast("long").alias("n_words"))
+    texts = id_and_text(docs).select("doc_id", text_hash().alias("text_print"), F.size(cased_words(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return texts.join(per_text, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_print") == F.col("hit_print")), "left").select(
         "doc_id", "text_print", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
@@ -166,7 +166,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    bad = _judged(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_print").alias("_print"))
-    bad = materialise(bad.distinct(), "contaminated")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_print"))
-    return docs.join(bad, same, "left_anti")
+    bad = materialise(_judged(docs, benchmark).where("contaminated").select("doc_id", "text_print").distinct(), "contaminated")
+    return rows_of(docs, bad, "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import id_and_text, ship
+from docindex.llm.common import id_and_text, ship, unused
 from docindex.workspace import materialise
 
 #: Characters that a comparison ignores.
@@ -193,22 +193,20 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = materialise(exact_groups(docs), "exact-groups")
+    a, b, c = unused(docs, 3)
     # Ids that name one row each decide by id alone; the others, seldom any, by id and text.
     unclear = materialise(
-        groups.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_id")),
-        "exact-repeated",
+        groups.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias(a)), "exact-repeated"
     )
-    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-    once = docs.join(kept.join(unclear, "_id", "left_anti").where("_id is not null").select("_id"), same, "left_semi")
+    kept = groups.where("kept").select(F.col("doc_id").alias(a), F.col("text_sha256").alias(b))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(a))
+    once = docs.join(kept.join(unclear, a, "left_anti").where(F.col(a).isNotNull()).select(a), same, "left_semi")
     if unclear.isEmpty():
         return once
     digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), BLANK_PATTERN, ""), 256)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*[F.col(f"`{x}`") for x in docs.columns])
     several = (
-        docs.join(unclear, same, "left_semi").withColumn("_digest", digest)
-        .join(kept, same & (F.col("_digest") == F.col("_kept")), "left_semi")
-        .groupBy("doc_id", "_digest")
-        .agg(F.max_by(F.struct(*columns), F.char_length(F.coalesce("text", F.lit("")))).alias("_top"))
+        docs.join(unclear, same, "left_semi").withColumn(c, digest).join(kept, same & (F.col(c) == F.col(b)), "left_semi")
+        .groupBy("doc_id", c).agg(F.max_by(row, F.char_length(F.coalesce("text", F.lit("")))).alias("row"))
     )
-    return once.unionByName(several.select("_top.*"))
+    return once.unionByName(several.select("row.*"))

@@ -60,8 +60,8 @@ def classes(data: np.ndarray) -> np.ndarray:
 def automaton(symbols: np.ndarray) -> np.ndarray:
     """Transitions (state, class) of the suffix automaton.
 
-    A known step is its target; a step that ends the phrase is the complement of
-    the state after the class stands at the start of a new phrase.
+    A known step is its target; a step that begins a phrase, as all from the first
+    state do, is the complement of the state after it.
     """
     links, longest, steps = [-1], [0], [{}]
     last = 0
@@ -93,7 +93,7 @@ def automaton(symbols: np.ndarray) -> np.ndarray:
         start[c] = target
     table = np.repeat(~start[None, :], len(steps), axis=0)
     for state, known in enumerate(steps):
-        if known:
+        if known and state:
             table[state, list(known)] = list(known.values())
     table[:, PAD] = 0
     return table
@@ -123,13 +123,13 @@ class Parser:
         steps = grid.astype(np.int32)
         for k, table in enumerate(self.tables):
             flat, state = table.ravel(), np.zeros(grid.shape[1], np.int32)
-            ended = np.zeros(grid.shape[1], np.int32)
+            begun = np.zeros(grid.shape[1], np.int32)
             for row in steps:
                 to = flat[state * self.width + row]
                 over = to >> 31
-                ended -= over
+                begun -= over
                 state = to ^ over
-            counts[k] = ended + 1
+            counts[k] = begun
         return counts
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import Codes, id_and_text, mixed, ship, slices
+from docindex.llm.common import Codes, first_rows, id_and_text, mixed, rows_of, ship, slices, text_hash
 from docindex.workspace import materialise
 
 SHINGLE = 5
@@ -237,7 +237,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, text_print, class_id, class_size, kept."""
     ship(docs.sparkSession)
-    texts = id_and_text(docs).withColumn("text_print", F.xxhash64("text"))
+    texts = id_and_text(docs).withColumn("text_print", text_hash())
     rows = materialise(texts.select("doc_id", "text_print", "text").mapInArrow(_sketched, SKETCHED), "near-sketches")
     nodes = rows.where("shingles > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_print")).alias("of"), F.first("shingles").alias("shingles"), F.first("sketches").alias("sketches")
@@ -286,13 +286,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; one row per id and text."""
     groups = materialise(near_groups(docs), "near-result")
-    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_print").alias("_print"))
-    several = materialise(kept.groupBy("_id", "_print").count().where("count > 1").select("_id", "_print"), "near-repeated")
-    text_print = F.xxhash64(F.coalesce("text", F.lit("")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_print == F.col("_print"))
-    if several.isEmpty():
-        return docs.join(kept, same, "left_semi")
-    lone = kept.join(several, kept["_id"].eqNullSafe(several["_id"]) & (kept["_print"] == several["_print"]), "left_anti")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    again = docs.join(several, same, "left_semi").withColumn("_print", text_print).groupBy("doc_id", "_print").agg(F.first(F.struct(*columns)).alias("_row"))
-    return docs.join(lone, same, "left_semi").unionByName(again.select("_row.*"))
+    kept = groups.where("kept").groupBy("doc_id", "text_print").agg(F.count("*").alias("n"))
+    several = materialise(kept.where("n > 1"), "near-repeated")
+    lone = rows_of(docs, kept.where("n = 1"))
+    return lone if several.isEmpty() else lone.unionByName(first_rows(rows_of(docs, several)))

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import id_and_text, mixed, ship, slices, text_bytes
+from docindex.llm.common import id_and_text, mixed, ship, slices, text_bytes, text_hash
 from docindex.llm.induced import common_prefixes, suffix_array
 from docindex.workspace import materialise
 
@@ -253,7 +253,7 @@ def _beside(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Byte spans covered by repeated strings: doc_id, text_print, start, stop; they may overlap."""
     spark = ship(docs.sparkSession)
-    texts = id_and_text(docs).withColumn("text_print", F.xxhash64("text"))
+    texts = id_and_text(docs).withColumn("text_print", text_hash())
     found = materialise(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_found, PASSAGES), "passages")
     body = F.struct("low", "high")
     keys = (
@@ -293,7 +293,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def cleaned(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the bytes kept if asked for."""
     ship(docs.sparkSession)
-    texts = id_and_text(docs).withColumn("text_print", F.xxhash64("text"))
+    texts = id_and_text(docs).withColumn("text_print", text_hash())
     spans = repeated_spans(docs).groupBy("doc_id", "text_print").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     beside = _beside(texts, materialise(spans, "repeated-spans"), "left").select("doc_id", "text", "spans")
     out = beside.mapInArrow(_cleaned, CLEANED + ", kept binary")

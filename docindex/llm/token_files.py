@@ -12,7 +12,7 @@ on any file system that Spark writes to. File sizes are bounded by ``FILE_BYTES`
 or one document.
 
 Defined cases: a null or empty text gives the end id alone; a null id comes first and
-is kept as null; repeated ids are written one after the other; an empty table gives
+is kept as null; repeated ids follow each other in order of their texts; an empty table gives
 no documents. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -193,7 +193,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None) ->
     """Write the documents' token ids, in ascending id order over all files."""
     ship(docs.sparkSession)
     (
-        id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
         .mapInArrow(_files(vocabulary or default_vocabulary()), "value binary")
         .select(F.col("value").cast("string").alias("value"))
         .write.option("lineSep", ENDING).option("compression", "none").option("maxRecordsPerFile", 1).text(folder)
