@@ -12,9 +12,9 @@ leaves possible. Its length over the number of shingles in either text has to re
 ``SIMILARITY``.
 
 Equal word sequences are one node from the start. In a bucket of equal sketches every
-node is compared with one leader, not with all others. Buckets that still hold nodes of
-different groups get another leader in the next round, until a round links nothing. So
-a bucket of n nodes costs n comparisons a round, whatever n is, and copies cost none.
+node is compared with a leader, not with all others. Buckets that still hold nodes of
+different groups get other leaders in the next round, until a round links nothing. So a
+bucket costs comparisons in proportion to its nodes, whatever their number, and copies cost none.
 A link is missed only if the two texts share no sketch, or if they stay unlinked through
 every leader that they have in common.
 
@@ -39,7 +39,9 @@ from docindex.workspace import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES, PICKED = 12, 2
+SKETCHES, PICKED = 14, 3
+#: Leaders of a bucket in the first round, which links most, and in each later one.
+LEADERS = (1, 8)
 MEMORY = 600_000
 BATCH_TEXT = 4 << 20
 WORD = re.compile(r"\w+")
@@ -192,13 +194,15 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (a, b), a < b, of each bucket's nodes with its leader; of different groups where groups are known."""
+    """Pairs (a, b), a < b, of each bucket's nodes with its leaders; of different groups where groups are known."""
     nodes = buckets.withColumn("group", F.col("node")) if groups is None else buckets.join(groups, "node")
-    size = F.struct("node", "group", "shingles")
-    leaders = nodes.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), size.alias("leader"))).alias("top"),
-        F.min("group").alias("low"), F.max("group").alias("high"),
-    ).where("low != high").select("key", "top.leader")
+    member = F.struct("node", "group", "shingles")
+    number = LEADERS[min(turn, 1)]
+    tops = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 64 + k)).alias("order"), member.alias("leader"))) for k in range(number)]
+    leaders = (
+        nodes.groupBy("key").agg(F.array_distinct(F.array(*[t["leader"] for t in tops])).alias("tops"), F.min("group").alias("low"), F.max("group").alias("high"))
+        .where("low != high").select("key", F.explode("tops").alias("leader"))
+    )
     least, most = F.least("shingles", "leader.shingles"), F.greatest("shingles", "leader.shingles")
     return (
         nodes.join(leaders, "key").where((F.col("group") != F.col("leader.group")) & (least >= SIMILARITY * most))
@@ -218,20 +222,17 @@ def components(links: DataFrame) -> DataFrame:
     Every step takes the least group among the neighbours and then the group of
     that group, so chains shorten geometrically. A hot node gets one row per task.
     """
-    both = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-links")
-    groups = materialise(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("group")), "near-groups")
+    both = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-links")
+    groups = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("group"))
     while True:
-        lower = (
-            both.join(groups, F.col("b") == F.col("node")).groupBy("a").agg(F.min("group").alias("near"))
-            .join(groups, F.col("a") == F.col("node")).select("node", F.least("group", "near").alias("group"), F.col("group").alias("before"))
-        )
+        groups = materialise(groups, "near-groups")
+        near = both.join(groups, F.col("b") == F.col("node")).groupBy("a").agg(F.min("group").alias("near"))
+        lower = groups.join(near, F.col("a") == F.col("node")).select("node", F.least("group", "near").alias("low"), "group")
         lower = materialise(lower, "near-step")
-        heads = lower.select(F.col("node").alias("head"), F.col("group").alias("top"))
-        after = lower.join(heads, F.col("group") == F.col("head"), "left").select("node", F.least("group", F.coalesce("top", "group")).alias("group"), "before")
-        after = materialise(after, "near-groups")
-        groups = after.select("node", "group")
-        if after.where(F.col("group") != F.col("before")).isEmpty():
+        if lower.where("low != group").isEmpty():
             return groups
+        heads = lower.select(F.col("node").alias("head"), F.col("low").alias("top"))
+        groups = lower.join(heads, F.col("low") == F.col("head")).select("node", F.least("low", "top").alias("group"))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -239,32 +240,39 @@ def near_groups(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     texts = id_and_text(docs).withColumn("text_print", text_hash())
     rows = materialise(texts.select("doc_id", "text_print", "text").mapInArrow(_sketched, SKETCHED), "near-sketches")
-    nodes = rows.where("shingles > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_print")).alias("of"), F.first("shingles").alias("shingles"), F.first("sketches").alias("sketches")
+    nodes = materialise(
+        rows.where("shingles > 0").groupBy("node")
+        .agg(F.min(F.struct("doc_id", "text_print")).alias("of"), F.first("shingles").alias("shingles"), F.first("sketches").alias("sketches")),
+        "near-nodes",
     )
-    buckets = materialise(nodes.select("node", "of", "shingles", F.explode("sketches").alias("key")), "near-sketch-rows")
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = materialise(buckets.join(shared, "key", "left_semi"), "near-buckets")
-    of = buckets.select("node", F.col("of.doc_id").alias("id"), F.col("of.text_print").alias("print")).distinct()
+    shared = nodes.select(F.explode("sketches").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    buckets = nodes.select("node", "shingles", F.explode("sketches").alias("key")).join(shared, "key", "left_semi")
+    buckets = materialise(buckets, "near-buckets")
+    known = buckets.select("node").distinct()
+    of = nodes.join(known, "node", "left_semi").select("node", F.col("of.doc_id").alias("id"), F.col("of.text_print").alias("print"))
     texts = materialise(
         texts.join(of, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_print") == F.col("print"))).select("node", "text"), "near-texts"
     )
-    buckets = buckets.select("key", "node", "shingles")
-    known = buckets.select("node").distinct()
-    turn, tried, links, groups = 0, None, None, None
+    turn, tried, groups = 0, None, None
     while True:
         pairs = _pairs(buckets, groups, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "near-pairs")
-        found = materialise(_verify(pairs, texts), "near-found").distinct()
+        found = materialise(_verify(pairs, texts), "near-found")
         if found.isEmpty():
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        linked = components(links)
+        # New links join groups; only the groups they touch are worked on.
+        if groups is None:
+            joined, before = components(found.distinct()), known.select("node", F.col("node").alias("group"))
+        else:
+            a, b = (groups.select(F.col("node").alias(c), F.col("group").alias(f"{c}_group")) for c in "ab")
+            links = found.join(a, "a").join(b, "b").select(F.col("a_group").alias("a"), F.col("b_group").alias("b")).distinct()
+            joined, before = components(links), groups
+        joined = joined.select(F.col("node").alias("old"), F.col("group").alias("new"))
         groups = materialise(
-            known.join(linked, "node", "left").select("node", F.coalesce("group", "node").alias("group")), "near-known"
+            before.join(joined, F.col("group") == F.col("old"), "left").select("node", F.coalesce("new", "group").alias("group")), "near-known"
         )
         turn += 1
     if groups is None:
