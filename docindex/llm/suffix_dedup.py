@@ -40,8 +40,6 @@ HOT = 3_000
 #: Bytes of a shard: some 60 times as much memory.
 SHARD_BYTES = 3 << 20
 BATCH_TEXT = 2 << 20
-#: Rows of passages (or spans) that are broadcast to the texts, about 60 bytes each.
-BROADCAST_ROWS = 400_000
 
 PASSAGES = "doc_id long, text_print long, key long, low long, high long, start int, strings int, tied boolean"
 TEXTS = "key long, hot boolean, copies long, doc_id long, text_print long, start int, body binary"
@@ -243,10 +241,8 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _beside(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """Join lists by document to the texts; they are broadcast only if counted to be few."""
+    """Join lists by document to the texts."""
     side = lists.withColumnsRenamed({"doc_id": "_id", "text_print": "_print"})
-    if (lists.select(F.sum(F.size(lists.columns[-1]))).first()[0] or 0) <= BROADCAST_ROWS:
-        side = F.broadcast(side)
     return texts.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_print") == F.col("_print")), how)
 
 
