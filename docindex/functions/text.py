@@ -16,9 +16,13 @@ def tokens(text: Column) -> Column:
 
 
 def query_words(query: str) -> list[str]:
-    """The same analysis for a query string, on the driver."""
+    """The same analysis for a query string, on the driver; each word once."""
+    return list(dict.fromkeys(query_words_in_order(query)))
+
+
+def query_words_in_order(query: str) -> list[str]:
     kept = (c if unicodedata.category(c)[0] in "LN" else " " for c in query.lower())
-    return list(dict.fromkeys("".join(kept).split()))
+    return "".join(kept).split()
 
 
 def has_word(text: Column, word: str) -> Column:
@@ -37,3 +41,14 @@ def word_pattern(word: str) -> str:
     """A whole word in lower-cased text. The word itself comes first in the
     pattern, so that most positions of a text fail on one character."""
     return f"{word}(?<!{WORD_CHARACTER}{word})(?!{WORD_CHARACTER})"
+
+
+def has_phrase(text: Column, words: list[str]) -> Column:
+    """True where the words stand one after the other."""
+    pattern = WORD_BREAK.join(words)
+    return F.coalesce(F.lower(text).rlike(f"(?<!{WORD_CHARACTER}){pattern}(?!{WORD_CHARACTER})"), F.lit(False))
+
+
+def has_prefix(text: Column, prefix: str) -> Column:
+    """True where one of the text's words begins so."""
+    return F.coalesce(F.lower(text).rlike(f"(?<!{WORD_CHARACTER}){prefix}"), F.lit(False))

@@ -5,6 +5,7 @@ A ``timestamp_ntz`` column is read as UTC wall-clock time.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, functions as F, types as T
@@ -21,6 +22,8 @@ TEXT_FORMATS = (
 )
 
 INTERVALS = ("minute", "hour", "day", "week", "month", "quarter", "year")
+# Seconds of the units that may be counted, as in ``90m``.
+UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -59,10 +62,21 @@ def bucket_start(ts: Column, interval: str, zone: str | None = None) -> Column:
     With a zone the interval is a local one (a local day may last 23 or 25
     hours) and its start is reported as an instant.
     """
-    if interval not in INTERVALS:
-        raise ValueError(f"interval must be one of {INTERVALS}")
+    counted = re.fullmatch(r"([1-9][0-9]*)([smhdw])", interval)
+    if interval not in INTERVALS and not counted:
+        raise ValueError(f"interval must be one of {INTERVALS}, or a number and one of {tuple(UNIT_SECONDS)}")
+
+    def start_of(wall: Column) -> Column:
+        if not counted:
+            return F.date_trunc(interval, wall).cast("timestamp_ntz")
+        # Counted from the start of 1970.
+        seconds = int(counted[1]) * UNIT_SECONDS[counted[2]]
+        since = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), wall.cast("timestamp_ntz"))
+        begin = since - F.pmod(since, F.lit(seconds))
+        return F.timestamp_add("SECOND", begin, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
     if zone is None:
-        return F.date_trunc(interval, ts).cast("timestamp_ntz")
+        return start_of(ts)
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
-    start = F.date_trunc(interval, local).cast("timestamp_ntz")
+    start = start_of(local)
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), start)

@@ -8,18 +8,17 @@ A facet's own filter (``where``) restricts only that facet.
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from docindex.functions.times import bucket_start
 from docindex.operators.filters import compile_filter
-from docindex.operators.ordinals import page
 
 DEFAULT_SIZE = 10
-# Largest cut that Spark applies per task before a ranking shuffle
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-RANKED_CUT = 1000
+# Up to this cut, Spark lets every task keep only its own best rows before a ranking shuffle.
+CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Keys aggregated in one pass: a grouping id has 64 bits.
 KEYS_PER_PASS = 32
 # More filtered facets than this are matched row by row instead of expanded.
@@ -67,15 +66,28 @@ def _spread(value: Column) -> list[Column]:
 
 
 def _ranked(df: DataFrame, order: str, size: int | None) -> DataFrame:
-    return df if size is None else page(df, _order(order), 0, size)
+    """The first ``size`` rows; every task keeps its own first, and one plan serves every size."""
+    return df if size is None else df.orderBy(*_order(order)).limit(size)
 
 
 def _order(order: str) -> list[Column]:
-    if order == "term":
-        return [F.asc("term")]
-    if order not in STATS:
-        raise ValueError(f"order must be 'term' or one of {STATS}")
-    return [F.desc(order), F.asc("term")]
+    name = _checked_order(order, STATS).removeprefix("reverse_")
+    falls = (name == "term") == order.startswith("reverse_")
+    first = F.desc(name) if falls else F.asc(name)
+    return [first] if name == "term" else [first, F.asc("term")]
+
+
+def _checked_order(order: str, numbers: tuple[str, ...]) -> str:
+    if order.removeprefix("reverse_") not in ("term", *numbers):
+        raise ValueError(f"order must be 'term' or one of {numbers}, or one of them after 'reverse_', not {order!r}")
+    return order
+
+
+def _cut_in_tasks(df: DataFrame, size: int) -> None:
+    """Let tasks keep only their best rows of a cut of any size."""
+    conf = df.sparkSession.conf
+    if size > int(conf.get(CUT_SETTING, "1000")):
+        conf.set(CUT_SETTING, str(size))
 
 
 # -- one facet ---------------------------------------------------------------
@@ -195,8 +207,7 @@ def top_per_key(
         best = F.min(F.struct((-F.col("count")).alias("n"), "term")).alias("_best")
         return counts.groupBy(*keys).agg(best).select(
             *keys, F.col("_best.term").alias("term"), (-F.col("_best.n")).alias("count"))
-    if size > RANKED_CUT:
-        raise ValueError(f"size must be at most {RANKED_CUT}")
+    _cut_in_tasks(df, size)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("count"), F.asc("term")))
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank")
 
@@ -224,7 +235,7 @@ def facet_request(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
 
 def _distinct_facets(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
     plans = [_Facet(name, spec, df.schema) for name, spec in facets.items()]
-    single = [p for p in plans if not p.pooled]
+    single = [p for p in plans if not p.pooled and not p.every]
     filtered = [p for p in single if p.where is not None]
     if len(filtered) <= FEW_FILTERED:
         filtered = []
@@ -235,7 +246,11 @@ def _distinct_facets(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
     for value, group in _by_value(filtered).items():
         parts.append(_matched(df, value, group))
     for p in plans:
-        if p.pooled:
+        if p.every:
+            # Also terms that only rows outside the facet's filter have: they are counted as 0.
+            counts = terms(df, pooled(p.fields) if p.fields else p.key, None, p.where, all_terms=True)
+            parts.append(_long(counts.select(F.lit(p.name).alias("facet"), F.col("term").cast("string"), "count")))
+        elif p.pooled:
             counts = terms_multi(df, p.fields, None, p.where) if p.fields else terms(df, p.key, None, p.where)
             parts.append(_long(counts.select(F.lit(p.name).alias("facet"), F.col("term").cast("string"), "count")))
     answer = reduce(DataFrame.unionByName, [_number_types(p, parts) for p in parts])
@@ -258,7 +273,8 @@ class _Facet:
         self.where = compile_filter(spec["facet_filter"], schema) if "facet_filter" in spec else None
         self.value = arg.get("value_field")
         self.pooled, self.fields, self.key = False, None, None
-        self.order = arg.get("order", "count")
+        self.order = _checked_order(arg.get("order", "count"), STATS if self.kind == "terms_stats" else ("count",))
+        self.every = self.kind == "terms" and bool(arg.get("all_terms")) and self.where is not None
         self.size: int | None = None if arg.get("all_terms") else arg.get("size", DEFAULT_SIZE)
         if self.kind == "terms":
             if "fields" in arg:
@@ -278,19 +294,50 @@ class _Facet:
             raise ValueError(f"unsupported facet {self.kind!r}")
 
 
+# A piece of a concatenation: a quoted text or a field, with or without its container.
+PIECE = re.compile(r"""\s*(?:'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)"|(?:_source\.)?([^\W\d][\w.]*)|doc\[['"]([^'"]+)['"]\]\.value)\s*(\+|$)""")
+
+
 def _script(expression: str) -> Column:
     """A concatenation of fields and quoted texts, e.g. ``_source.a + '|' + _source.b``."""
-    parts = []
-    for piece in expression.split("+"):
-        piece = piece.strip()
-        if piece[:1] in "'\"" and piece[-1:] == piece[:1]:
-            parts.append(F.lit(piece[1:-1]))
+    parts, at, more = [], 0, True
+    while more:
+        m = PIECE.match(expression, at)
+        if m is None:
+            raise ValueError(f"unsupported script {expression!r}")
+        single, double, *names = m.groups()[:4]
+        text = single if single is not None else double
+        if text is not None:
+            parts.append(F.lit(re.sub(r"\\(.)", r"\1", text)))
         else:
-            field = F.col(piece.removeprefix("_source."))
-            parts.append(F.coalesce(field.cast("string"), F.lit("null")))
+            parts.append(F.coalesce(F.col(names[0] or names[1]).cast("string"), F.lit("null")))
+        at, more = m.end(), m[5] == "+"
     return F.concat(*parts)
 
 
+def facet_totals(df: DataFrame, facets: dict[str, dict]) -> DataFrame:
+    """Beside the terms facets of a request: facet, missing, total, other.
+
+    Documents without a value, values counted (a list's distinct ones each), and
+    those of terms that the cut left out. All facets share one pass.
+    """
+    plans = [_Facet(name, spec, df.schema) for name, spec in facets.items() if "terms" in spec]
+    if not plans:
+        return df.sparkSession.createDataFrame([], "facet string, missing long, total long, other long")
+    counts = []
+    for p in plans:
+        values = pooled(p.fields) if p.fields else p.key
+        many = p.fields is not None or p.pooled
+        n = F.size(F.array_distinct(F.array_compact(values))) if many else F.lit(1)
+        n = F.when(F.coalesce(p.where, F.lit(False)) if p.where is not None else F.lit(True), F.when(values.isNull(), 0).otherwise(n))
+        counts.append(F.struct(
+            F.lit(p.name).alias("facet"), F.count_if(n == 0).alias("missing"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("total")
+        ))
+    totals = df.agg(F.array(*counts).alias("all")).select(F.inline("all"))
+    shown = facet_request(df, {p.name: facets[p.name] for p in plans}).groupBy("facet").agg(F.sum("count").alias("_shown"))
+    return totals.join(shown, "facet", "left").select("facet", "missing", "total", (F.col("total") - F.coalesce("_shown", F.lit(0))).alias("other"))
+
+
 def _by_value(plans: list[_Facet]) -> dict[str | None, list[_Facet]]:
     """Facets that can share a pass; those without a value field join any other."""
     groups: dict[str | None, list[_Facet]] = {}
@@ -387,23 +434,23 @@ def _number_types(part: DataFrame, parts: list[DataFrame]) -> DataFrame:
 def _cut(answer: DataFrame, plans: list[_Facet]) -> DataFrame:
     """Keep each facet's first ``size`` terms in its order.
 
-    All usual cuts are one ranking in which each task first keeps its own best
-    rows per facet. A facet without a cut is ranked term by term, so it keeps
-    every row and is never gathered. A very large cut is made by position.
+    All cuts are one ranking, in which each task first keeps its own best rows per
+    facet. A facet without a cut is ranked term by term, so it keeps every row and
+    is never gathered.
     """
+    cut = [p for p in plans if p.size is not None]
+    if not cut:
+        return answer
     name, term = F.col("facet"), F.col("term")
-    ranked = [p for p in plans if p.size is not None and p.size <= RANKED_CUT]
-    large = [p for p in plans if p.size is not None and p.size > RANKED_CUT]
-    parts = [_ranked(answer.where(name == p.name), p.order, p.size) for p in large]
-    rest = answer.where(~name.isin([p.name for p in large])) if large else answer
-    if ranked:
-        apart = F.when(~name.isin([p.name for p in ranked]), term)
-        by = [F.desc(F.when(name.isin([p.name for p in ranked if p.order == o]), F.col(o)))
-              for o in sorted({p.order for p in ranked} - {"term"})]
-        rank = F.row_number().over(Window.partitionBy("facet", apart).orderBy(*by, F.asc("term")))
-        limit = reduce(lambda rest, p: F.when(name == p.name, F.lit(p.size)).otherwise(rest), ranked, F.lit(1))
-        rest = rest.withColumn("_rank", rank).where(F.col("_rank") <= max(p.size for p in ranked))
-        rest = rest.where(F.col("_rank") <= limit).drop("_rank")
-    if len(large) < len(plans):
-        parts.append(rest)
-    return reduce(DataFrame.unionByName, parts)
+    most = max(p.size for p in cut)
+    _cut_in_tasks(answer, most)
+    by = []
+    for order in sorted({p.order for p in cut} - {"term"}):
+        own = F.when(name.isin([p.name for p in cut if p.order == order]), F.col(order.removeprefix("reverse_")))
+        falls = (order == "reverse_term") or not order.startswith("reverse_")
+        by.append(F.desc(own) if falls else F.asc(own))
+    apart = F.when(~name.isin([p.name for p in cut]), term)
+    rank = F.row_number().over(Window.partitionBy("facet", apart).orderBy(*by, F.asc("term")))
+    limit = reduce(lambda rest, p: F.when(name == p.name, F.lit(p.size)).otherwise(rest), cut, F.lit(1))
+    ranked = answer.withColumn("_rank", rank).where(F.col("_rank") <= most)
+    return ranked.where(F.col("_rank") <= limit).drop("_rank")

@@ -6,17 +6,23 @@ columns. A field is a column name; list columns match on any of their values.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from decimal import Decimal, InvalidOperation
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docindex.functions.text import has_any_word, query_words
+from docindex.functions.text import has_any_word, has_phrase, has_prefix, query_words, query_words_in_order
 from docindex.functions.times import instant, is_time
 
-# Above this many values a membership test is a join with a table of values.
-LONG_LIST = 10_000
+# A clause of a free-text query: operator, or sign, field and words or phrase.
+CLAUSE = re.compile(
+    r'\s*(?:(?P<op>AND|OR|NOT|&&|\|\||!)(?=\s|$)'
+    r'|(?P<sign>[+\-!])?(?:(?P<field>[^\W\d][\w.]*):)?(?:"(?P<phrase>[^"]*)"|(?P<word>[^\s"]+)))'
+)
+# Marks of query forms that are not supported; they are refused rather than misread.
+UNSUPPORTED = re.compile(r"[()\[\]{}^~?\\/]")
 
 
 def match_all() -> Column:
@@ -32,9 +38,7 @@ def term(field: str, value, schema: T.StructType | None = None) -> Column:
 
 
 def terms(field: str, values: list, schema: T.StructType | None = None) -> Column:
-    """Membership in a list of values."""
-    if len(values) > LONG_LIST:
-        raise ValueError("for a long list of values use where_in with a table of values")
+    """Membership in a list of values of any length; Spark looks them up in a hash set."""
     dtype = _field_type(schema, field)
     if isinstance(dtype, T.ArrayType):
         return F.arrays_overlap(F.col(field), F.array(*[_literal(v, dtype.elementType) for v in values]))
@@ -80,23 +84,81 @@ def none_of(*filters: Column) -> Column:
     return ~F.coalesce(all_of(*filters), F.lit(False))
 
 
-def match(field: str | Column, text: str) -> Column:
-    """Analysed match: any word of ``text`` occurs in the field."""
-    return has_any_word(F.col(field) if isinstance(field, str) else field, query_words(text))
+def any_of(*filters: Column) -> Column:
+    return reduce(lambda a, b: a | b, filters) if filters else F.lit(False)
+
+
+def match(field: str | Column, text: str, operator: str = "or") -> Column:
+    """Analysed match: any word of ``text`` (or every one) occurs in the field."""
+    column, words = F.col(field) if isinstance(field, str) else field, query_words(text)
+    if operator.lower() == "and":
+        return all_of(*[has_any_word(column, [w]) for w in words]) if words else F.lit(False)
+    return has_any_word(column, words)
 
 
 def query_string(query: str, text_fields: list[Column], field_of: Callable[[str], Column] = F.col) -> Column:
-    """Free text over all text fields, or over one field as ``field:words``.
+    """Free text over all text fields.
 
-    ``*`` and the empty query match everything. ``field_of`` finds a named field.
+    Words, ``"phrases"`` and ``prefix*`` match any unless marked: ``+`` or ``AND``
+    makes a clause required, ``-`` or ``NOT`` forbids it. ``field:`` before a
+    clause looks into one field, ``field:*`` asks for its presence. ``*`` and the
+    empty query match everything. Other query forms raise.
     """
     query = query.strip()
     if query in ("", "*"):
         return match_all()
-    field, colon, rest = query.partition(":")
-    if colon and field.isidentifier():
-        return match_all() if rest.strip() == "*" else match(field_of(field), rest)
-    return has_any_word(F.concat_ws(" ", *text_fields), query_words(query))
+    clauses = _clauses(query)
+    everywhere = F.concat_ws(" ", *text_fields)
+    tests: dict[str, list[Column]] = {"+": [], "-": [], "": []}
+    for sign, field, phrase, word in clauses:
+        column = field_of(field) if field else everywhere
+        test = _clause_test(column, field, phrase, word)
+        if test is not None:
+            tests[sign].append(test)
+    if not any(tests.values()):
+        return F.lit(False)
+    wanted = tests["+"] or ([any_of(*tests[""])] if tests[""] else [])
+    return all_of(*wanted, *[none_of(t) for t in tests["-"]])
+
+
+def _clauses(query: str) -> list[tuple[str, str | None, str | None, str | None]]:
+    """(sign, field, phrase, word) of every clause; the sign is ``+``, ``-`` or empty."""
+    found: list[list] = []
+    at, joined, negated = 0, False, False
+    while at < len(query.rstrip()):
+        m = CLAUSE.match(query, at)
+        if m is None:
+            raise ValueError(f"cannot read {query[at:]!r} in the query {query!r}")
+        at = m.end()
+        if m["op"]:
+            if m["op"] in ("AND", "&&"):
+                joined = True
+                if found and found[-1][0] == "":
+                    found[-1][0] = "+"
+            elif m["op"] in ("NOT", "!"):
+                negated = True
+            continue
+        word = m["word"]
+        if word is not None and (UNSUPPORTED.search(word) or "*" in word[:-1]):
+            raise ValueError(f"unsupported query form {word!r}")
+        sign = "-" if negated or m["sign"] in ("-", "!") else "+" if joined or m["sign"] == "+" else ""
+        found.append([sign, m["field"], m["phrase"], word])
+        joined = negated = False
+    return [tuple(c) for c in found]
+
+
+def _clause_test(column: Column, field: str | None, phrase: str | None, word: str | None) -> Column | None:
+    """None for a clause without any word, which asks for nothing."""
+    if phrase is not None:
+        words = query_words_in_order(phrase)
+        return has_phrase(column, words) if words else None
+    if word == "*":
+        return column.isNotNull() if field else match_all()
+    if word.endswith("*"):
+        words = query_words(word[:-1])
+        return has_prefix(column, words[-1]) if words else None
+    words = query_words(word)
+    return has_any_word(column, words) if words else None
 
 
 # -- JSON forms --------------------------------------------------------------
@@ -104,32 +166,80 @@ def query_string(query: str, text_fields: list[Column], field_of: Callable[[str]
 def compile_filter(body: dict, schema: T.StructType, text_fields: list[str] | None = None) -> Column:
     """The column expression of a JSON filter or query."""
     kind, arg = _single(body)
+
+    def inner(part: dict) -> Column:
+        return compile_filter(part, schema, text_fields)
+
+    def several(part) -> list[Column]:
+        part = part["filters"] if isinstance(part, dict) and "filters" in part else part
+        return [inner(p) for p in (part if isinstance(part, list) else [part])]
+
     if kind == "match_all":
         return match_all()
     if kind in ("constant_score", "not"):
-        inner = compile_filter(arg.get("filter", arg), schema, text_fields)
-        return none_of(inner) if kind == "not" else inner
+        found = inner(arg.get("filter", arg))
+        return none_of(found) if kind == "not" else found
     if kind == "and":
-        parts = arg["filters"] if isinstance(arg, dict) else arg
-        return all_of(*[compile_filter(p, schema, text_fields) for p in parts])
+        return all_of(*several(arg))
+    if kind == "or":
+        return any_of(*several(arg))
+    if kind == "bool":
+        return _bool_filter({k: several(v) for k, v in arg.items() if k in ("must", "should", "must_not")}, arg)
+    if kind == "filtered":
+        return all_of(*[inner(arg[k]) for k in ("query", "filter") if arg.get(k)])
     if kind == "query":
-        return compile_filter(arg, schema, text_fields)
+        return inner(arg)
     if kind == "query_string":
         field = arg.get("default_field")
-        return match(field, arg["query"]) if field else query_string(arg["query"], _texts(schema, text_fields))
+        texts = [F.col(field)] if field else _texts(schema, text_fields)
+        return query_string(arg["query"], texts, lambda name: _known(schema, name))
+    if kind in ("exists", "missing"):
+        there = _known(schema, arg["field"]).isNotNull()
+        return there if kind == "exists" else ~there
+    if kind == "ids":
+        return F.col("_id").isin(*[str(v) for v in arg["values"]])
     field, value = _single({k: v for k, v in arg.items() if not k.startswith("_")})
     if kind == "term":
-        return term(field, value, schema)
+        return term(field, value["value"] if isinstance(value, dict) else value, schema)
     if kind == "terms":
         return terms(field, value, schema)
+    if kind == "prefix":
+        return _known(schema, field).startswith(str(value["value"] if isinstance(value, dict) else value))
     if kind == "match":
-        return match(field, value)
+        if isinstance(value, dict):
+            unknown = set(value) - {"query", "operator"}
+            if unknown:
+                raise ValueError(f"unsupported match options {sorted(unknown)}")
+            return match(_known(schema, field), value["query"], value.get("operator", "or"))
+        return match(_known(schema, field), value)
     if kind == "range":
         bounds = {"from_" if k == "from" else k: v for k, v in value.items()}
         return rng(field, schema, **bounds)
     raise ValueError(f"unsupported filter {kind!r}")
 
 
+def _bool_filter(parts: dict[str, list[Column]], arg: dict) -> Column:
+    """All of ``must``, none of ``must_not``, and of ``should`` at least one where nothing must."""
+    unknown = {k for k in arg if not k.startswith("_")} - {"must", "should", "must_not", "minimum_should_match", "boost"}
+    if unknown:
+        raise ValueError(f"unsupported entries {sorted(unknown)} of a bool filter")
+    must, should = parts.get("must", []), parts.get("should", [])
+    least = int(arg.get("minimum_should_match", 0 if must or not should else 1))
+    tests = list(must)
+    if should and least == 1:
+        tests.append(any_of(*should))
+    elif should and least > 1:
+        met = [F.coalesce(t, F.lit(False)).cast("int") for t in should]
+        tests.append(reduce(lambda a, b: a + b, met) >= least)
+    return all_of(*tests, *[none_of(t) for t in parts.get("must_not", [])])
+
+
+def _known(schema: T.StructType, field: str) -> Column:
+    """A field's column; an unknown name raises."""
+    _field_type(schema, field)
+    return F.col(field)
+
+
 def backup_filter(spec: dict, schema: T.StructType) -> Column:
     """A filter by method name: ``{"method": [args]}`` or ``{"method": {field: value}}``."""
     tests = []

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.operators.facets import facet_request
+from docindex.operators.facets import facet_request, facet_totals
 from docindex.operators.filters import compile_filter
 from docindex.operators.ordinals import page, spread_sort
 
@@ -16,11 +16,26 @@ DEFAULT_PAGE = 10
 @dataclass(frozen=True)
 class SearchResult:
     """``matching`` are all documents of the query, ``hits`` the requested page
-    (None when the request asks for none), ``facets`` the long facet table."""
+    (None when the request asks for none), ``facets`` the long facet table. Each is
+    planned when it is asked for, so a request itself starts no job."""
 
     matching: DataFrame
-    hits: DataFrame | None
-    facets: DataFrame | None
+    body: dict
+    default_sort: tuple[str, ...]
+
+    @property
+    def hits(self) -> DataFrame | None:
+        size = self.body.get("size", DEFAULT_PAGE)
+        sort = sort_columns(self.body.get("sort", list(self.default_sort)))
+        return page(self.matching, sort, self.body.get("from", 0), size) if size else None
+
+    @property
+    def facets(self) -> DataFrame | None:
+        return facet_request(self.matching, self.body["facets"]) if self.body.get("facets") else None
+
+    def facet_totals(self) -> DataFrame:
+        """Missing, total and other of the request's terms facets."""
+        return facet_totals(self.matching, self.body.get("facets", {}))
 
     def total(self) -> DataFrame:
         return hits_count(self.matching)
@@ -39,11 +54,7 @@ def search(
     Nothing is computed until a result is used, so a request with ``size`` 0
     never produces hits.
     """
-    found = matching(df, body, text_fields)
-    size = body.get("size", DEFAULT_PAGE)
-    hits = page(found, sort_columns(body.get("sort", list(default_sort))), body.get("from", 0), size) if size else None
-    facets = facet_request(found, body["facets"]) if body.get("facets") else None
-    return SearchResult(found, hits, facets)
+    return SearchResult(matching(df, body, text_fields), body, default_sort)
 
 
 def sort_columns(sort: list) -> list:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docindex.functions.records import fragment
+from docindex.functions.records import fragment, is_document, members
 from docindex.operators.facets import LONG_NUMBERS, VALUE_NUMBERS, facet_request
 from docindex.operators.filters import compile_filter
 from docindex.workspace import work_dir
@@ -18,7 +19,6 @@ SOURCE = r", source\[(.*)\], extra_source"
 EXTRA = r", extra_source\[(.*)\]"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
 COMPARABLE = "QUERY_THEN_FETCH"
-QUOTING_FAULT = "(\\'.*?\\')"
 
 # Requests evaluated in one pass over an index when replaying.
 REPLAY_PASS = 32
@@ -63,11 +63,11 @@ def classify(parsed: DataFrame) -> DataFrame:
     """Add ``status``: ``ok``, ``malformed`` or ``other search type``.
 
     Only requests of the comparable search type can be run again; a request
-    with a quoting fault cannot be run at all.
+    that is no JSON document cannot be run at all.
     """
-    fault = ~F.col("query").contains(" ") & F.col("query").contains(QUOTING_FAULT)
+    readable = is_document(members(F.col("query")))
     comparable = F.coalesce(F.col("search_type") == COMPARABLE, F.lit(False))
-    status = F.when(fault, "malformed").when(comparable, "ok").otherwise("other search type")
+    status = F.when(~readable, "malformed").when(comparable, "ok").otherwise("other search type")
     return parsed.withColumn("status", status)
 
 
@@ -98,8 +98,9 @@ def profile(parsed: DataFrame, percentiles: list[float] | None = None) -> DataFr
 def replay(parsed: DataFrame, open_index: Callable[[str], DataFrame]) -> DataFrame:
     """Run every distinct logged request again, as a search on an index table.
 
-    Returns (index, query, logged, logged_millis, hits): how often and how long
-    the request ran in the log beside the number of documents it finds now.
+    Returns (index, query, logged, logged_millis, hits, reason): how often and how long
+    the request ran in the log beside the number of documents it finds now. A request
+    that cannot be run on the index, as for an unknown field, has a reason instead.
     Requests come to the driver a few at a time; those on one index are counted
     together in one pass over it, and each pass adds to a table.
     """
@@ -110,14 +111,17 @@ def replay(parsed: DataFrame, open_index: Callable[[str], DataFrame]) -> DataFra
         rows = F.arrays_zip(F.array(*[F.lit(b) for b in bodies]).alias("query"), F.col("hits"))
         return counts.select(F.inline(rows).alias("query", "hits"))
 
-    return _replayed(parsed, open_index, hits, "query string, hits long")
+    def check(docs: DataFrame, body: dict) -> None:
+        docs.where(compile_filter(_query(body), docs.schema))
+
+    return _replayed(parsed, open_index, check, hits, "query string, hits long")
 
 
 def replay_facets(parsed: DataFrame, open_index: Callable[[str], DataFrame]) -> DataFrame:
     """The facets of every distinct logged request, beside how long it ran in the log.
 
-    One row per facet term. The requests of a pass become filtered facets of one
-    request, so they too share a scan.
+    One row per facet term, or one with a reason for a request that cannot be run. The
+    requests of a pass become filtered facets of one request, so they too share a scan.
     """
 
     def facets(docs: DataFrame, bodies: list[str]) -> DataFrame:
@@ -135,7 +139,12 @@ def replay_facets(parsed: DataFrame, open_index: Callable[[str], DataFrame]) ->
 
     schema = "query string, facet string, term string, " + ", ".join(
         [f"{c} long" for c in LONG_NUMBERS] + [f"{c} double" for c in VALUE_NUMBERS])
-    return _replayed(parsed, open_index, facets, schema)
+    def check(docs: DataFrame, body: dict) -> None:
+        found = docs.where(compile_filter(_query(body), docs.schema))
+        if body.get("facets"):
+            facet_request(found, body["facets"])
+
+    return _replayed(parsed, open_index, check, facets, schema)
 
 
 def _query(body: dict) -> dict:
@@ -145,6 +154,7 @@ def _query(body: dict) -> dict:
 def _replayed(
     parsed: DataFrame,
     open_index: Callable[[str], DataFrame],
+    check: Callable[[DataFrame, dict], None],
     answer: Callable[[DataFrame, list[str]], DataFrame],
     schema: str,
 ) -> DataFrame:
@@ -152,12 +162,25 @@ def _replayed(
     spark = parsed.sparkSession
     logged = classify(parsed).where("status = 'ok'").groupBy("index", "query").agg(
         F.count("*").alias("logged"), F.sum("took_millis").alias("logged_millis"))
-    path, schema = work_dir(spark, "replay"), "index string, " + schema
+    path, refused = work_dir(spark, "replay"), work_dir(spark, "replay-refused")
+    schema, reasons = "index string, " + schema, "index string, query string, reason string"
     spark.createDataFrame([], schema).write.parquet(path)
+    spark.createDataFrame([], reasons).write.parquet(refused)
     for index, bodies in _passes(logged.select("index", "query").orderBy("index", "query")):
-        rows = answer(open_index(index), bodies)
-        rows.select(F.lit(index).alias("index"), "*").write.mode("append").parquet(path)
-    answers = spark.read.schema(schema).parquet(path)
+        docs, good, bad = open_index(index), [], []
+        for body in bodies:
+            try:
+                check(docs, json.loads(body))
+                good.append(body)
+            except (ValueError, LookupError, TypeError, AttributeError, AnalysisException) as fault:
+                bad.append((index, body, str(fault).splitlines()[0]))
+        if bad:
+            spark.createDataFrame(bad, reasons).write.mode("append").parquet(refused)
+        if good:
+            rows = answer(docs, good)
+            rows.select(F.lit(index).alias("index"), "*").write.mode("append").parquet(path)
+    answers = spark.read.schema(schema).parquet(path).withColumn("reason", F.lit(None).cast("string"))
+    answers = answers.unionByName(spark.read.schema(reasons).parquet(refused), allowMissingColumns=True)
     found = [c for c in answers.columns if c not in ("index", "query")]
     return logged.join(answers, ["index", "query"]).select("index", "query", "logged", "logged_millis", *found)
 

@@ -15,8 +15,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Spreads and scores are compared to this many places; means come from exact sums.
 PLACES = 6
 
-# Exact numbers with cents; sums of them stay within 64 bits, which keeps them fast.
-MONEY = "decimal(8,2)"
+# Exact numbers with cents.
+MONEY = "decimal(18,2)"
 
 
 @dataclass

@@ -128,3 +128,75 @@ def words(spark, sf):
     parts = F.split(F.regexp_replace("text", "\\s+", " "), " ")
     listed = table(spark, sf, "documents").select(F.explode(parts).alias("word")).where("word <> ''").distinct()
     return word_filter(listed, "word", ["word"], 200, 500)
+
+
+def documents_with(spark, sf, text):
+    df = table(spark, sf, "documents")
+    return df.where(filters.query_string(text, [F.col("text")], lambda name: F.col(name))).select("doc_id", "n_chars")
+
+
+def has(word):
+    return f"list_contains({TEXT_WORDS}, '{word}')"
+
+
+@query("q_boolean", f"""
+SELECT doc_id, n_chars FROM documents
+WHERE {has('the')} AND {has('of')} AND NOT {has('from')} AND list_contains(regexp_split_to_array(lower(lang), '[^a-z]+'), 'en')""")
+def q_boolean(spark, sf):
+    """Required and forbidden words, and a field's clause among them."""
+    return documents_with(spark, sf, "the AND of NOT from +lang:en")
+
+
+@query("q_phrase", r"""
+SELECT doc_id, n_chars FROM documents
+WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{N}])of[^\p{L}\p{N}]+the([^\p{L}\p{N}]|$)')""")
+def q_phrase(spark, sf):
+    return documents_with(spark, sf, '"of the"')
+
+
+@query("q_prefix", r"""
+SELECT doc_id, n_chars FROM documents WHERE regexp_matches(lower(text), '(^|[^\p{L}\p{N}])worth')""")
+def q_prefix(spark, sf):
+    return documents_with(spark, sf, "wort* +worth*")
+
+
+@query("f_terms_long", f"{ROWS} WHERE event_id % 3 = 0 AND event_id < 60000")
+def f_terms_long(spark, sf):
+    """A list of many thousand values, compiled like a short one."""
+    return compiled(spark, sf, {"terms": {"event_id": list(range(0, 60000, 3))}})
+
+
+@query("f_or", f"{ROWS} WHERE event_type = 'click' OR value > 100")
+def f_or(spark, sf):
+    return compiled(spark, sf, {"or": [{"term": {"event_type": {"value": "click"}}}, {"range": {"value": {"gt": 100}}}]})
+
+
+@query("f_bool", f"""
+{ROWS} WHERE value > 5 AND event_type <> 'error' AND (CAST(event_type = 'click' AS INT) + CAST(user_id < 50 AS INT) + CAST(value < 80 AS INT)) >= 2""")
+def f_bool(spark, sf):
+    return compiled(spark, sf, {"bool": {
+        "must": {"range": {"value": {"gt": 5}}}, "must_not": [{"term": {"event_type": "error"}}],
+        "should": [{"term": {"event_type": "click"}}, {"range": {"user_id": {"lt": 50}}}, {"range": {"value": {"lt": 80}}}],
+        "minimum_should_match": 2}})
+
+
+@query("f_exists", """
+SELECT event_id, user_id, nullif(event_type, 'view') AS event_type, value FROM events
+WHERE event_type <> 'view' OR (event_type = 'view' AND user_id = 3)""")
+def f_exists(spark, sf):
+    """Presence and absence of a field."""
+    df = table(spark, sf, "events").withColumn("event_type", F.nullif("event_type", F.lit("view")))
+    body = {"or": [{"exists": {"field": "event_type"}}, {"and": [{"missing": {"field": "event_type"}}, {"term": {"user_id": 3}}]}]}
+    return df.where(filters.compile_filter(body, df.schema)).select(*COLUMNS)
+
+
+@query("f_prefix", f"{ROWS} WHERE starts_with(event_type, 'c') AND user_id < 100")
+def f_prefix(spark, sf):
+    return compiled(spark, sf, {"filtered": {"query": {"prefix": {"event_type": "c"}}, "filter": {"range": {"user_id": {"lt": 100}}}}})
+
+
+@query("q_match_all_words", f"SELECT doc_id, n_chars FROM documents WHERE {has('the')} AND {has('from')}")
+def q_match_all_words(spark, sf):
+    df = table(spark, sf, "documents")
+    body = {"query": {"match": {"text": {"query": "the, FROM!", "operator": "and"}}}, "size": 0}
+    return search(df, body).matching.select("doc_id", "n_chars")

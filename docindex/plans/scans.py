@@ -54,7 +54,7 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, n_chars FROM documents WHERE list_cont
 def scan_free_text(spark, sf):
     """A locator with a free-text query and a number of tasks."""
     root = index_of(spark, table(spark, sf, "documents"), "es://docs/doc", id_field="doc_id")
-    docs = load(spark, root, "es://docs/doc?q=the&tasks=4")
+    docs = load(spark, root, "es://docs/doc?q=the&tasks=100")
     return docs.select("doc_id", F.get_json_object("contents", "$.n_chars").cast("long").alias("n_chars"))
 
 
@@ -175,3 +175,41 @@ def stream_load(spark, sf):
     index_stream(stream, root, checkpoint, documents).trigger(availableNow=True).start().awaitTermination()
     return read_index(spark, root, "es://_all").select(
         F.col("_index").alias("index_name"), F.col("_id").alias("doc_id"))
+
+
+MAPPED = ["event_id", "user_id", "event_type"]
+
+
+@query("stream_into_mapped", """
+SELECT event_id, 'stored' AS part FROM events WHERE event_type = 'click' UNION ALL SELECT event_id, 'text' FROM events WHERE event_type = 'click'""")
+def stream_into_mapped(spark, sf):
+    """A stream into an index with a mapping is found by typed fields and by words."""
+    root, checkpoint = work_dir(spark, "index"), work_dir(spark, "stream")
+    e = table(spark, sf, "events")
+    write_records(e.where("event_id % 2 = 0").select("event_id", "user_id", "event_type"), root, "es://ev/event")
+    stream = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+    def documents(rows):
+        return json_documents(rows.where("event_id % 2 = 1").select(F.to_json(F.struct(*MAPPED)).alias("value")), "es://ev/event")
+
+    index_stream(stream, root, checkpoint, documents).trigger(availableNow=True).start().awaitTermination()
+    stored = read_index(spark, root, "es://ev/event", query={"term": {"event_type": "click"}})
+    text = read_index(spark, root, "es://ev/event?q=click")
+    return stored.select("event_id", F.lit("stored").alias("part")).unionByName(text.select("event_id", F.lit("text").alias("part")))
+
+
+@query("stream_beside_loads", "SELECT event_type, 4 * count(*) AS docs FROM events GROUP BY 1")
+def stream_beside_loads(spark, sf):
+    """Loads and streams in turn, each adding all rows: none replaces another's."""
+    root = work_dir(spark, "index")
+    e = table(spark, sf, "events")
+
+    def documents(rows):
+        return json_documents(rows.select(F.to_json(F.struct(*MAPPED)).alias("value")), "es://ev/event")
+
+    for _ in range(2):
+        write_documents(documents(e), root)
+        stream = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+        index_stream(stream, root, work_dir(spark, "stream"), documents).trigger(availableNow=True).start().awaitTermination()
+    docs = read_index(spark, root, "es://ev/event")
+    return docs.groupBy(F.get_json_object("_source", "$.event_type").alias("event_type")).agg(F.count("*").alias("docs"))

@@ -154,6 +154,55 @@ def upsert_latest(spark, sf):
     return read_index(spark, root, "es://users/last").select(F.col("_id").alias("doc_id"), "event_id", "value")
 
 
+@query("upsert_filtered", """
+WITH v AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS age FROM events)
+SELECT CAST(user_id AS VARCHAR) AS doc_id, event_id FROM v WHERE age = 1 AND event_type = 'click'""")
+def upsert_filtered(spark, sf):
+    """A filter that only older versions of a document pass does not find it."""
+    root = work_dir(spark, "index")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (e.where(half), e.where(~half)):
+        write_records(part.orderBy("event_id"), root, "es://users/last", id_field="user_id")
+    found = read_index(spark, root, "es://users/last", query={"term": {"event_type": "click"}})
+    return found.select(F.col("_id").alias("doc_id"), "event_id")
+
+
+MAPPED_ROWS = """
+SELECT event_id, 'stored' AS part FROM events WHERE event_type = 'click' UNION ALL SELECT event_id, 'text' FROM events WHERE event_type = 'click'"""
+
+
+def found_in_mapped(spark, root):
+    stored = read_index(spark, root, "es://ev/event", query={"term": {"event_type": "click"}})
+    text = read_index(spark, root, "es://ev/event?q=click")
+    return stored.select("event_id", F.lit("stored").alias("part")).unionByName(text.select("event_id", F.lit("text").alias("part")))
+
+
+def mapped_half(spark, sf):
+    """An index that holds half of the events as records, and the other half as JSON lines."""
+    root = work_dir(spark, "index")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    write_records(e.where("event_id % 2 = 0"), root, "es://ev/event")
+    return root, e.where("event_id % 2 = 1").select(F.to_json(F.struct("*")).alias("value"))
+
+
+@query("flow_into_mapped", MAPPED_ROWS)
+def flow_into_mapped(spark, sf):
+    """Lines that a flow adds to a mapped index are found by its typed fields."""
+    root, lines = mapped_half(spark, sf)
+    path = work_dir(spark, "lines")
+    lines.write.text(path)
+    flow.run_flow(spark, path, "es://ev/event", root=root)
+    return found_in_mapped(spark, root)
+
+
+@query("json_into_mapped", MAPPED_ROWS)
+def json_into_mapped(spark, sf):
+    root, lines = mapped_half(spark, sf)
+    write_records(lines, root, "es://ev/event?json=true")
+    return found_in_mapped(spark, root)
+
+
 @query("compacted_index", """
 SELECT CAST(user_id AS VARCHAR) AS doc_id, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")

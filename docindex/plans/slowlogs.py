@@ -21,12 +21,18 @@ CASE WHEN event_id % 5 = 0 THEN 'COUNT' ELSE 'QUERY_THEN_FETCH' END AS search_ty
 LOG = f"(SELECT {FIELDS} FROM events WHERE event_id % 11 <> 10)"
 
 
-def log_lines(spark, sf, day=F.date_format):
-    """A log file: mostly queries, with other lines and unreadable ones among them."""
+def log_lines(spark, sf, faults=False):
+    """A log file: mostly queries, with other lines and unreadable ones among them.
+
+    With ``faults`` some requests are cut off, and some name a field that the index lacks.
+    """
     body = F.concat(
         F.lit('{"query":{"constant_score":{"filter":{"and":{"filters":[{"term":{"event_type":"'), "event_type",
-        F.lit('"}},{"range":{"ts":{"gte":"'), day("ts", "yyyy-MM-dd"),
+        F.lit('"}},{"range":{"ts":{"gte":"'), F.date_format("ts", "yyyy-MM-dd"),
         F.lit('"}}}]}}}},"facets":{"c":{"statistical":{"field":"value"}}}}'))
+    if faults:
+        part = F.col("event_id") % 11
+        body = F.when(part == 3, F.left(body, F.length(body) - 1)).when(part == 5, F.regexp_replace(body, '"event_type"', '"no_such"')).otherwise(body)
     millis = F.col("user_id") * 37 + F.col("event_id") % 1000
     line = F.concat(
         F.lit("["), F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit("][WARN ][index.search.slowlog.query] [node-"),
@@ -40,9 +46,9 @@ def log_lines(spark, sf, day=F.date_format):
     return table(spark, sf, "events").select(F.explode(F.array(line, other, F.lit(""))).alias("value"))
 
 
-def parsed_log(spark, sf, **body):
+def parsed_log(spark, sf, faults=False):
     path = work_dir(spark, "slowlog")
-    log_lines(spark, sf, **body).write.text(path)
+    log_lines(spark, sf, faults).write.text(path)
     return slowlog.parse(read_slowlog(spark, path))
 
 
@@ -103,20 +109,45 @@ def slowlog_replay(spark, sf):
     """Every distinct comparable request run again on the event table."""
     log = slowlog.usable(parsed_log(spark, sf))
     docs = table(spark, sf, "events")
-    return slowlog.replay(log, lambda index: docs)
+    return slowlog.replay(log, lambda index: docs).drop("reason")
+
+
+REQUESTS = f"""
+q AS (SELECT "index", query, count(*) AS logged, CAST(sum(took_millis) AS BIGINT) AS logged_millis,
+  any_value(split_part("index", '_count', 1)) AS t, min(date_trunc('day', ts)) AS d FROM {LOG}
+  WHERE search_type = 'QUERY_THEN_FETCH' GROUP BY 1, 2)"""
+FAULTY = f"""(SELECT * REPLACE (CASE event_id % 11 WHEN 3 THEN left(query, length(query) - 1)
+  WHEN 5 THEN replace(query, '"event_type"', '"no_such"') ELSE query END AS query) FROM {LOG})"""
 
 
 @query("slowlog_replay_facets", f"""
-WITH q AS (SELECT "index", regexp_replace(query, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', '2024-01-01') AS query,
-  took_millis, split_part("index", '_count', 1) AS t FROM {LOG} WHERE search_type = 'QUERY_THEN_FETCH'),
-l AS (SELECT "index", query, t, count(*) AS logged, CAST(sum(took_millis) AS BIGINT) AS logged_millis FROM q GROUP BY ALL)
+WITH {REQUESTS}
 SELECT "index", query, logged, logged_millis, 'c' AS facet,
-  (SELECT count(*) FROM events WHERE event_type = t AND ts >= TIMESTAMP '2024-01-01') AS count,
-  (SELECT CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) FROM events
-   WHERE event_type = t AND ts >= TIMESTAMP '2024-01-01') AS total FROM l""")
+  (SELECT count(*) FROM events e WHERE e.event_type = q.t AND e.ts >= q.d) AS count,
+  (SELECT CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) FROM events e WHERE e.event_type = q.t AND e.ts >= q.d) AS total FROM q""")
 def slowlog_replay_facets(spark, sf):
-    """The facets of every distinct comparable request, all requests on one day's range."""
-    log = slowlog.usable(parsed_log(spark, sf, day=lambda ts, form: F.lit("2024-01-01")))
+    """The facets of every distinct comparable request."""
+    log = slowlog.usable(parsed_log(spark, sf))
     docs = events(spark, sf)
     return slowlog.replay_facets(log, lambda index: docs).select(
         "index", "query", "logged", "logged_millis", "facet", "count", "total")
+
+
+@query("slowlog_replay_faults", f"""
+WITH q AS (SELECT "index", query, count(*) AS logged, any_value(split_part("index", '_count', 1)) AS t, min(date_trunc('day', ts)) AS d
+  FROM {FAULTY} WHERE search_type = 'QUERY_THEN_FETCH' AND event_id % 11 <> 3 GROUP BY 1, 2)
+SELECT "index", query, logged, contains(query, 'no_such') AS refused,
+  CASE WHEN NOT contains(query, 'no_such') THEN (SELECT count(*) FROM events e WHERE e.event_type = q.t AND e.ts >= q.d) END AS hits FROM q""")
+def slowlog_replay_faults(spark, sf):
+    """Requests that cannot be run are reported, and the others are run."""
+    log = slowlog.usable(parsed_log(spark, sf, faults=True))
+    docs = table(spark, sf, "events")
+    return slowlog.replay(log, lambda index: docs).select("index", "query", "logged", F.col("reason").isNotNull().alias("refused"), "hits")
+
+
+@query("slowlog_class_faults", f"""
+SELECT CASE WHEN event_id % 11 = 3 THEN 'malformed' WHEN search_type = 'QUERY_THEN_FETCH' THEN 'ok' ELSE 'other search type' END AS status,
+  count(*) AS lines FROM {FAULTY} GROUP BY 1""")
+def slowlog_class_faults(spark, sf):
+    log = slowlog.classify(slowlog.usable(parsed_log(spark, sf, faults=True)))
+    return log.groupBy("status").agg(F.count("*").alias("lines"))

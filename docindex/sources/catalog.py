@@ -3,25 +3,27 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docindex.functions.records import members
-from docindex.locator import Locator
+from docindex.locator import ALL_INDICES, Locator
 
 REJECTED = "rejected"
 
 
 @dataclass(frozen=True)
 class Segment:
-    """One directory of documents: the rows of one batch in one index and type."""
+    """One directory of documents: what one write of one batch put in one index and type."""
 
     index: str
     type: str
     kind: str
     batch: int
+    writer: str
 
 
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
@@ -35,13 +37,20 @@ def segments(spark: SparkSession, root: str, locator: Locator | str = "es://_all
     """Directories in the locator's scope; only names are listed, no data is read."""
     loc = Locator.of(locator)
     found = {}
-    for path in glob_paths(spark, f"{root}/_index=*/_type=*/_kind=*/_batch=*"):
-        names = [unquote(p.partition("=")[2]) for p in path.rstrip("/").split("/")[-4:]]
+    for path in glob_paths(spark, f"{root}/_index={_either(loc.indices)}/_type={_either(loc.types)}/_kind=*/_batch=*/_writer=*"):
+        names = [unquote(p.partition("=")[2]) for p in path.rstrip("/").split("/")[-5:]]
         if loc.covers(names[0], names[1]):
-            found[Segment(names[0], names[1], names[2], int(names[3]))] = path
+            found[Segment(names[0], names[1], names[2], int(names[3]), names[4])] = path
     return found
 
 
+def _either(names: tuple[str, ...]) -> str:
+    """A path pattern for some names; for all where a name needs more than a pattern can say."""
+    if not names or names == (ALL_INDICES,) or not all(re.fullmatch(r"[\w.\-]+\*?", n) for n in names):
+        return "*"
+    return "{" + ",".join(names) + "}"
+
+
 def list_indices(spark: SparkSession, root: str) -> list[str]:
     """Sorted names of the indices that hold documents."""
     return sorted({s.index for s in segments(spark, root) if s.kind != REJECTED})
@@ -69,17 +78,18 @@ def put_mapping(spark: SparkSession, root: str, index: str, doc_type: str, mappi
     dump_mapping(spark, named, f"{root}/_mappings/{index}/{doc_type}")
 
 
-def get_mappings(spark: SparkSession, root: str) -> dict[tuple[str, str], dict]:
-    """All mappings of a root by (index, type), in one read of their small files."""
-    if not glob_paths(spark, f"{root}/_mappings"):
+def get_mappings(spark: SparkSession, root: str, locator: Locator | str = "es://_all") -> dict[tuple[str, str], dict]:
+    """The mappings in scope by (index, type), in one read of their small files."""
+    loc = Locator.of(locator)
+    pattern = f"{root}/_mappings/{_either(loc.indices)}/{_either(loc.types)}"
+    if not glob_paths(spark, pattern):
         return {}
-    lines = spark.read.text(f"{root}/_mappings/*/*").collect()
-    named = [json.loads(r["value"]) for r in lines]
-    return {(m["index"], m["type"]): m["mapping"] for m in named}
+    named = [json.loads(r["value"]) for r in spark.read.text(pattern).collect()]
+    return {(m["index"], m["type"]): m["mapping"] for m in named if loc.covers(m["index"], m["type"])}
 
 
 def get_mapping(spark: SparkSession, root: str, index: str, doc_type: str) -> dict | None:
-    return get_mappings(spark, root).get((index, doc_type))
+    return get_mappings(spark, root, Locator((index,), (doc_type,))).get((index, doc_type))
 
 
 def observed_mapping(docs: DataFrame, source: str = "_source") -> DataFrame:

@@ -1,18 +1,23 @@
 """Index tables: documents written to and read from partitioned Parquet.
 
-Layout below a root: ``_index=/_type=/_kind=/_batch=``. A write only appends
-one batch and needs no shuffle unless a layout option asks for one. ``_kind``
-says what a reader must do with a directory:
+Layout below a root: ``_index=/_type=/_kind=/_batch=/_writer=``. A write only appends
+one batch and needs no shuffle unless a layout option asks for one. ``_batch`` gives the
+order of writes, ``_writer`` names the write itself, so no write touches another's
+files. ``_kind`` says what a reader must do with a directory:
 
 * ``unique``   ids were assigned here (or the index was compacted): no id repeats
 * ``given``    the caller chose the ids, so a later document may replace one
 * ``rejected`` rows that could not become documents, with their reason
 
-An index that holds only ``unique`` rows is read without any shuffle.
+An index that holds only ``unique`` rows is read without any shuffle. For ``given``
+ids a write also notes, in ``_repeats/``, the ids that it holds more than once, which
+are few as a rule. A read leaves out what that note, or a later batch, replaced: an
+anti join by id alone, below which filters reach the files and documents stay in place.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
@@ -31,7 +36,7 @@ from docindex.sources import catalog
 DEFAULT_INDEX = "hadoop"
 DEFAULT_TYPE = "streaming_record"
 
-PARTITIONING = ("_index", "_type", "_kind", "_batch")
+PARTITIONING = ("_index", "_type", "_kind", "_batch", "_writer")
 STORED = T.StructType([
     T.StructField("_id", T.StringType()),
     T.StructField("_routing", T.StringType()),
@@ -45,9 +50,16 @@ PARTITION_COLUMNS = T.StructType([
     T.StructField("_type", T.StringType()),
     T.StructField("_kind", T.StringType()),
     T.StructField("_batch", T.LongType()),
+    T.StructField("_writer", T.StringType()),
+])
+# Where a document stands in the order of all writes.
+AGE = ("_batch", "_writer", "_seq")
+REPEATS = T.StructType([
+    T.StructField("_index", T.StringType()), T.StructField("_type", T.StringType()), T.StructField("_id", T.StringType()),
+    T.StructField("_batch", T.LongType()), T.StructField("_writer", T.StringType()), T.StructField("_seq", T.LongType()),
 ])
 RESERVED = set(STORED.names) | set(PARTITION_COLUMNS.names)
-DOCUMENT = ["_index", "_type", "_id", "_routing", "_shard", "_batch", "_seq", "_source"]
+DOCUMENT = ["_index", "_type", "_id", "_routing", "_shard", "_batch", "_writer", "_seq", "_source"]
 
 
 @dataclass(frozen=True)
@@ -175,34 +187,57 @@ def write_documents(
     root: str,
     mapping: dict | None = None,
     batch: int | None = None,
-    replace_batch: bool = False,
+    writer: str | None = None,
     replace_target: tuple[str, str] | None = None,
     shards: int | None = None,
     salt: int = 1,
     rebalance: bool = False,
     bulk_size: int | None = None,
     rejects: str | None = None,
+    targets: list[tuple[str, str]] | None = None,
 ) -> WriteResult:
     """Add documents to their indices as one batch.
 
+    ``mapping``    of all documents; without it each target's stored mapping is used
+    ``writer``     a name for this write: repeating it replaces its earlier attempt,
+                   in the same place of the order, and nothing else
     ``shards``     place rows by routing value; ``salt`` spreads one busy routing
                    value over several tasks without changing its shard number
     ``rebalance``  one shuffle by target, split and merged by size, for few large
                    files; without it each task writes a file per target it meets
     ``bulk_size``  at most this many documents per file
-    ``replace_batch``  a repeated batch replaces its earlier attempt
     ``replace_target`` the one (index, type) of all documents, whose earlier ones go;
                    the documents must not be read from there
     ``rejects``    also write the rejected lines as JSON to this path
+    ``targets``    the only targets that documents name, if known
     """
     spark = docs.sparkSession
+    held = catalog.segments(spark, root)
+    again = {s.batch for s in held if s.writer == writer}
     if batch is None:
-        batch = 1 + max((s.batch for s in catalog.segments(spark, root)), default=0)
-    rows = _numbered(docs, batch, str(batch) if replace_batch else uuid.uuid4().hex, mapping)
-    if shards:
-        rows = _placed(rows, shards, salt)
-    elif rebalance:
-        rows = rows.hint("rebalance", "_index", "_type")
+        batch = again.pop() if again else 1 + max((s.batch for s in held), default=0)
+    name = writer or uuid.uuid4().hex
+    parts = [[(None, mapping)]] if mapping is not None else _mapped_parts(spark, root, targets)
+    started = time.monotonic()
+    numbers = []
+    for k, part in enumerate(parts):
+        # Documents of targets with differing types of one field go to files of their own.
+        some = docs if len(parts) == 1 else docs.where(_in_part(parts, k))
+        rows = _numbered(some, batch, name, part)
+        if shards:
+            rows = _placed(rows, shards, salt)
+        elif rebalance:
+            rows = rows.hint("rebalance", "_index", "_type")
+        numbers.append(_written(rows, root, writer is not None, replace_target, bulk_size))
+    done = WriteResult(batch=batch, seconds=time.monotonic() - started, **{c: sum(n[c] for n in numbers) for c in ("records", "bytes", "rejected")})
+    if any(n["given"] for n in numbers):
+        _note_repeats(spark, root, batch, name)
+    if rejects is not None and done.rejected:
+        read_rejects(spark, root, batch=batch).write.mode("append").json(rejects)
+    return done
+
+
+def _written(rows: DataFrame, root: str, own_again: bool, replace_target: tuple[str, str] | None, bulk_size: int | None) -> dict[str, int]:
     seen = Observation("write")
     ok = F.col("_kind") != catalog.REJECTED
     rows = rows.observe(
@@ -210,22 +245,64 @@ def write_documents(
         F.count(F.when(ok, 1)).alias("records"),
         F.coalesce(F.sum(F.when(ok, F.octet_length("_source"))), F.lit(0)).alias("bytes"),
         F.count(F.when(~ok, 1)).alias("rejected"),
+        F.count(F.when(F.col("_kind") == "given", 1)).alias("given"),
     )
     path, layout = root, list(PARTITIONING)
     if replace_target:
         rows = rows.drop("_index", "_type")
         path, layout = "{}/_index={}/_type={}".format(root, *replace_target), layout[2:]
-    writer = rows.write.mode("overwrite" if replace_batch or replace_target else "append")
-    if replace_batch or replace_target:
-        writer = writer.option("partitionOverwriteMode", "static" if replace_target else "dynamic")
+    out = rows.write.mode("overwrite" if own_again or replace_target else "append")
+    if own_again or replace_target:
+        out = out.option("partitionOverwriteMode", "static" if replace_target else "dynamic")
     if bulk_size:
-        writer = writer.option("maxRecordsPerFile", bulk_size)
-    started = time.monotonic()
-    writer.partitionBy(*layout).parquet(path)
-    done = WriteResult(batch=batch, seconds=time.monotonic() - started, **seen.get)
-    if rejects is not None and done.rejected:
-        read_rejects(spark, root, batch=batch).write.mode("append").json(rejects)
-    return done
+        out = out.option("maxRecordsPerFile", bulk_size)
+    out.partitionBy(*layout).parquet(path)
+    return seen.get
+
+
+def _note_repeats(spark: SparkSession, root: str, batch: int, writer: str) -> None:
+    """Write the ids that one write holds more than once, with the place of the last.
+
+    Only the ids are read; each task counts its own first, so a busy id is one row per task.
+    """
+    paths = [p for s, p in catalog.segments(spark, root).items() if (s.kind, s.batch, s.writer) == ("given", batch, writer)]
+    repeats = (
+        _scan(spark, root, T.StructType([]), paths).groupBy("_index", "_type", "_id", "_batch", "_writer")
+        .agg(F.max("_seq").alias("_seq"), F.count("*").alias("_n")).where("_n > 1").select(*REPEATS.names)
+    )
+    repeats.write.mode("overwrite").parquet(f"{root}/_repeats/{batch}-{writer}")
+
+
+def _mapped_parts(spark: SparkSession, root: str, targets: list[tuple[str, str]] | None) -> list[list[tuple]]:
+    """Stored mappings as lists of (targets, mapping), split so that a field has one type in each list."""
+    known = {t: m for t, m in catalog.get_mappings(spark, root).items() if targets is None or t in targets}
+    alike: dict[str, tuple[list, dict]] = {}
+    for target, mapping in sorted(known.items()):
+        alike.setdefault(json.dumps(mapping, sort_keys=True), ([], mapping))[0].append(target)
+    parts: list[tuple[dict, list]] = []
+    for entry in alike.values():
+        fields = {f.name: f.dataType for f in mapping_to_struct(entry[1]).fields}
+        for types, entries in parts:
+            if all(types.get(n, t) == t for n, t in fields.items()):
+                types.update(fields)
+                entries.append(entry)
+                break
+        else:
+            parts.append((fields, [entry]))
+    return [entries for _, entries in parts] or [[]]
+
+
+def _is_target(targets: list[tuple[str, str]]) -> Column:
+    by_type: dict[str, list[str]] = {}
+    for index, doc_type in targets:
+        by_type.setdefault(doc_type, []).append(index)
+    return reduce(lambda a, b: a | b, [(F.col("_type") == t) & F.col("_index").isin(i) for t, i in by_type.items()])
+
+
+def _in_part(parts: list[list[tuple]], k: int) -> Column:
+    """Documents of a part's targets; those without any mapping belong to the first."""
+    own = [_is_target([t for targets, _ in part for t in targets]) for part in parts]
+    return own[k] if k else ~reduce(lambda a, b: a | b, own[1:])
 
 
 def write_records(
@@ -243,7 +320,7 @@ def write_records(
     """Store rows in one index and type, creating it when absent.
 
     The locator's ``id`` option names the id column, ``json=true`` says that the
-    first column holds documents, ``size`` is the number of documents per file.
+    first column holds documents. ``size`` is accepted; bytes decide the files.
     """
     loc = Locator.of(locator)
     spark = df.sparkSession
@@ -256,14 +333,12 @@ def write_records(
         docs = record_documents(df, loc, id_field, id_pos, as_text, routing_field)
         if mapping is None and not as_text:
             mapping = struct_to_mapping(df.schema)
-    if "size" in loc.options:
-        layout.setdefault("bulk_size", int(loc.option("size")))
     if mapping is not None:
         if mode != "overwrite":
             mapping = merged(catalog.get_mapping(spark, root, *loc.target), mapping)
         catalog.put_mapping(spark, root, *loc.target, mapping)
     target = loc.target if mode == "overwrite" else None
-    return write_documents(docs, root, mapping=mapping, replace_target=target, **layout)
+    return write_documents(docs, root, mapping=mapping, replace_target=target, targets=[loc.target], **layout)
 
 
 def _prepare(spark: SparkSession, root: str, loc: Locator, mode: str) -> bool:
@@ -280,40 +355,51 @@ def _prepare(spark: SparkSession, root: str, loc: Locator, mode: str) -> bool:
     return False
 
 
-def _numbered(docs: DataFrame, batch: int, write: str, mapping: dict | None) -> DataFrame:
-    """Sequence numbers, assigned ids and the typed columns of the mapping.
+def _numbered(docs: DataFrame, batch: int, writer: str, mappings: list[tuple]) -> DataFrame:
+    """Sequence numbers, assigned ids and the typed columns of each target's mapping.
 
     The sequence number is task number and row number in the task. An assigned
     id is a digest of it and of the write's own name, which is fixed before the
     job starts, so a repeated task gives the same ids again.
     """
     rows = docs.withColumn("_seq", F.monotonically_increasing_id())
-    digest = F.sha2(F.concat_ws("|", F.lit(write), F.col("_seq"), F.col("_source")), 256)
+    digest = F.sha2(F.concat_ws("|", F.lit(writer), F.col("_seq"), F.col("_source")), 256)
     kind = (
         F.when(F.col("_reason").isNotNull(), F.lit(catalog.REJECTED))
         .when(F.col("_id").isNull(), F.lit("unique"))
         .otherwise(F.lit("given"))
     )
-    typed = []
-    if mapping is not None:
+    routing = F.col("_routing")
+    typed: dict[str, list[tuple[Column | None, Column]]] = {}
+    for targets, mapping in mappings:
         struct = mapping_to_struct(mapping)
         have = set(docs.columns)
         parsed = {} if have.issuperset(struct.names) else dict(
             zip(struct.names, typed_columns(F.col("_source"), mapping)))
-        typed = [
-            (F.col(records._q(f.name)).cast(f.dataType) if f.name in have else parsed[f.name]).alias(f.name)
-            for f in struct.fields
-        ]
-    routing, path = F.col("_routing"), routing_path(mapping or {})
-    if path is not None:
-        routing = F.coalesce(routing, records.field_of(F.col("_source"), path))
+        here = None if targets is None else _is_target(targets)
+        for f in struct.fields:
+            value = F.col(records._q(f.name)).cast(f.dataType) if f.name in have else parsed[f.name]
+            typed.setdefault(f.name, []).append((here, value))
+        path = routing_path(mapping)
+        if path is not None:
+            named = records.field_of(F.col("_source"), path)
+            routing = F.coalesce(routing, named if here is None else F.when(here, named))
+    columns = [_chosen(choices).alias(name) for name, choices in typed.items()]
     return rows.select(
         F.coalesce("_id", digest).alias("_id"), routing.alias("_routing"), F.lit(None).cast("int").alias("_shard"), "_seq",
-        "_source", "_reason", *typed,
-        "_index", "_type", kind.alias("_kind"), F.lit(batch).cast("long").alias("_batch"),
+        "_source", "_reason", *columns,
+        "_index", "_type", kind.alias("_kind"), F.lit(batch).cast("long").alias("_batch"), F.lit(writer).alias("_writer"),
     )
 
 
+def _chosen(choices: list[tuple[Column | None, Column]]) -> Column:
+    """The value of the one mapping that a document's target has."""
+    if choices[0][0] is None:
+        return choices[0][1]
+    first, *rest = choices
+    return reduce(lambda column, c: column.when(*c), rest, F.when(*first))
+
+
 def shard_of(routing: Column, doc_id: Column, shards: int) -> Column:
     """Shard number of a document; the id routes it where it names no routing value."""
     return F.pmod(F.xxhash64(F.coalesce(routing, doc_id)), F.lit(shards)).cast("int")
@@ -323,8 +409,9 @@ def _placed(rows: DataFrame, shards: int, salt: int) -> DataFrame:
     rows = rows.withColumn("_shard", shard_of(F.col("_routing"), F.col("_id"), shards))
     if salt <= 1:
         return rows.hint("rebalance", "_shard")
-    spread = F.pmod(F.xxhash64("_id"), F.lit(salt))
-    return rows.repartition(shards * salt, "_shard", spread)
+    # Bytes decide the number of tasks, however many shards there are.
+    rows = rows.withColumn("_spread", F.pmod(F.xxhash64("_id"), F.lit(salt)))
+    return rows.hint("rebalance", "_shard", "_spread").drop("_spread")
 
 
 def bulk_requests(docs: DataFrame, bulk_size: int = 1000) -> DataFrame:
@@ -366,51 +453,72 @@ def read_index(
     """
     loc = Locator.of(locator)
     found = {s: p for s, p in catalog.segments(spark, root, loc).items() if s.kind != catalog.REJECTED}
-    mappings = catalog.get_mappings(spark, root)
+    mappings = catalog.get_mappings(spark, root, loc)
     targets = {(s.index, s.type) for s in found}
-    typed = _typed_schema([mappings[t] for t in sorted(targets & mappings.keys())])
+    typed, differing = _typed_schema([mappings[t] for t in sorted(targets & mappings.keys())])
     docs = _scan(spark, root, typed, list(found.values())) if versions else _current(spark, root, typed, found)
     docs = docs.select(*DOCUMENT, *typed.names)
     q = q if q is not None else loc.option("q")
+
+    def named(name: str) -> Column:
+        if name in differing:
+            raise ValueError(f"field {name!r} has several types in this scope; read the indices one by one")
+        return _field(typed, name)
+
     if q not in ("", "*"):
-        texts = _text_columns(typed, targets <= mappings.keys())
-        docs = docs.where(query_string(q, texts, lambda name: _field(typed, name)))
+        texts = _text_columns(typed, targets <= mappings.keys() and not differing)
+        docs = docs.where(query_string(q, texts, named))
     if query is not None:
+        for name in differing & _names_in(query):
+            named(name)
         docs = docs.where(compile_filter(query, docs.schema))
     if tasks is None and "tasks" in loc.options:
         tasks = int(loc.option("tasks"))
-    return docs if tasks is None else docs.repartition(tasks)
+    # At most so many tasks, made of whole input splits; no document is moved for it.
+    return docs if tasks is None else docs.coalesce(tasks)
+
+
+def _names_in(query) -> set[str]:
+    """Every name and text in a query's JSON."""
+    if isinstance(query, dict):
+        return set(query) | {n for v in query.values() for n in _names_in(v)}
+    if isinstance(query, list | tuple):
+        return {n for v in query for n in _names_in(v)}
+    return {query} if isinstance(query, str) else set()
 
 
 def _current(
     spark: SparkSession, root: str, typed: T.StructType, found: dict[catalog.Segment, str]
 ) -> DataFrame:
-    """The newest document of every id, shuffling as little as the directories allow.
+    """The newest document of every id.
 
-    Targets without given ids hold each id once. In the others, rows older than
-    the first given id hold each id once among themselves, so they only lose
-    those that a later write replaced; a small later write is broadcast.
+    Documents lose those that were written again, by an anti join on the id. Its
+    other side holds ids only: those that a write noted as repeated in itself,
+    and those of batches that follow another batch of their target. It is small,
+    and then broadcast, unless later writes were large.
     """
-    first_given: dict[tuple[str, str], int] = {}
+    docs = _scan(spark, root, typed, list(found.values()))
+    given = [s for s in found if s.kind == "given"]
+    if not given:
+        return docs
+    first: dict[tuple[str, str], tuple] = {}
     for s in found:
-        if s.kind == "given":
-            target = (s.index, s.type)
-            first_given[target] = min(s.batch, first_given.get(target, s.batch))
-    once, older, newer = [], [], []
-    for s, path in found.items():
-        first = first_given.get((s.index, s.type))
-        (once if first is None else older if s.batch < first else newer).append(path)
-    frames = []
-    if once or not found:
-        frames.append(_scan(spark, root, typed, once))
-    if newer:
-        later = _scan(spark, root, typed, newer)
-        if older:
-            ids = ["_index", "_type", "_id"]
-            replaced = later.select(*ids).distinct()
-            frames.append(_scan(spark, root, typed, older).join(replaced, ids, "left_anti"))
-        frames.append(latest(later))
-    return reduce(DataFrame.unionByName, frames)
+        target = (s.index, s.type)
+        first[target] = min((s.batch, s.writer), first.get(target, (s.batch, s.writer)))
+    noted = {p.rstrip("/").rpartition("/")[2]: p for p in catalog.glob_paths(spark, f"{root}/_repeats/*")}
+    note = {s: noted.get(f"{s.batch}-{s.writer}") for s in given}
+    later = [p for s, p in found.items() if s in note and (note[s] is None or (s.batch, s.writer) > first[s.index, s.type])]
+    newest = F.struct(*AGE)
+    sides = []
+    if later:
+        ids = _scan(spark, root, T.StructType([]), later).groupBy("_index", "_type", "_id").agg(F.max(newest).alias("_newest"))
+        sides.append(ids)
+    notes = sorted({p for p in note.values() if p is not None})
+    if notes:
+        sides.append(spark.read.schema(REPEATS).parquet(*notes).select("_index", "_type", "_id", newest.alias("_newest")))
+    gone = reduce(DataFrame.unionByName, sides).withColumnsRenamed({"_index": "_i", "_type": "_t", "_id": "_d"})
+    same = (F.col("_index") == F.col("_i")) & (F.col("_type") == F.col("_t")) & (F.col("_id") == F.col("_d"))
+    return docs.join(gone, same & (newest < F.col("_newest")), "left_anti")
 
 
 def load(spark: SparkSession, root: str, locator: Locator | str, **options) -> DataFrame:
@@ -420,12 +528,12 @@ def load(spark: SparkSession, root: str, locator: Locator | str, **options) -> D
 
 
 def latest(docs: DataFrame) -> DataFrame:
-    """The newest document of every id: highest batch, then highest sequence number.
+    """The newest document of every id among several versions: highest batch, then highest sequence number.
 
     Each task keeps one row per id before the shuffle, so an id that was
     written millions of times sends one row per task.
     """
-    newest = Window.partitionBy("_index", "_type", "_id").orderBy(F.desc("_batch"), F.desc("_seq"))
+    newest = Window.partitionBy("_index", "_type", "_id").orderBy(*map(F.desc, AGE))
     return docs.withColumn("_age", F.row_number().over(newest)).where("_age = 1").drop("_age")
 
 
@@ -450,7 +558,7 @@ def compact(
     newest = max((s.batch for s in found), default=0)
     rows = docs.select(
         "_id", "_routing", "_shard", "_seq", "_source", _null().alias("_reason"), *typed,
-        "_index", "_type", F.lit("unique").alias("_kind"), F.lit(newest).cast("long").alias("_batch"),
+        "_index", "_type", F.lit("unique").alias("_kind"), F.lit(newest).cast("long").alias("_batch"), F.lit("compact").alias("_writer"),
     ).hint("rebalance", "_index", "_type")
     rows.write.mode("errorifexists").partitionBy(*PARTITIONING).parquet(target_root)
     kept = {(s.index, s.type) for s in found}
@@ -466,14 +574,15 @@ def _scan(spark: SparkSession, root: str, typed: T.StructType, paths: list[str])
     return spark.read.schema(schema).option("basePath", root).parquet(*sorted(paths))
 
 
-def _typed_schema(mappings: list[dict]) -> T.StructType:
-    """Columns of all mappings in scope; one name must have one type."""
+def _typed_schema(mappings: list[dict]) -> tuple[T.StructType, set[str]]:
+    """Columns of all mappings in scope, and the names that have several types there."""
     fields: dict[str, T.StructField] = {}
+    differing = set()
     for mapping in mappings:
         for f in mapping_to_struct(mapping).fields:
             if fields.setdefault(f.name, f).dataType != f.dataType:
-                raise ValueError(f"field {f.name!r} has several types in this scope; read the indices one by one")
-    return T.StructType(list(fields.values()))
+                differing.add(f.name)
+    return T.StructType([f for n, f in fields.items() if n not in differing]), differing
 
 
 def _text_columns(typed: T.StructType, all_mapped: bool) -> list[Column]:
@@ -486,5 +595,11 @@ def _text_columns(typed: T.StructType, all_mapped: bool) -> list[Column]:
 
 
 def _field(typed: T.StructType, name: str) -> Column:
-    """A mapped field's column, or the member of the raw document."""
-    return F.col(records._q(name)) if name in typed.names else records.field_of(F.col("_source"), name)
+    """A mapped field's column, or the member of the raw document; dots lead into objects."""
+    if name in typed.names:
+        return F.col(records._q(name))
+    first, *rest = name.split(".")
+    if rest and first in typed.names:
+        return reduce(lambda column, part: column[part], rest, F.col(records._q(first)))
+    path = "$" + "".join(f"['{part}']" for part in (first, *rest))
+    return F.coalesce(records.field_of(F.col("_source"), name), F.get_json_object("_source", path)) if rest else records.field_of(F.col("_source"), name)

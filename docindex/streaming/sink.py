@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,16 +17,17 @@ def index_stream(
     checkpoint: str,
     to_documents: Callable[[DataFrame], DataFrame],
     mapping: dict | None = None,
-    first_batch: int = 1,
 ) -> DataStreamWriter:
     """A stream writer that adds each micro-batch to its indices as one batch.
 
-    A micro-batch that is run again after a failure replaces its first attempt,
-    so documents arrive exactly once. Call ``.start()`` on the result.
+    A micro-batch is a write named by the stream's checkpoint and its own number.
+    Run again after a failure, it replaces its first attempt and nothing else, so
+    documents arrive exactly once beside any other loads and streams. Call
+    ``.start()`` on the result.
     """
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write(rows: DataFrame, epoch: int) -> None:
-        write_documents(
-            to_documents(rows), root, mapping=mapping, batch=first_batch + epoch, replace_batch=True)
+        write_documents(to_documents(rows), root, mapping=mapping, writer=f"{name}-{epoch}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

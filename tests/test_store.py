@@ -63,7 +63,8 @@ def test_an_id_with_most_of_the_rows(spark, root):
     assert docs.count() == rows.select("key").distinct().count()
     assert docs.where("key = 0").first()["n"] == 19998
     plan = docs._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    # Only ids are sorted out; the documents themselves stay where they were read.
+    assert not any("Exchange" in line and "_source" in line for line in plan.splitlines())
 
 
 def test_assigned_ids_need_no_shuffle_to_read(spark, root):
@@ -186,8 +187,10 @@ def test_any_target_name_comes_back(spark, root, name):
 def test_conflicting_types_are_reported(spark, root):
     write_records(people(spark), root, "es://a/t")
     write_records(people(spark).withColumn("key", F.col("key").cast("string")), root, "es://b/t")
-    with pytest.raises(ValueError):
-        read_index(spark, root, "es://_all")
+    assert read_index(spark, root, "es://_all").count() == 6
+    for options in ({"query": {"term": {"key": 1}}}, {"q": "key:1"}):
+        with pytest.raises(ValueError, match="several types"):
+            read_index(spark, root, "es://_all", **options)
     assert read_index(spark, root, "es://b").count() == 3
 
 
@@ -253,7 +256,7 @@ def test_bulk_requests(spark, root, tmp_path):
 def test_replaced_batch(spark, root):
     docs = json_documents(texts(spark, ['{"_id":1}', '{"_id":2}', '{"a":1}']), "es://i/t")
     for _ in range(2):
-        write_documents(docs, root, batch=4, replace_batch=True)
+        write_documents(docs, root, batch=4, writer="again")
     assert read_index(spark, root, "es://i/t", versions=True).count() == 3
 
 
@@ -339,3 +342,74 @@ def test_work_folder_is_shared_or_refused():
     assert work_dir(session("local[2]", None), "x")
     with pytest.raises(ValueError):
         work_dir(session("yarn", None), "x")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_reach_the_files_of_given_ids(spark, root):
+    rows = spark.range(2000).select(F.col("id").alias("key"), (F.col("id") % 7).cast("string").alias("kind"), F.lit("x" * 50).alias("pad"))
+    write_records(rows, root, "es://u/row?id=key")
+    write_records(rows.where("key < 30").withColumn("kind", F.lit("new")), root, "es://u/row?id=key")
+    found = read_index(spark, root, "es://u/row", query={"term": {"kind": "3"}})
+    assert sorted(int(r["_id"]) for r in found.select("_id").collect()) == [k for k in range(30, 2000) if k % 7 == 3]
+    assert read_index(spark, root, "es://u/row", query={"term": {"kind": "new"}}).count() == 30
+    plan = plan_of(found)
+    assert "EqualTo(kind,3)" in plan
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert read_index(spark, root, "es://u/row").count() == 2000
+
+
+def test_loads_without_a_note_of_repeats(spark, root):
+    """A write that broke off before its note still gives one document per id."""
+    import shutil
+
+    write_documents(json_documents(texts(spark, ['{"_id":1,"n":1}', '{"_id":1,"n":2}', '{"_id":2}']), "es://i/t"), root)
+    shutil.rmtree(f"{root}/_repeats")
+    docs = read_index(spark, root, "es://i/t").orderBy("_id").collect()
+    assert [(d["_id"], d["_source"]) for d in docs] == [("1", '{"_id":1,"n":2}'), ("2", '{"_id":2}')]
+
+
+def test_every_path_fills_the_typed_columns(spark, root, tmp_path):
+    rows = spark.range(4).select(F.col("id").alias("n"), F.lit("click").alias("kind"))
+    write_records(rows, root, "es://m/row")
+    other = spark.range(2).select(F.col("id").cast("string").alias("n"))
+    write_records(other, root, "es://o/row")
+    flow.write_output(texts(spark, ['{"n":10,"kind":"click"}', '{"n":"11","kind":"view","_index":"o","_mapping":"row"}', '{"z":1,"_index":"free"}']), "es://m/row", root)
+    write_records(texts(spark, ['{"n":"12","kind":"click"}']), root, "es://m/row?json=true")
+    write_records(spark.createDataFrame([(13, "click")], "n long, kind string"), root, "es://m/row", as_text=True)
+    found = read_index(spark, root, "es://m/row", query={"term": {"kind": "click"}})
+    assert sorted(r["n"] for r in found.collect()) == [0, 1, 2, 3, 10, 12, 13]
+    assert read_index(spark, root, "es://m/row", q="click").count() == 7
+    assert sorted(r["n"] for r in read_index(spark, root, "es://o/row").collect()) == ["0", "1", "11"]
+    # Both targets' types of n differ: only a query for n cannot say which it means.
+    assert load(spark, root, "es://_all").count() == 11
+    assert read_index(spark, root, "es://_all", query={"term": {"kind": "click"}}).count() == 7
+    with pytest.raises(ValueError, match="several types"):
+        read_index(spark, root, "es://_all", query={"term": {"n": 1}})
+
+
+def test_streams_and_loads_side_by_side(spark, root, tmp_path):
+    def load_some(k):
+        write_documents(json_documents(texts(spark, [f'{{"load":{k},"n":{n}}}' for n in range(5)]), "es://s/t"), root)
+
+    def stream(name):
+        texts(spark, [f'{{"stream":"{name}","n":{n}}}' for n in range(5)]).write.text(str(tmp_path / name))
+        lines = spark.readStream.schema("value string").format("text").load(str(tmp_path / name))
+        index_stream(lines, root, str(tmp_path / f"cp-{name}"), lambda df: json_documents(df, "es://s/t")).trigger(
+            availableNow=True).start().awaitTermination()
+
+    load_some(1)
+    stream("a")
+    load_some(2)
+    stream("b")
+    assert read_index(spark, root, "es://s/t").count() == 20
+
+
+def test_tasks_and_size_move_no_documents(spark, root):
+    write_records(spark.range(1000).repartition(4), root, "es://i/t?size=10")
+    files = [f for f in spark.read.parquet(root).inputFiles()]
+    assert len(files) == 4
+    docs = read_index(spark, root, "es://i/t?tasks=2")
+    assert docs.rdd.getNumPartitions() == 2 and "Exchange" not in plan_of(docs)
