@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Text form of time values inside a document: full precision, ISO-8601.
@@ -13,8 +10,6 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
-LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
-
 
 # -- record to document ------------------------------------------------------
 
@@ -64,47 +59,49 @@ def retyped(text: Column, schema: T.StructType | str) -> Column:
     return F.when(is_document(members(text)), F.to_json(compact(parsed, struct), JSON_OPTIONS))
 
 
-@F.pandas_udf(T.StringType())
-def compacted(text: pd.Series) -> pd.Series:
-    """The same for documents of unknown shape: null members, nulls in lists,
-    empty lists and whole numbers beyond 64 bits are left out.
-    """
-    return text.map(_compact_json, na_action="ignore")
+# Stand-ins for escaped backslashes and quotes, and the JSON escapes of the stand-ins themselves.
+BACKSLASH, QUOTE = "\uf8f0", "\uf8f1"
+# A text in quotes is a token that no replacement looks into.
+TOKEN = '"[^"]*+"'
 
 
-def _compact_json(line: str) -> str | None:
-    try:
-        value = _DECODER.raw_decode(line.lstrip())[0]
-        if not isinstance(value, dict):
-            return None
-        return json.dumps(_keep(value), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
-    except ValueError:
-        return None
+def compacted(text: Column) -> Column:
+    """The same for documents of unknown shape: null members, nulls in lists and
+    empty lists are left out. Everything else keeps its text, numbers of any size too.
 
+    Null where the text is no JSON object, or one in which a key occurs twice.
+    """
+    plain = F.replace(F.replace(text, F.lit(BACKSLASH), F.lit("\\uf8f0")), F.lit(QUOTE), F.lit("\\uf8f1"))
+    plain = F.replace(F.replace(plain, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
+    tight = _without(plain, r"\s++")
+    kept = _without(tight, rf'{TOKEN}:null(?:,|(?=\}}))', r"(?<=[\[,])null(?:,|(?=\]))")
+    kept = _without(kept, r",(?=[\]}])")
+    # A list of empty lists is empty after them: as many rounds as brackets open in a row.
+    rounds = F.coalesce(F.array_max(F.transform(F.regexp_extract_all(kept, F.lit(r"(\[+)")), F.length)), F.lit(0))
+    kept = F.when(rounds == 0, kept).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(rounds, F.lit(1))), kept, lambda t, _: _without_empty_lists(t)))
+    kept = F.replace(F.replace(kept, F.lit(QUOTE), F.lit('\\"')), F.lit(BACKSLASH), F.lit("\\\\"))
+    return F.when(is_document(members(text)) & _strict(tight), kept)
 
-def _members_once(pairs: list[tuple]) -> dict:
-    found = dict(pairs)
-    if len(found) < len(pairs):
-        raise ValueError("a key occurs twice")
-    return found
 
+def _without(text: Column, *patterns: str) -> Column:
+    """The text without the matches that stand outside its quoted texts."""
+    return F.regexp_replace(text, "|".join([*patterns, f"({TOKEN})"]), "$1")
 
-def _no_constant(name: str):
-    raise ValueError(f"{name} is not JSON")
 
+def _without_empty_lists(text: Column) -> Column:
+    emptied = _without(text, rf'{TOKEN}:\[\](?:,|(?=\}}))', r"(?<=[\[,])\[\](?:,|(?=\]))")
+    return _without(emptied, r",(?=[\]}])")
 
-_DECODER = json.JSONDecoder(object_pairs_hook=_members_once, parse_constant=_no_constant)
 
+def _strict(tight: Column) -> Column:
+    """One object and nothing after it, without the liberties that the parser allows."""
+    bare = F.regexp_replace(tight, TOKEN, "")
 
-def _keep(value):
-    if isinstance(value, dict):
-        members = ((k, _keep(v)) for k, v in value.items())
-        return {k: v for k, v in members if v is not None}
-    if isinstance(value, list):
-        return [v for v in map(_keep, value) if v is not None] or None
-    if isinstance(value, int) and not isinstance(value, bool) and not LONG_MIN <= value <= LONG_MAX:
-        return None
-    return value
+    def number(sign: str) -> Column:
+        return F.length(bare) - F.length(F.replace(bare, F.lit(sign), F.lit("")))
+
+    closed = ~bare.rlike(r"\}[^,\]}]") & bare.endswith("}")
+    return bare.rlike(r"^[\[\]{},:0-9eE+.\-truefalsn]*+$") & closed & (number("{") == number("}")) & (number("[") == number("]"))
 
 
 # -- reading documents -------------------------------------------------------

@@ -43,15 +43,15 @@ def term_hits(docs: DataFrame, text: str, words: DataFrame, per: str | None = No
     """For each word of a list, the number of documents that hold it: (word, hits).
 
     ``per`` counts per index as well; words without hits appear with 0 only in
-    the plain form. Words are counted before the list is joined, so neither a
-    common word nor a long list makes one task large.
+    the plain form. Only listed words are counted; a common one is counted in
+    every task first.
     """
     word = words.columns[0]
     listed = words.select(F.lower(F.col(word)).alias("word")).distinct()
     group = [per] if per else []
     words_of = F.array_distinct(F.split(F.lower(F.col(text)), WORD_BREAK))
-    found = docs.select(*group, F.explode(words_of).alias("word")).where("word <> ''")
+    found = docs.select(*group, F.explode(words_of).alias("word")).where("word <> ''").join(listed, "word", "left_semi")
     counts = found.groupBy(*group, "word").agg(F.count("*").alias("hits"))
     if per:
-        return counts.join(listed, "word", "left_semi").select(per, "word", "hits")
+        return counts.select(per, "word", "hits")
     return listed.join(counts, "word", "left").select("word", F.coalesce("hits", F.lit(0).cast("long")).alias("hits"))

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docindex.functions.text import query_words, tokens
-from docindex.workspace import materialise
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -21,25 +18,25 @@ def _occurrences(words: str, word: str) -> Column:
 def ranked_hits(df: DataFrame, doc_id: str, text: str, query: str, size: int = 10) -> DataFrame:
     """The best documents for any of the query's words: (doc_id, _score).
 
-    Each text is analysed once into a narrow table of lengths and word counts;
-    the collection's figures (documents, mean length, documents per word) are
-    one row of it, and only a top-k moves between tasks.
+    The collection's figures (documents, mean length, documents per word) are one
+    aggregated row that the plan reads as a value; nothing is written, and only a
+    top-k of the documents with a hit moves between tasks.
     """
     words = query_words(query)
     analysed = df.select(F.col(doc_id), tokens(F.col(text)).alias("_words"))
-    counted = materialise(analysed.select(
+    counted = analysed.select(
         doc_id, F.size("_words").alias("_length"),
         *[_occurrences("_words", x).alias(f"_tf{i}") for i, x in enumerate(words)],
-    ), "ranking")
-    figures = counted.agg(
+    )
+    figures = counted.agg(F.struct(
         F.count("*").alias("docs"), F.avg("_length").alias("mean_length"),
         *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(words))],
-    ).first()
+    ).alias("figures")).scalar()
     total, found = F.lit(0.0), F.lit(False)
     for i in range(len(words)):
         tf, having = F.col(f"_tf{i}"), figures[f"df{i}"]
-        idf = math.log(1 + (figures["docs"] - having + 0.5) / (having + 0.5))
-        length = (1 - B) + B * F.col("_length") / F.lit(figures["mean_length"])
+        idf = F.log(1 + (figures["docs"] - having + 0.5) / (having + 0.5))
+        length = (1 - B) + B * F.col("_length") / figures["mean_length"]
         total = total + F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * length)).otherwise(F.lit(0.0))
         found = found | (tf > 0)
     hits = counted.where(found).select(doc_id, total.alias("_score"))

@@ -61,20 +61,28 @@ def cardinality_approx(spark, sf):
     return profile.cardinality(events(spark, sf), ["event_type", "user_id", "value", "props"], approximate=True)
 
 
-@query("value_counts", """
-SELECT 'user_id' AS field, CAST(user_id AS VARCHAR) AS value, count(*) AS count FROM events GROUP BY 2
-UNION ALL SELECT 'event_type', event_type, count(*) FROM events GROUP BY 2
-UNION ALL SELECT 'props', props, count(*) FROM events GROUP BY 2""")
+# Every member of an event's document, as its text.
+MEMBERS = {
+    "event_id": "CAST(event_id AS VARCHAR)", "ts": "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')", "user_id": "CAST(user_id AS VARCHAR)",
+    "event_type": "event_type", "value": "CAST(CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) AS VARCHAR)", "props": "props",
+}
+
+
+def exact_documents(spark, sf):
+    """Whole events as raw documents, with the value as an exact number."""
+    return events(spark, sf).select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("_source"))
+
+
+@query("value_counts", " UNION ALL ".join(
+    f"SELECT '{name}' AS field, {text} AS value, count(*) AS count FROM events GROUP BY 2" for name, text in MEMBERS.items()))
 def value_counts(spark, sf):
-    return profile.value_counts(event_documents(spark, sf, "user_id", "event_type", "props"))
+    return profile.value_counts(exact_documents(spark, sf))
 
 
-@query("field_cardinality", """
-SELECT 'user_id' AS field, count(DISTINCT user_id) AS "values" FROM events
-UNION ALL SELECT 'event_type', count(DISTINCT event_type) FROM events
-UNION ALL SELECT 'ts', count(DISTINCT ts) FROM events""")
+@query("field_cardinality", " UNION ALL ".join(
+    f"""SELECT '{name}' AS field, count(DISTINCT {text}) AS "values" FROM events""" for name, text in MEMBERS.items()))
 def field_cardinality(spark, sf):
-    return profile.field_cardinality(event_documents(spark, sf, "user_id", "event_type", "ts"))
+    return profile.field_cardinality(exact_documents(spark, sf))
 
 
 WORDS = "regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+')"
@@ -143,24 +151,29 @@ def list_indices(spark, sf):
 
 @query("names", f"SELECT name FROM ({INDEX_NAMES}) ORDER BY name")
 def names(spark, sf):
-    """Sorted names from the documents."""
-    docs = read_index(spark, two_indices(spark, sf), "es://_all")
-    return docs.select(F.col("_index").alias("name")).distinct().orderBy("name")
+    """Sorted names; those of the directories, for an index is there if a document is."""
+    return catalog.names_frame(spark, catalog.list_indices(spark, two_indices(spark, sf)), "name").orderBy("name")
 
 
-@query("doc_types", "SELECT 'order' AS type_name UNION ALL SELECT 'customer'")
+@query("doc_types", "SELECT DISTINCT event_type AS type_name FROM events")
 def doc_types(spark, sf):
-    return catalog.names_frame(spark, catalog.list_types(spark, two_indices(spark, sf), "ord"), "type_name")
+    """The types that an index's documents named."""
+    root = work_dir(spark, "index")
+    lines = table(spark, sf, "events").select(F.to_json(F.struct(F.col("event_type").alias("_mapping"), "*")).alias("value"))
+    write_documents(json_documents(lines, "es://ev/event"), root)
+    write_records(table(spark, sf, "orders"), root, "es://ord/order")
+    return catalog.names_frame(spark, catalog.list_types(spark, root, "ev"), "type_name")
 
 
 @query("observed_mapping", """
-SELECT 'event_id' AS field, 'BIGINT' AS type FROM events WHERE event_id IS NOT NULL GROUP BY 1
-UNION ALL SELECT 'event_type', 'STRING' FROM events GROUP BY 1
+SELECT f AS field, 'STRING' AS type FROM events, (SELECT unnest(['event_type', 'ts', 'props']) AS f) GROUP BY 1
+UNION ALL SELECT f, 'BIGINT' FROM events, (SELECT unnest(['event_id', 'user_id', 'cents']) AS f) GROUP BY 1
 UNION ALL SELECT 'tags', 'ARRAY<BIGINT>' FROM events GROUP BY 1""")
 def observed_mapping(spark, sf):
     """Field types as the documents show them."""
+    cents = F.round(F.col("value") * 100).cast("long").alias("cents")
     return catalog.observed_mapping(
-        event_documents(spark, sf, "event_id", "event_type", F.array("user_id").alias("tags")))
+        event_documents(spark, sf, "event_id", "ts", "user_id", "event_type", "props", cents, F.array("user_id").alias("tags")))
 
 
 @query("catalog_fields", """
@@ -212,10 +225,9 @@ def alias_inversion(spark, sf):
 # -- order and rank ------------------------------------------------------------
 
 @query("sorted_docs", """
-SELECT o_orderkey, o_orderpriority, o_orderdate, o_totalprice FROM orders ORDER BY o_orderpriority, o_orderdate, o_orderkey""")
+SELECT * FROM orders ORDER BY o_orderpriority, o_orderdate, o_orderkey""")
 def sorted_docs(spark, sf):
-    df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
-    return sorted_documents(df, ["o_orderpriority", "o_orderdate", "o_orderkey"])
+    return sorted_documents(table(spark, sf, "orders"), ["o_orderpriority", "o_orderdate", "o_orderkey"])
 
 
 @query("page", """

@@ -8,7 +8,7 @@ from docindex import flow
 from docindex.functions.records import JSON_OPTIONS
 from docindex.mapping import struct_to_mapping, typed_view
 from docindex.operators.reports import batch_metrics
-from docindex.plans.common import Registry, index_of, table
+from docindex.plans.common import MONEY, Registry, index_of, table
 from docindex.sources import catalog, dump, files
 from docindex.sources.store import (
     bulk_requests, compact, export_bulk, json_documents, json_record_documents, read_index, read_rejects, write_documents, write_records,
@@ -432,20 +432,25 @@ def flow_files(spark, sf):
 
 
 @query("dump_console", """
-SELECT '(' || c_custkey || ',' || c_name || ',' || c_mktsegment || ')' AS line FROM customer""")
+SELECT '(' || c_custkey || ',' || c_name || ',' || c_nationkey || ',' || c_mktsegment || ',' || CAST(c_acctbal AS DECIMAL(18, 2)) || ')' AS line
+FROM customer""")
 def dump_console(spark, sf):
     """The lines that a dump to the console prints."""
-    return flow.printed(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"))
+    return flow.printed(table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.col("c_acctbal").cast(MONEY).alias("c_acctbal")))
 
 
 @query("write_metrics", """
 SELECT count(*) AS records, CAST(sum(octet_length(encode(
-  '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}'
+  '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '","o_totalprice":'
+  || CAST(o_totalprice AS DECIMAL(18, 2)) || ',"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f')
+  || '","o_orderpriority":"' || o_orderpriority || '"}'
 ))) AS BIGINT) AS bytes, 0::BIGINT AS rejected FROM orders""")
 def write_metrics(spark, sf):
     """What a load reports: items, bytes and rejected rows."""
     root = work_dir(spark, "index")
-    done = write_records(
-        table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), root, "es://ord/order")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast(MONEY).alias("o_totalprice"), "o_orderdate", "o_orderpriority")
+    done = write_records(orders, root, "es://ord/order")
     return spark.createDataFrame(
         [(done.records, done.bytes, done.rejected)], "records long, bytes long, rejected long")

@@ -30,9 +30,11 @@ def read_ndjson(spark: SparkSession, path: str, column: str = "data") -> DataFra
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a gzip dump. A gzip file is read by one task, so the rows are
-    spread by size right after the read."""
-    return spark.read.text(path).hint("rebalance")
+    """Lines of a gzip dump. A gzip file is read by one task, so the rows of a few
+    files are spread by size; those of many files are spread as they are."""
+    lines = spark.read.text(path)
+    few = len(lines.inputFiles()) < spark.sparkContext.defaultParallelism
+    return lines.hint("rebalance") if few else lines
 
 
 def read_slowlog(spark: SparkSession, path: str) -> DataFrame:
