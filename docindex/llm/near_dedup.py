@@ -3,8 +3,8 @@
 A text's shingles are its runs of five words, each labelled with how often the same
 run stood before it. Each of ``SKETCHES`` hash functions picks the ``PICKED`` labelled
 shingles with the least hashes and keeps them in text order; two texts get the same
-sketch with a probability that falls with their edit distance. Texts with a common
-sketch are candidates.
+sketch with a probability that falls with their edit distance. Texts with ``ALIKE``
+common sketches are candidates.
 
 A candidate pair is verified by alignment: the longest chain of labelled shingles that
 stand in both texts in the same order, inside the band of offsets that the threshold
@@ -13,10 +13,11 @@ leaves possible. Its length over the number of shingles in either text has to re
 
 Equal word sequences are one node from the start. In a bucket of equal sketches every
 node is compared with a leader, not with all others. Buckets that still hold nodes of
-different groups get other leaders in the next round, until a round links nothing. So a
-bucket costs comparisons in proportion to its nodes, whatever their number, and copies cost none.
-A link is missed only if the two texts share no sketch, or if they stay unlinked through
-every leader that they have in common.
+different groups get other leaders in the next round, where a node is compared with the
+leader that shares most sketches, until a round links nothing. So a bucket costs
+comparisons in proportion to its nodes, whatever their number, and copies cost none.
+A link is missed only if the two texts share fewer than ``ALIKE`` sketches (2 pairs in 1,000
+at the very threshold), or if they stay unlinked through every leader they have in common.
 
 Defined cases: a null text is empty; texts without words are one group; fewer than five
 words are one shingle. Of a group the row with the smallest id, then the smallest hash
@@ -39,9 +40,11 @@ from docindex.workspace import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES, PICKED = 14, 3
+SKETCHES, PICKED = 16, 3
+#: Equal sketches that make two texts candidates; at the least similarity 8 are to be expected.
+ALIKE = 3
 #: Leaders of a bucket in the first round, which links most, and in each later one.
-LEADERS = (1, 8)
+LEADERS = (1, 4)
 MEMORY = 600_000
 BATCH_TEXT = 4 << 20
 WORD = re.compile(r"\w+")
@@ -183,37 +186,59 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return min(len(a), len(b)) >= least and chain(a, b) >= least
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The labelled shingles of texts, in text order, as bytes."""
+    for batch in slices(batches, "text", BATCH_TEXT):
+        shingles, numbers = labelled(*HASHER.words(batch.column("text").to_pylist()))
+        raw, borders = shingles.tobytes(), np.concatenate([[0], 8 * np.cumsum(numbers)]).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array([raw[x:y] for x, y in zip(borders, borders[1:])], pa.binary())], names=["node", "form"]
+        )
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(slices(batches, "text_a", BATCH_TEXT), "text_b", BATCH_TEXT):
-        sides = []
-        for column in ("text_a", "text_b"):
-            shingles, numbers = labelled(*HASHER.words(batch.column(column).to_pylist()))
-            sides.append(np.split(shingles, np.cumsum(numbers)[:-1]))
-        good = pa.array([similar(a, b) for a, b in zip(*sides)], pa.bool_())
+    for batch in batches:
+        forms = zip(batch.column("form_a").to_pylist(), batch.column("form_b").to_pylist())
+        good = pa.array([similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in forms], pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
 
 
 def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (a, b), a < b, of each bucket's nodes with its leaders; of different groups where groups are known."""
+    """Pairs (node, leader, common) of each bucket's nodes with its leaders, of different groups.
+
+    ``common`` counts their equal sketches. Everything that a pair has to meet is
+    part of the join, so only candidates come out of it.
+    """
     nodes = buckets.withColumn("group", F.col("node")) if groups is None else buckets.join(groups, "node")
-    member = F.struct("node", "group", "shingles")
-    number = LEADERS[min(turn, 1)]
-    tops = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 64 + k)).alias("order"), member.alias("leader"))) for k in range(number)]
+    member = F.struct("node", "group", "shingles", "sketches")
+    # First the node with most neighbours, as the text that others are copies of; then any.
+    order = F.when(F.lit(turn == 0), -F.col("met")).otherwise(F.lit(0))
+    tops = [
+        F.min(F.struct(order.alias("order"), F.xxhash64("node", F.lit(turn * 64 + k)).alias("any"), member.alias("leader")))
+        for k in range(LEADERS[min(turn, 1)])
+    ]
     leaders = (
         nodes.groupBy("key").agg(F.array_distinct(F.array(*[t["leader"] for t in tops])).alias("tops"), F.min("group").alias("low"), F.max("group").alias("high"))
-        .where("low != high").select("key", F.explode("tops").alias("leader"))
+        .where("low != high").select(F.col("key").alias("at"), F.explode("tops").alias("leader"))
     )
     least, most = F.least("shingles", "leader.shingles"), F.greatest("shingles", "leader.shingles")
-    return (
-        nodes.join(leaders, "key").where((F.col("group") != F.col("leader.group")) & (least >= SIMILARITY * most))
-        .select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
-    )
+    common = F.size(F.array_intersect("sketches", "leader.sketches"))
+    fits = (F.col("group") != F.col("leader.group")) & (least >= SIMILARITY * most) & (common >= ALIKE)
+    return nodes.join(leaders, (F.col("key") == F.col("at")) & fits).select("node", F.col("leader.node").alias("leader"), common.alias("common"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "node", "leader", "common").distinct()
+
 
+def _best(pairs: DataFrame) -> DataFrame:
+    """Each node's pair with most equal sketches."""
+    return pairs.groupBy("node").agg(F.max(F.struct("common", "a", "b")).alias("top")).select("top.a", "top.b").distinct()
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, VERIFIED)
+
+def _verify(pairs: DataFrame, forms: DataFrame) -> DataFrame:
+    a, b = (forms.select(F.col("node").alias(c), F.col("form").alias(f"form_{c}")) for c in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "form_a", "form_b").mapInArrow(_verified, VERIFIED)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -245,21 +270,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "text_print")).alias("of"), F.first("shingles").alias("shingles"), F.first("sketches").alias("sketches")),
         "near-nodes",
     )
-    shared = nodes.select(F.explode("sketches").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = nodes.select("node", "shingles", F.explode("sketches").alias("key")).join(shared, "key", "left_semi")
-    buckets = materialise(buckets, "near-buckets")
+    shared = nodes.select(F.explode("sketches").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = nodes.select("node", F.explode("sketches").alias("key")).join(shared, "key")
+    met = buckets.groupBy("node").agg(F.sum("n").alias("met"), F.collect_list("key").alias("keys"))
+    # A node's keys come back from one row per node, at most SKETCHES of them.
+    buckets = materialise(
+        met.join(nodes, "node").select(F.explode("keys").alias("key"), "node", "shingles", "met", "sketches"), "near-buckets"
+    )
     known = buckets.select("node").distinct()
     of = nodes.join(known, "node", "left_semi").select("node", F.col("of.doc_id").alias("id"), F.col("of.text_print").alias("print"))
-    texts = materialise(
-        texts.join(of, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_print") == F.col("print"))).select("node", "text"), "near-texts"
-    )
+    named = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_print") == F.col("print"))
+    forms = materialise(texts.join(of, named).select("node", "text").mapInArrow(_shingled, "node binary, form binary"), "near-forms")
     turn, tried, groups = 0, None, None
     while True:
-        pairs = _pairs(buckets, groups, turn)
+        pairs = _ordered(_pairs(buckets, groups, turn))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "near-pairs")
-        found = materialise(_verify(pairs, texts), "near-found")
+        # The first round tests all its pairs, of which most are links; a later one each node's most promising.
+        pairs = materialise(pairs.select("a", "b").distinct() if groups is None else _best(pairs), "near-pairs")
+        found = materialise(_verify(pairs, forms), "near-found")
         if found.isEmpty():
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
