@@ -13,9 +13,8 @@ leaves possible. Its length over the number of shingles in either text has to re
 
 Equal word sequences are one node from the start. In a bucket of equal sketches every
 node is compared with a leader, not with all others. Buckets that still hold nodes of
-different groups get other leaders in the next round, where a node is compared with the
-leader that shares most sketches, until a round links nothing. So a bucket costs
-comparisons in proportion to its nodes, whatever their number, and copies cost none.
+different groups get other leaders in the next round, until a round links nothing. So a
+bucket costs comparisons in proportion to its nodes, whatever their number, and copies cost none.
 A link is missed only if the two texts share fewer than ``ALIKE`` sketches (2 pairs in 1,000
 at the very threshold), or if they stay unlinked through every leader they have in common.
 
@@ -44,7 +43,7 @@ SKETCHES, PICKED = 16, 3
 #: Equal sketches that make two texts candidates; at the least similarity 8 are to be expected.
 ALIKE = 3
 #: Leaders of a bucket in the first round, which links most, and in each later one.
-LEADERS = (1, 4)
+LEADERS = (1, 8)
 MEMORY = 600_000
 BATCH_TEXT = 4 << 20
 WORD = re.compile(r"\w+")
@@ -203,14 +202,17 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
 
 
-def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (node, leader, common) of each bucket's nodes with its leaders, of different groups.
+def _alike(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """Pairs with enough equal sketches."""
+    a, b = (signs.select(F.col("node").alias(c), F.col("sketches").alias(f"{c}_sketches")) for c in "ab")
+    common = F.size(F.array_intersect("a_sketches", "b_sketches"))
+    return pairs.join(a, "a").join(b, "b").where(common >= ALIKE).select("a", "b")
 
-    ``common`` counts their equal sketches. Everything that a pair has to meet is
-    part of the join, so only candidates come out of it.
-    """
+
+def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
+    """Pairs (a, b), a < b, of each bucket's nodes with its leaders; of different groups where groups are known."""
     nodes = buckets.withColumn("group", F.col("node")) if groups is None else buckets.join(groups, "node")
-    member = F.struct("node", "group", "shingles", "sketches")
+    member = F.struct("node", "group", "shingles")
     # First the node with most neighbours, as the text that others are copies of; then any.
     order = F.when(F.lit(turn == 0), -F.col("met")).otherwise(F.lit(0))
     tops = [
@@ -219,21 +221,13 @@ def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame
     ]
     leaders = (
         nodes.groupBy("key").agg(F.array_distinct(F.array(*[t["leader"] for t in tops])).alias("tops"), F.min("group").alias("low"), F.max("group").alias("high"))
-        .where("low != high").select(F.col("key").alias("at"), F.explode("tops").alias("leader"))
+        .where("low != high").select("key", F.explode("tops").alias("leader"))
     )
     least, most = F.least("shingles", "leader.shingles"), F.greatest("shingles", "leader.shingles")
-    common = F.size(F.array_intersect("sketches", "leader.sketches"))
-    fits = (F.col("group") != F.col("leader.group")) & (least >= SIMILARITY * most) & (common >= ALIKE)
-    return nodes.join(leaders, (F.col("key") == F.col("at")) & fits).select("node", F.col("leader.node").alias("leader"), common.alias("common"))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "node", "leader", "common").distinct()
-
-
-def _best(pairs: DataFrame) -> DataFrame:
-    """Each node's pair with most equal sketches."""
-    return pairs.groupBy("node").agg(F.max(F.struct("common", "a", "b")).alias("top")).select("top.a", "top.b").distinct()
+    return (
+        nodes.join(leaders, "key").where((F.col("group") != F.col("leader.group")) & (least >= SIMILARITY * most))
+        .select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    )
 
 
 def _verify(pairs: DataFrame, forms: DataFrame) -> DataFrame:
@@ -275,19 +269,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
     met = buckets.groupBy("node").agg(F.sum("n").alias("met"), F.collect_list("key").alias("keys"))
     # A node's keys come back from one row per node, at most SKETCHES of them.
     buckets = materialise(
-        met.join(nodes, "node").select(F.explode("keys").alias("key"), "node", "shingles", "met", "sketches"), "near-buckets"
+        met.join(nodes, "node").select(F.explode("keys").alias("key"), "node", "shingles", "met"), "near-buckets"
     )
     known = buckets.select("node").distinct()
+    signs = materialise(nodes.join(known, "node", "left_semi").select("node", "sketches"), "near-signs")
     of = nodes.join(known, "node", "left_semi").select("node", F.col("of.doc_id").alias("id"), F.col("of.text_print").alias("print"))
     named = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_print") == F.col("print"))
     forms = materialise(texts.join(of, named).select("node", "text").mapInArrow(_shingled, "node binary, form binary"), "near-forms")
     turn, tried, groups = 0, None, None
     while True:
-        pairs = _ordered(_pairs(buckets, groups, turn))
+        pairs = _pairs(buckets, groups, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        # The first round tests all its pairs, of which most are links; a later one each node's most promising.
-        pairs = materialise(pairs.select("a", "b").distinct() if groups is None else _best(pairs), "near-pairs")
+        pairs = materialise(_alike(pairs, signs), "near-pairs")
         found = materialise(_verify(pairs, forms), "near-found")
         if found.isEmpty():
             break
