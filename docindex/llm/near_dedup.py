@@ -11,12 +11,13 @@ stand in both texts in the same order, inside the band of offsets that the thres
 leaves possible. Its length over the number of shingles in either text has to reach
 ``SIMILARITY``.
 
-Equal word sequences are one node from the start. In a bucket of equal sketches every
-node is compared with a leader, not with all others. Buckets that still hold nodes of
-different groups get other leaders in the next round, until a round links nothing. So a
-bucket costs comparisons in proportion to its nodes, whatever their number, and copies cost none.
+Equal word sequences are one node from the start. While the buckets of equal sketches hold
+many open pairs, of nodes of different groups, every node is compared with a leader of its
+bucket: that joins large groups at a cost in proportion to their nodes. When few pairs are
+open, or a round no longer halves them, every candidate pair of different groups is tested
+once. So copies cost little, while a crowd of texts just below the threshold costs all its pairs.
 A link is missed only if the two texts share fewer than ``ALIKE`` sketches (2 pairs in 1,000
-at the very threshold), or if they stay unlinked through every leader they have in common.
+at the very threshold).
 
 Defined cases: a null text is empty; texts without words are one group; fewer than five
 words are one shingle. Of a group the row with the smallest id, then the smallest hash
@@ -44,6 +45,12 @@ SKETCHES, PICKED = 16, 3
 ALIKE = 3
 #: Leaders of a bucket in the first round, which links most, and in each later one.
 LEADERS = (1, 8)
+#: Open pairs for each row of the buckets up to which all are tested without leaders.
+OPEN = 64
+#: Nodes of one bucket that a task compares with all others of it.
+PART = 256
+#: Blocks of nodes whose pairs are verified together, at least, and the bytes of shingles in one.
+BLOCKS, BLOCK_BYTES = 32, 4 << 20
 MEMORY = 600_000
 BATCH_TEXT = 4 << 20
 WORD = re.compile(r"\w+")
@@ -180,6 +187,18 @@ def needed(a: int, b: int) -> int:
     return int(np.ceil(SIMILARITY * (a + b) / (1 + SIMILARITY) - 1e-9))
 
 
+def common(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Numbers of labelled shingles that a text shares with each of others, none of them empty.
+
+    >>> common(np.array([5, 1, 3]), [np.array([3, 4]), np.array([7]), np.array([1, 5])]).tolist()
+    [1, 0, 2]
+    """
+    a, lengths = np.sort(a), np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    same = a[np.minimum(np.searchsorted(a, flat), len(a) - 1)] == flat
+    return np.add.reduceat(same, np.cumsum(lengths) - lengths, dtype=np.int64)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     least = needed(len(a), len(b))
     return min(len(a), len(b)) >= least and chain(a, b) >= least
@@ -195,11 +214,32 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _linked(forms: dict[bytes, np.ndarray], a: bytes, others: list[bytes]) -> list[bytes]:
+    """Those of others that are similar to a."""
+    most = common(forms[a], [forms[b] for b in others])
+    enough = [b for b, n in zip(others, most.tolist()) if n >= needed(len(forms[a]), len(forms[b]))]
+    return [b for b in enough if similar(forms[a], forms[b])]
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of cells one after the other, each with its forms before its pairs: the similar pairs."""
+    cell, forms = None, {}
     for batch in batches:
-        forms = zip(batch.column("form_a").to_pylist(), batch.column("form_b").to_pylist())
-        good = pa.array([similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in forms], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], names=["a", "b"])
+        found: list[tuple[bytes, bytes]] = []
+        a_now, others = None, []
+        for c, a, b, form in zip(*(batch.column(x).to_pylist() for x in ("cell", "a", "b", "form"))):
+            if a != a_now or c != cell or b is None:
+                found += [(a_now, x) for x in _linked(forms, a_now, others)] if others else []
+                a_now, others = a, []
+            if c != cell:
+                cell, forms = c, {}
+            if b is None:
+                forms[a] = np.frombuffer(form, np.uint64)
+            else:
+                others.append(b)
+        found += [(a_now, x) for x in _linked(forms, a_now, others)] if others else []
+        a, b = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
 def _alike(pairs: DataFrame, signs: DataFrame) -> DataFrame:
@@ -230,9 +270,44 @@ def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame
     )
 
 
-def _verify(pairs: DataFrame, forms: DataFrame) -> DataFrame:
-    a, b = (forms.select(F.col("node").alias(c), F.col("form").alias(f"form_{c}")) for c in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "form_a", "form_b").mapInArrow(_verified, VERIFIED)
+def _open(members: DataFrame, groups: DataFrame | None) -> float:
+    """How many pairs of nodes of different groups the buckets hold; a pair counts in each bucket it shares."""
+    nodes = members.withColumn("group", F.col("node")) if groups is None else members.join(groups, "node")
+    sizes = nodes.select(F.explode("keys").alias("key"), "group").groupBy("key", "group").agg(F.count("*").cast("double").alias("n"))
+    each = sizes.groupBy("key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"))
+    return (each.agg(F.sum("pairs")).first()[0] or 0) / 2
+
+
+def _all_pairs(members: DataFrame, shared: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """All pairs (a, b), a < b, of different groups with enough equal sketches.
+
+    The nodes of a large bucket are dealt over parts, each of which meets the whole bucket.
+    A pair comes from the first bucket that both nodes are in.
+    """
+    nodes = members.withColumn("group", F.col("node")) if groups is None else members.join(groups, "node")
+    rows = nodes.withColumn("key", F.explode("keys")).join(shared, "key")
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    columns = ("node", "group", "shingles", "keys")
+    a = rows.select("key", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), *[F.col(c).alias(f"a_{c}") for c in columns])
+    b = rows.select("key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    least, most = F.least("a_shingles", "b_shingles"), F.greatest("a_shingles", "b_shingles")
+    both = F.array_intersect("a_keys", "b_keys")
+    fits = (F.col("a_node") < F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (least >= SIMILARITY * most)
+    return (
+        a.join(b, ["key", "part"]).where(fits & (F.get(both, F.lit(0)) == F.col("key")) & (F.size(both) >= ALIKE))
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    )
+
+
+def _verify(pairs: DataFrame, forms: DataFrame, blocks: int) -> DataFrame:
+    """Similar pairs. Nodes are dealt over blocks; two blocks make a cell, which gets each text once."""
+    a, b = (F.pmod(F.xxhash64(c), F.lit(blocks)) for c in "ab")
+    celled = pairs.select((F.least(a, b) * blocks + F.greatest(a, b)).alias("cell"), "a", "b")
+    node = F.explode(F.array("a", "b")).alias("node")
+    texts = celled.select("cell", node).distinct().join(forms, "node").select("cell", F.col("node").alias("a"), F.lit(None).cast("binary").alias("b"), "form")
+    rows = texts.unionByName(celled.withColumn("form", F.lit(None).cast("binary")))
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "cell").sortWithinPartitions("cell", F.col("b").isNotNull(), "a").mapInArrow(_verified, VERIFIED)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -264,27 +339,36 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "text_print")).alias("of"), F.first("shingles").alias("shingles"), F.first("sketches").alias("sketches")),
         "near-nodes",
     )
-    shared = nodes.select(F.explode("sketches").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = nodes.select("node", F.explode("sketches").alias("key")).join(shared, "key")
-    met = buckets.groupBy("node").agg(F.sum("n").alias("met"), F.collect_list("key").alias("keys"))
-    # A node's keys come back from one row per node, at most SKETCHES of them.
-    buckets = materialise(
-        met.join(nodes, "node").select(F.explode("keys").alias("key"), "node", "shingles", "met"), "near-buckets"
-    )
-    known = buckets.select("node").distinct()
+    shared = materialise(nodes.select(F.explode("sketches").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-shared")
+    met = nodes.select("node", F.explode("sketches").alias("key")).join(shared, "key")
+    met = met.groupBy("node").agg(F.sum("n").alias("met"), F.sort_array(F.collect_set("key")).alias("keys"))
+    # A node's keys come back in one row per node, at most SKETCHES of them.
+    members = materialise(met.join(nodes, "node").select("node", "shingles", "met", "keys"), "near-members")
+    buckets = members.select(F.explode("keys").alias("key"), "node", "shingles", "met")
+    known = members.select("node")
     signs = materialise(nodes.join(known, "node", "left_semi").select("node", "sketches"), "near-signs")
     of = nodes.join(known, "node", "left_semi").select("node", F.col("of.doc_id").alias("id"), F.col("of.text_print").alias("print"))
     named = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_print") == F.col("print"))
     forms = materialise(texts.join(of, named).select("node", "text").mapInArrow(_shingled, "node binary, form binary"), "near-forms")
-    turn, tried, groups = 0, None, None
+    size = forms.agg(F.sum(F.octet_length("form"))).first()[0] or 0
+    blocks = max(BLOCKS, size // BLOCK_BYTES + 1)
+    rows_met = members.agg(F.sum(F.size("keys"))).first()[0] or 0
+    turn, tried, groups, before_open = 0, None, None, float("inf")
     while True:
-        pairs = _pairs(buckets, groups, turn)
-        if tried is not None:
+        # Leaders go on while each round halves the open pairs; then all that are open are tested, and none is left.
+        now_open = _open(members, groups)
+        last = now_open <= OPEN * rows_met or now_open > before_open / 2
+        before_open = now_open
+        pairs = _all_pairs(members, shared, groups) if last else _alike(_pairs(buckets, groups, turn), signs)
+        if tried is not None and not last:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(_alike(pairs, signs), "near-pairs")
-        found = materialise(_verify(pairs, forms), "near-found")
+        pairs = materialise(pairs, "near-pairs")
+        found = materialise(_verify(pairs, forms, blocks), "near-found")
         if found.isEmpty():
-            break
+            if last:
+                break
+            turn += 1
+            continue
         tried = pairs if tried is None else tried.unionByName(pairs)
         # New links join groups; only the groups they touch are worked on.
         if groups is None:
@@ -297,6 +381,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
         groups = materialise(
             before.join(joined, F.col("group") == F.col("old"), "left").select("node", F.coalesce("new", "group").alias("group")), "near-known"
         )
+        if last:
+            break
         turn += 1
     if groups is None:
         groups = known.select("node", F.col("node").alias("group"))

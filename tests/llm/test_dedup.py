@@ -153,6 +153,23 @@ def test_hot_group_of_near_copies(spark):
     assert {(r.class_id, r.class_size) for r in rows} == {(0, 400)}
 
 
+@pytest.mark.parametrize("many", [64, 0])
+def test_near_copies_hidden_in_a_crowd(spark, monkeypatch, many):
+    """Texts of one template, nearly all pairs just below the threshold: those above it are all found."""
+    monkeypatch.setattr(near_dedup, "OPEN", many)
+    chance = np.random.default_rng(7)
+    texts = []
+    for k in range(240):
+        words = [f"w{j}" for j in range(300)]
+        for j in chance.choice(300, int(chance.integers(5, 7)), replace=False):
+            words[j] = f"own{k}x{j}"
+        texts.append((k, " ".join(words)))
+    want = near_by_force(texts)
+    assert len(want) > 1 and max(map(len, want)) < 120
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert classes(near_dedup.near_classes(docs).collect()) == want
+
+
 def test_components(spark):
     links = spark.createDataFrame([(bytes([a]), bytes([a + 1])) for a in range(40) if a != 20], "a binary, b binary")
     got = {r.node[0]: r.group[0] for r in near_dedup.components(links).collect()}
