@@ -109,10 +109,11 @@ def passages(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, ...]:
     new |= inside & ((at - np.maximum.accumulate(np.where(new, at, 0))) % PASSAGE == 0)
     starts = np.flatnonzero(new)
     ends = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True))
-    # Grams that are the least of some string; two equal ones that a string spans follow each other.
+    # Grams that are the least of some string; two equal ones of one passage that follow each other are at most
+    # ``need`` apart: further apart, a string between them would have neither. At ``need`` they share no string.
     padded = np.concatenate([np.zeros(need - 1, np.uint64), keys, np.zeros(need - 1, np.uint64)])
     spots = np.flatnonzero(grams == _sliding(padded, need, np.maximum))
-    pair = (grams[spots[1:]] == grams[spots[:-1]]) & (np.diff(spots) < need)
+    pair = (grams[spots[1:]] == grams[spots[:-1]]) & (np.diff(spots) <= need)
     first, second = spots[:-1][pair], np.append(spots[1:][pair], len(data) * 2)
     tied = second[np.searchsorted(first, starts)] <= ends + need - 1
     return row[starts], place[starts], ends - starts + 1, keys[starts], tied

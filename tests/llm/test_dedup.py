@@ -37,6 +37,16 @@ def test_suffix_dedup(spark, edges, nothing, documents, monkeypatch, hot):
     assert suffix_dedup.cleaned(nothing).count() == 0
 
 
+@pytest.mark.parametrize("period", [352, 353, 354])
+def test_suffix_dedup_of_one_period(spark, period):
+    """A block that is repeated back to back in one document only."""
+    block = "".join(map(chr, np.random.default_rng(period).integers(97, 123, period)))
+    pairs = [(1, block * 3), (2, block[:200] + "x" + block[200:])]
+    got = suffix_dedup.cleaned(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == repeated_by_force(pairs)
+    assert got[0].n_removed + got[1].n_removed == 3 * period
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab", max_size=40), st.integers(1, 4))
 def test_suffix_array(text, times):
