@@ -8,7 +8,7 @@ distinct passages of a hash then meet in a shard, whose suffix array (``induced`
 its permuted common prefixes shows which strings stand in two of them.
 
 A hash with more than ``HOT`` distinct passages, as that of a line which a third of all
-documents hold, is not gathered: the digests of its strings are counted one by one
+documents hold, or with more than ``SHARD_BYTES`` of them, is not gathered: the digests of its strings are counted one by one
 instead, aggregated in every task before their shuffle.
 
 Strings never cross documents, are judged on the input, and every byte that a repeated
@@ -247,6 +247,12 @@ def _beside(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return texts.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_print") == F.col("_print")), how)
 
 
+def _hot(distinct: DataFrame) -> DataFrame:
+    """Whether a hash has too many or too long distinct passages for one shard: key, hot."""
+    n_bytes = F.sum(F.col("of.strings").cast("long") + (LENGTH - 1))
+    return distinct.groupBy("key").agg(((F.count("*") > HOT) | (n_bytes > SHARD_BYTES)).alias("hot"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Byte spans covered by repeated strings: doc_id, text_print, start, stop; they may overlap."""
     spark = ship(docs.sparkSession)
@@ -267,8 +273,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     copied = distinct.where("copies > 1").select("key", "low", "high")
     copies = shared.where("differ").join(copied, ["key", "low", "high"], "left_semi").select("doc_id", "text_print", "start", stop.cast("int").alias("stop"))
     # The texts of distinct passages, one of each.
-    hot = distinct.groupBy("key").agg((F.count("*") > HOT).alias("hot"))
-    of = distinct.join(hot, "key").select("key", "hot", "copies", "of.*")
+    of = distinct.join(_hot(distinct), "key").select("key", "hot", "copies", "of.*")
     listed = of.groupBy("doc_id", "text_print").agg(F.collect_list(F.struct("key", "hot", "copies", "start", "strings")).alias("wanted"))
     listed = materialise(listed, "wanted-passages")
     bodies = materialise(

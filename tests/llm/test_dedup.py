@@ -37,6 +37,21 @@ def test_suffix_dedup(spark, edges, nothing, documents, monkeypatch, hot):
     assert suffix_dedup.cleaned(nothing).count() == 0
 
 
+def test_hot_hashes_by_number_and_by_bytes(spark):
+    sizes = [(1, 200, suffix_dedup.PASSAGE), (2, 200, 1), (3, suffix_dedup.HOT + 1, 1)]
+    rows = [(key, (k, 0, 0, strings)) for key, n, strings in sizes for k in range(n)]
+    distinct = spark.createDataFrame(rows, "key long, of struct<doc_id: long, text_print: long, start: int, strings: int>")
+    assert {r.key: r.hot for r in suffix_dedup._hot(distinct).collect()} == {1: True, 2: False, 3: True}
+
+
+def test_suffix_dedup_of_long_passages_with_one_hash(spark, monkeypatch):
+    """Runs of one letter in many lengths have one hash; counted string by string they give the same."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 5_000)
+    pairs = [(k, "z" * (500 + 37 * k) + f" end {k}") for k in range(20)]
+    got = sorted((tuple(r) for r in suffix_dedup.cleaned(spark.createDataFrame(pairs, "doc_id long, text string")).collect()), key=repr)
+    assert got == repeated_by_force(pairs)
+
+
 @pytest.mark.parametrize("period", [352, 353, 354])
 def test_suffix_dedup_of_one_period(spark, period):
     """A block that is repeated back to back in one document only."""
