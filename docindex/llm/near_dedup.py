@@ -3,8 +3,8 @@
 A text's shingles are its runs of five words, each labelled with how often the same
 run stood before it. Each of ``SKETCHES`` hash functions picks the ``PICKED`` labelled
 shingles with the least hashes and keeps them in text order; two texts get the same
-sketch with a probability that falls with their edit distance. Texts with ``ALIKE``
-common sketches are candidates.
+sketch with a probability that falls with their edit distance. Texts with a common
+sketch are candidates.
 
 A candidate pair is verified by alignment: the longest chain of labelled shingles that
 stand in both texts in the same order, inside the band of offsets that the threshold
@@ -16,8 +16,7 @@ many open pairs, of nodes of different groups, every node is compared with a lea
 bucket: that joins large groups at a cost in proportion to their nodes. When few pairs are
 open, or a round no longer halves them, every candidate pair of different groups is tested
 once. So copies cost little, while a crowd of texts just below the threshold costs all its pairs.
-A link is missed only if the two texts share fewer than ``ALIKE`` sketches (2 pairs in 1,000
-at the very threshold).
+A link is missed only if the two texts share no sketch (1 pair in 100,000 at the very threshold).
 
 Defined cases: a null text is empty; texts without words are one group; fewer than five
 words are one shingle. Of a group the row with the smallest id, then the smallest hash
@@ -41,8 +40,6 @@ from docindex.workspace import materialise
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, PICKED = 16, 3
-#: Equal sketches that make two texts candidates; at the least similarity 8 are to be expected.
-ALIKE = 3
 #: Leaders of a bucket in the first round, which links most, and in each later one.
 LEADERS = (1, 8)
 #: Open pairs for each row of the buckets up to which all are tested without leaders.
@@ -242,13 +239,6 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _alike(pairs: DataFrame, signs: DataFrame) -> DataFrame:
-    """Pairs with enough equal sketches."""
-    a, b = (signs.select(F.col("node").alias(c), F.col("sketches").alias(f"{c}_sketches")) for c in "ab")
-    common = F.size(F.array_intersect("a_sketches", "b_sketches"))
-    return pairs.join(a, "a").join(b, "b").where(common >= ALIKE).select("a", "b")
-
-
 def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
     """Pairs (a, b), a < b, of each bucket's nodes with its leaders; of different groups where groups are known."""
     nodes = buckets.withColumn("group", F.col("node")) if groups is None else buckets.join(groups, "node")
@@ -279,7 +269,7 @@ def _open(members: DataFrame, groups: DataFrame | None) -> float:
 
 
 def _all_pairs(members: DataFrame, shared: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """All pairs (a, b), a < b, of different groups with enough equal sketches.
+    """All pairs (a, b), a < b, of different groups with a common sketch.
 
     The nodes of a large bucket are dealt over parts, each of which meets the whole bucket.
     A pair comes from the first bucket that both nodes are in.
@@ -291,10 +281,10 @@ def _all_pairs(members: DataFrame, shared: DataFrame, groups: DataFrame | None)
     a = rows.select("key", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), *[F.col(c).alias(f"a_{c}") for c in columns])
     b = rows.select("key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), *[F.col(c).alias(f"b_{c}") for c in columns])
     least, most = F.least("a_shingles", "b_shingles"), F.greatest("a_shingles", "b_shingles")
-    both = F.array_intersect("a_keys", "b_keys")
+    first = F.get(F.array_intersect("a_keys", "b_keys"), F.lit(0))
     fits = (F.col("a_node") < F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (least >= SIMILARITY * most)
     return (
-        a.join(b, ["key", "part"]).where(fits & (F.get(both, F.lit(0)) == F.col("key")) & (F.size(both) >= ALIKE))
+        a.join(b, ["key", "part"]).where(fits & (first == F.col("key")))
         .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     )
 
@@ -346,7 +336,6 @@ def near_groups(docs: DataFrame) -> DataFrame:
     members = materialise(met.join(nodes, "node").select("node", "shingles", "met", "keys"), "near-members")
     buckets = members.select(F.explode("keys").alias("key"), "node", "shingles", "met")
     known = members.select("node")
-    signs = materialise(nodes.join(known, "node", "left_semi").select("node", "sketches"), "near-signs")
     of = nodes.join(known, "node", "left_semi").select("node", F.col("of.doc_id").alias("id"), F.col("of.text_print").alias("print"))
     named = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_print") == F.col("print"))
     forms = materialise(texts.join(of, named).select("node", "text").mapInArrow(_shingled, "node binary, form binary"), "near-forms")
@@ -359,7 +348,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         now_open = _open(members, groups)
         last = now_open <= OPEN * rows_met or now_open > before_open / 2
         before_open = now_open
-        pairs = _all_pairs(members, shared, groups) if last else _alike(_pairs(buckets, groups, turn), signs)
+        pairs = _all_pairs(members, shared, groups) if last else _pairs(buckets, groups, turn)
         if tried is not None and not last:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "near-pairs")

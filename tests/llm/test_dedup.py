@@ -178,6 +178,20 @@ def test_hot_group_of_near_copies(spark):
     assert {(r.class_id, r.class_size) for r in rows} == {(0, 400)}
 
 
+def test_near_copies_with_few_equal_sketches(spark):
+    """Similar pairs that have only two sketches in common."""
+    texts = []
+    for mark, at in (("s39k47w", 22), ("s16k203w", 22)):
+        words = [f"{mark}{j}" for j in range(60)]
+        texts += [" ".join(words), " ".join(words[:at] + ["edit"] + words[at + 1 :])]
+    assert len(near_by_force(list(enumerate(texts)))) == 2
+    shingles, numbers = near_dedup.labelled(*near_dedup.Hasher().words(texts))
+    found = [set(x) for x in near_dedup.sketches(shingles, numbers).tolist()]
+    assert [len(found[k] & found[k + 1]) for k in (0, 2)] == [2, 2]
+    docs = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    assert classes(near_dedup.near_classes(docs).collect()) == [[0, 1], [2, 3]]
+
+
 @pytest.mark.parametrize("many", [64, 0])
 def test_near_copies_hidden_in_a_crowd(spark, monkeypatch, many):
     """Texts of one template, nearly all pairs just below the threshold: those above it are all found."""
