@@ -43,7 +43,7 @@ INLINE = frozenset(
     "time tt u var wbr img".split()
 )
 #: Elements that are never main text, and words that mark one in a class, id or role.
-DROPPED = frozenset("nav header footer aside form button menu dialog fieldset figcaption head".split())
+DROPPED = frozenset("nav header footer aside form button menu dialog fieldset head".split())
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices alert "
     "popup modal overlay sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer header masthead comment comments "

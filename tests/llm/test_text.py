@@ -226,6 +226,11 @@ def test_main_text(source, text):
     assert pages.main_text(source) == text
 
 
+def test_captions_stay():
+    figure = f"<figure><img src=a><figcaption>{prose(5, 12)}</figcaption></figure>"
+    assert pages.main_text(f"<article>{BODY}{figure}{BODY}</article>") == f"{TEXT}\n{prose(5, 12)}\n{TEXT}"
+
+
 def test_extract(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>a  b</p>", "y"), (1, "u", None, "x"), (2, "v", f"<article>{BODY * 300}</article>", "z")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
