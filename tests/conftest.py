@@ -7,7 +7,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from oracle import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 import re
 from datetime import date, datetime
 from decimal import Decimal
 
 import duckdb
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"

@@ -2,7 +2,7 @@
 
 import oracle
 import pytest
-from conftest import SF_DIR
+from oracle import SF_DIR
 
 import __spark_entry__
 
