@@ -14,6 +14,7 @@ from docindex.llm.pieces import round_trip
 from docindex.llm.quality import quality
 from docindex.llm.suffix_dedup import cleaned
 from docindex.llm.token_files import token_index
+from docindex.llm.warc import archived
 from docindex.plans.common import Registry, table
 
 REGISTRY = Registry()
@@ -126,3 +127,24 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(table(spark, sf_dir, "documents"))
+
+
+# SHA-1 in hex digits, five of which make four letters of base32.
+ARCHIVE_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body,
+    row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC) AS place, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS head
+  FROM pages
+), d AS (
+  SELECT *, list_transform(range(8), lambda g: CAST('0x' || substr(sha1(body), 5 * g + 1, 5) AS INTEGER)) AS parts FROM p
+)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((parts[1 + k // 4] >> (15 - 5 * (k % 4))) & 31)::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN head END AS refers_to
+FROM d
+"""
+
+
+@REGISTRY.add("op11_warc", ARCHIVE_SQL)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
