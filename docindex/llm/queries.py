@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docindex.llm.alignment import alignment
 from docindex.llm.chat import chats
 from docindex.llm.decontaminate import contamination
 from docindex.llm.exact_dedup import exact_groups
@@ -148,3 +149,8 @@ FROM d
 @REGISTRY.add("op11_warc", ARCHIVE_SQL)
 def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
+
+
+@REGISTRY.add("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
