@@ -15,6 +15,7 @@ from docindex.llm.pieces import round_trip
 from docindex.llm.quality import quality
 from docindex.llm.suffix_dedup import cleaned
 from docindex.llm.token_files import token_index
+from docindex.llm.variants import variants
 from docindex.llm.warc import archived
 from docindex.plans.common import Registry, table
 
@@ -154,3 +155,45 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(table(spark, sf_dir, "documents"))
+
+
+# The check sum's table comes from its polynomial; two words are near if one without a character, or with a gap for one, is the other.
+VARIANTS_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), CAST(range(8) AS BIGINT[])),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT DISTINCT doc_id, run, count(*) OVER (PARTITION BY doc_id, run) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents)
+), hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(key))),
+    lambda i: CAST('0x' || substr(hex(encode(key)), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h
+  FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key FROM runs), crc
+), w AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), own AS (
+  SELECT word, n, k, substr(word, 1, k) AS a, substr(word, k + 2) AS b FROM (SELECT *, unnest(range(length(word))) AS k FROM w)
+), pairs AS (
+  SELECT x.word AS p, y.word AS q FROM own x JOIN own y USING (k, a, b) WHERE x.word < y.word
+  UNION SELECT x.word, w.word FROM own x JOIN w ON w.word = x.a || x.b
+), near AS (
+  SELECT p AS word, q AS other FROM pairs UNION SELECT q, p FROM pairs
+), best AS (
+  SELECT near.word, count(*) AS n_near, first(near.other ORDER BY w.n DESC, near.other) AS other, max(w.n) AS most
+  FROM near JOIN w ON w.word = near.other GROUP BY near.word
+), f AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN other END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, chain.root, f.n, f.n_near, f.form_n FROM f JOIN chain USING (word) JOIN f AS z ON z.word = chain.root WHERE z.form IS NULL
+"""
+
+
+@REGISTRY.add("op13_variants", VARIANTS_SQL)
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
