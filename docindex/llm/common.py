@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +115,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+#: Bytes of strings and values that a worker remembers of what it has worked out.
+MEMORY_BYTES = 64 << 20
+_slot: list = []
+
+
+def held(key: tuple, make: Callable):
+    """What ``make`` gives, kept in this process until it is asked for under another key.
+
+    Workers are used again by later stages, so what an earlier one remembers goes first.
+    """
+    if not _slot or _slot[0] != key:
+        _slot.clear()
+        _slot[:] = [key, make()]
+    return _slot[1]
+
+
 class Codes(dict):
     """Numbers strings in order of their first appearance and remembers the new ones."""
 
@@ -136,11 +152,27 @@ class Ragged:
     """Rows of different lengths in one growing array, fetched many at a time."""
 
     def __init__(self, kind: type) -> None:
-        self.values, self.borders = np.empty(0, kind), np.zeros(1, np.int64)
+        self.values, self.borders, self.rows = np.empty(0, kind), np.zeros(1, np.int64), 0
 
     def extend(self, values: np.ndarray, lengths: np.ndarray) -> None:
-        self.values = np.concatenate([self.values, values.astype(self.values.dtype)])
-        self.borders = np.concatenate([self.borders, self.borders[-1] + np.cumsum(lengths, dtype=np.int64)])
+        """Room doubles, so that many small additions copy each value a few times only."""
+        used, rows = int(self.borders[self.rows]), self.rows + len(lengths)
+        self.values = self._grown(self.values, used + len(values))
+        self.values[used : used + len(values)] = values
+        self.borders = self._grown(self.borders, rows + 1)
+        self.borders[self.rows + 1 : rows + 1] = used + np.cumsum(lengths, dtype=np.int64)
+        self.rows = rows
+
+    @staticmethod
+    def _grown(array: np.ndarray, n: int) -> np.ndarray:
+        if n <= len(array):
+            return array
+        out = np.zeros(max(n, 2 * len(array)), array.dtype)
+        out[: len(array)] = array
+        return out
+
+    def size(self) -> int:
+        return self.values.nbytes + self.borders.nbytes
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows' values one after the other, and the rows' lengths.
@@ -156,6 +188,39 @@ class Ragged:
         return self.values[place], lengths
 
 
+class Known:
+    """Values of strings that come again, worked out once while they fit into ``most`` bytes.
+
+    A batch's strings are told apart by Arrow's dictionary; only distinct ones are Python objects.
+    """
+
+    def __init__(self, kind: type, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int | None = None) -> None:
+        self.kind, self.learn, self.most = kind, learn, most or MEMORY_BYTES
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.values, self.text = Ragged(self.kind), 0
+
+    def size(self) -> int:
+        return self.text + 150 * len(self.rows) + self.values.size()
+
+    def take(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The strings' values one after the other, and each one's number of values."""
+        if self.size() > self.most:
+            self.forget()
+        keys = coded.dictionary.to_pylist()
+        rows = np.array([self.rows.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            names = [keys[i] for i in new.tolist()]
+            rows[new] = np.arange(len(self.rows), len(self.rows) + len(names))
+            self.rows.update(zip(names, rows[new].tolist()))
+            self.text += sum(map(len, names))
+            self.values.extend(*self.learn(names))
+        return self.values.take(rows[coded.indices.to_numpy()])
+
+
 def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of ``values``; a run may be empty."""
     total = np.concatenate([np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)])

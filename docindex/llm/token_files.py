@@ -23,21 +23,21 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from docindex.llm.common import Codes, Ragged, id_and_text, ship, slices, sums
+from docindex.llm.common import Known, held, id_and_text, ship, slices, sums
 from docindex.workspace import materialise, work_dir
 
 END_ID = 0
 FILE_BYTES = 32 << 20
 BATCH_TEXT = 8 << 20
-#: Distinct chunks of text that an encoder remembers before it starts anew.
-MEMORY = 700_000
+#: Bytes of chunks and their ids that an encoder remembers.
+MEMORY = 192 << 20
 
 # A skippable frame's first number, and how our files end.
 SKIPPABLE = 0x184D2A5E
@@ -46,12 +46,12 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("null", "<u4"), ("tokens", "<u4"), ("size"
 TAIL = struct.Struct("<I")
 
 #: Chunks of one call of the library.
-CALL = 2000
-# Before the keys that are encoded as they are, without a space in front.
-MARK = "\0"
-
-# A space beside other white space, where splitting at spaces would differ from the library's own pattern.
-UNEVEN = re.compile(r" \s|\s |^ | $")
+CALL = 4000
+# What keys begin with: a text's first chunk, which has no space in front; a chunk after a line break.
+FIRST, LINE = "\1", "\0"
+# White space beside a space or line break, where splitting there would differ from the library's own pattern.
+WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+UNEVEN = rf"[ \n]{WHITE}|{WHITE}[ \n]|^[ \n]|[ \n]$|[\x00\x01]"
 
 ROW = "path string, doc_id long, place long, n_tokens long, ids_crc32 long"
 
@@ -65,8 +65,8 @@ def default_vocabulary() -> str:
 class Encoder:
     """The library's ids of whole texts, with a memory for chunks that come again.
 
-    The byte-level pattern starts a new piece at each single space between two
-    other characters, so the chunks between such spaces are encoded on their own.
+    The byte-level pattern starts a new piece at each single space or line break between
+    two other characters, so the chunks between those are encoded on their own.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -74,58 +74,52 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.forget()
+        added = self.tokenizer.get_added_tokens_decoder()
+        # Texts that hold an added token are encoded whole; one that takes no space beside it parts many chunks in one call.
+        self.uneven = "|".join([UNEVEN, *(re.escape(t.content) for t in added.values())])
+        plain = [(i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word)]
+        self.part = plain[0] if plain else None
+        self.memory = Known(np.uint32, self._chunks, MEMORY)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and each text's number of ids."""
+        size = pc.binary_length(texts).to_numpy()
+        uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False) & (size > 0)
+        even = np.flatnonzero(~uneven & (size > 0))
+        marked = pc.binary_join_element_wise(FIRST, pc.replace_substring(texts.take(pa.array(even)), "\n", f" {LINE}"), "")
+        lists = pc.split_pattern(marked, " ")
+        ids, lengths = self.memory.take(lists.flatten().dictionary_encode())
+        counts = np.zeros(len(texts), np.int64)
+        counts[even] = sums(lengths, pc.list_value_length(lists).to_numpy().astype(np.int64))
+        if not uneven.any():
+            return ids, counts
+        others, n = self._whole(texts.filter(pa.array(uneven)).to_pylist())
+        counts[uneven] = n
+        owner = np.repeat(np.arange(len(texts)), counts)
+        out = np.empty(len(owner), np.uint32)
+        out[uneven[owner]], out[~uneven[owner]] = others, ids
+        return out, counts
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(found or [np.empty(0, np.uint32)]), np.array([len(x) for x in found], np.int64)
+
+    def _chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        chunks = [k[1:] if k[:1] == FIRST else "\n" + k[1:] if k[:1] == LINE else " " + k for k in keys]
+        if self.part is None:
+            return self._whole(chunks)
+        ids, lengths = [], []
+        for at in range(0, len(chunks), CALL):
+            text = self.part[1].join(chunks[at : at + CALL]) + self.part[1]
+            some = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            stops = np.flatnonzero(some == self.part[0])
+            lengths.append(np.diff(stops, prepend=-1) - 1)
+            ids.append(np.delete(some, stops))
+        return np.concatenate(ids), np.concatenate(lengths)
 
-    def forget(self) -> None:
-        self.codes, self.ids = Codes(), Ragged(np.uint32)
 
-    def encode(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and each text's number of ids."""
-        if len(self.codes) > MEMORY:
-            self.forget()
-        codes: list[int] = []
-        counts: list[int] = []
-        code = self.codes.__getitem__
-        for text in texts:
-            before = len(codes)
-            if UNEVEN.search(text) or MARK in text:
-                codes.append(code(MARK + text))
-            elif text:
-                # A chunk's key is the text after its space; only a first chunk has none.
-                first, *rest = text.split(" ")
-                codes.append(code(MARK + first))
-                codes += map(code, rest)
-            counts.append(len(codes) - before)
-        self._learn(self.codes.fresh())
-        ids, lengths = self.ids.take(np.array(codes, np.int64))
-        return ids, sums(lengths, np.array(counts, np.int64))
-
-    def _learn(self, keys: list[str]) -> None:
-        found: list[list[int]] = [[]] * len(keys)
-        whole = [i for i, k in enumerate(keys) if k[:1] == MARK]
-        texts = [keys[i][1:] for i in whole]
-        for i, x in zip(whole, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            found[i] = x.ids
-        # Many chunks to a call, told apart by the tokens' offsets.
-        spaced = [i for i, k in enumerate(keys) if k[:1] != MARK]
-        for at in range(0, len(spaced), CALL):
-            some = spaced[at : at + CALL]
-            chunks = [" " + keys[i] for i in some]
-            x = self.tokenizer.encode("".join(chunks), add_special_tokens=False)
-            ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
-            stops = np.fromiter((b for _, b in x.offsets), np.int64, len(x.ids))
-            cuts = np.searchsorted(stops, ends, side="right").tolist()
-            ids, start = x.ids, 0
-            for i, cut in zip(some, cuts):
-                found[i] = ids[start:cut]
-                start = cut
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.ids.extend(np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())), lengths)
-
-
-@lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)
+    return held(("token files", vocabulary), lambda: Encoder(vocabulary))
 
 
 def frames(ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
@@ -175,7 +169,7 @@ def _files(vocabulary: str):
         entries: list[tuple] = []
         held = 0
         for batch in slices(batches, "text", BATCH_TEXT):
-            ids, counts = encoder(vocabulary).encode(batch.column("text").to_pylist())
+            ids, counts = encoder(vocabulary).encode(batch.column("text"))
             for doc_id, (frame, tokens, crc) in zip(batch.column("doc_id").to_pylist(), frames(ids, counts)):
                 parts.append(frame)
                 entries.append((doc_id or 0, doc_id is None, tokens, len(frame), crc))
@@ -221,12 +215,17 @@ def _stored(spark: SparkSession, folder: str) -> DataFrame:
     return ship(spark).read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path", "content")
 
 
+def file_order(path: str) -> list[Column]:
+    """Spark's numbers of the task and of the task's file, from a file's name; as text, part-100000 stands before part-99999."""
+    return [F.regexp_extract(path, r"/part-(\d+)-[^/]*-c(\d+)[^/]*$", k).cast("long") for k in (1, 2)] + [F.col(path)]
+
+
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: doc_id, start among all ids, n_tokens, ids_crc32; every frame is decompressed and checked."""
     rows = materialise(_stored(spark, folder).mapInArrow(_rows(None, False), ROW), "token-rows")
-    # One row per file, in the order of their names; each document adds what its file holds before it.
+    # One row per file, in the order of task and file number; each document adds what its file holds before it.
     files = rows.groupBy("path").agg(F.sum("n_tokens").alias("held"))
-    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(*file_order("path")).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("path", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("path").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(files, "path").select(

@@ -4,11 +4,12 @@ import zlib
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 from edge_cases import EDGES, digest, prose
 from hypothesis import given, settings, strategies as st
 
-from docindex.llm import chat, decontaminate, language, pages, pieces, quality, queries, token_files
+from docindex.llm import chat, common, decontaminate, language, pages, pieces, quality, queries, token_files
 from docindex.workspace import work_dir
 
 SF = "/root/testdata/sf0.01"
@@ -52,7 +53,7 @@ def test_any_text_encodes_as_the_library_does(library, text):
 @given(st.lists(st.text(st.sampled_from("aei orst's\n\t .,12é\x00<|>"), max_size=30), max_size=4))
 def test_tokens_are_the_librarys(texts):
     encoder = token_files.encoder(token_files.default_vocabulary())
-    ids, counts = encoder.encode(texts)
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
     want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
@@ -73,6 +74,22 @@ def test_token_files(spark, edges, nothing):
     assert token_files.token_index(nothing).count() == 0
 
 
+def test_files_are_ordered_by_their_numbers(spark):
+    names = [f"file:/f/part-{task:05d}-8c1-c{n:03d}.txt" for task in (0, 7, 99999, 100000) for n in (0, 999, 1000)]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "path string")
+    assert [r.path for r in df.orderBy(*token_files.file_order("path")).collect()] == names
+
+
+def test_a_memory_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(common, "MEMORY_BYTES", 20_000)
+    lengths = lambda keys: (np.array([len(k) for k in keys]), np.ones(len(keys), int))
+    known = common.Known(np.int64, lengths)
+    for k in range(200):
+        values, counts = known.take(pa.array([f"word {k * j}" for j in range(10)] + ["x"]).dictionary_encode())
+        assert values.tolist() == [len(f"word {k * j}") for j in range(10)] + [1] and set(counts.tolist()) == {1}
+        assert known.size() < 40_000
+
+
 def test_damaged_frames_are_seen():
     import struct
 
