@@ -1,6 +1,6 @@
 """Alignment of two tokenizers' tokens, and how often their ids meet in the corpus.
 
-Every batch of texts is encoded by both tokenizers. In Arrow, the id lists are flattened
+Every batch of texts is encoded by both tokenizers, each distinct chunk once. In Arrow, the id lists are flattened
 beside their parent indices, segmented cumulative sums of the tokens' bytes give every
 token's end, and an Acero full outer hash join on the document-end keys of both sides
 lists all borders of a document. Between two neighbouring borders lies exactly one
@@ -25,19 +25,22 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import id_and_text, ship, slices, sums, text_bytes
+from docindex.llm.common import Known, held, id_and_text, ship, slices, sums, text_bytes
+from docindex.llm.token_files import LINE, UNEVEN
 from docindex.workspace import materialise
 
 BATCH_TEXT = 2 << 20
 #: Pairs whose counts are sent to every task, at most; 16 bytes each.
 FREQUENT = 1 << 18
+#: Bytes of chunks and their ids that a side remembers.
+MEMORY = 96 << 20
+CALL = 4000
 SPACE = "▁"
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -66,15 +69,41 @@ def byte_letters() -> dict[str, int]:
 
 
 class Side:
-    """One tokenizer: the ids of texts, and every id's bytes."""
+    """One tokenizer: the ids of texts, and every id's bytes.
+
+    No token spans a space that stands between two other characters, or such a line break,
+    so the chunks between those are encoded once and remembered.
+    """
 
     def __init__(self, values: list[bytes]) -> None:
         self.lengths = pa.array([len(v) for v in values], pa.int64())
         self.bytes = pa.array(values, pa.large_binary())
+        self.memory = Known(np.int32, self._chunks, MEMORY)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        """Ids of a space and each text."""
         raise NotImplementedError
 
+    def _chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks behind a space, or behind a line break where the key says so."""
+        raise NotImplementedError
+
+    def encode(self, texts: pa.Array, even: np.ndarray, chunks: pa.DictionaryArray, counts: np.ndarray) -> pa.ListArray:
+        """Ids of a space and each text; ``even`` texts come as ``counts`` chunks each, empty ones have none."""
+        ids, lengths = self.memory.take(chunks)
+        size = np.zeros(len(texts), np.int64)
+        size[even] = sums(lengths, counts)
+        odd = np.flatnonzero(~even & (pc.binary_length(texts).to_numpy() > 0))
+        if len(odd):
+            found = [np.array(x, np.int32) for x in self.whole(texts.take(pa.array(odd)).to_pylist())]
+            size[odd] = [len(x) for x in found]
+            owner = np.repeat(np.arange(len(texts)), size)
+            flat = np.empty(len(owner), np.int32)
+            flat[even[owner]], flat[~even[owner]] = ids, np.concatenate(found)
+            ids = flat
+        borders = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(borders), pa.array(ids))
+
     def joined(self, ids: pa.Array) -> np.ndarray:
         return text_bytes(self.bytes.take(ids))[0]
 
@@ -86,17 +115,33 @@ class Spaced(Side):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer, self.parting = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        added = self.tokenizer.get_added_tokens_decoder()
         letter = byte_letters()
         ids = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        values = [special[i].encode() if i in special else bytes(letter[c] for c in ids.get(i, "")) for i in range(max(ids) + 1)]
+        values = [added[i].content.encode() if i in added else bytes(letter[c] for c in ids.get(i, "")) for i in range(max(ids) + 1)]
+        # A special token takes no space beside it, so it can part many chunks in one call.
+        self.part = next(((i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)), None)
         super().__init__(values)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
+    def _chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = ["\n" + k[1:] if k[:1] == LINE else " " + k for k in keys]
+        if self.part is None or any(self.part[1] in k for k in keys):
+            found = [np.array(x.ids, np.int32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+        ids, lengths = [], []
+        for at in range(0, len(texts), CALL):
+            text = self.part[1].join(texts[at : at + CALL]) + self.part[1]
+            some = np.array(self.parting.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            stops = np.flatnonzero(some == self.part[0])
+            lengths.append(np.diff(stops, prepend=-1) - 1)
+            ids.append(np.delete(some, stops))
+        return np.concatenate(ids), np.concatenate(lengths)
+
 
 class Pieced(Side):
     """A piece model, which puts the space before the text itself."""
@@ -109,14 +154,32 @@ class Pieced(Side):
         super().__init__([
             bytes([int(s[3:5], 16)]) if p.is_byte(i) else b"" if p.is_control(i) else s.replace(SPACE, " ").encode() for i, s in enumerate(names)
         ])
+        # The space before a line break is a piece of its own if no piece holds a line break.
+        self.lines = not any("\n" in s for s in names)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def whole(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def _chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        line = np.array([k[:1] == LINE for k in keys])
+        found = self.model.encode(["\n" + k[1:] if b else k for k, b in zip(keys, line)], num_threads=1)
+        lengths = np.array([len(x) for x in found], np.int64)
+        ids = np.array([i for x in found for i in x], np.int32)
+        first = np.cumsum(lengths) - lengths
+        return np.delete(ids, first[line]), lengths - line
+
+
+def chunked(texts: pa.Array, lines: bool) -> tuple[np.ndarray, pa.DictionaryArray, np.ndarray]:
+    """Which texts fall into chunks, their coded chunks, and how many each has."""
+    even = ~pc.match_substring_regex(texts, f"{UNEVEN}|{SPACE}").to_numpy(zero_copy_only=False) & (pc.binary_length(texts).to_numpy() > 0)
+    if not lines:
+        even &= ~pc.match_substring(texts, "\n").to_numpy(zero_copy_only=False)
+    lists = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(even)), "\n", f" {LINE}"), " ")
+    return even, lists.flatten().dictionary_encode(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
 
-@lru_cache(maxsize=2)
 def sides(vocabulary: str, model: str) -> tuple[Spaced, Pieced]:
-    return Spaced(vocabulary), Pieced(model)
+    return held(("alignment", vocabulary, model), lambda: (Spaced(vocabulary), Pieced(model)))
 
 
 def ends_of(ids: pa.ListArray, side: Side) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -202,9 +265,9 @@ def align(texts: pa.Array, vocabulary: str, model: str) -> dict[str, pa.Array]:
     """The columns of ``ALIGNED`` but the id."""
     n = len(texts)
     data, borders = text_bytes(texts)
-    strings = texts.to_pylist()
     pair_of_sides = sides(vocabulary, model)
-    ids = [pa.array([x if t else [] for x, t in zip(s.encode(strings), strings)], pa.list_(pa.int32())) for s in pair_of_sides]
+    chunks = chunked(texts, pair_of_sides[1].lines)
+    ids = [s.encode(texts, *chunks) for s in pair_of_sides]
     sound = np.diff(borders) > 0
     for side, x in zip(pair_of_sides, ids):
         sound &= whole(x, side, data, borders)
