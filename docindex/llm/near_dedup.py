@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import Codes, first_rows, id_and_text, mixed, rows_of, ship, slices, text_hash
+from docindex.llm.common import MEMORY_BYTES, Codes, first_rows, held, id_and_text, mixed, rows_of, ship, slices, text_hash
 from docindex.workspace import materialise
 
 SHINGLE = 5
@@ -48,7 +48,6 @@ OPEN = 64
 PART = 256
 #: Blocks of nodes whose pairs are verified together, at least, and the bytes of shingles in one.
 BLOCKS, BLOCK_BYTES = 32, 4 << 20
-MEMORY = 600_000
 BATCH_TEXT = 4 << 20
 WORD = re.compile(r"\w+")
 
@@ -60,14 +59,14 @@ class Hasher:
     """64-bit hashes of lower-cased words, remembered."""
 
     def __init__(self) -> None:
-        self.codes, self.hashes = Codes(), np.empty(0, np.uint64)
+        self.codes, self.hashes, self.size = Codes(), np.empty(0, np.uint64), 0
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The words' hashes one after the other, and each text's number of words."""
         import xxhash
 
-        if len(self.codes) > MEMORY:
-            self.codes, self.hashes = Codes(), np.empty(0, np.uint64)
+        if self.size > MEMORY_BYTES:
+            self.codes, self.hashes, self.size = Codes(), np.empty(0, np.uint64), 0
         codes: list[int] = []
         counts: list[int] = []
         code = self.codes.__getitem__
@@ -76,12 +75,14 @@ class Hasher:
             codes += map(code, WORD.findall(text.lower()))
             counts.append(len(codes) - before)
         new = self.codes.fresh()
+        self.size += sum(map(len, new)) + 160 * len(new)
         digest = xxhash.xxh3_64_intdigest
         self.hashes = np.concatenate([self.hashes, np.fromiter((digest(w) for w in new), np.uint64, len(new))])
         return self.hashes[np.array(codes, np.int64)], np.array(counts, np.int64)
 
 
-HASHER = Hasher()
+def hasher() -> Hasher:
+    return held(("near words",), Hasher)
 
 
 def labelled(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +142,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in slices(batches, "text", BATCH_TEXT):
-        words, counts = HASHER.words(batch.column("text").to_pylist())
+        words, counts = hasher().words(batch.column("text").to_pylist())
         raw, borders = words.tobytes(), np.concatenate([[0], 8 * np.cumsum(counts)]).tolist()
         nodes = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(borders, borders[1:])]
         shingles, numbers = labelled(words, counts)
@@ -204,7 +205,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The labelled shingles of texts, in text order, as bytes."""
     for batch in slices(batches, "text", BATCH_TEXT):
-        shingles, numbers = labelled(*HASHER.words(batch.column("text").to_pylist()))
+        shingles, numbers = labelled(*hasher().words(batch.column("text").to_pylist()))
         raw, borders = shingles.tobytes(), np.concatenate([[0], 8 * np.cumsum(numbers)]).tolist()
         yield pa.RecordBatch.from_arrays(
             [batch.column("node"), pa.array([raw[x:y] for x, y in zip(borders, borders[1:])], pa.binary())], names=["node", "form"]

@@ -26,21 +26,23 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from docindex.llm.common import Codes, Ragged, id_and_text, ship, slices, sums
+from docindex.llm.common import Known, Ragged, held, id_and_text, ship, slices, sums
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 BATCH_TEXT = 8 << 20
-#: Distinct units that are remembered before the memory starts anew, and those matched at a time.
-MEMORY = 700_000
-MATCHED = 100_000
+#: Bytes of units and their ids that are remembered, and characters that are matched at a time.
+MEMORY = 128 << 20
+MATCHED = 1 << 17
+#: Units from this length on are relaxed one character after the other; shorter ones side by side.
+LONG = 512
 
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
 DIGEST = "doc_id long, n_tokens long, ids_crc32 long, n_bytes long, decoded_sha256 string, exact boolean"
@@ -82,6 +84,7 @@ class Pieces:
         self._table(p, n)
         self.known = np.empty(0, np.int64)
         self.fits = np.empty(0, bool)
+        self.single: dict[int, bool] = {}
 
     def _trees(self, ids: dict[str, int], order: list[int]) -> None:
         """Last merges by rank, the edges of the trees, and every pair that makes a piece."""
@@ -139,6 +142,16 @@ class Pieces:
             a, a_next, rows = self.right[a[go]], self.rank[a[go]], rows[go]
         return fits
 
+    def one_by_one(self, left: int, right: int) -> bool:
+        """``side_by_side`` of one pair."""
+        key = left * self.size + right
+        found = self.single.get(key)
+        if found is None:
+            if len(self.single) > 500_000:
+                self.single.clear()
+            found = self.single[key] = bool(self._judge(np.array([left]), np.array([right]))[0])
+        return found
+
     def side_by_side(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether merging keeps each pair apart; judged once per pair."""
         pairs, place = np.unique(left.astype(np.int64) * self.size + right, return_inverse=True)
@@ -185,18 +198,16 @@ class Matcher:
         order = np.lexsort(words.T[::-1])
         return order, keys[order]
 
-    def match(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All units' ids one after the other, and how many each has."""
+    def letters(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Code points of a text and their numbers among the letters of pieces, 0 for others."""
         p = self.pieces
-        lengths = np.fromiter(map(len, units), np.int64, len(units))
-        points = np.frombuffer("\0".join(units).encode("utf-32-le") + b"\0\0\0\0", np.uint32).astype(np.int64)
-        begins = np.cumsum(lengths + 1) - lengths - 1
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         at = np.searchsorted(p.letters, points)
         at[at == len(p.letters)] = 0
-        codes = np.where(p.letters[at] == points, at + 1, 0).astype(np.uint16)
-        border = np.zeros(len(points), bool)
-        border[begins + lengths] = True
-        codes[border] = 0
+        return points, np.where(p.letters[at] == points, at + 1, 0).astype(np.uint16)
+
+    def edges(self, codes: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and piece of every occurrence of a usable piece, and of each character that no piece has."""
         order, keys = self.suffixes(codes)
         first = np.searchsorted(keys, self.low, side="left")
         last = np.searchsorted(keys, self.high, side="right")
@@ -205,11 +216,53 @@ class Matcher:
         place = np.repeat(first - (ends - count), count) + np.arange(ends[-1])
         starts = order[place]
         stops = starts + np.repeat(self.lengths, count)
-        made = np.repeat(self.ids, count)
         lone = np.flatnonzero((codes == 0) & ~border)
-        starts, stops = np.concatenate([starts, lone]), np.concatenate([stops, lone + 1])
-        made = np.concatenate([made, np.full(len(lone), p.unknown)])
-        return self._flat(points, border, begins, lengths, *self._relax(len(points), begins, lengths, starts, stops, made))
+        made = np.concatenate([np.repeat(self.ids, count), np.full(len(lone), self.pieces.unknown)])
+        return np.concatenate([starts, lone]), np.concatenate([stops, lone + 1]), made
+
+    def match(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All units' ids one after the other, and how many each has; a long unit comes alone."""
+        if len(units) == 1 and len(units[0]) >= LONG:
+            return self._long(units[0])
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        points, codes = self.letters("\0".join(units) + "\0")
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        border = np.zeros(len(points), bool)
+        border[begins + lengths] = True
+        codes[border] = 0
+        return self._flat(points, border, begins, lengths, *self._relax(len(points), begins, lengths, *self.edges(codes, border)))
+
+    def _long(self, unit: str) -> tuple[np.ndarray, np.ndarray]:
+        """One unit of any length, matched in stretches that overlap by the longest piece.
+
+        Its edges are relaxed in the order of their starts: when a start's turn comes, all edges that end there have had theirs.
+        """
+        points, codes = self.letters(unit)
+        n = len(unit)
+        best, came = np.full(n + 1, -1, np.int32), np.full(n + 1, -1, np.int32)
+        fit, known, size = self.pieces.one_by_one, self.pieces.single, self.pieces.size
+        for a in range(0, n, MATCHED):
+            b, stop = min(a + MATCHED, n), min(a + MATCHED + self.longest, n)
+            starts, stops, made = self.edges(codes[a:stop], np.zeros(stop - a, bool))
+            own = starts < b - a
+            by = np.argsort(starts[own], kind="stable")
+            low, high = a, min(n, b + self.longest)
+            ends, from_ = best[low : high + 1].tolist(), came[low : high + 1].tolist()
+            for s, e, t in zip(starts[own][by].tolist(), stops[own][by].tolist(), made[own][by].tolist()):
+                before = ends[s]
+                if s + a == 0:
+                    ok = True
+                elif before < 0:
+                    continue
+                else:
+                    ok = known.get(before * size + t)
+                    if ok is None:
+                        ok = fit(before, t)
+                if ok:
+                    ends[e], from_[e] = t, s + a
+            best[low : high + 1], came[low : high + 1] = ends, from_
+        border = np.zeros(n + 1, bool)
+        return self._flat(np.append(points, 0), border, np.zeros(1, np.int64), np.array([n]), best, came)
 
     def _relax(self, n, begins, lengths, starts, stops, made):
         """The last piece and its start for every end that a path reaches."""
@@ -265,32 +318,64 @@ class Coder:
     def __init__(self, model: str) -> None:
         self.pieces = Pieces(model)
         self.matcher = Matcher(self.pieces)
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes, self.ids = Codes(), Ragged(np.int32)
-
-    def encode(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.memory = Known(np.int32, self._units, MEMORY)
+
+    def _units(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that are new, as many at a time as make ``MATCHED`` characters."""
+        units = [k if k[:1] == SPACE else SPACE + k for k in keys]
+        found, some, size = [], [], 0
+        place: list[int] = []
+        order: list[int] = []
+
+        def match() -> None:
+            if some:
+                found.append(self.matcher.match(some))
+                order.extend(place)
+
+        for i, unit in enumerate(units):
+            if len(unit) >= LONG:
+                found.append(self.matcher.match([unit]))
+                order.append(i)
+                continue
+            some.append(unit)
+            place.append(i)
+            size += len(unit) + 1
+            if size >= MATCHED:
+                match()
+                some, place, size = [], [], 0
+        match()
+        ids, lengths = (np.concatenate(x) for x in zip(*found))
+        if order == sorted(order):
+            return ids, lengths
+        rows = Ragged(np.int32)
+        rows.extend(ids, lengths)
+        return rows.take(np.argsort(order))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and each text's number of ids."""
-        if len(self.codes) > MEMORY:
-            self.forget()
-        codes: list[int] = []
-        counts: list[int] = []
-        code = self.codes.__getitem__
-        for text in texts:
-            before = len(codes)
-            if text:
-                spaced = text.replace(SPACE, " ")
-                if "  " in spaced or spaced[0] == " " or spaced[-1] == " ":
-                    codes += map(code, UNIT.findall(SPACE + spaced.replace(" ", SPACE)))
-                else:
-                    codes += map(code, spaced.split(" "))
-            counts.append(len(codes) - before)
-        new = self.codes.fresh()
-        for at in range(0, len(new), MATCHED):
-            self.ids.extend(*self.matcher.match([k if k[0] == SPACE else SPACE + k for k in new[at : at + MATCHED]]))
-        ids, lengths = self.ids.take(np.array(codes, np.int64))
-        return ids, sums(lengths, np.array(counts, np.int64))
+        spaced = pc.replace_substring(texts, SPACE, " ")
+        some = np.flatnonzero(pc.binary_length(spaced).to_numpy() > 0)
+        uneven = pc.match_substring_regex(spaced, "  |^ | $").to_numpy(zero_copy_only=False)
+        even = some[~uneven[some]]
+        lists = pc.split_pattern(spaced.take(pa.array(even)), " ")
+        strings, sizes = [lists.flatten()], np.zeros(len(texts), np.int64)
+        sizes[even] = pc.list_value_length(lists).to_numpy()
+        odd = some[uneven[some]]
+        if len(odd):
+            units = [UNIT.findall(SPACE + t.replace(" ", SPACE)) for t in spaced.take(pa.array(odd)).to_pylist()]
+            strings.append(pa.array([u for x in units for u in x], pa.string()))
+            sizes[odd] = [len(x) for x in units]
+        ids, lengths = self.memory.take(pa.concat_arrays(strings).dictionary_encode())
+        counts = np.zeros(len(texts), np.int64)
+        place = np.concatenate([even, odd])
+        counts[place] = sums(lengths, sizes[place])
+        if not len(odd):
+            return ids, counts
+        rows = Ragged(np.int32)
+        rows.extend(ids, counts[place])
+        where = np.zeros(len(texts), np.int64)
+        where[place] = np.arange(len(place))
+        return rows.take(where[some])[0], counts
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         data, lengths = self.pieces.bytes.take(ids)
@@ -299,15 +384,14 @@ class Coder:
         return [raw[a + 1 : b] if raw[a : a + 1] == b" " and a < b else raw[a:b] for a, b in zip(borders, borders[1:])]
 
 
-@lru_cache(maxsize=2)
 def coder(model: str) -> Coder:
-    return Coder(model)
+    return held(("pieces", model), lambda: Coder(model))
 
 
 def _encoded(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_TEXT):
-            ids, counts = coder(model).encode(batch.column("text").to_pylist())
+            ids, counts = coder(model).encode(batch.column("text"))
             borders = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts), pa.ListArray.from_arrays(pa.array(borders), pa.array(ids.astype(np.int32)))],
@@ -321,7 +405,7 @@ def _digests(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_TEXT):
             texts = batch.column("text").to_pylist()
-            ids, counts = coder(model).encode(texts)
+            ids, counts = coder(model).encode(batch.column("text"))
             decoded = coder(model).decode(ids, counts)
             raw, borders = ids.astype("<u4").tobytes(), np.concatenate([[0], 4 * np.cumsum(counts)]).tolist()
             yield pa.RecordBatch.from_arrays(

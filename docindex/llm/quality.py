@@ -17,13 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import Codes, bucket, id_and_text, mixed, ship, slices
+from docindex.llm.common import MEMORY_BYTES, Codes, bucket, held, id_and_text, mixed, ship, slices
 
 #: Labelled rows that are learned from, and the longest text among them.
 SAMPLE_ROWS = 4_000
@@ -35,7 +34,6 @@ BUCKETS = 1 << 16
 GRAMS = (3, 4)
 DIMENSIONS = 12
 EPOCHS, BATCH, RATE = 4, 32, 0.5
-MEMORY = 600_000
 BATCH_TEXT = 8 << 20
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
@@ -156,10 +154,10 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        self.words, self.share = Words(), np.empty(0)
+        self.words, self.share, self.size = Words(), np.empty(0), 0
 
     def score(self, texts: list[str]) -> np.ndarray:
-        if len(self.words.codes) > MEMORY:
+        if self.size > MEMORY_BYTES:
             self.forget()
         flat, counts, again = self.words.read(texts)
         new = self.words.codes.fresh()
@@ -167,6 +165,7 @@ class Scorer:
             rows, grams = features(new)
             shares = np.add.reduceat(self.weights[rows], np.cumsum(grams) - grams) / grams
             self.share = np.concatenate([self.share, shares])
+            self.size += sum(map(len, new)) + 160 * len(new)
         total = np.concatenate([[0.0], np.cumsum(self.share[flat])])
         ends = np.cumsum(counts)
         logit = total[ends] - total[ends - counts] + again * self.weights[BUCKETS]
@@ -174,9 +173,8 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
-@lru_cache(maxsize=2)
 def scorer(model: Model) -> Scorer:
-    return Scorer(model)
+    return held(("quality", model), lambda: Scorer(model))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:

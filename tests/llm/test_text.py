@@ -44,13 +44,43 @@ def test_round_trip(edges):
 @given(st.text(st.sampled_from("aeinorst hT.,\n▁é日\x00"), max_size=40))
 def test_any_text_encodes_as_the_library_does(library, text):
     coder = pieces.coder(pieces.default_model())
-    ids, counts = coder.encode([text])
+    ids, counts = coder.encode(pa.array([text]))
     assert ids.tolist() == library.encode(text)
     assert coder.decode(ids, counts) == [text.replace(pieces.SPACE, " ").encode()]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aeinorst hT.,\n▁é日"), max_size=30), max_size=6))
+def test_long_units_are_relaxed_alike(library, texts):
+    """Units above the length that is relaxed character by character, in stretches shorter than a piece."""
+    coder = pieces.coder(pieces.default_model())
+    coder.memory.forget()
+    kept = pieces.LONG, pieces.MATCHED
+    pieces.LONG, pieces.MATCHED = 4, 7
+    try:
+        ids, counts = coder.encode(pa.array(texts, pa.string()))
+    finally:
+        pieces.LONG, pieces.MATCHED = kept
+    want = [library.encode(t) for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
+@pytest.mark.parametrize("unit", ["thequickbrownfox", "a", "日本é"])
+def test_units_of_a_million_characters(library, unit):
+    import resource
+    import time
+
+    text = (unit * 1_000_000)[:1_000_000]
+    coder = pieces.coder(pieces.default_model())
+    before, started = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.monotonic()
+    ids, _ = coder.encode(pa.array([text]))
+    assert time.monotonic() - started < 40
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000
+    assert ids.tolist() == library.encode(text)
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("aei orst's\n\t .,12é\x00<|>"), max_size=30), max_size=4))
+@given(st.lists(st.lists(st.sampled_from([*"aei  or\n\nst's\t.,12é\x00\x01\x0b\x1f\x85\u00a0\u2003\u3000", "<|endoftext|>", "<|", "ing the"]), max_size=30).map("".join), max_size=4))
 def test_tokens_are_the_librarys(texts):
     encoder = token_files.encoder(token_files.default_vocabulary())
     ids, counts = encoder.encode(pa.array(texts, pa.string()))
