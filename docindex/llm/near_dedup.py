@@ -14,8 +14,10 @@ leaves possible. Its length over the number of shingles in either text has to re
 Equal word sequences are one node from the start. While the buckets of equal sketches hold
 many open pairs, of nodes of different groups, every node is compared with a leader of its
 bucket: that joins large groups at a cost in proportion to their nodes. When few pairs are
-open, or a round no longer halves them, every candidate pair of different groups is tested
-once. So copies cost little, while a crowd of texts just below the threshold costs all its pairs.
+open, or a round no longer halves them, all that is open is settled once: of the candidates of
+different groups those are tested that share one of their rarest shingles, as similar texts must.
+So copies cost little, and so does a crowd of texts below the threshold that share a template,
+whose rare shingles are each text's own.
 A link is missed only if the two texts share no sketch (1 pair in 100,000 at the very threshold).
 
 Defined cases: a null text is empty; texts without words are one group; fewer than five
@@ -32,9 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from docindex.llm.common import MEMORY_BYTES, Codes, first_rows, held, id_and_text, mixed, rows_of, ship, slices, text_hash
+from docindex.llm.common import MEMORY_BYTES, Codes, first_rows, held, id_and_text, mixed, rows_of, ship, slices, text_bytes, text_hash
 from docindex.workspace import materialise
 
 SHINGLE = 5
@@ -44,8 +47,6 @@ SKETCHES, PICKED = 16, 3
 LEADERS = (1, 8)
 #: Open pairs for each row of the buckets up to which all are tested without leaders.
 OPEN = 64
-#: Nodes of one bucket that a task compares with all others of it.
-PART = 256
 #: Blocks of nodes whose pairs are verified together, at least, and the bytes of shingles in one.
 BLOCKS, BLOCK_BYTES = 32, 4 << 20
 BATCH_TEXT = 4 << 20
@@ -269,25 +270,55 @@ def _open(members: DataFrame, groups: DataFrame | None) -> float:
     return (each.agg(F.sum("pairs")).first()[0] or 0) / 2
 
 
-def _all_pairs(members: DataFrame, shared: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """All pairs (a, b), a < b, of different groups with a common sketch.
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each labelled shingle of a node."""
+    for batch in batches:
+        forms = batch.column("form")
+        counts = pc.divide(pc.binary_length(forms).cast(pa.int64()), 8).to_numpy()
+        data, _ = text_bytes(forms)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node").take(pa.array(np.repeat(np.arange(len(counts)), counts))), pa.array(data.view(np.int64))], names=["node", "shingle"]
+        )
+
+
+def _rare(nodes: DataFrame, forms: DataFrame) -> DataFrame:
+    """The shingles of each node by which every text that is similar to it can be met: node, shingle.
+
+    In one order of all shingles, by the number of nodes that hold them, the rarest of two similar texts meet: of n shingles
+    at least 0.8 n are common, so the rarest n - 0.8 n + 1 of either hold a common one. A shingle of one node alone meets nothing.
+    """
+    each = materialise(forms.join(nodes.select("node"), "node", "left_semi").mapInArrow(_exploded, "node binary, shingle long"), "near-shingles")
+    several = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = each.join(several, "shingle", "left").groupBy("node").agg(
+        F.count("*").alias("size"), F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "shingle")))).alias("shared"),
+    )
+    prefix = F.col("size") - F.ceil(F.col("size") * F.lit(SIMILARITY) - F.lit(1e-9)) + 1
+    # Those of one node alone come first in the order.
+    room = F.greatest(prefix - (F.col("size") - F.size("shared")), F.lit(0)).cast("int")
+    return ranked.select("node", F.explode(F.slice("shared", F.lit(1), room)).alias("s")).select("node", F.col("s.shingle").alias("shingle"))
+
 
-    The nodes of a large bucket are dealt over parts, each of which meets the whole bucket.
-    A pair comes from the first bucket that both nodes are in.
+def _all_pairs(members: DataFrame, forms: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """All pairs (a, b), a < b, of different groups with a common sketch that can be similar.
+
+    Nodes whose buckets hold one group only have no such pair. The others meet through their rare shingles, group by group:
+    a crowd of one group, or of texts below the threshold that share a template only, makes no pairs.
     """
     nodes = members.withColumn("group", F.col("node")) if groups is None else members.join(groups, "node")
-    rows = nodes.withColumn("key", F.explode("keys")).join(shared, "key")
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    columns = ("node", "group", "shingles", "keys")
-    a = rows.select("key", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    b = rows.select("key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    mixed_keys = nodes.select(F.explode("keys").alias("key"), "group").groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    open_nodes = nodes.select("node", F.explode("keys").alias("key")).join(mixed_keys.where("low != high").select("key"), "key", "left_semi")
+    nodes = materialise(nodes.join(open_nodes.select("node").distinct(), "node", "left_semi").select("node", "group", "shingles", "keys"), "near-open")
+    rare = materialise(_rare(nodes, forms).join(nodes, "node"), "near-rare")
+    held = rare.groupBy("shingle", "group").agg(F.count("*").alias("n"))
+    several = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    held = materialise(held.join(several, "shingle", "left_semi").select("shingle", "group"), "near-held")
+    x, y = held.withColumnRenamed("group", "a_group"), held.withColumnRenamed("group", "b_group")
+    meeting = x.join(y, "shingle").where("a_group < b_group")
+    a, b = (rare.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "shingles", "keys")]) for side in "ab")
     least, most = F.least("a_shingles", "b_shingles"), F.greatest("a_shingles", "b_shingles")
-    first = F.get(F.array_intersect("a_keys", "b_keys"), F.lit(0))
-    fits = (F.col("a_node") < F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (least >= SIMILARITY * most)
-    return (
-        a.join(b, ["key", "part"]).where(fits & (first == F.col("key")))
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    )
+    fits = (least >= SIMILARITY * most) & F.arrays_overlap("a_keys", "b_keys")
+    met = meeting.join(a, ["shingle", "a_group"]).join(b, ["shingle", "b_group"]).where(fits)
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
 def _verify(pairs: DataFrame, forms: DataFrame, blocks: int) -> DataFrame:
@@ -349,7 +380,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         now_open = _open(members, groups)
         last = now_open <= OPEN * rows_met or now_open > before_open / 2
         before_open = now_open
-        pairs = _all_pairs(members, shared, groups) if last else _pairs(buckets, groups, turn)
+        pairs = _all_pairs(members, forms, groups) if last else _pairs(buckets, groups, turn)
         if tried is not None and not last:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "near-pairs")
