@@ -45,7 +45,7 @@ PASSAGES = "doc_id long, text_print long, key long, low long, high long, start i
 TEXTS = "key long, hot boolean, copies long, doc_id long, text_print long, start int, body binary"
 SPANS = "doc_id long, text_print long, start int, stop int"
 STRINGS = "low long, high long, doc_id long, text_print long, at int"
-CLEANED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+CLEANED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
 
 BASE = 0x9E3779B97F4A7C15
 # The value of BASE times which is 1, modulo 2 ** 64.
@@ -235,10 +235,10 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = stop
             kept.append(raw[at:])
             rest = b"".join(kept)
-            rows.append((doc_id, len(raw), len(raw) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest))
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            rows.append((doc_id, len(raw), len(raw) - len(rest), len(runs), hashlib.sha256(rest).hexdigest(), rest.decode(errors="ignore"), rest))
+        columns = list(zip(*rows)) or [()] * 7
+        kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "kept"])
 
 
 def _beside(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -292,11 +292,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return whole.unionByName(copies).unionByName(sharded).unionByName(single)
 
 
-def cleaned(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the bytes kept if asked for."""
+def cleaned(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is left), and its exact bytes if asked for.
+
+    A removed run may begin or end inside a character; ``text`` goes without the rest of such a character.
+    """
     ship(docs.sparkSession)
     texts = id_and_text(docs).withColumn("text_print", text_hash())
     spans = repeated_spans(docs).groupBy("doc_id", "text_print").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     beside = _beside(texts, materialise(spans, "repeated-spans"), "left").select("doc_id", "text", "spans")
     out = beside.mapInArrow(_cleaned, CLEANED + ", kept binary")
-    return out if with_text else out.drop("kept")
+    return out if with_bytes else out.drop("kept")

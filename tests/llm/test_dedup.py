@@ -23,7 +23,8 @@ def repeated_by_force(pairs):
                 hit[k + n + 1] -= 1
         cover = np.cumsum(hit)[1 : len(b) + 1] > 0
         spans = int((np.diff(cover.astype(int), prepend=0) == 1).sum())
-        out.append((i, len(b), int(cover.sum()), spans, digest(bytes(np.frombuffer(b, np.uint8)[~cover]))))
+        rest = bytes(np.frombuffer(b, np.uint8)[~cover])
+        out.append((i, len(b), int(cover.sum()), spans, digest(rest), rest.decode(errors="ignore")))
     return sorted(out, key=repr)
 
 
