@@ -37,7 +37,7 @@ def docs_per_index(spark, sf):
     root = work_dir(spark, "index")
     write_documents(json_documents(daily_events(spark, sf)), root, rebalance=True)
     write_records(table(spark, sf, "orders"), root, "es://ord/order")
-    return profile.doc_counts(read_index(spark, root, "es://_all")).withColumnRenamed("_index", "index_name")
+    return catalog.document_counts(spark, root).withColumnRenamed("_index", "index_name")
 
 
 CARDINALITY = """

@@ -1,18 +1,18 @@
 """Index tables: documents written to and read from partitioned Parquet.
 
-Layout below a root: ``_index=/_type=/_kind=/_batch=/_writer=``. A write only appends
-one batch and needs no shuffle unless a layout option asks for one. ``_batch`` gives the
-order of writes, ``_writer`` names the write itself, so no write touches another's
-files. ``_kind`` says what a reader must do with a directory:
+Layout below a root: ``_try=/_index=/_type=/_kind=/_batch=/_writer=``. A write only appends files
+below a folder of its own and needs no shuffle unless a layout option asks for one; it exists
+from its entry in the commit log (``log``) on. ``_batch`` gives the order of writes, ``_writer``
+names the write itself. ``_kind`` says what a segment holds:
 
 * ``unique``   ids were assigned here (or the index was compacted): no id repeats
 * ``given``    the caller chose the ids, so a later document may replace one
 * ``rejected`` rows that could not become documents, with their reason
 
-An index that holds only ``unique`` rows is read without any shuffle. For ``given``
-ids a write also notes, in ``_repeats/``, the ids that it holds more than once, which
-are few as a rule. A read leaves out what that note, or a later batch, replaced: an
-anti join by id alone, below which filters reach the files and documents stay in place.
+What a document replaces is found once, when its write commits: a join of ids alone, with
+those committed parts whose range of ids meets the write's. The replaced rows are stored as
+bitmaps over sequence numbers. A read of segments from which nothing was taken out is a plain
+scan, however many there are; of the others, a row is kept or not by its bit.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import time
 import uuid
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
@@ -30,7 +31,9 @@ from docindex.functions import records
 from docindex.locator import Locator
 from docindex.mapping import mapping_to_struct, merged, routing_path, struct_to_mapping, typed_columns
 from docindex.operators.filters import compile_filter, query_string
-from docindex.sources import catalog
+from docindex.sources import catalog, log
+from docindex.sources.log import Part, Segment
+from docindex.workspace import materialise
 
 # Target used where a JSON record names none.
 DEFAULT_INDEX = "hadoop"
@@ -46,6 +49,7 @@ STORED = T.StructType([
     T.StructField("_reason", T.StringType()),
 ])
 PARTITION_COLUMNS = T.StructType([
+    T.StructField("_try", T.StringType()),
     T.StructField("_index", T.StringType()),
     T.StructField("_type", T.StringType()),
     T.StructField("_kind", T.StringType()),
@@ -54,10 +58,6 @@ PARTITION_COLUMNS = T.StructType([
 ])
 # Where a document stands in the order of all writes.
 AGE = ("_batch", "_writer", "_seq")
-REPEATS = T.StructType([
-    T.StructField("_index", T.StringType()), T.StructField("_type", T.StringType()), T.StructField("_id", T.StringType()),
-    T.StructField("_batch", T.LongType()), T.StructField("_writer", T.StringType()), T.StructField("_seq", T.LongType()),
-])
 RESERVED = set(STORED.names) | set(PARTITION_COLUMNS.names)
 DOCUMENT = ["_index", "_type", "_id", "_routing", "_shard", "_batch", "_writer", "_seq", "_source"]
 
@@ -206,71 +206,137 @@ def write_documents(
     ``rebalance``  one shuffle by target, split and merged by size, for few large
                    files; without it each task writes a file per target it meets
     ``bulk_size``  at most this many documents per file
-    ``replace_target`` the one (index, type) of all documents, whose earlier ones go;
-                   the documents must not be read from there
+    ``replace_target`` the one (index, type) of all documents, whose earlier ones go
     ``rejects``    also write the rejected lines as JSON to this path
     ``targets``    the only targets that documents name, if known
     """
     spark = docs.sparkSession
-    held = catalog.segments(spark, root)
-    again = {s.batch for s in held if s.writer == writer}
     if batch is None:
-        batch = again.pop() if again else 1 + max((s.batch for s in held), default=0)
-    name = writer or uuid.uuid4().hex
+        batch = log.claim(spark, root, writer)
+    name, attempt = writer or uuid.uuid4().hex, f"_try={uuid.uuid4().hex}"
     parts = [[(None, mapping)]] if mapping is not None else _mapped_parts(spark, root, targets)
     started = time.monotonic()
     numbers = []
+    if len(parts) > 1:
+        # Documents of targets with differing types of one field go to files of their own; the input runs once.
+        docs = materialise(docs, "mapped-input")
     for k, part in enumerate(parts):
-        # Documents of targets with differing types of one field go to files of their own.
         some = docs if len(parts) == 1 else docs.where(_in_part(parts, k))
         rows = _numbered(some, batch, name, part)
         if shards:
             rows = _placed(rows, shards, salt)
         elif rebalance:
             rows = rows.hint("rebalance", "_index", "_type")
-        numbers.append(_written(rows, root, writer is not None, replace_target, bulk_size))
-    done = WriteResult(batch=batch, seconds=time.monotonic() - started, **{c: sum(n[c] for n in numbers) for c in ("records", "bytes", "rejected")})
-    if any(n["given"] for n in numbers):
-        _note_repeats(spark, root, batch, name)
+        numbers.append(_written(rows, f"{root}/{attempt}", bulk_size))
+    total = {c: sum(n[c] for n in numbers) for c in ("records", "bytes", "rejected")}
+    written = _parts_of(spark, root, attempt, numbers)
+    _commit(spark, root, log.Entry(batch, name, tuple(written), replaces=(replace_target,) if replace_target else ()))
+    done = WriteResult(batch=batch, seconds=time.monotonic() - started, **total)
     if rejects is not None and done.rejected:
         read_rejects(spark, root, batch=batch).write.mode("append").json(rejects)
     return done
 
 
-def _written(rows: DataFrame, root: str, own_again: bool, replace_target: tuple[str, str] | None, bulk_size: int | None) -> dict[str, int]:
+def _written(rows: DataFrame, path: str, bulk_size: int | None = None) -> dict:
     seen = Observation("write")
-    ok = F.col("_kind") != catalog.REJECTED
+    ok, given = F.col("_kind") != catalog.REJECTED, F.when(F.col("_kind") == "given", F.col("_id"))
     rows = rows.observe(
         seen,
         F.count(F.when(ok, 1)).alias("records"),
         F.coalesce(F.sum(F.when(ok, F.octet_length("_source"))), F.lit(0)).alias("bytes"),
         F.count(F.when(~ok, 1)).alias("rejected"),
-        F.count(F.when(F.col("_kind") == "given", 1)).alias("given"),
+        F.min(given).alias("low"), F.max(given).alias("high"),
     )
-    path, layout = root, list(PARTITIONING)
-    if replace_target:
-        rows = rows.drop("_index", "_type")
-        path, layout = "{}/_index={}/_type={}".format(root, *replace_target), layout[2:]
-    out = rows.write.mode("overwrite" if own_again or replace_target else "append")
-    if own_again or replace_target:
-        out = out.option("partitionOverwriteMode", "static" if replace_target else "dynamic")
+    out = rows.write.mode("append")
     if bulk_size:
         out = out.option("maxRecordsPerFile", bulk_size)
-    out.partitionBy(*layout).parquet(path)
+    out.partitionBy(*PARTITIONING).parquet(path)
     return seen.get
 
 
-def _note_repeats(spark: SparkSession, root: str, batch: int, writer: str) -> None:
-    """Write the ids that one write holds more than once, with the place of the last.
-
-    Only the ids are read; each task counts its own first, so a busy id is one row per task.
+def _parts_of(spark: SparkSession, root: str, attempt: str, numbers: list[dict]) -> list[Part]:
+    """What a write put into its folder. With one segment the write has counted it; else its files are counted."""
+    files: dict[Segment, list[str]] = {}
+    for name in log.Folder(spark, root).data_files(attempt):
+        index, doc_type, kind, batch, writer = (unquote(p.partition("=")[2]) for p in name.split("/")[-6:-1])
+        files.setdefault(Segment(index, doc_type, kind, int(batch), writer), []).append(name)
+    if len(files) == 1 and len(numbers) == 1:
+        ((segment, names),) = files.items()
+        (n,) = numbers
+        return [Part(segment, tuple(names), n["records"] + n["rejected"], n["low"], n["high"])]
+    if not files:
+        return []
+    given = F.when(F.col("_kind") == "given", F.col("_id"))
+    rows = _scan(spark, root, T.StructType([]), [f for names in files.values() for f in names])
+    counts = {
+        (r["_index"], r["_type"], r["_kind"]): r
+        for r in rows.groupBy("_index", "_type", "_kind").agg(F.count("*").alias("n"), F.min(given).alias("low"), F.max(given).alias("high")).collect()
+    }
+    found = []
+    for s, names in files.items():
+        r = counts[s.index, s.type, s.kind]
+        found.append(Part(s, tuple(names), r["n"], r["low"], r["high"]))
+    return found
+
+
+def _commit(spark: SparkSession, root: str, entry: log.Entry) -> None:
+    own = {p.segment: p for p in entry.parts}
+    asked = []
+
+    def against(others: dict[Segment, Part]) -> log.Deletion | None:
+        found = _replaced(spark, root, own, others, first=not asked)
+        asked.append(True)
+        return None if found is None else _bitmaps(spark, root, found)
+
+    log.commit(spark, root, entry, against)
+
+
+def _replaced(spark: SparkSession, root: str, own: dict[Segment, Part], others: dict[Segment, Part], first: bool) -> DataFrame | None:
+    """Rows that a write takes out of other parts, or they out of it, or that it repeats itself: target, attempt, sequence number.
+
+    Only ids are read, and of the others those within the write's range; a busy id is one row per task.
     """
-    paths = [p for s, p in catalog.segments(spark, root).items() if (s.kind, s.batch, s.writer) == ("given", batch, writer)]
-    repeats = (
-        _scan(spark, root, T.StructType([]), paths).groupBy("_index", "_type", "_id", "_batch", "_writer")
-        .agg(F.max("_seq").alias("_seq"), F.count("*").alias("_n")).where("_n > 1").select(*REPEATS.names)
-    )
-    repeats.write.mode("overwrite").parquet(f"{root}/_repeats/{batch}-{writer}")
+    given = {s: p for s, p in own.items() if s.kind == "given"}
+    if not given:
+        return None
+    empty = T.StructType([])
+    row = ["_index", "_type", "_try", "_seq"]
+    target = ["_index", "_type", "_id"]
+    mine = _scan(spark, root, empty, _files(given)).select(*row, "_id")
+    meets = {
+        s: p for s, p in others.items() if s.kind != catalog.REJECTED and any(
+            (s.index, s.type) == (g.index, g.type) and (p.low is None or p.low <= q.high and q.low <= p.high) for g, q in given.items())
+    }
+    age = max((g.batch, g.writer) for g in given)
+    older = {s: p for s, p in meets.items() if (s.batch, s.writer) < age}
+    newer = {s: p for s, p in meets.items() if (s.batch, s.writer) > age and s.kind == "given"}
+    found = []
+    if first:
+        repeats = mine.groupBy(*target).agg(F.max("_seq").alias("_last"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+        found.append(mine.join(repeats, target).where("_seq < _last").select(row))
+    if older:
+        low, high = min(p.low for p in given.values()), max(p.high for p in given.values())
+        ids = _standing(spark, root, empty, older).where(F.col("_id").between(low, high))
+        found.append(ids.join(mine.select(target).distinct(), target, "left_semi").select(row))
+    if newer:
+        ids = _scan(spark, root, empty, _files(newer)).select(target).distinct()
+        found.append(mine.join(ids, target, "left_semi").select(row))
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
+def _bitmaps(spark: SparkSession, root: str, rows: DataFrame) -> log.Deletion | None:
+    """Store rows as bitmaps over their sequence numbers; None if there are none."""
+    path = f"_deletes/{uuid.uuid4().hex}"
+    bucket = F.bitmap_bucket_number("_seq").alias("_bucket")
+    bits = rows.groupBy("_index", "_type", "_try", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_seq")).alias("_bits"))
+    bits.write.parquet(f"{root}/{path}")
+    stored = spark.read.schema(catalog.BITMAPS).parquet(f"{root}/{path}")
+    # One row for each place that loses documents.
+    counts = stored.groupBy("_index", "_type", "_try").agg(F.sum(F.bitmap_count("_bits")).alias("n")).collect()
+    if not counts:
+        log.Folder(spark, root).delete(path)
+        return None
+    return log.Deletion(path, tuple(((r["_index"], r["_type"], r["_try"]), r["n"]) for r in counts))
 
 
 def _mapped_parts(spark: SparkSession, root: str, targets: list[tuple[str, str]] | None) -> list[list[tuple]]:
@@ -452,11 +518,12 @@ def read_index(
     locator's). ``versions=True`` also returns replaced documents.
     """
     loc = Locator.of(locator)
-    found = {s: p for s, p in catalog.segments(spark, root, loc).items() if s.kind != catalog.REJECTED}
+    state = log.state(spark, root)
+    found = {s: p for s, p in catalog.segments(spark, root, loc, state).items() if s.kind != catalog.REJECTED}
     mappings = catalog.get_mappings(spark, root, loc)
     targets = {(s.index, s.type) for s in found}
     typed, differing = _typed_schema([mappings[t] for t in sorted(targets & mappings.keys())])
-    docs = _scan(spark, root, typed, list(found.values())) if versions else _current(spark, root, typed, found)
+    docs = _scan(spark, root, typed, _files(found)) if versions else _standing(spark, root, typed, found, state)
     docs = docs.select(*DOCUMENT, *typed.names)
     q = q if q is not None else loc.option("q")
 
@@ -487,38 +554,33 @@ def _names_in(query) -> set[str]:
     return {query} if isinstance(query, str) else set()
 
 
-def _current(
-    spark: SparkSession, root: str, typed: T.StructType, found: dict[catalog.Segment, str]
-) -> DataFrame:
-    """The newest document of every id.
+def _files(parts: dict[Segment, Part]) -> list[str]:
+    return [f for p in parts.values() for f in p.files]
+
 
-    Documents lose those that were written again, by an anti join on the id. Its
-    other side holds ids only: those that a write noted as repeated in itself,
-    and those of batches that follow another batch of their target. It is small,
-    and then broadcast, unless later writes were large.
+def _standing(spark: SparkSession, root: str, typed: T.StructType, found: dict[Segment, Part], state: log.State | None = None) -> DataFrame:
+    """Documents of some parts that nothing has taken out.
+
+    Parts without a deletion are scanned as they are. Rows of the others meet the bitmap of their
+    bucket of sequence numbers: one short row for up to 32,768 documents, which the planner
+    broadcasts unless very many were replaced.
     """
-    docs = _scan(spark, root, typed, list(found.values()))
-    given = [s for s in found if s.kind == "given"]
-    if not given:
-        return docs
-    first: dict[tuple[str, str], tuple] = {}
-    for s in found:
-        target = (s.index, s.type)
-        first[target] = min((s.batch, s.writer), first.get(target, (s.batch, s.writer)))
-    noted = {p.rstrip("/").rpartition("/")[2]: p for p in catalog.glob_paths(spark, f"{root}/_repeats/*")}
-    note = {s: noted.get(f"{s.batch}-{s.writer}") for s in given}
-    later = [p for s, p in found.items() if s in note and (note[s] is None or (s.batch, s.writer) > first[s.index, s.type])]
-    newest = F.struct(*AGE)
-    sides = []
-    if later:
-        ids = _scan(spark, root, T.StructType([]), later).groupBy("_index", "_type", "_id").agg(F.max(newest).alias("_newest"))
-        sides.append(ids)
-    notes = sorted({p for p in note.values() if p is not None})
-    if notes:
-        sides.append(spark.read.schema(REPEATS).parquet(*notes).select("_index", "_type", "_id", newest.alias("_newest")))
-    gone = reduce(DataFrame.unionByName, sides).withColumnsRenamed({"_index": "_i", "_type": "_t", "_id": "_d"})
-    same = (F.col("_index") == F.col("_i")) & (F.col("_type") == F.col("_t")) & (F.col("_id") == F.col("_d"))
-    return docs.join(gone, same & (newest < F.col("_newest")), "left_anti")
+    state = state or log.state(spark, root)
+    hit = {place for d in state.deletions for place, _ in d.rows}
+    dirty = {s: p for s, p in found.items() if p.place in hit}
+    clean = _scan(spark, root, typed, _files({s: p for s, p in found.items() if s not in dirty}))
+    if not dirty:
+        return clean
+    bits = catalog.deleted_rows(spark, root, state, {p.place for p in dirty.values()})
+    rows = _scan(spark, root, typed, _files(dirty))
+    names = {c: f"_x{c}" for c in catalog.BITMAPS.names}
+    side = bits.withColumnsRenamed(names)
+    same = [F.col(c) == F.col(names[c]) for c in ("_index", "_type", "_try")] + [F.bitmap_bucket_number("_seq") == F.col("_x_bucket")]
+    place = F.bitmap_bit_position("_seq")
+    byte = F.conv(F.hex(F.substring(F.col("_x_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    gone = F.getbit(byte, (place % 8).cast("int")) == 1
+    kept = rows.join(side, reduce(lambda a, b: a & b, same), "left").where(F.col("_x_bits").isNull() | ~gone).select(*rows.columns)
+    return kept if len(dirty) == len(found) else clean.unionByName(kept)
 
 
 def load(spark: SparkSession, root: str, locator: Locator | str, **options) -> DataFrame:
@@ -541,11 +603,10 @@ def read_rejects(
     spark: SparkSession, root: str, locator: Locator | str = "es://_all", batch: int | None = None
 ) -> DataFrame:
     """Rows that did not become documents: target, batch, the line and the reason."""
-    paths = [
-        p for s, p in catalog.segments(spark, root, locator).items()
-        if s.kind == catalog.REJECTED and batch in (None, s.batch)
-    ]
-    return _scan(spark, root, T.StructType([]), paths).select("_index", "_type", "_batch", "_source", "_reason")
+    found = {
+        s: p for s, p in catalog.segments(spark, root, locator).items() if s.kind == catalog.REJECTED and batch in (None, s.batch)
+    }
+    return _scan(spark, root, T.StructType([]), _files(found)).select("_index", "_type", "_batch", "_source", "_reason")
 
 
 def compact(
@@ -553,6 +614,8 @@ def compact(
 ) -> None:
     """Rewrite current documents into a new root, where reads need no shuffle."""
     found = catalog.segments(spark, source_root, locator)
+    if log.state(spark, target_root).version:
+        raise FileExistsError(f"{target_root} already holds documents")
     docs = read_index(spark, source_root, locator, q="*")
     typed = [c for c in docs.columns if c not in RESERVED]
     newest = max((s.batch for s in found), default=0)
@@ -560,18 +623,23 @@ def compact(
         "_id", "_routing", "_shard", "_seq", "_source", _null().alias("_reason"), *typed,
         "_index", "_type", F.lit("unique").alias("_kind"), F.lit(newest).cast("long").alias("_batch"), F.lit("compact").alias("_writer"),
     ).hint("rebalance", "_index", "_type")
-    rows.write.mode("errorifexists").partitionBy(*PARTITIONING).parquet(target_root)
+    # Sequence numbers of several batches may meet in one segment; a new one is their place here.
+    rows = rows.withColumn("_seq", F.monotonically_increasing_id())
+    attempt = f"_try={uuid.uuid4().hex}"
+    numbers = [_written(rows, f"{target_root}/{attempt}")]
+    _commit(spark, target_root, log.Entry(newest, "compact", tuple(_parts_of(spark, target_root, attempt, numbers))))
     kept = {(s.index, s.type) for s in found}
     for (index, doc_type), mapping in catalog.get_mappings(spark, source_root).items():
         if (index, doc_type) in kept:
             catalog.put_mapping(spark, target_root, index, doc_type, mapping)
 
 
-def _scan(spark: SparkSession, root: str, typed: T.StructType, paths: list[str]) -> DataFrame:
+def _scan(spark: SparkSession, root: str, typed: T.StructType, files: list[str]) -> DataFrame:
+    """The named files; no folder is listed."""
     schema = T.StructType(STORED.fields + typed.fields + PARTITION_COLUMNS.fields)
-    if not paths:
+    if not files:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*sorted(paths))
+    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in sorted(files)])
 
 
 def _typed_schema(mappings: list[dict]) -> tuple[T.StructType, set[str]]:

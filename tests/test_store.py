@@ -361,16 +361,6 @@ def test_filters_reach_the_files_of_given_ids(spark, root):
     assert read_index(spark, root, "es://u/row").count() == 2000
 
 
-def test_loads_without_a_note_of_repeats(spark, root):
-    """A write that broke off before its note still gives one document per id."""
-    import shutil
-
-    write_documents(json_documents(texts(spark, ['{"_id":1,"n":1}', '{"_id":1,"n":2}', '{"_id":2}']), "es://i/t"), root)
-    shutil.rmtree(f"{root}/_repeats")
-    docs = read_index(spark, root, "es://i/t").orderBy("_id").collect()
-    assert [(d["_id"], d["_source"]) for d in docs] == [("1", '{"_id":1,"n":2}'), ("2", '{"_id":2}')]
-
-
 def test_every_path_fills_the_typed_columns(spark, root, tmp_path):
     rows = spark.range(4).select(F.col("id").alias("n"), F.lit("click").alias("kind"))
     write_records(rows, root, "es://m/row")
