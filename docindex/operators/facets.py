@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from docindex.functions.times import bucket_start
 from docindex.operators.filters import compile_filter
+from docindex.operators.selection import SHALLOW_GROUP, Order, ranks
 
 DEFAULT_SIZE = 10
-# Up to this cut, Spark lets every task keep only its own best rows before a ranking shuffle.
-CUT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Keys aggregated in one pass: a grouping id has 64 bits.
 KEYS_PER_PASS = 32
 # More filtered facets than this are matched row by row instead of expanded.
@@ -66,15 +65,14 @@ def _spread(value: Column) -> list[Column]:
 
 
 def _ranked(df: DataFrame, order: str, size: int | None) -> DataFrame:
-    """The first ``size`` rows; every task keeps its own first, and one plan serves every size."""
-    return df if size is None else df.orderBy(*_order(order)).limit(size)
+    """The first ``size`` rows."""
+    return df if size is None else ranks(df, _order(order), size)
 
 
-def _order(order: str) -> list[Column]:
+def _order(order: str) -> Order:
     name = _checked_order(order, STATS).removeprefix("reverse_")
     falls = (name == "term") == order.startswith("reverse_")
-    first = F.desc(name) if falls else F.asc(name)
-    return [first] if name == "term" else [first, F.asc("term")]
+    return [(name, falls)] if name == "term" else [(name, falls), ("term", False)]
 
 
 def _checked_order(order: str, numbers: tuple[str, ...]) -> str:
@@ -83,13 +81,6 @@ def _checked_order(order: str, numbers: tuple[str, ...]) -> str:
     return order
 
 
-def _cut_in_tasks(df: DataFrame, size: int) -> None:
-    """Let tasks keep only their best rows of a cut of any size."""
-    conf = df.sparkSession.conf
-    if size > int(conf.get(CUT_SETTING, "1000")):
-        conf.set(CUT_SETTING, str(size))
-
-
 # -- one facet ---------------------------------------------------------------
 
 def statistical(df: DataFrame, field: str | Column, where: Column | None = None) -> DataFrame:
@@ -195,9 +186,8 @@ def top_per_key(
 ) -> DataFrame:
     """The most frequent values of a field for every key combination.
 
-    Counts come first, so the ranking sees one row per key and value, and each
-    task sends at most ``size`` of them per key. ``wanted`` restricts the keys
-    to those of a table.
+    Counts come first, so the ranking sees one row per key and value. ``wanted``
+    restricts the keys to those of a table.
     """
     counts = df.where(F.col(field).isNotNull()).groupBy(*keys, F.col(field).alias("term")).agg(
         F.count("*").alias("count"))
@@ -207,9 +197,7 @@ def top_per_key(
         best = F.min(F.struct((-F.col("count")).alias("n"), "term")).alias("_best")
         return counts.groupBy(*keys).agg(best).select(
             *keys, F.col("_best.term").alias("term"), (-F.col("_best.n")).alias("count"))
-    _cut_in_tasks(df, size)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("count"), F.asc("term")))
-    return counts.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank")
+    return ranks(counts, [("count", True), ("term", False)], size, within=keys)
 
 
 # -- many facets in one request ----------------------------------------------
@@ -434,23 +422,27 @@ def _number_types(part: DataFrame, parts: list[DataFrame]) -> DataFrame:
 def _cut(answer: DataFrame, plans: list[_Facet]) -> DataFrame:
     """Keep each facet's first ``size`` terms in its order.
 
-    All cuts are one ranking, in which each task first keeps its own best rows per
-    facet. A facet without a cut is ranked term by term, so it keeps every row and
-    is never gathered.
+    Small cuts are one ranking, in which each task first keeps its own best rows per
+    facet. Facets with a large cut are selected by buckets, one after the other; those without keep every row.
     """
-    cut = [p for p in plans if p.size is not None]
-    if not cut:
-        return answer
-    name, term = F.col("facet"), F.col("term")
-    most = max(p.size for p in cut)
-    _cut_in_tasks(answer, most)
-    by = []
-    for order in sorted({p.order for p in cut} - {"term"}):
-        own = F.when(name.isin([p.name for p in cut if p.order == order]), F.col(order.removeprefix("reverse_")))
-        falls = (order == "reverse_term") or not order.startswith("reverse_")
-        by.append(F.desc(own) if falls else F.asc(own))
-    apart = F.when(~name.isin([p.name for p in cut]), term)
-    rank = F.row_number().over(Window.partitionBy("facet", apart).orderBy(*by, F.asc("term")))
-    limit = reduce(lambda rest, p: F.when(name == p.name, F.lit(p.size)).otherwise(rest), cut, F.lit(1))
-    ranked = answer.withColumn("_rank", rank).where(F.col("_rank") <= most)
-    return ranked.where(F.col("_rank") <= limit).drop("_rank")
+    name = F.col("facet")
+    parts = []
+    small = [p for p in plans if p.size is not None and p.size <= SHALLOW_GROUP]
+    large = [p for p in plans if p.size is not None and p.size > SHALLOW_GROUP]
+    free = [p.name for p in plans if p.size is None]
+    if free:
+        parts.append(answer if len(free) == len(plans) else answer.where(name.isin(free)))
+    if small:
+        by = []
+        for order in sorted({p.order for p in small} - {"term"}):
+            own = F.when(name.isin([p.name for p in small if p.order == order]), F.col(order.removeprefix("reverse_")))
+            falls = (order == "reverse_term") or not order.startswith("reverse_")
+            by.append(F.desc(own) if falls else F.asc(own))
+        rank = F.row_number().over(Window.partitionBy("facet").orderBy(*by, F.asc("term")))
+        limit = reduce(lambda rest, p: F.when(name == p.name, F.lit(p.size)).otherwise(rest), small, F.lit(1))
+        some = answer if len(small) == len(plans) else answer.where(name.isin([p.name for p in small]))
+        ranked = some.withColumn("_rank", rank).where(F.col("_rank") <= max(p.size for p in small))
+        parts.append(ranked.where(F.col("_rank") <= limit).drop("_rank"))
+    for p in large:
+        parts.append(ranks(answer.where(name == p.name), _order(p.order), p.size))
+    return reduce(DataFrame.unionByName, parts)

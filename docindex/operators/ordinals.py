@@ -6,11 +6,9 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from docindex.operators.selection import ranks
 from docindex.workspace import materialise
 
-# Rows that one driver-side top-k may hold.
-SHALLOW_PAGE = 100_000
-
 
 def spread_sort(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     """A total order in which a value that many rows share is cut into many
@@ -66,15 +64,12 @@ def assign_chunks(df: DataFrame, chunks: int, order_by: list[str | Column] | Non
     return placed.select(*df.columns, F.expr(f"_ordinal div {size}").alias("chunk"))
 
 
-def page(df: DataFrame, order_by: list[str | Column], start: int = 0, size: int = 10) -> DataFrame:
-    """Rows ``start`` to ``start + size`` of a total order.
+def page(df: DataFrame, order_by: list[str | tuple[str, bool]], start: int = 0, size: int = 10) -> DataFrame:
+    """Rows ``start`` to ``start + size`` of an order of columns, or of (column, whether it falls).
 
-    A shallow page is a bounded top-k; a deep one is cut by row position.
+    A shallow page is a bounded top-k, in order; a deep one is selected by buckets.
     """
-    if start + size <= SHALLOW_PAGE:
-        return df.orderBy(*order_by).offset(start).limit(size)
-    at = F.col("_ordinal")
-    return with_ordinal(df, order_by, "_ordinal").where((at >= start) & (at < start + size)).drop("_ordinal")
+    return ranks(df, [(c, False) if isinstance(c, str) else c for c in order_by], size, start)
 
 
 def word_filter(words: DataFrame, word: str, order_by: list[str | Column], offset: int, n: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from docindex.operators.facets import facet_request, facet_totals
 from docindex.operators.filters import compile_filter
 from docindex.operators.ordinals import page, spread_sort
+from docindex.operators.selection import Order
 
 DEFAULT_PAGE = 10
 
@@ -26,7 +27,7 @@ class SearchResult:
     @property
     def hits(self) -> DataFrame | None:
         size = self.body.get("size", DEFAULT_PAGE)
-        sort = sort_columns(self.body.get("sort", list(self.default_sort)))
+        sort = sort_order(self.body.get("sort", list(self.default_sort)))
         return page(self.matching, sort, self.body.get("from", 0), size) if size else None
 
     @property
@@ -57,17 +58,14 @@ def search(
     return SearchResult(matching(df, body, text_fields), body, default_sort)
 
 
-def sort_columns(sort: list) -> list:
-    """Sort list of a request: field names, or ``{field: "desc"}``."""
-    columns = []
+def sort_order(sort: list) -> Order:
+    """Sort list of a request, field names or ``{field: "desc"}``, as (column, whether it falls)."""
+    order = []
     for entry in sort:
-        if isinstance(entry, str):
-            columns.append(F.asc(entry))
-        else:
-            (name, how), = entry.items()
-            how = how.get("order", "asc") if isinstance(how, dict) else how
-            columns.append(F.desc(name) if how == "desc" else F.asc(name))
-    return columns
+        (name, how), = [(entry, "asc")] if isinstance(entry, str) else entry.items()
+        how = how.get("order", "asc") if isinstance(how, dict) else how
+        order.append((name, how == "desc"))
+    return order
 
 
 def sorted_documents(df: DataFrame, fields: list[str]) -> DataFrame:

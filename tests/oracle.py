@@ -31,6 +31,13 @@ PYTHON = ("ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "Flat
 # A shuffle of whole rows into one task.
 ONE_TASK = re.compile(r"Exchange SinglePartition, ENSURE_REQUIREMENTS.*\n[^A-Za-z]*(?:\*\(\d+\) )?(?:Project|Filter|Scan|FileScan|ColumnarToRow)\b")
 
+# Rows that a top-k may bring into one task.
+TOP_ROWS = 10_000
+
+
+def large_top(plan: str) -> bool:
+    return any(int(n) > TOP_ROWS for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)|GlobalLimit (\d+)", plan) for n in n if n)
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -66,7 +73,7 @@ def compare(spark, con, fn, sql: str, sf_dir: str) -> str | None:
         for operator in PYTHON:
             if operator in plan:
                 return f"plan holds {operator}"
-    if ONE_TASK.search(plan):
+    if ONE_TASK.search(plan) or large_top(plan):
         return "plan gathers whole rows in one task"
     answer = con.execute(sql)
     columns = [d[0] for d in answer.description]

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from docindex.operators import facets, filters, ordinals, profile, ranking, reports, slowlog
+from docindex.operators import facets, filters, ordinals, profile, ranking, reports, selection, slowlog
 from docindex.operators import search as search_module
 from docindex.operators.search import search
 
@@ -31,7 +31,7 @@ def test_chunk_plan(spark, hits, chunks, sizes):
 def test_ordinals_and_deep_pages(spark, monkeypatch):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
     assert ordinals.with_ordinal(df, ["k"]).where("k <> ordinal").count() == 0
-    monkeypatch.setattr(ordinals, "SHALLOW_PAGE", 10)
+    monkeypatch.setattr(selection, "SHALLOW", 10)
     assert [r["k"] for r in ordinals.page(df, ["k"], 4321, 3).orderBy("k").collect()] == [4321, 4322, 4323]
 
 
@@ -187,7 +187,7 @@ def test_statistics_of_nothing(docs):
 
 
 def test_large_cut(docs, monkeypatch):
-    monkeypatch.setattr(ordinals, "SHALLOW_PAGE", 0)
+    monkeypatch.setattr(selection, "SHALLOW", 0)
     got = facets.terms_stats(docs, "kind", "n", size=1, order="total").collect()
     assert [(r["term"], r["total"]) for r in got] == [("a", 10)]
 
