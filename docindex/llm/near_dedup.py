@@ -282,42 +282,47 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare(nodes: DataFrame, forms: DataFrame) -> DataFrame:
-    """The shingles of each node by which every text that is similar to it can be met: node, shingle.
+    """The shingles of each node by which every text that is similar to it can be met: node, shingle, short.
 
-    In one order of all shingles, by the number of nodes that hold them, the rarest of two similar texts meet: of n shingles
-    at least 0.8 n are common, so the rarest n - 0.8 n + 1 of either hold a common one. A shingle of one node alone meets nothing.
+    In one order of all shingles, by the number of nodes that hold them, the rarest of two similar texts meet. The shorter of
+    two has at least needed(n, n) of its n shingles in common, the longer one 0.8 n, so it is enough to look at the others and
+    one more: few for a text that meets longer ones (``short``), more for one that meets shorter ones. A shingle of one node alone meets nothing.
     """
     each = materialise(forms.join(nodes.select("node"), "node", "left_semi").mapInArrow(_exploded, "node binary, shingle long"), "near-shingles")
     several = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     ranked = each.join(several, "shingle", "left").groupBy("node").agg(
         F.count("*").alias("size"), F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "shingle")))).alias("shared"),
     )
-    prefix = F.col("size") - F.ceil(F.col("size") * F.lit(SIMILARITY) - F.lit(1e-9)) + 1
-    # Those of one node alone come first in the order.
-    room = F.greatest(prefix - (F.col("size") - F.size("shared")), F.lit(0)).cast("int")
-    return ranked.select("node", F.explode(F.slice("shared", F.lit(1), room)).alias("s")).select("node", F.col("s.shingle").alias("shingle"))
+    size = F.col("size")
+    own = size - F.size("shared")  # those of one node alone come first in the order
+    longest = size - F.ceil(size * F.lit(SIMILARITY) - F.lit(1e-9)) + 1
+    shortest = size - F.ceil(size * F.lit(2 * SIMILARITY / (1 + SIMILARITY)) - F.lit(1e-9)) + 1
+    room = F.greatest(longest - own, F.lit(0)).cast("int")
+    rows = ranked.select("node", (shortest - own).alias("room"), F.posexplode(F.slice("shared", F.lit(1), room)).alias("at", "s"))
+    return rows.select("node", F.col("s.shingle").alias("shingle"), (F.col("at") < F.col("room")).alias("short"))
 
 
 def _all_pairs(members: DataFrame, forms: DataFrame, groups: DataFrame | None) -> DataFrame:
     """All pairs (a, b), a < b, of different groups with a common sketch that can be similar.
 
-    Nodes whose buckets hold one group only have no such pair. The others meet through their rare shingles, group by group:
-    a crowd of one group, or of texts below the threshold that share a template only, makes no pairs.
+    Nodes whose buckets hold one group only have no such pair. The others meet through their rare shingles. The group that
+    holds most nodes of a shingle does not meet itself there, so a large group costs its size only; nor does
+    a crowd of texts below the threshold, whose rare shingles are each text's own.
     """
     nodes = members.withColumn("group", F.col("node")) if groups is None else members.join(groups, "node")
     mixed_keys = nodes.select(F.explode("keys").alias("key"), "group").groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"))
     open_nodes = nodes.select("node", F.explode("keys").alias("key")).join(mixed_keys.where("low != high").select("key"), "key", "left_semi")
     nodes = materialise(nodes.join(open_nodes.select("node").distinct(), "node", "left_semi").select("node", "group", "shingles", "keys"), "near-open")
-    rare = materialise(_rare(nodes, forms).join(nodes, "node"), "near-rare")
+    rare = materialise(_rare(nodes, forms), "near-rare").join(nodes, "node")
     held = rare.groupBy("shingle", "group").agg(F.count("*").alias("n"))
-    several = held.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
-    held = materialise(held.join(several, "shingle", "left_semi").select("shingle", "group"), "near-held")
-    x, y = held.withColumnRenamed("group", "a_group"), held.withColumnRenamed("group", "b_group")
-    meeting = x.join(y, "shingle").where("a_group < b_group")
-    a, b = (rare.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "shingles", "keys")]) for side in "ab")
-    least, most = F.least("a_shingles", "b_shingles"), F.greatest("a_shingles", "b_shingles")
-    fits = (least >= SIMILARITY * most) & F.arrays_overlap("a_keys", "b_keys")
-    met = meeting.join(a, ["shingle", "a_group"]).join(b, ["shingle", "b_group"]).where(fits)
+    most = held.groupBy("shingle").agg(F.max_by("group", "n").alias("most"), F.count("*").alias("groups")).where("groups > 1").select("shingle", "most")
+    rare = materialise(rare.join(most, "shingle").withColumn("major", F.col("group") == F.col("most")).drop("most"), "near-meeting")
+    columns = ("node", "group", "shingles", "keys", "major")
+    a, b = (rare.where(short).select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side, short in (("a", "short"), ("b", "true")))
+    shorter = F.struct("a_shingles", "a_node") < F.struct("b_shingles", "b_node")
+    fits = shorter & (F.col("a_group") != F.col("b_group")) & (F.col("a_shingles") >= SIMILARITY * F.col("b_shingles")) & F.arrays_overlap("a_keys", "b_keys")
+    met = a.where("not a_major").join(b, "shingle").where(fits).select("a_node", "b_node")
+    met = met.unionByName(a.where("a_major").join(b.where("not b_major"), "shingle").where(fits).select("a_node", "b_node"))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -378,7 +383,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     while True:
         # Leaders go on while each round halves the open pairs; then all that are open are tested, and none is left.
         now_open = _open(members, groups)
-        last = now_open <= OPEN * rows_met or now_open > before_open / 2
+        last = turn > 0 and (now_open <= OPEN * rows_met or now_open > before_open / 2)
         before_open = now_open
         pairs = _all_pairs(members, forms, groups) if last else _pairs(buckets, groups, turn)
         if tried is not None and not last:
