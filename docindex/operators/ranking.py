@@ -11,7 +11,7 @@ K1 = 1.2
 B = 0.75
 
 
-def _occurrences(words: str, word: str) -> Column:
+def _occurrences(words: Column, word: str) -> Column:
     return F.size(F.filter(words, lambda w: w == F.lit(word)))
 
 
@@ -23,11 +23,10 @@ def ranked_hits(df: DataFrame, doc_id: str, text: str, query: str, size: int = 1
     top-k of the documents with a hit moves between tasks.
     """
     words = query_words(query)
-    analysed = df.select(F.col(doc_id), tokens(F.col(text)).alias("_words"))
-    counted = analysed.select(
-        doc_id, F.size("_words").alias("_length"),
-        *[_occurrences("_words", x).alias(f"_tf{i}") for i, x in enumerate(words)],
-    )
+    # Each text is split once: its words are the one element that the lambda sees, and the optimizer cannot copy what is exploded.
+    counts = F.transform(F.array(tokens(F.col(text))), lambda w: F.struct(
+        F.size(w).alias("_length"), *[_occurrences(w, x).alias(f"_tf{i}") for i, x in enumerate(words)]))
+    counted = df.select(F.col(doc_id), F.explode(counts).alias("c")).select(doc_id, "c.*")
     figures = counted.agg(F.struct(
         F.count("*").alias("docs"), F.avg("_length").alias("mean_length"),
         *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(words))],

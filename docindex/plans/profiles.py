@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docindex.functions.records import JSON_OPTIONS
+from docindex.functions.text import tokens
 from docindex.operators import profile, reports
 from docindex.operators.ordinals import running_mean
 from docindex.operators.ranking import ranked_hits
 from docindex.operators.search import hits_count, matching, search, sorted_documents
 from docindex.plans.common import PLACES, Registry, events, index_of, table
 from docindex.plans.scans import daily_events
-from docindex.sources import catalog
+from docindex.sources import catalog, postings
 from docindex.sources.store import json_documents, read_index, write_documents, write_records
 from docindex.workspace import work_dir
 
@@ -260,3 +261,59 @@ def ranked(spark, sf):
     """Best documents for two words."""
     hits = ranked_hits(table(spark, sf, "documents"), "doc_id", "text", "the und", 10)
     return hits.select("doc_id", F.round("_score", PLACES).alias("score"))
+
+
+def text_index(spark, sf):
+    """Documents in two writes, some of the first replaced by the second, with postings of their text."""
+    root = work_dir(spark, "index")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    write_records(docs, root, "es://docs/row", id_field="doc_id")
+    write_records(docs.where("doc_id % 10 = 0").withColumn("text", F.concat("text", F.lit(" the und appended"))), root, "es://docs/row", id_field="doc_id")
+    postings.build(spark, root, "text")
+    return root
+
+
+#: The same documents' words.
+INDEXED = f"""t AS (SELECT doc_id, [w for w in {WORDS.format("CASE WHEN doc_id % 10 = 0 THEN text || ' the und appended' ELSE text END")} if w <> ''] AS w FROM documents)"""
+
+
+@query("postings_built", f"""
+WITH {INDEXED}, e AS (SELECT doc_id, unnest(w) AS word FROM t)
+SELECT word, count(DISTINCT doc_id) AS docs, count(*) AS times FROM e GROUP BY word""")
+def postings_built(spark, sf):
+    """Every word's documents and occurrences, from the postings alone."""
+    found = postings.entries(spark, text_index(spark, sf), "text")
+    return found.groupBy("word").agg(F.count("*").alias("docs"), F.sum("times").alias("times"))
+
+
+@query("term_hits_by_postings", f"""
+WITH {INDEXED}, l AS (SELECT lang AS word FROM documents WHERE lang IS NOT NULL UNION SELECT 'the' UNION SELECT 'appended' UNION SELECT 'not-there')
+SELECT word, (SELECT count(*) FROM t WHERE list_contains(w, word)) AS hits FROM l""")
+def term_hits_by_postings(spark, sf):
+    """Documents of each listed word, from the postings alone."""
+    words = table(spark, sf, "documents").where("lang IS NOT NULL").select(F.col("lang").alias("word"))
+    words = words.unionByName(spark.createDataFrame([("the",), ("appended",), ("not-there",)], "word string"))
+    return postings.term_hits(spark, text_index(spark, sf), "text", words)
+
+
+@query("q_by_postings", f"""
+WITH {INDEXED}
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, len(w) AS words FROM t WHERE list_contains(w, 'the') AND list_contains(w, 'of')""")
+def q_by_postings(spark, sf):
+    """Documents with every word, found by postings instead of a search through all texts."""
+    docs = postings.matching(spark, text_index(spark, sf), "text", "the of", every=True)
+    return docs.select(F.col("_id").alias("doc_id"), F.size(tokens(F.col("text"))).cast("long").alias("words"))
+
+
+@query("ranked_by_blocks", f"""
+WITH {INDEXED},
+c AS (SELECT doc_id, len(w) AS len, len([x for x in w if x = 'appended']) AS tf1, len([x for x in w if x = 'und']) AS tf2 FROM t),
+s AS (SELECT count(*) AS n, avg(len) AS mean, count(*) FILTER (WHERE tf1 > 0) AS d1, count(*) FILTER (WHERE tf2 > 0) AS d2 FROM c)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, round(
+  CASE WHEN tf1 > 0 THEN ln(1 + (n - d1 + 0.5) / (d1 + 0.5)) * tf1 * 2.2 / (tf1 + 1.2 * (0.25 + 0.75 * len / mean)) ELSE 0 END
++ CASE WHEN tf2 > 0 THEN ln(1 + (n - d2 + 0.5) / (d2 + 0.5)) * tf2 * 2.2 / (tf2 + 1.2 * (0.25 + 0.75 * len / mean)) ELSE 0 END,
+{PLACES}) AS score FROM c, s WHERE tf1 > 0 OR tf2 > 0 ORDER BY score DESC, CAST(doc_id AS VARCHAR) LIMIT 10""")
+def ranked_by_blocks(spark, sf):
+    """The best documents for two words, reading only blocks that can hold one."""
+    hits = postings.ranked(spark, text_index(spark, sf), "text", "appended und", 10)
+    return hits.select(F.col("_id").alias("doc_id"), F.round("_score", PLACES).alias("score"))

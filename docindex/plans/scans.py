@@ -213,3 +213,17 @@ def stream_beside_loads(spark, sf):
         index_stream(stream, root, work_dir(spark, "stream"), documents).trigger(availableNow=True).start().awaitTermination()
     docs = read_index(spark, root, "es://ev/event")
     return docs.groupBy(F.get_json_object("_source", "$.event_type").alias("event_type")).agg(F.count("*").alias("docs"))
+
+
+@query("scan_mixed_types", """
+SELECT 'long' AS index_name, CAST(event_id AS VARCHAR) AS v FROM events WHERE event_id % 100 = 7 AND event_id < 5000
+UNION ALL SELECT 'text', CAST(event_id AS VARCHAR) FROM events WHERE event_id % 100 = 7 AND event_id < 5000""")
+def scan_mixed_types(spark, sf):
+    """One field is a number in one index and text in the other: a query passes to both."""
+    root = work_dir(spark, "index")
+    rows = table(spark, sf, "events").select(F.col("event_id").alias("v"), (F.col("event_id") % 100).alias("kind"))
+    write_records(rows, root, "es://long/row")
+    write_records(rows.select(F.col("v").cast("string").alias("v"), "kind"), root, "es://text/row")
+    values = [str(k * 100 + 7) for k in range(50)]
+    docs = read_index(spark, root, "es://long,text", query={"terms": {"v": values}})
+    return docs.select(F.col("_index").alias("index_name"), "v")

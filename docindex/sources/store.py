@@ -511,33 +511,37 @@ def read_index(
     q: str | None = None,
     tasks: int | None = None,
     versions: bool = False,
+    with_place: bool = False,
 ) -> DataFrame:
     """Current documents in a locator's scope, with their typed columns.
 
     ``query`` is a structured filter, ``q`` a free-text one (default: the
-    locator's). ``versions=True`` also returns replaced documents.
+    locator's). ``versions=True`` also returns replaced documents, ``with_place``
+    the attempt that wrote each, which with its ``_seq`` names a row.
     """
     loc = Locator.of(locator)
     state = log.state(spark, root)
     found = {s: p for s, p in catalog.segments(spark, root, loc, state).items() if s.kind != catalog.REJECTED}
     mappings = catalog.get_mappings(spark, root, loc)
     targets = {(s.index, s.type) for s in found}
-    typed, differing = _typed_schema([mappings[t] for t in sorted(targets & mappings.keys())])
-    docs = _scan(spark, root, typed, _files(found)) if versions else _standing(spark, root, typed, found, state)
-    docs = docs.select(*DOCUMENT, *typed.names)
+    structs = {t: mapping_to_struct(mappings[t]) for t in sorted(targets & mappings.keys())}
+    typed, differing = _typed_schema(list(structs.values()))
+    branches = _branches(found, structs, typed, differing)
+    docs = reduce(DataFrame.unionByName, [
+        (_scan(spark, root, own, _files(some)) if versions else _standing(spark, root, own, some, state))
+        .withColumns({f.name: F.col(records._q(f.name)).cast(f.dataType) for f in typed.fields if f.name in differing})
+        for own, some in branches
+    ])
+    docs = docs.select(*DOCUMENT, *(["_try"] if with_place else []), *map(records._q, typed.names))
     q = q if q is not None else loc.option("q")
 
     def named(name: str) -> Column:
-        if name in differing:
-            raise ValueError(f"field {name!r} has several types in this scope; read the indices one by one")
         return _field(typed, name)
 
     if q not in ("", "*"):
         texts = _text_columns(typed, targets <= mappings.keys() and not differing)
         docs = docs.where(query_string(q, texts, named))
     if query is not None:
-        for name in differing & _names_in(query):
-            named(name)
         docs = docs.where(compile_filter(query, docs.schema))
     if tasks is None and "tasks" in loc.options:
         tasks = int(loc.option("tasks"))
@@ -545,15 +549,6 @@ def read_index(
     return docs if tasks is None else docs.coalesce(tasks)
 
 
-def _names_in(query) -> set[str]:
-    """Every name and text in a query's JSON."""
-    if isinstance(query, dict):
-        return set(query) | {n for v in query.values() for n in _names_in(v)}
-    if isinstance(query, list | tuple):
-        return {n for v in query for n in _names_in(v)}
-    return {query} if isinstance(query, str) else set()
-
-
 def _files(parts: dict[Segment, Part]) -> list[str]:
     return [f for p in parts.values() for f in p.files]
 
@@ -571,16 +566,27 @@ def _standing(spark: SparkSession, root: str, typed: T.StructType, found: dict[S
     clean = _scan(spark, root, typed, _files({s: p for s, p in found.items() if s not in dirty}))
     if not dirty:
         return clean
-    bits = catalog.deleted_rows(spark, root, state, {p.place for p in dirty.values()})
-    rows = _scan(spark, root, typed, _files(dirty))
+    kept = not_deleted(spark, root, _scan(spark, root, typed, _files(dirty)), dirty, state)
+    return kept if len(dirty) == len(found) else clean.unionByName(kept)
+
+
+def scan_parts(spark: SparkSession, root: str, typed: T.StructType, parts: dict[Segment, Part]) -> DataFrame:
+    """All rows of some parts, deleted ones too."""
+    return _scan(spark, root, typed, _files(parts))
+
+
+def not_deleted(spark: SparkSession, root: str, rows: DataFrame, parts: dict[Segment, Part], state: log.State | None = None) -> DataFrame:
+    """Rows with a place and ``_seq`` whose bit is not set in the bitmaps of some parts."""
+    bits = catalog.deleted_rows(spark, root, state or log.state(spark, root), {p.place for p in parts.values()})
+    if bits is None:
+        return rows
     names = {c: f"_x{c}" for c in catalog.BITMAPS.names}
     side = bits.withColumnsRenamed(names)
     same = [F.col(c) == F.col(names[c]) for c in ("_index", "_type", "_try")] + [F.bitmap_bucket_number("_seq") == F.col("_x_bucket")]
     place = F.bitmap_bit_position("_seq")
     byte = F.conv(F.hex(F.substring(F.col("_x_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     gone = F.getbit(byte, (place % 8).cast("int")) == 1
-    kept = rows.join(side, reduce(lambda a, b: a & b, same), "left").where(F.col("_x_bits").isNull() | ~gone).select(*rows.columns)
-    return kept if len(dirty) == len(found) else clean.unionByName(kept)
+    return rows.join(side, reduce(lambda a, b: a & b, same), "left").where(F.col("_x_bits").isNull() | ~gone).select(*rows.columns)
 
 
 def load(spark: SparkSession, root: str, locator: Locator | str, **options) -> DataFrame:
@@ -642,15 +648,53 @@ def _scan(spark: SparkSession, root: str, typed: T.StructType, files: list[str])
     return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in sorted(files)])
 
 
-def _typed_schema(mappings: list[dict]) -> tuple[T.StructType, set[str]]:
-    """Columns of all mappings in scope, and the names that have several types there."""
+def _typed_schema(structs: list[T.StructType]) -> tuple[T.StructType, set[str]]:
+    """Columns of all mappings in scope, each of the least type that holds all of its types, and the names that have several."""
     fields: dict[str, T.StructField] = {}
     differing = set()
-    for mapping in mappings:
-        for f in mapping_to_struct(mapping).fields:
-            if fields.setdefault(f.name, f).dataType != f.dataType:
+    for struct in structs:
+        for f in struct.fields:
+            known = fields.setdefault(f.name, f)
+            if known.dataType != f.dataType:
                 differing.add(f.name)
-    return T.StructType([f for n, f in fields.items() if n not in differing]), differing
+                fields[f.name] = T.StructField(f.name, common_type(known.dataType, f.dataType))
+    return T.StructType(list(fields.values())), differing
+
+
+#: Numbers from the narrowest to the widest.
+NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that two types of one field can be cast to without losing a value: text holds everything.
+
+    >>> common_type(T.LongType(), T.DoubleType()), common_type(T.LongType(), T.StringType())
+    (DoubleType(), StringType())
+    """
+    if a == b:
+        return a
+    if isinstance(a, NUMBERS) and isinstance(b, NUMBERS):
+        wide = max(a, b, key=lambda t: NUMBERS.index(type(t)))
+        return T.DoubleType() if isinstance(wide, T.FloatType) else wide
+    dates = (T.DateType, T.TimestampNTZType, T.TimestampType)
+    if isinstance(a, dates) and isinstance(b, dates):
+        return max(a, b, key=lambda t: dates.index(type(t)))
+    if isinstance(a, T.ArrayType) or isinstance(b, T.ArrayType):
+        inner = common_type(*(t.elementType if isinstance(t, T.ArrayType) else t for t in (a, b)))
+        return T.ArrayType(inner) if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType) else T.StringType()
+    return T.StringType()
+
+
+def _branches(
+    found: dict[Segment, Part], structs: dict[tuple[str, str], T.StructType], typed: T.StructType, differing: set[str]
+) -> list[tuple[T.StructType, dict[Segment, Part]]]:
+    """Parts by the types that their files hold: one scan, unless a field differs."""
+    branches: dict[str, tuple[T.StructType, dict[Segment, Part]]] = {}
+    for segment, part in found.items():
+        own = {f.name: f for f in structs.get((segment.index, segment.type), T.StructType([])).fields}
+        struct = T.StructType([own.get(f.name, f) if f.name in differing else f for f in typed.fields])
+        branches.setdefault(struct.json() if differing else "", (struct, {}))[1][segment] = part
+    return list(branches.values()) or [(typed, {})]
 
 
 def _text_columns(typed: T.StructType, all_mapped: bool) -> list[Column]:
