@@ -11,10 +11,9 @@ stand in both texts in the same order, inside the band of offsets that the thres
 leaves possible. Its length over the number of shingles in either text has to reach
 ``SIMILARITY``.
 
-Equal word sequences are one node from the start. While the buckets of equal sketches hold
-many open pairs, of nodes of different groups, every node is compared with a leader of its
-bucket: that joins large groups at a cost in proportion to their nodes. When few pairs are
-open, or a round no longer halves them, all that is open is settled once: of the candidates of
+Equal word sequences are one node from the start. Every node is compared with leaders of the
+buckets of equal sketches that it is in: that joins large groups at a cost in proportion to their
+nodes, and goes on while it links many. Then all that is open is settled once: of the candidates of
 different groups those are tested that share one of their rarest shingles, as similar texts must.
 So copies cost little, and so does a crowd of texts below the threshold that share a template,
 whose rare shingles are each text's own.
@@ -45,8 +44,8 @@ SIMILARITY = 0.8
 SKETCHES, PICKED = 16, 3
 #: Leaders of a bucket in the first round, which links most, and in each later one.
 LEADERS = (1, 8)
-#: Open pairs for each row of the buckets up to which all are tested without leaders.
-OPEN = 64
+#: Share of the nodes that a round of leaders links anew, at least, to be followed by another.
+JOINS = 0.5
 #: Blocks of nodes whose pairs are verified together, at least, and the bytes of shingles in one.
 BLOCKS, BLOCK_BYTES = 32, 4 << 20
 BATCH_TEXT = 4 << 20
@@ -262,44 +261,36 @@ def _pairs(buckets: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame
     )
 
 
-def _open(members: DataFrame, groups: DataFrame | None) -> float:
-    """How many pairs of nodes of different groups the buckets hold; a pair counts in each bucket it shares."""
-    nodes = members.withColumn("group", F.col("node")) if groups is None else members.join(groups, "node")
-    sizes = nodes.select(F.explode("keys").alias("key"), "group").groupBy("key", "group").agg(F.count("*").cast("double").alias("n"))
-    each = sizes.groupBy("key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"))
-    return (each.agg(F.sum("pairs")).first()[0] or 0) / 2
-
-
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each labelled shingle of a node."""
+    """One row for each labelled shingle of a numbered node."""
     for batch in batches:
         forms = batch.column("form")
         counts = pc.divide(pc.binary_length(forms).cast(pa.int64()), 8).to_numpy()
         data, _ = text_bytes(forms)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node").take(pa.array(np.repeat(np.arange(len(counts)), counts))), pa.array(data.view(np.int64))], names=["node", "shingle"]
+            [pa.array(np.repeat(batch.column("number").to_numpy(), counts)), pa.array(data.view(np.int64))], names=["number", "shingle"]
         )
 
 
 def _rare(nodes: DataFrame, forms: DataFrame) -> DataFrame:
-    """The shingles of each node by which every text that is similar to it can be met: node, shingle, short.
+    """The shingles of each node by which every text that is similar to it can be met: number, shingle, at (its place in the order), short.
 
     In one order of all shingles, by the number of nodes that hold them, the rarest of two similar texts meet. The shorter of
     two has at least needed(n, n) of its n shingles in common, the longer one 0.8 n, so it is enough to look at the others and
     one more: few for a text that meets longer ones (``short``), more for one that meets shorter ones. A shingle of one node alone meets nothing.
     """
-    each = materialise(forms.join(nodes.select("node"), "node", "left_semi").mapInArrow(_exploded, "node binary, shingle long"), "near-shingles")
+    each = forms.join(nodes.select("node", "number"), "node").select("number", "form").mapInArrow(_exploded, "number long, shingle long")
     several = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    ranked = each.join(several, "shingle", "left").groupBy("node").agg(
-        F.count("*").alias("size"), F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("n", "shingle")))).alias("shared"),
-    )
+    shared = each.join(several, "shingle").groupBy("number").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("shared"))
+    ranked = shared.join(nodes.select("number", F.col("shingles").alias("size")), "number")
     size = F.col("size")
     own = size - F.size("shared")  # those of one node alone come first in the order
     longest = size - F.ceil(size * F.lit(SIMILARITY) - F.lit(1e-9)) + 1
     shortest = size - F.ceil(size * F.lit(2 * SIMILARITY / (1 + SIMILARITY)) - F.lit(1e-9)) + 1
     room = F.greatest(longest - own, F.lit(0)).cast("int")
-    rows = ranked.select("node", (shortest - own).alias("room"), F.posexplode(F.slice("shared", F.lit(1), room)).alias("at", "s"))
-    return rows.select("node", F.col("s.shingle").alias("shingle"), (F.col("at") < F.col("room")).alias("short"))
+    rows = ranked.select("number", shortest.alias("room"), own.alias("own"), F.posexplode(F.slice("shared", F.lit(1), room)).alias("at", "s"))
+    at = (F.col("own") + F.col("at")).cast("int")
+    return rows.select("number", F.col("s.shingle").alias("shingle"), at.alias("at"), (at < F.col("room")).alias("short"))
 
 
 def _all_pairs(members: DataFrame, forms: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -312,15 +303,18 @@ def _all_pairs(members: DataFrame, forms: DataFrame, groups: DataFrame | None) -
     nodes = members.withColumn("group", F.col("node")) if groups is None else members.join(groups, "node")
     mixed_keys = nodes.select(F.explode("keys").alias("key"), "group").groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"))
     open_nodes = nodes.select("node", F.explode("keys").alias("key")).join(mixed_keys.where("low != high").select("key"), "key", "left_semi")
-    nodes = materialise(nodes.join(open_nodes.select("node").distinct(), "node", "left_semi").select("node", "group", "shingles", "keys"), "near-open")
-    rare = materialise(_rare(nodes, forms), "near-rare").join(nodes, "node")
+    nodes = materialise(nodes.join(open_nodes.select("node").distinct(), "node", "left_semi").select("node", "group", "shingles", "keys", F.monotonically_increasing_id().alias("number")), "near-open")
+    rare = materialise(_rare(nodes, forms), "near-rare").join(nodes, "number")
     held = rare.groupBy("shingle", "group").agg(F.count("*").alias("n"))
     most = held.groupBy("shingle").agg(F.max_by("group", "n").alias("most"), F.count("*").alias("groups")).where("groups > 1").select("shingle", "most")
     rare = materialise(rare.join(most, "shingle").withColumn("major", F.col("group") == F.col("most")).drop("most"), "near-meeting")
-    columns = ("node", "group", "shingles", "keys", "major")
+    columns = ("node", "group", "shingles", "keys", "major", "at")
     a, b = (rare.where(short).select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side, short in (("a", "short"), ("b", "true")))
     shorter = F.struct("a_shingles", "a_node") < F.struct("b_shingles", "b_node")
     fits = shorter & (F.col("a_group") != F.col("b_group")) & (F.col("a_shingles") >= SIMILARITY * F.col("b_shingles")) & F.arrays_overlap("a_keys", "b_keys")
+    # What two texts have in common from the place on where they meet first has to be enough.
+    rest = F.least(F.col("a_shingles") - F.col("a_at"), F.col("b_shingles") - F.col("b_at"))
+    fits &= rest >= (F.col("a_shingles") + F.col("b_shingles")) * F.lit(SIMILARITY / (1 + SIMILARITY)) - F.lit(1e-9)
     met = a.where("not a_major").join(b, "shingle").where(fits).select("a_node", "b_node")
     met = met.unionByName(a.where("a_major").join(b.where("not b_major"), "shingle").where(fits).select("a_node", "b_node"))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
@@ -378,13 +372,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     forms = materialise(texts.join(of, named).select("node", "text").mapInArrow(_shingled, "node binary, form binary"), "near-forms")
     size = forms.agg(F.sum(F.octet_length("form"))).first()[0] or 0
     blocks = max(BLOCKS, size // BLOCK_BYTES + 1)
-    rows_met = members.agg(F.sum(F.size("keys"))).first()[0] or 0
-    turn, tried, groups, before_open = 0, None, None, float("inf")
+    nodes_met = members.count()
+    turn, tried, groups, joins = 0, None, None, float("inf")
     while True:
-        # Leaders go on while each round halves the open pairs; then all that are open are tested, and none is left.
-        now_open = _open(members, groups)
-        last = turn > 0 and (now_open <= OPEN * rows_met or now_open > before_open / 2)
-        before_open = now_open
+        # Leaders go on while a round joins groups at a share of the nodes; then all that are open are tested, and none is left.
+        last = turn > 0 and joins <= JOINS * nodes_met
         pairs = _all_pairs(members, forms, groups) if last else _pairs(buckets, groups, turn)
         if tried is not None and not last:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -393,8 +385,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         if found.isEmpty():
             if last:
                 break
-            turn += 1
+            turn, joins = turn + 1, 0
             continue
+        joins = found.count()
         tried = pairs if tried is None else tried.unionByName(pairs)
         # New links join groups; only the groups they touch are worked on.
         if groups is None:

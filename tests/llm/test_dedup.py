@@ -193,10 +193,10 @@ def test_near_copies_with_few_equal_sketches(spark):
     assert classes(near_dedup.near_classes(docs).collect()) == [[0, 1], [2, 3]]
 
 
-@pytest.mark.parametrize("many", [64, 0])
-def test_near_copies_hidden_in_a_crowd(spark, monkeypatch, many):
+@pytest.mark.parametrize("share", [1.0, 0.0])
+def test_near_copies_hidden_in_a_crowd(spark, monkeypatch, share):
     """Texts of one template, nearly all pairs just below the threshold: those above it are all found."""
-    monkeypatch.setattr(near_dedup, "OPEN", many)
+    monkeypatch.setattr(near_dedup, "JOINS", share)
     chance = np.random.default_rng(7)
     texts = []
     for k in range(240):
