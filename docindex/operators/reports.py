@@ -34,6 +34,5 @@ def invert_aliases(aliases: DataFrame) -> DataFrame:
 
 
 def batch_metrics(docs: DataFrame) -> DataFrame:
-    """Items and bytes of each bulk request (see ``bulk_requests``)."""
-    return docs.groupBy("_task", "_bulk").agg(
-        F.count("*").alias("items"), F.sum(F.octet_length("_source")).alias("bytes"))
+    """Items and bytes of each file that documents were read from (column ``file``)."""
+    return docs.groupBy("file").agg(F.count("*").alias("items"), F.sum(F.octet_length("_source")).alias("bytes"))

@@ -11,7 +11,7 @@ from docindex.operators.reports import batch_metrics
 from docindex.plans.common import MONEY, Registry, index_of, table
 from docindex.sources import catalog, dump, files
 from docindex.sources.store import (
-    bulk_requests, compact, export_bulk, json_documents, json_record_documents, read_index, read_rejects, write_documents, write_records,
+    compact, export_bulk, json_documents, json_record_documents, read_index, read_rejects, write_documents, write_records,
 )
 from docindex.workspace import work_dir
 
@@ -240,10 +240,11 @@ def routing_shards(spark, sf):
 @query("bulk_batches", """
 SELECT count(*) AS items, 0::BIGINT AS over_size, 0::BIGINT AS tasks_with_several_remainders FROM lineitem""")
 def bulk_batches(spark, sf):
-    """Requests hold exactly 1000 documents, but for the last of each task."""
-    rows = table(spark, sf, "lineitem").select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("_source"))
-    per_request = batch_metrics(bulk_requests(rows, 1000))
-    per_task = per_request.groupBy("_task").agg(
+    """Files hold exactly 1000 documents, but for the last of each task; measured from the files that were written."""
+    root = work_dir(spark, "index")
+    write_records(table(spark, sf, "lineitem"), root, "es://lineitem/row", bulk_size=1000)
+    per_file = batch_metrics(read_index(spark, root, "es://lineitem/row").select("_source", F.input_file_name().alias("file")))
+    per_task = per_file.groupBy(F.regexp_extract("file", r"part-(\d+)-[^/]*$", 1).alias("task")).agg(
         F.sum("items").alias("items"), F.count_if(F.col("items") > 1000).alias("over"),
         F.count_if(F.col("items") < 1000).alias("partial"))
     return per_task.agg(

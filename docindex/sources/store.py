@@ -480,16 +480,6 @@ def _placed(rows: DataFrame, shards: int, salt: int) -> DataFrame:
     return rows.hint("rebalance", "_shard", "_spread").drop("_spread")
 
 
-def bulk_requests(docs: DataFrame, bulk_size: int = 1000) -> DataFrame:
-    """Number the documents of each task into requests of exactly ``bulk_size``.
-
-    Adds ``_task`` and ``_bulk``; the last request of a task holds the remainder.
-    """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = docs.select("*", F.spark_partition_id().alias("_task"), row.alias("_row"))
-    return numbered.withColumn("_bulk", F.expr(f"_row div {int(bulk_size)}")).drop("_row")
-
-
 def bulk_lines(docs: DataFrame) -> DataFrame:
     """Two lines per document, action then source, ready for a bulk request body."""
     action = F.to_json(F.struct(F.struct("_index", "_type", "_id", F.col("_routing").alias("routing")).alias("index")))

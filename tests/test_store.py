@@ -6,9 +6,10 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from docindex import flow
+from docindex.operators.reports import batch_metrics
 from docindex.sources import catalog, dump, files
 from docindex.sources.store import (
-    bulk_requests, compact, export_bulk, json_documents, load, read_index, read_rejects, write_documents, write_records,
+    compact, export_bulk, json_documents, load, read_index, read_rejects, write_documents, write_records,
 )
 from docindex.streaming.sink import index_stream
 
@@ -254,9 +255,9 @@ def test_routing_keeps_its_shard(spark, root):
 
 def test_bulk_requests(spark, root, tmp_path):
     rows = spark.range(0, 2500, 1, 2).select(F.to_json(F.struct("id")).alias("_source"))
-    sizes = bulk_requests(rows, 1000).groupBy("_task", "_bulk").count().orderBy("_task", "_bulk").collect()
-    assert [r["count"] for r in sizes] == [1000, 250, 1000, 250]
-    write_documents(json_documents(rows.withColumnRenamed("_source", "v"), "es://i/t"), root)
+    write_documents(json_documents(rows.withColumnRenamed("_source", "v"), "es://i/t"), root, bulk_size=1000)
+    files = batch_metrics(read_index(spark, root, "es://i/t").withColumn("file", F.input_file_name())).collect()
+    assert sorted(r["items"] for r in files) == [250, 250, 1000, 1000]
     path = str(tmp_path / "bulk")
     export_bulk(read_index(spark, root, "es://i/t"), path, 500)
     lines = [r["value"] for r in spark.read.text(path).collect()]
