@@ -94,7 +94,7 @@ def _by_buckets(df: DataFrame, order: Order, size: int, start: int, within: list
     splitters = splitters.select(*groups, sort.alias("_all"))
     coarse = F.filter("_all", lambda s, i: (i + 1) % (BLOCK + 1) == 0)
     splitters = splitters.select(*groups, "_all", coarse.alias("_coarse"))
-    joined = _beside(rows, splitters, groups)
+    joined = _beside(rows, splitters, groups, tie=keys[-1])
     own = [F.col(k) for k in keys]
 
     def before(some: Column) -> Column:
@@ -132,11 +132,13 @@ def _ranked(part: DataFrame, df: DataFrame, keys: list[str], falls: list[bool],
     return taken.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "_taken")).alias("_copy")).drop("_copy")
 
 
-def _beside(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def _beside(rows: DataFrame, side: DataFrame, on: list[str], how: str = "inner", tie: str = "") -> DataFrame:
     """Join a side that has at most a few rows a group; without groups it is one row or a row a bucket, and broadcast."""
     grouped = any(name.startswith("_g") for name in on)
     if not on:
-        return rows.join(F.broadcast(side.withColumn("_one", F.lit(1))), F.lit(1) == F.col("_one")).drop("_one")
+        # The one row is looked up by a hash modulo one, so that it is an ordinary join by a key.
+        one = side.withColumn("_one", F.pmod(F.xxhash64(F.size("_all")), F.lit(1).cast("long")))
+        return rows.join(F.broadcast(one), F.pmod(rows[tie], F.lit(1).cast("long")) == F.col("_one")).drop("_one")
     same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(side[c]) for c in on])
     out = rows.join(side if grouped else F.broadcast(side), same, how)
     return out if how == "left_semi" else out.drop(*[side[c] for c in on])
