@@ -5,11 +5,16 @@ and commas to its parent, half of them to the grandparent, and less further up;
 element's points are discounted by the share of its text that stands in links. The
 element with most points, or the article it stands in, is the container; siblings that
 read like text are kept with it. What its name or its class marks as menu, header, footer,
-sidebar, notice, advert, form or comments is no part of the tree.
+sidebar, notice, advert, form or comments passes no points. Outside the container any such
+word of a class leaves an element out, and so do lists made of links; inside it only an
+element of such a kind does, or a class that as a whole names one (``comment-list``, but
+not ``related-work``).
 
 Defined cases: a null, empty or text-free page gives an empty text; unclosed, crossed and
 cut-off tags are closed where the next block or the page ends; a page without any tag is
-one block. Text without a paragraph counts by its length. Repeated rows give equal rows.
+one block. Text without a paragraph counts by its length. A page that has no container
+smaller than its body is judged as outside one. Time grows with the length of a page,
+however its tags are nested. Repeated rows give equal rows.
 Only ``page_id, url, html`` are read.
 """
 
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +35,7 @@ EXTRACTED = "page_id long, url string, text string, n_chars long"
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|textarea|select|title|object|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|template|iframe|svg|math|textarea|select|title|object|canvas|audio|video)\b(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*)>"
     r"|</?[a-zA-Z][^<>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -50,6 +56,15 @@ MARKS = frozenset(
     "disqus reply replies respond share sharing social related recommended newsletter subscribe subscription signup login search widget "
     "pagination pager toolbar skip complementary contentinfo navigation".split()
 )
+#: Inside the container, a class token of these words, and of such words of layout after them, marks an element.
+KINDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent notice notices popup sidebar "
+    "sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer header masthead comment comments disqus replies newsletter "
+    "pagination pager toolbar complementary contentinfo".split()
+)
+LAYOUT = frozenset("area bar block body box container content form item items list section slot thread unit wrap wrapper".split())
+#: What a page has as its whole; the article is no wider.
+WHOLE = frozenset("#page html body".split())
 #: Words that take a mark back ("with-sidebar"), and those that make a header the article's own.
 UNMARKS = frozenset("with has no without".split())
 OWN = frozenset("article entry post story title".split())
@@ -63,10 +78,13 @@ class Page:
     """The elements of a page in order, parents first, and its blocks of text."""
 
     def __init__(self, source: str) -> None:
-        self.tags, self.parents, self.marked = ["#page"], [-1], [False]
+        self.tags, self.parents, self.marked, self.barred = ["#page"], [-1], [False], [False]
         self.chars, self.linked, self.points = [0], [0], [0.0]
         self.blocks: list[tuple[int, str]] = []
         self._open = [0]
+        #: Places among the open elements: by name, and of those that are no inline ones.
+        self._places: defaultdict[str, list[int]] = defaultdict(list)
+        self._solid = [0]
         self._pieces: list[str] = []
         self._link: list[str] = []
         self._read(source)
@@ -97,10 +115,11 @@ class Page:
         """End a block: it belongs to the innermost element that is no inline one."""
         text = " ".join(html.unescape("".join(self._pieces)).split())
         if text:
-            k = next(k for k in reversed(self._open) if self.tags[k] not in INLINE)
+            k = self._open[self._solid[-1]]
+            if not self.barred[k]:
+                self.blocks.append((k, text))
             if not self.marked[k]:
                 link = len(" ".join(html.unescape("".join(self._link)).split()))
-                self.blocks.append((k, text))
                 self.chars[k] += len(text)
                 self.linked[k] += min(link, len(text))
                 self._award(k, text, link)
@@ -129,48 +148,69 @@ class Page:
         if tag in VOID:
             return
         parent = self._open[-1]
+        marked, barred = self._unwanted(tag, attributes)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.marked.append(self.marked[parent] or tag in DROPPED or bool(attributes) and tag not in ("html", "body", "article", "main") and self._unwanted(attributes))
+        self.marked.append(self.marked[parent] or marked)
+        self.barred.append(self.barred[parent] or barred)
         self.chars.append(0)
         self.linked.append(0)
         self.points.append(0.0)
+        place = len(self._open)
         self._open.append(len(self.tags) - 1)
-        if attributes.endswith("/") and tag not in INLINE:
-            self._open.pop()
+        self._places[tag].append(place)
+        if tag not in INLINE:
+            self._solid.append(place)
+            if attributes.endswith("/"):
+                self._cut(place)
+
+    def _cut(self, place: int) -> None:
+        """Close the open elements from ``place`` on."""
+        while len(self._open) > place:
+            tag = self.tags[self._open.pop()]
+            self._places[tag].pop()
+            if tag not in INLINE:
+                self._solid.pop()
 
-    def _unwanted(self, attributes: str) -> bool:
+    def _unwanted(self, tag: str, attributes: str) -> tuple[bool, bool]:
+        """Whether an element is left out outside the container, and inside it."""
+        if tag in DROPPED:
+            return True, True
+        if not attributes or tag in ("html", "body", "main"):
+            return tag == "noscript", False
         words: set[str] = set()
+        named = False
         for name, a, b, c in NAMED.findall(attributes):
             name, value = name.lower(), (a or b or c).lower()
             if name == "hidden" or name == "style" and "display:none" in value.replace(" ", ""):
-                return True
+                return (True, True) if tag != "article" else (False, False)
             if name in ("class", "id", "role"):
                 words.update(WORD.findall(value))
+                named = named or any(_names_kind(token) for token in value.split())
+        if tag == "article":
+            # An article within another one may be a reader's comment.
+            named = named and bool(self._places["article"] or self._places["main"])
+            return named, named
         marks = words & MARKS
-        return bool(marks) and not words & UNMARKS and not (marks == {"header"} and words & OWN)
+        return named or tag == "noscript" or bool(marks) and not words & UNMARKS and not (marks == {"header"} and words & OWN), named
 
     def _close_implied(self, tag: str) -> None:
         ends = CLOSES.get(tag, ())
-        for place in range(len(self._open) - 1, 0, -1):
+        while place := self._solid[-1]:
             name = self.tags[self._open[place]]
-            if name == "p" or name in ends:
-                del self._open[place:]
-                if name in ends and tag not in ("tr",):
-                    return
-            elif name not in INLINE:
+            if name != "p" and name not in ends:
+                return
+            self._cut(place)
+            if name in ends and tag != "tr":
                 return
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
-        for place in range(len(self._open) - 1, 0, -1):
-            name = self.tags[self._open[place]]
-            if name == tag:
-                del self._open[place:]
-                return
-            if tag in INLINE and name not in INLINE:
-                return  # an inline end does not close a block
+        places = self._places[tag]
+        # An inline end does not close a block.
+        if places and (tag not in INLINE or places[-1] > self._solid[-1]):
+            self._cut(places[-1])
 
     def main_text(self) -> str:
         if not self.blocks:
@@ -187,13 +227,15 @@ class Page:
         while k > 0 and self.tags[k] not in ("article", "main"):
             k = self.parents[k]
         top = k or top
-        kept = [False] * n
+        kept, inside = [False] * n, [False] * n
+        inside[top] = self.tags[top] not in WHOLE
         for k in range(n):
             if k == top or k and self.parents[k] == self.parents[top] and self._reads_like_text(k, chars[k], density[k], score[k], score[top]):
                 kept[k] = True
             elif k and kept[self.parents[k]]:
-                # Lists made of links are menus.
-                kept[k] = not (self.tags[k] in LISTS and density[k] > 0.5)
+                inside[k] = inside[self.parents[k]]
+                # Lists made of links are menus, but for those of the article itself.
+                kept[k] = not self.barred[k] if inside[k] else not (self.marked[k] or self.tags[k] in LISTS and density[k] > 0.5)
         return "\n".join(text for k, text in self.blocks if kept[k])
 
     def _reads_like_text(self, k: int, chars: int, density: float, score: float, best: float) -> bool:
@@ -202,6 +244,12 @@ class Page:
         return score >= max(10.0, best / 5) or self.tags[k] in ("p", "h1", "h2", "h3", "blockquote", "pre") and chars > 80 and density < 0.25
 
 
+def _names_kind(token: str) -> bool:
+    words = WORD.findall(token)
+    kinds = next((k for k, word in enumerate(words) if word not in KINDS), len(words))
+    return kinds > 0 and all(word in LAYOUT for word in words[kinds:])
+
+
 def main_text(source: str | None) -> str:
     """The page's main text.
 

@@ -1,5 +1,7 @@
 """Pieces, token files, languages, quality, decontamination, chats, pages."""
 
+import random
+import time
 import zlib
 
 import numpy as np
@@ -263,7 +265,13 @@ TEXT = "\n".join(f"{prose(k, 40)}, {prose(k + 50, 20)}." for k in range(4))
     (None, ""), ("", ""), ("<p></p><br>", ""), ("plain  text &lt;here", "plain text <here"),
     (f"<nav><ul><li><a href=/a>Menu one, two, three</a></ul></nav><article><h1>Title</h1>{BODY}</article><footer>&copy; x</footer>", "Title\n" + TEXT),
     (f"<div class='post-content'>{BODY}</div><div class='sidebar'><p>{prose(9, 80)}</p></div><div id=comments><p>{prose(8, 90)}, so</p></div>", TEXT),
-    (f"<div>{BODY}<form><p>{prose(7, 50)}</p></form><ul><li><a href=x>{prose(6, 9)}</a><li><a href=y>more</a></ul></div>", TEXT),
+    (f"<div>{BODY}<form><p>{prose(7, 50)}</p></form><ul><li><a href=x>{prose(6, 9)}</a><li><a href=y>more</a></ul></div>", f"{TEXT}\n{prose(6, 9)}\nmore"),
+    (f"<body>{BODY}<ul><li><a href=x>{prose(6, 9)}</a><li><a href=y>more</a></ul>", TEXT),
+    (f"<article>{BODY}<noscript><p>no script</p></noscript><div class=related-work><p>Related</p></div><p class='search-results'>Found</p>"
+     "<table><tr><td><a href=x>linked</a></table></article>", TEXT + "\nno script\nRelated\nFound\nlinked"),
+    (f"<main><article>{BODY}<div class='comment-list'><p>So, so, so</p></div><ol class=comments><li>x</ol><article class=comment><p>Well</p></article>"
+     f"<div class='ad-slot'>Buy</div><div class='cookie-notice wide'>Eat</div><section class='section-header'>Part</section></article></main>", TEXT + "\nPart"),
+    (f"<noscript>Enable it, {prose(4, 60)}</noscript><div class='search-box'><p>{prose(3, 60)}</p></div><article>{BODY}</article>", TEXT),
     (f"<body class='with-sidebar'><div class='cookie-notice'>We, use, cookies, {prose(3, 40)}</div><main>{BODY}<!-- {prose(2, 9)} --></main>", TEXT),
     (f"<article>{BODY}<script>if (a < b) document.write('<p>x</p>')</script><style>p{{}}</style><p>cut &am", TEXT + "\ncut &am"),
     (f"<article>{BODY}<p><b>bold<br>line<p>next <a title='a > b' href=z>li nk</a> &#233;&nbsp;!</article>", TEXT + "\nbold line\nnext li nk é !"),
@@ -273,6 +281,52 @@ def test_main_text(source, text):
     assert pages.main_text(source) == text
 
 
+class Walked(pages.Page):
+    """The tree by walks over all open elements."""
+
+    def _close_implied(self, tag):
+        ends = pages.CLOSES.get(tag, ())
+        for place in range(len(self._open) - 1, 0, -1):
+            name = self.tags[self._open[place]]
+            if name == "p" or name in ends:
+                self._cut(place)
+                if name in ends and tag != "tr":
+                    return
+            elif name not in pages.INLINE:
+                return
+
+    def _end(self, tag):
+        if tag not in pages.INLINE:
+            self._flush()
+        for place in range(len(self._open) - 1, 0, -1):
+            name = self.tags[self._open[place]]
+            if name == tag:
+                return self._cut(place)
+            if tag in pages.INLINE and name not in pages.INLINE:
+                return None
+
+
+def test_trees_equal_walked_ones():
+    rng = random.Random(5)
+    names = "p b a li ul td tr table div article section nav dt dd".split()
+    for _ in range(300):
+        parts = [rng.choice(["<{}>", "</{}>", "<{} class=x>", "<{}/>", "{}, words", " "]).format(rng.choice(names)) for _ in range(rng.randrange(80))]
+        source = "".join(parts)
+        page, walked = pages.Page(source), Walked(source)
+        assert (page.tags, page.parents, page.blocks, page.points) == (walked.tags, walked.parents, walked.blocks, walked.points)
+        assert page.main_text() == walked.main_text()
+
+
+@pytest.mark.parametrize("source", [
+    "<div>" * 100_000 + "</x>" * 100_000, "<b>" * 100_000 + "<p>x" * 150_000, "<b>" * 100_000 + "<div>" + "</b>" * 100_000 + "x",
+    "<script " * 125_000, "<a href='" * 110_000 + '"', "<ul><li>" * 120_000, "<!-- " * 200_000, "&amp" * 250_000, "<td><table>" * 90_000,
+])
+def test_pages_of_a_megabyte(source):
+    started = time.monotonic()
+    pages.main_text(source)
+    assert time.monotonic() - started < 20
+
+
 def test_captions_stay():
     figure = f"<figure><img src=a><figcaption>{prose(5, 12)}</figcaption></figure>"
     assert pages.main_text(f"<article>{BODY}{figure}{BODY}</article>") == f"{TEXT}\n{prose(5, 12)}\n{TEXT}"
