@@ -237,6 +237,37 @@ def routing_shards(spark, sf):
         F.count_distinct("_shard").alias("shards"), F.count("*").alias("docs"))
 
 
+ROUTED = 40
+
+
+@query("routed_read", f"""
+SELECT CAST(o_custkey AS VARCHAR) AS routing, CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_totalprice AS DOUBLE) AS price
+FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 ORDER BY count(*) DESC, o_custkey LIMIT {ROUTED})""")
+def routed_read(spark, sf):
+    """All orders of the customers with most of them, by routing value from a clustered index."""
+    root, target = work_dir(spark, "index"), work_dir(spark, "clustered")
+    orders = table(spark, sf, "orders")
+    write_records(orders, root, "es://ord/order", id_field="o_orderkey", routing_field="o_custkey")
+    compact(spark, root, target, cluster="routing")
+    busy = orders.groupBy("o_custkey").count().orderBy(F.desc("count"), "o_custkey").limit(ROUTED)
+    docs = read_index(spark, target, "es://ord/order", routing=[str(r["o_custkey"]) for r in busy.collect()])
+    return docs.select(F.col("_routing").alias("routing"), F.col("_id").alias("doc_id"), F.col("o_totalprice").cast("double").alias("price"))
+
+
+@query("ids_read", """
+SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_custkey AS VARCHAR) AS routing, o_orderstatus AS status
+FROM orders WHERE o_orderkey IN (SELECT max(o_orderkey) FROM orders GROUP BY o_orderstatus)""")
+def ids_read(spark, sf):
+    """The last order of each status by id, from an index that is clustered by routing."""
+    root, target = work_dir(spark, "index"), work_dir(spark, "clustered")
+    orders = table(spark, sf, "orders")
+    write_records(orders, root, "es://ord/order", id_field="o_orderkey", routing_field="o_custkey")
+    compact(spark, root, target, cluster="routing")
+    last = orders.groupBy("o_orderstatus").agg(F.max("o_orderkey").cast("string").alias("id")).collect()
+    docs = read_index(spark, target, "es://ord/order", query={"ids": {"values": [r["id"] for r in last]}})
+    return docs.select(F.col("_id").alias("doc_id"), F.col("_routing").alias("routing"), F.col("o_orderstatus").alias("status"))
+
+
 @query("bulk_batches", """
 SELECT count(*) AS items, 0::BIGINT AS over_size, 0::BIGINT AS tasks_with_several_remainders FROM lineitem""")
 def bulk_batches(spark, sf):

@@ -237,7 +237,7 @@ def write_documents(
     return done
 
 
-def _written(rows: DataFrame, path: str, bulk_size: int | None = None) -> dict:
+def _written(rows: DataFrame, path: str, bulk_size: int | None = None, options: dict | None = None) -> dict:
     seen = Observation("write")
     ok, given = F.col("_kind") != catalog.REJECTED, F.when(F.col("_kind") == "given", F.col("_id"))
     rows = rows.observe(
@@ -247,7 +247,7 @@ def _written(rows: DataFrame, path: str, bulk_size: int | None = None) -> dict:
         F.count(F.when(~ok, 1)).alias("rejected"),
         F.min(given).alias("low"), F.max(given).alias("high"),
     )
-    out = rows.write.mode("append")
+    out = rows.write.mode("append").options(**(options or {}))
     if bulk_size:
         out = out.option("maxRecordsPerFile", bulk_size)
     out.partitionBy(*PARTITIONING).parquet(path)
@@ -502,12 +502,15 @@ def read_index(
     tasks: int | None = None,
     versions: bool = False,
     with_place: bool = False,
+    routing: str | list[str] | None = None,
 ) -> DataFrame:
     """Current documents in a locator's scope, with their typed columns.
 
     ``query`` is a structured filter, ``q`` a free-text one (default: the
     locator's). ``versions=True`` also returns replaced documents, ``with_place``
-    the attempt that wrote each, which with its ``_seq`` names a row.
+    the attempt that wrote each, which with its ``_seq`` names a row. ``routing``
+    keeps the documents routed by one of some values, by the id where a document
+    names none; ``compact(cluster="routing")`` lays them out so that this skips row groups.
     """
     loc = Locator.of(locator)
     state = log.state(spark, root)
@@ -523,6 +526,9 @@ def read_index(
         for own, some in branches
     ])
     docs = docs.select(*DOCUMENT, *(["_try"] if with_place else []), *map(records._q, typed.names))
+    if routing is not None:
+        values = [routing] if isinstance(routing, str) else list(routing)
+        docs = docs.where(F.col("_routing").isin(values) | F.col("_routing").isNull() & F.col("_id").isin(values))
     q = q if q is not None else loc.option("q")
 
     def named(name: str) -> Column:
@@ -605,10 +611,29 @@ def read_rejects(
     return _scan(spark, root, T.StructType([]), _files(found)).select("_index", "_type", "_batch", "_source", "_reason")
 
 
+#: Orders that documents can be laid out in, within their target.
+CLUSTERS = {None: (), "id": ("_id",), "routing": ("_routing", "_id")}
+#: Filters over ids and routing values, sized by what a row group holds.
+BLOOM = {"parquet.bloom.filter.enabled#_id": "true", "parquet.bloom.filter.enabled#_routing": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def compact(
-    spark: SparkSession, source_root: str, target_root: str, locator: Locator | str = "es://_all"
+    spark: SparkSession,
+    source_root: str,
+    target_root: str,
+    locator: Locator | str = "es://_all",
+    cluster: str | None = None,
+    row_group_bytes: int | None = None,
 ) -> None:
-    """Rewrite current documents into a new root, where reads need no shuffle."""
+    """Rewrite current documents into a new root, where reads need no shuffle.
+
+    ``cluster`` ("routing" or "id") orders them: files and row groups hold narrow ranges, which a
+    routed read or one by ids skips by their bounds. A value that most documents share, null too,
+    is cut by ids. Ids outside the order are found by Bloom filters. ``row_group_bytes``
+    bounds row groups (default: Parquet's).
+    """
+    if cluster not in CLUSTERS:
+        raise ValueError(f"unknown order {cluster!r}")
     found = catalog.segments(spark, source_root, locator)
     if log.state(spark, target_root).version:
         raise FileExistsError(f"{target_root} already holds documents")
@@ -618,11 +643,18 @@ def compact(
     rows = docs.select(
         "_id", "_routing", "_shard", "_seq", "_source", _null().alias("_reason"), *typed,
         "_index", "_type", F.lit("unique").alias("_kind"), F.lit(newest).cast("long").alias("_batch"), F.lit("compact").alias("_writer"),
-    ).hint("rebalance", "_index", "_type")
+    )
+    options = {} if row_group_bytes is None else {"parquet.block.size": str(row_group_bytes)}
+    if cluster is None:
+        rows = rows.hint("rebalance", "_index", "_type")
+    else:
+        order = ["_index", "_type", *CLUSTERS[cluster]]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*PARTITIONING, *CLUSTERS[cluster])
+        options |= BLOOM
     # Sequence numbers of several batches may meet in one segment; a new one is their place here.
     rows = rows.withColumn("_seq", F.monotonically_increasing_id())
     attempt = f"_try={uuid.uuid4().hex}"
-    numbers = [_written(rows, f"{target_root}/{attempt}")]
+    numbers = [_written(rows, f"{target_root}/{attempt}", options=options)]
     _commit(spark, target_root, log.Entry(newest, "compact", tuple(_parts_of(spark, target_root, attempt, numbers))))
     kept = {(s.index, s.type) for s in found}
     for (index, doc_type), mapping in catalog.get_mappings(spark, source_root).items():
