@@ -10,6 +10,9 @@ from docindex.functions.text import tokens
 from docindex.operators import facets
 from docindex.operators.search import search
 from docindex.plans.common import PLACES, Registry, events, lineitem, table, tidy
+from docindex.sources import rollups
+from docindex.sources.store import write_records
+from docindex.workspace import work_dir
 
 REGISTRY = Registry()
 query = REGISTRY.add
@@ -386,3 +389,43 @@ def shape_whole_index(spark, sf):
         "per_day": {"date_histogram": {"field": "ts", "interval": "day"}},
         "busiest": {"terms_stats": {"key_field": "user_id", "value_field": "value"}}}}
     return tidy(answer(events(spark, sf), body).select("facet", "term", "count", "total"))
+
+
+# -- the same shapes from stored cells -------------------------------------------
+
+CELLS = rollups.Rollup("ts", "hour", ("event_type", "user_id"), (("value", "decimal(18,2)"),))
+
+
+def rolled_up(spark, sf):
+    """Cells of three writes: one as stored, one from which documents were taken out since, one that came later."""
+    root, e = work_dir(spark, "index"), table(spark, sf, "events")
+    tenth = F.col("event_id") % 10 == 0
+    write_records(e.where("event_id % 2 = 1"), root, "es://ev-odd/event", id_field="event_id")
+    write_records(e.where("event_id % 2 = 0").withColumn("value", F.when(tenth, F.lit(0.0)).otherwise(F.col("value"))),
+                  root, "es://ev-even/event", id_field="event_id")
+    rollups.build(spark, root, CELLS)
+    write_records(e.where(tenth), root, "es://ev-even/event", id_field="event_id")
+    return rollups.cells(spark, root, CELLS, "es://ev-*")
+
+
+@query("rollup_whole_index", REGISTRY.sql["shape_whole_index"])
+def rollup_whole_index(spark, sf):
+    """Statistics, a histogram and statistics per key over everything, without reading documents of the stored cells."""
+    cells = rolled_up(spark, sf)
+    none = F.lit(None).cast("double").alias("total")
+    clicks = rollups.statistical(cells, CELLS, "value", F.col("event_type") == "click")
+    per_day = rollups.date_histogram(cells, CELLS, "day")
+    busiest = rollups.terms_stats(cells, CELLS, "user_id", "value")
+    return (
+        tidy(clicks.select(F.lit("clicks").alias("facet"), F.lit("all").alias("term"), "count", "total"))
+        .unionByName(per_day.select(F.lit("per_day").alias("facet"), F.date_format("term", "yyyy-MM-dd HH:mm:ss").alias("term"), "count", none))
+        .unionByName(tidy(busiest.select(F.lit("busiest").alias("facet"), "term", "count", "total"))))
+
+
+@query("rollup_day_sums_in_zone", REGISTRY.sql["shape_day_sums_in_zone"])
+def rollup_day_sums_in_zone(spark, sf):
+    """Local days from cells of one hour; the bounds of the filter lie where hours begin."""
+    where = F.col("user_id").isin(12, 26, 70) & (F.col("event_type") == "click") & (
+        F.col("bucket") >= F.lit("2024-01-05 08:00:00").cast("timestamp_ntz")) & (F.col("bucket") < F.lit("2024-01-21 07:00:00").cast("timestamp_ntz"))
+    days = rollups.date_histogram(rolled_up(spark, sf), CELLS, "day", "value", "US/Pacific", where)
+    return tidy(days.select(F.lit("amount").alias("facet"), F.date_format("term", "yyyy-MM-dd HH:mm:ss").alias("term"), "count", *facets.STATS[1:]))
