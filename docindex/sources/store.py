@@ -56,6 +56,8 @@ PARTITION_COLUMNS = T.StructType([
     T.StructField("_batch", T.LongType()),
     T.StructField("_writer", T.StringType()),
 ])
+# Bytes of a bitmap, of 32,768 rows; bytes of bitmaps that a join sends to every task.
+BITMAP, SENT_BITS = 4096, 32 << 20
 # Where a document stands in the order of all writes.
 AGE = ("_batch", "_writer", "_seq")
 RESERVED = set(STORED.names) | set(PARTITION_COLUMNS.names)
@@ -247,7 +249,7 @@ def _written(rows: DataFrame, path: str, bulk_size: int | None = None, options:
         F.count(F.when(~ok, 1)).alias("rejected"),
         F.min(given).alias("low"), F.max(given).alias("high"),
     )
-    out = rows.write.mode("append").options(**(options or {}))
+    out = rows.write.mode("append").options(**({"compression": "zstd"} | (options or {})))
     if bulk_size:
         out = out.option("maxRecordsPerFile", bulk_size)
     out.partitionBy(*PARTITIONING).parquet(path)
@@ -332,11 +334,11 @@ def _bitmaps(spark: SparkSession, root: str, rows: DataFrame) -> log.Deletion |
     bits.write.parquet(f"{root}/{path}")
     stored = spark.read.schema(catalog.BITMAPS).parquet(f"{root}/{path}")
     # One row for each place that loses documents.
-    counts = stored.groupBy("_index", "_type", "_try").agg(F.sum(F.bitmap_count("_bits")).alias("n")).collect()
+    counts = stored.groupBy("_index", "_type", "_try").agg(F.sum(F.bitmap_count("_bits")).alias("n"), F.count("*").alias("buckets")).collect()
     if not counts:
         log.Folder(spark, root).delete(path)
         return None
-    return log.Deletion(path, tuple(((r["_index"], r["_type"], r["_try"]), r["n"]) for r in counts))
+    return log.Deletion(path, tuple(((r["_index"], r["_type"], r["_try"]), r["n"]) for r in counts), sum(r["buckets"] for r in counts))
 
 
 def _mapped_parts(spark: SparkSession, root: str, targets: list[tuple[str, str]] | None) -> list[list[tuple]]:
@@ -553,8 +555,8 @@ def _standing(spark: SparkSession, root: str, typed: T.StructType, found: dict[S
     """Documents of some parts that nothing has taken out.
 
     Parts without a deletion are scanned as they are. Rows of the others meet the bitmap of their
-    bucket of sequence numbers: one short row for up to 32,768 documents, which the planner
-    broadcasts unless very many were replaced.
+    bucket of sequence numbers: one short row for up to 32,768 documents, which goes to every
+    task unless very many were replaced.
     """
     state = state or log.state(spark, root)
     hit = {place for d in state.deletions for place, _ in d.rows}
@@ -573,16 +575,33 @@ def scan_parts(spark: SparkSession, root: str, typed: T.StructType, parts: dict[
 
 def not_deleted(spark: SparkSession, root: str, rows: DataFrame, parts: dict[Segment, Part], state: log.State | None = None) -> DataFrame:
     """Rows with a place and ``_seq`` whose bit is not set in the bitmaps of some parts."""
-    bits = catalog.deleted_rows(spark, root, state or log.state(spark, root), {p.place for p in parts.values()})
+    state = state or log.state(spark, root)
+    places = {p.place for p in parts.values()}
+    bits = catalog.deleted_rows(spark, root, state, places)
     if bits is None:
         return rows
+    return _beside_bits(rows, bits, _buckets(state, places), "left").where(F.col("_x_bits").isNull() | ~F.col("_x_set")).select(*rows.columns)
+
+
+def _buckets(state: log.State, places: set[tuple]) -> int | None:
+    """At most so many bitmaps take rows out of some places; None where an entry does not say."""
+    known = [d.buckets for d in state.deletions if any(p in places for p, _ in d.rows)]
+    return None if None in known else sum(known)
+
+
+def _beside_bits(rows: DataFrame, bits: DataFrame, buckets: int | None, how: str) -> DataFrame:
+    """Rows beside the bitmap of their bucket, with ``_x_set`` for their own bit.
+
+    Bitmaps of up to ``SENT_BITS`` bytes go to every task, so that the rows stay where they are; of others the planner decides.
+    """
     names = {c: f"_x{c}" for c in catalog.BITMAPS.names}
     side = bits.withColumnsRenamed(names)
+    if buckets is not None and buckets * BITMAP <= SENT_BITS:
+        side = F.broadcast(side)
     same = [F.col(c) == F.col(names[c]) for c in ("_index", "_type", "_try")] + [F.bitmap_bucket_number("_seq") == F.col("_x_bucket")]
     place = F.bitmap_bit_position("_seq")
     byte = F.conv(F.hex(F.substring(F.col("_x_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    gone = F.getbit(byte, (place % 8).cast("int")) == 1
-    return rows.join(side, reduce(lambda a, b: a & b, same), "left").where(F.col("_x_bits").isNull() | ~gone).select(*rows.columns)
+    return rows.join(side, reduce(lambda a, b: a & b, same), how).withColumn("_x_set", F.getbit(byte, (place % 8).cast("int")) == 1)
 
 
 def load(spark: SparkSession, root: str, locator: Locator | str, **options) -> DataFrame:

@@ -1,7 +1,7 @@
 """Posting lists and block-max ranking against a search through all texts."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from docindex.operators.ranking import ranked_hits
 from docindex.sources import postings
@@ -95,3 +95,43 @@ def test_a_word_is_sought_in_the_files_and_nothing_else_is_read(spark, root):
         spark.conf.set("spark.sql.maxMetadataStringLength", shown)
     assert "EqualTo(word,rare)" in plan
     assert "_source" not in counting and "times:" not in counting
+
+
+@pytest.fixture
+def nothing_is_small(spark):
+    """The planner takes no table for small enough to be sent to every task."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    shown = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, shown)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_building_moves_a_list_per_word_and_block_once(spark, root, small_blocks, monkeypatch):
+    stored(spark, root)
+    plans, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: (plans.append((path, plan_of(self._df))), write(self, path, *a, **b))[1])
+    postings.build(spark, root, "text")
+    moved = [plan for path, plan in plans if path.endswith("/blocks")]
+    assert len(moved) == 3
+    for plan in moved:
+        assert plan.count("Exchange ") == 1 and "rangepartitioning" not in plan and "partial_collect_list" in plan
+
+
+def test_counts_and_lengths_of_odd_texts(spark, root, small_blocks):
+    texts = [None, "", " ,;", "a", "b a B a", "Ärger ärger x1 x1 x1", "z " * 40 + "a"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    write_records(rows, root, "es://d/t?id=id")
+    postings.build(spark, root, "text")
+    docs = {r["_seq"]: r["_id"] for r in read_index(spark, root, "es://d").select("_seq", "_id").collect()}
+    got = sorted((docs[r["_seq"]], r["word"], r["times"], r["length"]) for r in postings.entries(spark, root, "text").collect())
+    assert got == sorted([("3", "a", 1, 1), ("4", "a", 2, 4), ("4", "b", 2, 4), ("5", "ärger", 2, 5), ("5", "x1", 3, 5), ("6", "a", 1, 41), ("6", "z", 40, 41)])
+
+
+def test_documents_stay_where_they_are(spark, root, small_blocks, nothing_is_small):
+    stored(spark, root)
+    assert "SortMergeJoin" not in plan_of(read_index(spark, root, "es://_all"))
