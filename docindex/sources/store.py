@@ -58,6 +58,8 @@ PARTITION_COLUMNS = T.StructType([
 ])
 # Bytes of a bitmap, of 32,768 rows; bytes of bitmaps that a join sends to every task.
 BITMAP, SENT_BITS = 4096, 32 << 20
+# Files of one folder that are sought one by one; Spark looks for as many paths before it starts a job for them.
+NAMED_FILES = 32
 # Where a document stands in the order of all writes.
 AGE = ("_batch", "_writer", "_seq")
 RESERVED = set(STORED.names) | set(PARTITION_COLUMNS.names)
@@ -249,7 +251,8 @@ def _written(rows: DataFrame, path: str, bulk_size: int | None = None, options:
         F.count(F.when(~ok, 1)).alias("rejected"),
         F.min(given).alias("low"), F.max(given).alias("high"),
     )
-    out = rows.write.mode("append").options(**({"compression": "zstd"} | (options or {})))
+    # For files of a few documents, starting a compressor costs more than it saves.
+    out = rows.write.mode("append").options(**(({} if bulk_size else {"compression": "zstd"}) | (options or {})))
     if bulk_size:
         out = out.option("maxRecordsPerFile", bulk_size)
     out.partitionBy(*PARTITIONING).parquet(path)
@@ -682,11 +685,19 @@ def compact(
 
 
 def _scan(spark: SparkSession, root: str, typed: T.StructType, files: list[str]) -> DataFrame:
-    """The named files; no folder is listed."""
+    """The named files, which are all that their parts have. No folder is listed, but that of a part with very many files."""
     schema = T.StructType(STORED.fields + typed.fields + PARTITION_COLUMNS.fields)
     if not files:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in sorted(files)])
+    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{p}" for p in _paths(files)])
+
+
+def _paths(files: list[str]) -> list[str]:
+    """Files by name; more than ``NAMED_FILES`` of a folder by the folder, which a finished write never adds to."""
+    folders: dict[str, list[str]] = {}
+    for f in sorted(files):
+        folders.setdefault(f.rpartition("/")[0], []).append(f)
+    return [p for folder, names in folders.items() for p in (names if len(names) <= NAMED_FILES else [folder])]
 
 
 def _typed_schema(structs: list[T.StructType]) -> tuple[T.StructType, set[str]]:

@@ -182,3 +182,18 @@ def test_an_input_of_several_mappings_runs_once(spark, root):
     done = write_documents(json_documents(lines), root)
     docs = read_index(spark, root, "es://a,b/t", q="*").where("_batch = 3")
     assert done.records == 400 and docs.count() == docs.select("_id").distinct().count() == 400
+
+
+def test_very_many_files_are_listed_and_read_by_their_folder(spark, root):
+    rows = spark.createDataFrame([('{"_index":"a,b \\\\c","_id":"%d"}' % k,) for k in range(90)], "value string").coalesce(1)
+    write_documents(json_documents(rows), root, bulk_size=2)
+    write_documents(json_documents(spark.createDataFrame([('{"_index":"few","_id":"x"}',)], "value string")), root)
+    names = log.Folder(spark, root).data_files("")
+    walked = [os.path.relpath(os.path.join(d, f), root) for d, _, some in os.walk(root) for f in some if f.startswith("part-")]
+    assert names == [] and len(walked) == 46
+    attempts = {f.split("/")[0] for f in walked}
+    found = [n for a in attempts for n in log.Folder(spark, root).data_files(a)]
+    assert sorted(found) == sorted(walked) == sorted(f for p in log.state(spark, root).parts.values() for f in p.files)
+    docs = read_index(spark, root, "es://_all")
+    assert "InMemoryFileIndex(2 paths)" in docs._jdf.queryExecution().executedPlan().toString()
+    assert docs.count() == 91 and docs.where(F.col("_index") == "a,b \\c").count() == 90
