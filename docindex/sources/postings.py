@@ -28,7 +28,7 @@ from docindex.operators.ranking import B, K1
 from docindex.operators.selection import SHALLOW
 from docindex.sources import catalog, log
 from docindex.sources.log import Part, Segment
-from docindex.sources.store import not_deleted, read_index, scan_parts
+from docindex.sources.store import marked, not_deleted, read_index, scan_parts
 
 #: Sequence numbers of one block.
 BLOCK = 4096
@@ -155,9 +155,10 @@ def matching(spark: SparkSession, root: str, field: str, query: str, every: bool
     """Documents that hold any, or every, word of a query, found by their postings."""
     words = query_words(query)
     found = entries(spark, root, field, words, locator, lengths=False)
-    rows = found.groupBy(*ROW).agg(F.count("*").alias("n")).where(F.col("n") >= (len(words) if every else 1)).drop("n")
-    docs = read_index(spark, root, locator, q="*", with_place=True)
-    return docs.join(rows, ROW, "left_semi").drop("_try")
+    rows = found.groupBy(*ROW).agg(F.count("*").alias("n")).where(F.col("n") >= (len(words) if every else 1))
+    # One row for each write in scope.
+    buckets = _stored(spark, root, field, _parts(spark, root, locator), "lengths", LENGTHS).agg(F.sum("buckets")).first()[0] or 0
+    return marked(read_index(spark, root, locator, q="*", with_place=True), rows, buckets).drop("_try")
 
 
 def _score(times: Column, length: Column, mean: Column, total: Column, having: Column) -> Column:

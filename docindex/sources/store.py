@@ -586,6 +586,13 @@ def not_deleted(spark: SparkSession, root: str, rows: DataFrame, parts: dict[Seg
     return _beside_bits(rows, bits, _buckets(state, places), "left").where(F.col("_x_bits").isNull() | ~F.col("_x_set")).select(*rows.columns)
 
 
+def marked(rows: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
+    """Rows with a place and ``_seq`` that are among some others, which lie in at most so many buckets; only bitmaps of these move."""
+    bucket = F.bitmap_bucket_number("_seq").alias("_bucket")
+    bits = wanted.groupBy("_index", "_type", "_try", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_seq")).alias("_bits"))
+    return _beside_bits(rows, bits, buckets, "inner").where("_x_set").select(*rows.columns)
+
+
 def _buckets(state: log.State, places: set[tuple]) -> int | None:
     """At most so many bitmaps take rows out of some places; None where an entry does not say."""
     known = [d.buckets for d in state.deletions if any(p in places for p, _ in d.rows)]

@@ -135,3 +135,8 @@ def test_counts_and_lengths_of_odd_texts(spark, root, small_blocks):
 def test_documents_stay_where_they_are(spark, root, small_blocks, nothing_is_small):
     stored(spark, root)
     assert "SortMergeJoin" not in plan_of(read_index(spark, root, "es://_all"))
+
+
+def test_documents_found_by_postings_stay_where_they_are(spark, root, small_blocks, nothing_is_small):
+    postings.build(spark, stored(spark, root), "text")
+    assert "SortMergeJoin" not in plan_of(postings.matching(spark, root, "text", "again rare"))
