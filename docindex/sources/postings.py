@@ -37,6 +37,8 @@ FIRST_BLOCKS = 64
 #: Tables of earlier forms have folders of other names and are built anew.
 FOLDER = "v2-"
 STORAGE = {"compression": "zstd", "parquet.bloom.filter.enabled#word": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+#: Bytes of a list of words that goes to every task.
+SENT_WORDS = 8 << 20
 #: Scores are sums in any order; a bound this much below the least score is still looked at.
 SLACK = 1e-9
 
@@ -141,7 +143,10 @@ def _measured(spark: SparkSession, root: str, field: str, rows: DataFrame, parts
 def term_hits(spark: SparkSession, root: str, field: str, words: DataFrame, locator: Locator | str = "es://_all") -> DataFrame:
     """For each word of a list, the number of documents that hold it: (word, hits). The documents are not read."""
     listed = words.select(F.lower(F.col(words.columns[0])).alias("word")).distinct()
-    some = blocks(spark, root, field, None, locator).join(listed, "word", "left_semi")
+    n, size = listed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0))).first()
+    some = blocks(spark, root, field, None, locator)
+    if size + 32 * n <= SENT_WORDS:  # the postings stay where they are; of a longer list, all words are counted before they meet it
+        some = some.join(F.broadcast(listed), "word", "left_semi")
     parts = _parts(spark, root, locator)
     state = log.state(spark, root)
     if catalog.deleted_rows(spark, root, state, {p.place for p in parts.values()}) is None:

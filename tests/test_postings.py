@@ -140,3 +140,12 @@ def test_documents_stay_where_they_are(spark, root, small_blocks, nothing_is_sma
 def test_documents_found_by_postings_stay_where_they_are(spark, root, small_blocks, nothing_is_small):
     postings.build(spark, stored(spark, root), "text")
     assert "SortMergeJoin" not in plan_of(postings.matching(spark, root, "text", "again rare"))
+
+
+def test_postings_stay_where_they_are(spark, root, small_blocks, nothing_is_small, monkeypatch):
+    postings.build(spark, stored(spark, root), "text")
+    words = spark.createDataFrame([("again",), ("rare",)], "word string")
+    assert "LeftSemi, BuildRight" in plan_of(postings.term_hits(spark, root, "text", words))
+    short = sorted(map(tuple, postings.term_hits(spark, root, "text", words).collect()))
+    monkeypatch.setattr(postings, "SENT_WORDS", 0)
+    assert sorted(map(tuple, postings.term_hits(spark, root, "text", words).collect())) == short == [("again", 110), ("rare", 18)]
