@@ -149,3 +149,11 @@ def test_postings_stay_where_they_are(spark, root, small_blocks, nothing_is_smal
     short = sorted(map(tuple, postings.term_hits(spark, root, "text", words).collect()))
     monkeypatch.setattr(postings, "SENT_WORDS", 0)
     assert sorted(map(tuple, postings.term_hits(spark, root, "text", words).collect())) == short == [("again", 110), ("rare", 18)]
+
+
+def test_counting_words_moves_no_entries(spark, root, small_blocks, nothing_is_small):
+    postings.build(spark, stored(spark, root), "text")
+    found = postings.entries(spark, root, "text", lengths=False)
+    assert "SortMergeJoin" not in plan_of(found) and "length" not in found.columns
+    counted = {r["word"]: (r["docs"], r["times"]) for r in found.groupBy("word").agg(F.count("*").alias("docs"), F.sum("times").alias("times")).collect()}
+    assert counted["again"] == (110, 110) and counted["the"] == (1601, 1711) and counted["own1495"] == (1, 1)
